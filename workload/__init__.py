@@ -1,0 +1,7 @@
+"""Registered queries, their inputs and their oracles."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

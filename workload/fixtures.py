@@ -218,7 +218,7 @@ def as_record(t: DataFrame) -> Column:
 
 # -- JSON lines of two sources --------------------------------------------------------------------
 def json_lines(spark, sf_dir) -> DataFrame:
-    """(src_ordinal, at, value): instruction records, then event properties, blank lines between."""
+    """(src_ordinal, line_key, value, path): instruction records, then event properties, blank lines between."""
     t = turns(spark, sf_dir)
     task = nth_task(F.col("conv_id"))
     member = (
@@ -231,8 +231,9 @@ def json_lines(spark, sf_dir) -> DataFrame:
         F.lit("{"), member, F.lit('"instruction":'), quoted("instruction"), F.lit(', "input" : '), quoted("input"),
         F.lit(',"output":'), quoted("output"), F.lit("}"),
     )
-    first = t.select(F.lit(0).alias("src_ordinal"), (F.col("conv_id") * 100000 + F.col("turn")).alias("at"), line.alias("value"))
+    first = t.select(F.lit(0).alias("src_ordinal"), (F.col("conv_id") * 100000 + F.col("turn")).alias("line_key"), line.alias("value"))
     events = table(spark, sf_dir, "events")
-    second = events.select(F.lit(1).alias("src_ordinal"), F.col("event_id").alias("at"), F.col("props").alias("value"))
-    blank = events.select(F.lit(2).alias("src_ordinal"), F.col("event_id").alias("at"), F.lit(" \t").alias("value"))
-    return first.unionAll(second).unionAll(blank)
+    second = events.select(F.lit(1).alias("src_ordinal"), F.col("event_id").alias("line_key"), F.col("props").alias("value"))
+    blank = events.select(F.lit(2).alias("src_ordinal"), F.col("event_id").alias("line_key"), F.lit(" \t").alias("value"))
+    lines = first.unionAll(second).unionAll(blank)
+    return lines.withColumn("path", F.concat(F.lit("source "), F.col("src_ordinal").cast("string")))

@@ -256,12 +256,12 @@ def record_patch(spark, sf_dir) -> DataFrame:
     """Overwrite one member of every line that has it; other members and key order stay."""
     lines = with_record(fx.json_lines(spark, sf_dir)).filter("src_ordinal = 0")
     changed = patched_object("record", F.create_map(F.lit("input"), F.lit('new "input"')))
-    return lines.select("at", changed.alias("record"))
+    return lines.select("line_key", changed.alias("record"))
 
 
 # -- JSON lines -------------------------------------------------------------------------------------------
 def merge_jsonl(spark, sf_dir) -> DataFrame:
-    return require_objects(with_record(fx.json_lines(spark, sf_dir))).select("src_ordinal", "at", "record")
+    return require_objects(with_record(fx.json_lines(spark, sf_dir))).select("src_ordinal", "line_key", "record")
 
 
 def count_records(spark, sf_dir) -> DataFrame:
@@ -270,7 +270,7 @@ def count_records(spark, sf_dir) -> DataFrame:
 
 def _task_counts(spark, sf_dir):
     lines = require_objects(with_record(fx.json_lines(spark, sf_dir)))
-    lines = lines.withColumn("record_index", F.col("src_ordinal") * F.lit(10**12) + F.col("at"))
+    lines = lines.withColumn("record_index", F.col("src_ordinal") * F.lit(10**12) + F.col("line_key"))
     return stats.task_counts(lines, stats.record_task_type())
 
 
@@ -296,12 +296,12 @@ def record_index(spark, sf_dir) -> DataFrame:
 # -- calibration and views ------------------------------------------------------------------------------------
 def _calibration(spark, sf_dir) -> DataFrame:
     lines = with_record(fx.json_lines(spark, sf_dir)).filter("problem is null")
-    return calibration.calibration_records(lines.select("src_ordinal", "at", "record"))
+    return calibration.calibration_records(lines.select("src_ordinal", "line_key", "record"))
 
 
 def calibration_pairs(spark, sf_dir) -> DataFrame:
     m = calibration.with_messages(_calibration(spark, sf_dir))
-    return m.select("at", *[
+    return m.select("line_key", *[
         F.get("messages", F.lit(i))["content"].alias(name) for i, name in enumerate(("asked", "answered"))
     ])
 
@@ -309,9 +309,9 @@ def calibration_pairs(spark, sf_dir) -> DataFrame:
 def calibration_sample(spark, sf_dir) -> DataFrame:
     from sheaf.operators.ordering import with_dense_index
 
-    usable = _calibration(spark, sf_dir).select("at", "instruction", "input", "output")
-    indexed = with_dense_index(usable, ["at"], out="usable_index")
-    return calibration.seeded_draw(indexed, "usable_index").select("draw_no", "usable_index", "at", "instruction")
+    usable = _calibration(spark, sf_dir).select("line_key", "instruction", "input", "output")
+    indexed = with_dense_index(usable, ["line_key"], out="usable_index")
+    return calibration.seeded_draw(indexed, "usable_index").select("draw_no", "usable_index", "line_key", "instruction")
 
 
 def dataset_view_sft(spark, sf_dir) -> DataFrame:
