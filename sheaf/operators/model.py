@@ -6,7 +6,7 @@ counts as a failed attempt. Nothing here opens a connection.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,7 +21,7 @@ REQUEST_FIELDS = ("request_id", "input", "reasoning_effort", "max_output_tokens"
 ModelFn = Callable[[dict], tuple[int, str]]
 
 
-def _caller(model_fn: ModelFn, max_retries: int, threads: int, backoff_s: float):
+def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int, backoff_s: float):
     """Per-partition loop. A failing request gives an error row and never ends the job."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,13 +45,14 @@ def _caller(model_fn: ModelFn, max_retries: int, threads: int, backoff_s: float)
                 if error is not None:
                     error = f"Responses API request failed: {error}"
                 final = error is None or attempt == max_retries
-                rows.append((request["request_id"], attempt, status, body, error, final))
+                told = (request["request_id"], attempt, status, body, error, final)
+                rows.append(told + tuple(request[k] for k in keys))
                 if final:
                     break
                 time.sleep(backoff_s * 2**attempt)
             return rows
 
-        names = ["request_id", "attempt", "http_status", "body", "error", "final"]
+        names = ["request_id", "attempt", "http_status", "body", "error", "final", *keys]
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for batch in batches:
                 requests = batch.astype(object).where(batch.notna(), None).to_dict("records")
@@ -63,18 +64,33 @@ def _caller(model_fn: ModelFn, max_retries: int, threads: int, backoff_s: float)
     return run
 
 
+def response_schema(requests: DataFrame, keys: Sequence[str]) -> str:
+    """Columns of the response table: those of every response, then the requests' keys."""
+    return ", ".join([RESPONSES, *[f"{k} {requests.schema[k].dataType.simpleString()}" for k in keys]])
+
+
 def call_model(
-    requests: DataFrame, model_fn: ModelFn, max_retries: int = MAX_RETRIES, threads: int = 1, backoff_s: float = 1.0
+    requests: DataFrame,
+    model_fn: ModelFn,
+    keys: Sequence[str] = (),
+    max_retries: int = MAX_RETRIES,
+    threads: int = 1,
+    backoff_s: float = 1.0,
 ) -> DataFrame:
-    """Responses of all requests, lazily. Concurrency is running tasks times ``threads``."""
-    run = _caller(model_fn, max_retries, threads, backoff_s)
-    return requests.select(*REQUEST_FIELDS).mapInPandas(run, RESPONSES)
+    """Responses of all requests, lazily. Concurrency is running tasks times ``threads``.
+
+    ``keys`` are scalar columns handed on with each response, so that responses need not
+    be joined back to their requests.
+    """
+    run = _caller(model_fn, list(keys), max_retries, threads, backoff_s)
+    return requests.select(*REQUEST_FIELDS, *keys).mapInPandas(run, response_schema(requests, keys))
 
 
 def answer(
     requests: DataFrame,
     model_fn: ModelFn,
     path: str,
+    keys: Sequence[str] = (),
     waves: int = 1,
     max_retries: int = MAX_RETRIES,
     threads: int = 1,
@@ -87,15 +103,22 @@ def answer(
     work in that many steps: what a lost job has to repeat is at most one wave.
     """
     spark = requests.sparkSession
+    schema = response_schema(requests, keys)
+    resumed = read_table_if_any(spark, path, schema) is not None
     wave = F.pmod(F.xxhash64("request_id"), F.lit(waves))
     for number in range(waves):
         todo = requests if waves == 1 else requests.filter(wave == number)
-        done = read_table_if_any(spark, path, RESPONSES)
+        done = read_table_if_any(spark, path, schema)
         if done is not None:
             finished = done.filter("final").select("request_id")
             todo = todo.join(finished, "request_id", "left_anti")
-        call_model(todo, model_fn, max_retries, threads, backoff_s).write.mode("append").parquet(path)
-    return spark.read.schema(RESPONSES).parquet(path)
+        told = call_model(todo, model_fn, keys, max_retries, threads, backoff_s)
+        told.write.mode("append").parquet(path)
+    responses = spark.read.schema(schema).parquet(path)
+    if resumed:
+        # the table may hold answers to requests of another run
+        responses = responses.join(requests.select("request_id"), "request_id", "left_semi")
+    return responses
 
 
 def named_retryable(http_status: Column, body: Column) -> Column:

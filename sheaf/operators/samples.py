@@ -47,7 +47,7 @@ def mark_samples(candidates: DataFrame, method: str, max_chars: int = MAX_SAMPLE
     short = F.lit(True)
     for field in SAMPLE_FIELDS[method]:
         short = short & (F.length(field) <= max_chars)
-    keep = F.coalesce(keep & short & F.when(keep & short, size <= max_chars), F.lit(False))
+    keep = F.coalesce(keep & short & (size <= max_chars), F.lit(False))
     return df.withColumn("keep", keep).drop("_filled")
 
 

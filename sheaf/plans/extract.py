@@ -24,6 +24,9 @@ from sheaf.sources.papers import append_ledger, pending_papers, read_ledger
 from sheaf.sources.sinks import write_records
 
 
+BATCH_KEYS = ["doc_path", "batch_no", "batch_count", "start_page", "end_page"]
+
+
 @dataclass
 class Extracted:
     parts: DataFrame  # doc_path, batch_no, record_json
@@ -51,6 +54,7 @@ def extract(
     responses_path: str | None = None,
     ledger_path: str | None = None,
     run_id: str = "run",
+    concurrency: int | None = None,
     **model_options,
 ) -> Extracted:
     """Extract from ``papers`` (doc_path, page_count) and their ``pages``.
@@ -66,16 +70,16 @@ def extract(
     oversized = first_oversized_page(pages, max_mb)
     batches = guard_oversized(page_batches(pages, pages_per_request), oversized)
 
+    if concurrency:
+        batches = batches.repartition(concurrency)
     path = responses_path or staged_path(spark, "responses")
     checked, todo, passes = None, batches, []
     for attempt in range(schema_retries + 1):
         requests = extraction_requests(todo, prompt, correct=attempt > 0)
-        responses = answer(requests, model_fn, f"{path}/pass={attempt}", **model_options)
+        responses = answer(requests, model_fn, f"{path}/pass={attempt}", keys=BATCH_KEYS, **model_options)
         passes.append(responses)
-        keys = requests.drop("input", "reasoning_effort", "max_output_tokens")
-        final = with_response_text(responses.filter("final")).select("request_id", "text", "text_error")
-        answers = with_json_value(keys.join(final, "request_id"), "text").drop("text")
-        answers = stage(with_schema_error(answers).drop("request_id"), "answers")
+        read = with_response_text(responses.filter("final")).select(*BATCH_KEYS, "text", "text_error")
+        answers = stage(with_schema_error(with_json_value(read, "text").drop("text")), "answers")
         again = answers.filter("text_error is null and schema_error is not null")
         if attempt < schema_retries:
             settled = answers.join(again, ["doc_path", "batch_no"], "left_anti")

@@ -38,16 +38,6 @@ class Generated:
         return write_jsonl(self.samples, path, SAMPLE_FIELDS[method], SAMPLE_ORDER if ordered else ())
 
 
-def read_answers(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """One row per request: its keys with ``json_kind``, ``json`` and ``text_error``.
-
-    Only the keys of the requests take part in the join, not their texts.
-    """
-    keys = requests.drop("input", "reasoning_effort", "max_output_tokens")
-    final = with_response_text(responses.filter("final")).select("request_id", "text", "text_error")
-    return with_json_value(keys.join(final, "request_id"), "text").drop("text")
-
-
 def judged_candidates(answers: DataFrame, method: str, max_chars: int) -> DataFrame:
     """One row per call and sample; a call without any sample keeps one row with no ``pos``."""
     unwrapped = with_items(answers)
@@ -75,19 +65,23 @@ def generate(
     model_fn: ModelFn,
     max_chars: int = MAX_SAMPLE_CHARS,
     responses_path: str | None = None,
+    concurrency: int | None = None,
     **model_options,
 ) -> Generated:
     """Run the nine tasks over (``paper_index``, ``record_json``).
 
     The responses are a table; give ``responses_path`` to continue an earlier run.
+    ``concurrency`` sets the number of parallel tasks; otherwise the input's splits do.
     """
     spark = records.sparkSession
+    if concurrency:
+        # before the records are multiplied by the tasks
+        records = records.repartition(concurrency)
     requests = generation_requests(records, prompts, method, max_chars)
     path = responses_path or staged_path(spark, "responses")
-    responses = answer(requests, model_fn, path, **model_options)
+    responses = answer(requests, model_fn, path, keys=["paper_index", "task_type"], **model_options)
+    answers = with_json_value(with_response_text(responses.filter("final")), "text")
     # samples and results both read the decoded answers, which may have needed Python
-    candidates = stage(
-        judged_candidates(read_answers(requests, responses), method, max_chars), "candidates"
-    )
+    candidates = stage(judged_candidates(answers, method, max_chars), "candidates")
     samples = first_wins(candidates.filter("keep").drop("keep"), method)
     return Generated(samples, call_results(candidates), responses)

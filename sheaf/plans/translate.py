@@ -47,16 +47,17 @@ def translate_records(
     batch_size: int = BATCH_RECORDS,
     max_chars: int = BATCH_CHARS,
     responses_path: str | None = None,
+    concurrency: int | None = None,
     **model_options,
 ) -> Translated:
     """Translate (``id``, ``record``); ids are dense from 0 in record order."""
     spark = records.sparkSession
     batches = stage(batch_payloads(payloads(records), batch_size, max_chars), "batches")
-    requests = translation_requests(batches, language)
+    requests = translation_requests(batches.repartition(concurrency) if concurrency else batches, language)
     path = responses_path or staged_path(spark, "responses")
-    responses = answer(requests, model_fn, path, **model_options)
-    final = with_response_text(responses.filter("final")).select("request_id", "text", "text_error")
-    answers = with_json_value(requests.select("request_id", "batch_no", "expected").join(final, "request_id"), "text")
+    responses = answer(requests, model_fn, path, keys=["batch_no"], **model_options)
+    final = with_response_text(responses.filter("final")).select("batch_no", "text", "text_error")
+    answers = with_json_value(batches.select("batch_no", "expected").join(final, "batch_no"), "text")
     checked = check_batches(answers).withColumn("fault", F.coalesce("text_error", "fault"))
     checked = stage(checked.select("batch_no", "expected", "fault", "translated"), "checked")
     return Translated(apply_translations(records, translated_rows(checked)), checked, responses)

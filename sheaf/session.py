@@ -37,6 +37,16 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that has fewer splits than the session has cores.
+
+    A small input may be one file with one row group, which a single task would read and
+    then parse alone. Larger inputs, the normal case on a cluster, are left untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def staged_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheaf.fixed import TASKS
+from sheaf.functions.binding import let
 from sheaf.functions.json_text import canonical, is_object_variant, root_kind, STRICT
 from sheaf.functions.text import is_filled, strip
 from sheaf.session import read_table_if_any
@@ -51,23 +52,33 @@ def records_from_text(files: DataFrame, text_col: str = "value") -> DataFrame:
     Adds ``item_no`` and ``record_json``. A file that is not valid JSON, has another
     root or holds any item that is not an object ends the job.
     """
-    text = canonical(text_col)
-    kind = root_kind(text_col)
-    items_text = F.when(kind == "array", text).when(kind == "object", F.concat(F.lit("["), text, F.lit("]")))
-    files = files.withColumn("_items", items_text)
-    # the same array twice: once for the text of each item, once for its type
-    files = files.withColumn("_texts", F.from_json("_items", "array<string>", STRICT)).withColumn(
-        "_kinds", F.from_json("_items", "array<variant>")
-    )
-    good = F.col("_kinds").isNotNull() & F.forall("_kinds", is_object_variant)
-    fault = F.raise_error(
-        F.when(text.isNull(), "Input is not valid JSON.")
-        .when(F.col("_items").isNull(), "Input JSON must contain an object or an array of objects.")
-        .otherwise("Every item in the input JSON array must be an object.")
-    ).cast("array<string>")
-    checked = files.withColumn("_texts", F.when(good, F.col("_texts")).otherwise(fault))
-    keep = [c for c in files.columns if not c.startswith("_") and c != text_col]
-    return checked.select(*keep, F.posexplode("_texts").alias("item_no", "record_json"))
+    def fault(reason: str) -> Column:
+        return F.raise_error(F.lit(reason)).cast("array<string>")
+
+    def items_of(array_text: Column) -> Column:
+        # the same array twice: once for the text of each item, once for its type
+        types = F.from_json(array_text, "array<variant>")
+        good = let(types, lambda t: t.isNotNull() & F.forall(t, is_object_variant))
+        return F.when(good, F.from_json(array_text, "array<string>", STRICT)).otherwise(
+            fault("Every item in the input JSON array must be an object.")
+        )
+
+    def items(text: Column) -> Column:
+        def judged(value: Column) -> Column:
+            kind = root_kind(text)
+            return (
+                F.when(value.isNull(), fault("Input is not valid JSON."))
+                .when(kind == "array", items_of(value))
+                .when(kind == "object", F.array(value))
+                .otherwise(fault("Input JSON must contain an object or an array of objects."))
+            )
+
+        return let(canonical(text), judged)
+
+    keep = [c for c in files.columns if c != text_col]
+    # the outer form: for an inner one Spark would evaluate the array twice more, to skip empty ones
+    rows = files.select(*keep, F.posexplode_outer(let(F.col(text_col), items)).alias("item_no", "record_json"))
+    return rows.filter("item_no is not null")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

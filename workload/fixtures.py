@@ -13,6 +13,7 @@ from sheaf.fixed import RECORD_KEYS, TASKS
 from sheaf.functions.json_text import quoted
 from sheaf.operators.ordering import with_dense_index
 from sheaf.operators.pages import page_key
+from sheaf.session import spread
 
 TASK_LIST = list(TASKS.values())
 IMAGE_HOST = "https://images.example/"
@@ -22,13 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for row-heavy work; a single small file is spread over the cores."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def nth_task(n: Column) -> Column:
     return F.get(F.array(*[F.lit(t) for t in TASK_LIST]), F.pmod(n, F.lit(len(TASK_LIST))).cast("int"))
 
 
 # -- documents as pre-training candidates -------------------------------------------
 def cpt_candidates(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     padded = F.concat(F.lit(" "), "text", F.lit("\n"))
     second = F.when(F.col("doc_id") % 50 == 0, F.lit(" \t")).otherwise(F.col("text"))
     return docs.select(
@@ -82,7 +88,7 @@ def dpo_candidates(spark, sf_dir) -> DataFrame:
 
 # -- documents as extraction records ---------------------------------------------------
 def paper_records(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     record = F.concat(
         F.lit('{"文献元数据":{"标题":'), quoted("source"), F.lit(',"关键词":['), quoted("lang"),
         F.lit(']},"文献原文信息":{"摘要":'), quoted("text"), F.lit("}}"),
@@ -98,7 +104,7 @@ def prompts(spark) -> DataFrame:
 
 def damaged_records(spark, sf_dir) -> DataFrame:
     """Records with all twelve keys; some lose a key, hold a null, are wrapped or cut in half."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     first, last = RECORD_KEYS[0], RECORD_KEYS[-1]
     middle = "".join(f',"{k}":[]' for k in RECORD_KEYS[2:-1])
     record = F.concat(
@@ -138,7 +144,7 @@ def pages(spark, sf_dir) -> DataFrame:
 
 # -- documents as model responses --------------------------------------------------------------
 def responses(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     d = F.col("doc_id")
     one = F.concat(F.lit('{"text":'), quoted("text"), F.lit("}"))
     two = F.concat(F.lit("["), one, F.lit(',"note",{"text":'), quoted("lang"), F.lit("}]"))
@@ -193,7 +199,7 @@ def attempts(spark, sf_dir) -> DataFrame:
 
 def noisy_answers(spark, sf_dir) -> DataFrame:
     """Answers with prose around the value, a value before the value, or a cut-off array."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     one = F.concat(F.lit('{"text":'), quoted("text"), F.lit("}"))
     kind = F.col("doc_id") % 5
     answer = (

@@ -13,6 +13,7 @@ from sheaf.operators.model import with_retry_class
 from sheaf.plans.extract import extract
 from sheaf.plans.generate import generate
 from sheaf.plans.translate import translate_records
+from sheaf.session import stage
 from sheaf.sources.jsonl import require_objects, with_record
 from sheaf.sources.papers import missing_prompts, pending_papers, records_from_text, task_table
 from sheaf.sources.sinks import dataset_view
@@ -271,7 +272,8 @@ def count_records(spark, sf_dir) -> DataFrame:
 def _task_counts(spark, sf_dir):
     lines = require_objects(with_record(fx.json_lines(spark, sf_dir)))
     lines = lines.withColumn("record_index", F.col("src_ordinal") * F.lit(10**12) + F.col("line_key"))
-    return stats.task_counts(lines, stats.record_task_type())
+    # read twice below: for the shares and for their denominator
+    return stage(stats.task_counts(lines, stats.record_task_type()), "task-counts")
 
 
 def task_stats(spark, sf_dir) -> DataFrame:
