@@ -22,7 +22,9 @@ SALVAGED = "struct<kind:string,value:string>"
 def _scanner() -> Callable[[str], tuple[str, str] | None]:
     """Per-answer fallback; built inside the task so that only this closure travels."""
     import json
+    import re
 
+    surrogate = re.compile("[\ud800-\udfff]")
     decoder = json.JSONDecoder()
 
     def unfenced(answer: str) -> str:
@@ -63,8 +65,8 @@ def _scanner() -> Callable[[str], tuple[str, str] | None]:
         except (ValueError, RecursionError):
             return None
         kind = {dict: "object", list: "array"}.get(type(value), "scalar")
-        # a lone surrogate has no UTF-8 form and would end the whole job
-        return kind, text.encode("utf-8", "replace").decode("utf-8")
+        # a lone surrogate has no UTF-8 form and would end the whole job; leave it escaped
+        return kind, surrogate.sub(lambda m: f"\\u{ord(m[0]):04X}", text)
 
     return salvage
 

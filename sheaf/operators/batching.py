@@ -35,7 +35,7 @@ def _starts_of(chars, batch_size: int, max_chars: int):
 def _summarise(batch_size: int, max_chars: int, chunk_rows: int):
     starts_of = _starts_of
 
-    def summarise(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def summarise(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id")
         own = int((rows["id"] < (key[0] + 1) * chunk_rows).sum())
         nxt = starts_of(rows["chars"].to_numpy(), batch_size, max_chars)[:own].tolist()
@@ -53,7 +53,7 @@ def _summarise(batch_size: int, max_chars: int, chunk_rows: int):
     return summarise
 
 
-def _compose(key, maps: pd.DataFrame) -> pd.DataFrame:
+def _compose(key: tuple, maps: pd.DataFrame) -> pd.DataFrame:
     """One function for a run of neighbouring chunks."""
     import numpy as np
 
@@ -66,7 +66,7 @@ def _compose(key, maps: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": [key[0]], "exits": [at.tolist()], "counts": [seen.tolist()]})
 
 
-def _walk(key, entries: pd.DataFrame, maps: pd.DataFrame) -> pd.DataFrame:
+def _walk(key: tuple, entries: pd.DataFrame, maps: pd.DataFrame) -> pd.DataFrame:
     """Entry offset and number of earlier batches for each chunk of a run."""
     maps = maps.sort_values("chunk")
     at, base = (int(entries["entry"].iloc[0]), int(entries["base"].iloc[0]))
@@ -80,7 +80,7 @@ def _walk(key, entries: pd.DataFrame, maps: pd.DataFrame) -> pd.DataFrame:
 def _number(batch_size: int, max_chars: int):
     starts_of = _starts_of
 
-    def number(key, entries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    def number(key: tuple, entries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
         rows = rows.sort_values("id")

@@ -15,9 +15,9 @@ from sheaf.session import stage
 from sheaf.sources.jsonl import (
     count_array_items,
     index_records,
+    physical_lines,
     read_jsonl,
     run_strict,
-    scan_lines,
 )
 from sheaf.sources.sinks import dataset_view, write_lines
 
@@ -56,8 +56,7 @@ def task_statistics(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 
 def token_statistics(spark: SparkSession, path: str, counter=count_words) -> DataFrame:
     """Token statistics over physical lines, blank ones and line feeds included."""
-    lines = scan_lines(spark, [path]).select(F.concat("value", F.lit("\n")).alias("value"))
-    return token_stats(lines, "value", counter)
+    return token_stats(physical_lines(spark, path), "value", counter)
 
 
 def calibration_set(
@@ -68,7 +67,7 @@ def calibration_set(
         usable = calibration_records(read_jsonl(spark, [path], mode="skip"))
         return index_records(usable, out="usable_index")
 
-    indexed = run_strict(spark, [path], job)
+    indexed = run_strict(spark, [path], job, skip_others=True)
     if indexed.isEmpty():
         raise RuntimeError("Calibration JSONL has no valid SFT records.")
     return with_messages(seeded_draw(indexed, "usable_index", k, seed)).orderBy("draw_no")

@@ -5,16 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sheaf.functions.binding import let
 from sheaf.functions.json_text import canonical, root_kind
-from sheaf.functions.text import is_filled
+from sheaf.functions.text import is_filled, without_bom
 from sheaf.operators.ordering import add_position
 from sheaf.session import stage
 
 T = TypeVar("T")
 
 
+BROKEN = "Invalid JSON"
+NOT_OBJECT = "Expected a JSON object"
+
+
 class JsonlError(RuntimeError):
     """A line that is not one JSON object; the message names file and line."""
 
@@ -44,45 +49,96 @@ def scan_lines(spark: SparkSession, inputs: Sequence[str]) -> DataFrame:
     return lines
 
 
+def physical_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line (``value``) with its line feed; the last of a file only if it has one.
+
+    Spark drops line ends. Read line feed by line feed, a file's size tells whether its
+    last line had one, so a first pass compares sizes; it decodes nothing and shuffles
+    one row per file. Only files that end without a line feed, normally none, are landed
+    to find their last line. A carriage return alone also ends a line.
+    """
+    raw = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        F.monotonically_increasing_id().alias("split_pos"),
+        "value",
+    )
+    files = raw.groupBy("path").agg(
+        (F.max("size") - F.sum(F.octet_length("value")) - F.count(F.lit(1))).alias("left"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    # what is left over besides line feeds: nothing, or the three bytes of a dropped mark
+    unended = stage(files.filter(F.col("left").isin(-1, 2)).select("path", "n"), "unended")
+    if unended.isEmpty():
+        return raw.select(F.explode(_line_pieces("value", F.lit(False))).alias("value"))
+    ended = raw.join(unended, "path", "left_anti").select("value", F.lit(False).alias("last"))
+    landed = stage(raw.join(unended.select("path"), "path", "left_semi"), "lines")
+    placed = add_position(landed, by=["path", "split_start"], pos="split_pos", out="line", within=["path"], first=1)
+    final = placed.join(unended, "path").select("value", (F.col("line") == F.col("n")).alias("last"))
+    both = ended.unionByName(final)
+    return both.select(F.explode(_line_pieces("value", F.col("last"))).alias("value"))
+
+
+def _line_pieces(value: str, last: Column) -> Column:
+    """Lines inside a stretch between line feeds; the stretch that is ``last`` has none behind it."""
+    feed = F.lit("\n")
+    inner = F.split(F.regexp_replace(value, r"\r\z", ""), "\r", -1)
+    pieces = F.split(value, "\r", -1)
+    size = F.size(pieces)
+    open_end = F.transform(pieces, lambda p, i: F.when(i < size - 1, F.concat(p, feed)).otherwise(p))
+    return F.when(last, F.filter(open_end, lambda p: p != "")).otherwise(F.transform(inner, lambda p: F.concat(p, feed)))
+
+
+def line_problem(value: Column | str) -> Column:
+    """Why a line is not one JSON object; null for a good or a blank line."""
+    bad = F.when(canonical(value).isNull(), BROKEN).when(root_kind(value) != "object", NOT_OBJECT)
+    return F.when(is_filled(value), bad)
+
+
 def with_record(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Drop blank lines and add ``record`` (canonical text) and ``problem``."""
-    kept = lines.filter(is_filled(value_col)).withColumn("_json", canonical(value_col))
-    is_object = root_kind(value_col) == "object"
-    return (
-        kept.withColumn("record", F.when(is_object, F.col("_json")))
-        .withColumn(
-            "problem",
-            F.when(F.col("_json").isNull(), "Invalid JSON").when(~is_object, "Expected a JSON object"),
-        )
-        .drop("_json")
-    )
 
+    def read(value: Column) -> Column:
+        def judged(text: Column) -> Column:
+            is_object = root_kind(value) == "object"
+            problem = F.when(text.isNull(), BROKEN).when(~is_object, NOT_OBJECT)
+            return F.struct(F.when(is_object, text).alias("record"), F.when(is_filled(value), problem).alias("problem"))
+
+        return let(canonical(value), judged)
+
+    read_lines = lines.filter(is_filled(value_col)).withColumn("_r", let(F.col(value_col), read))
+    return read_lines.withColumns({n: F.col(f"_r.{n}") for n in ("record", "problem")}).drop("_r")
 
-def require_objects(records: DataFrame) -> DataFrame:
-    """Strict reading: any other line ends the job, naming its file.
 
-    ``bad_lines`` finds the line numbers; it runs only once something is wrong.
+def require_objects(records: DataFrame, skip_others: bool = False) -> DataFrame:
+    """Strict reading: a broken line ends the job, naming its file.
+
+    So does a value that is not an object, unless such values are to be skipped.
+    ``bad_lines`` finds the line numbers; it runs only once something is wrong. The error
+    is raised by the row's own value, so no later filter can raise it for another row.
     """
     fault = F.raise_error(F.concat_ws(" ", "problem", F.lit("in"), "path")).cast("string")
-    checked = F.when(F.col("problem").isNull(), F.col("record")).otherwise(fault)
-    return records.withColumn("record", checked).drop("problem")
+    checked = F.when(F.col("problem").isNull(), F.col("record"))
+    if skip_others:
+        checked = checked.when(F.col("problem") == NOT_OBJECT, F.lit(None).cast("string"))
+    records = records.withColumn("record", checked.otherwise(fault)).drop("problem")
+    return records.filter("record is not null") if skip_others else records
 
 
 def read_jsonl(spark: SparkSession, inputs: Sequence[str], mode: str = "fail") -> DataFrame:
     """One row per non-blank line with its canonical ``record``.
 
-    ``mode='fail'`` rejects the input at the first line that is not an object,
-    ``'quarantine'`` leaves such lines out (``bad_lines`` returns them), ``'skip'``
-    leaves out valid values that are not objects and rejects broken JSON.
+    ``mode='fail'`` rejects the input at a line that is not an object, ``'quarantine'``
+    leaves such lines out (``bad_lines`` returns them), ``'skip'`` leaves out valid
+    values that are not objects and rejects broken JSON.
     """
+    if mode not in ("fail", "quarantine", "skip"):
+        raise ValueError(f"unknown mode {mode!r}")
     records = with_record(scan_lines(spark, inputs))
     if mode == "quarantine":
         return records.filter(F.col("problem").isNull()).drop("problem")
-    if mode == "skip":
-        records = records.filter(F.coalesce(F.col("problem") != "Expected a JSON object", F.lit(True)))
-    elif mode != "fail":
-        raise ValueError(f"unknown mode {mode!r}")
-    return require_objects(records)
+    return require_objects(records, skip_others=mode == "skip")
 
 
 def index_records(records: DataFrame, out: str = "record_index") -> DataFrame:
@@ -103,10 +159,7 @@ def bad_lines(spark: SparkSession, inputs: Sequence[str]) -> DataFrame:
     Line numbers are 1-based per file and count blank lines.
     """
     lines = scan_lines(spark, inputs)
-    kind = F.when(~is_filled("value"), F.lit(None).cast("string")).when(
-        canonical("value").isNull(), "Invalid JSON"
-    ).when(root_kind("value") != "object", "Expected a JSON object")
-    marked = lines.withColumn("problem", kind)
+    marked = lines.withColumn("problem", line_problem("value"))
     marked = marked.withColumn("value", F.when(F.col("problem").isNotNull(), F.col("value")))
     numbered = add_position(
         stage(marked, "lines"),
@@ -120,14 +173,18 @@ def bad_lines(spark: SparkSession, inputs: Sequence[str]) -> DataFrame:
     return numbered.select("src_ordinal", "path", "line_no", "problem", "value")
 
 
-def run_strict(spark: SparkSession, inputs: Sequence[str], action: Callable[[], T]) -> T:
+def run_strict(
+    spark: SparkSession, inputs: Sequence[str], action: Callable[[], T], skip_others: bool = False
+) -> T:
     """Run a job over strictly read lines; on a bad line, report its file and number."""
     try:
         return action()
     except Exception as failure:
         if "USER_RAISED_EXCEPTION" not in str(failure):
             raise
-        first = bad_lines(spark, inputs).orderBy("src_ordinal", "path", "line_no").first()
+        bad = bad_lines(spark, inputs)
+        bad = bad.filter(F.col("problem") == BROKEN) if skip_others else bad
+        first = bad.orderBy("src_ordinal", "path", "line_no").first()
         if first is None:
             raise
         raise JsonlError(f"{first.problem} at {first.path}:{first.line_no}") from failure
@@ -135,7 +192,7 @@ def run_strict(spark: SparkSession, inputs: Sequence[str], action: Callable[[],
 
 def count_array_items(spark: SparkSession, path: str) -> DataFrame:
     """Items of any type in a file holding one JSON array; anything else ends the job."""
-    whole = spark.read.text(path, wholetext=True)
+    whole = spark.read.text(path, wholetext=True).select(without_bom("value").alias("value"))
     text = canonical("value")
     bad = F.raise_error(
         F.when(text.isNull(), f"Invalid JSON in {path}").otherwise(

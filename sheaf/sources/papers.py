@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sheaf.fixed import TASKS
 from sheaf.functions.binding import let
 from sheaf.functions.json_text import canonical, is_object_variant, root_kind, STRICT
-from sheaf.functions.text import is_filled, strip
+from sheaf.functions.text import is_filled, strip, without_bom
 from sheaf.session import read_table_if_any
 
 LEDGER_SCHEMA = "doc_path string, run_id string"
@@ -87,8 +87,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     Files written by the record sink are JSON Lines and are read with ``read_jsonl``;
     this reads files that hold a single JSON value each.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return records_from_text(files)
+    files = spark.read.text(path, wholetext=True)
+    return records_from_text(files.select(F.col("_metadata.file_path").alias("path"), without_bom("value").alias("value")))
 
 
 def read_prompts(spark: SparkSession, folder: str) -> DataFrame:
