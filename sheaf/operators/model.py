@@ -52,14 +52,18 @@ def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int,
                 time.sleep(backoff_s * 2**attempt)
             return rows
 
+        step = max(256, 8 * threads)
         names = ["request_id", "attempt", "http_status", "body", "error", "final", *keys]
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for batch in batches:
-                requests = batch.astype(object).where(batch.notna(), None).to_dict("records")
-                rows = [row for rows in pool.map(ask, requests) for row in rows]
-                yield pd.DataFrame(rows, columns=names).astype(
-                    {"attempt": "int32", "http_status": "Int32", "final": "bool"}
-                )
+                # hand answers on in small steps: requests and answers are long texts
+                for start in range(0, len(batch), step):
+                    part = batch.iloc[start:start + step]
+                    requests = part.astype(object).where(part.notna(), None).to_dict("records")
+                    rows = [row for rows in pool.map(ask, requests) for row in rows]
+                    yield pd.DataFrame(rows, columns=names).astype(
+                        {"attempt": "int32", "http_status": "Int32", "final": "bool"}
+                    )
 
     return run
 

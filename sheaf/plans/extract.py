@@ -72,6 +72,8 @@ def extract(
 
     if concurrency:
         batches = batches.repartition(concurrency)
+    # every pass reads them; the pages are grouped once
+    batches = stage(batches, "page-batches")
     path = responses_path or staged_path(spark, "responses")
     checked, todo, passes = None, batches, []
     for attempt in range(schema_retries + 1):

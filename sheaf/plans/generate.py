@@ -50,12 +50,17 @@ def judged_candidates(answers: DataFrame, method: str, max_chars: int) -> DataFr
 
 
 def call_results(candidates: DataFrame) -> DataFrame:
-    asked = F.col("pos").isNotNull()
-    return candidates.groupBy("paper_index", "task_type").agg(
-        F.count_if(asked & F.col("keep")).alias("n_samples"),
-        F.count_if(asked & ~F.col("keep")).alias("n_discarded"),
-        F.max("error").alias("error"),
+    """One row per call. A failed call has exactly one candidate row and needs no grouping."""
+    told = F.col("pos").isNotNull()
+    answered = candidates.filter("error is null").groupBy("paper_index", "task_type").agg(
+        F.count_if(told & F.col("keep")).alias("n_samples"),
+        F.count_if(told & ~F.col("keep")).alias("n_discarded"),
     )
+    none = F.lit(0).cast("bigint")
+    failed = candidates.filter("error is not null").select(
+        "paper_index", "task_type", none.alias("n_samples"), none.alias("n_discarded"), "error"
+    )
+    return answered.withColumn("error", F.lit(None).cast("string")).unionByName(failed)
 
 
 def generate(

@@ -193,12 +193,27 @@ def run_strict(
 def count_array_items(spark: SparkSession, path: str) -> DataFrame:
     """Items of any type in a file holding one JSON array; anything else ends the job."""
     whole = spark.read.text(path, wholetext=True).select(without_bom("value").alias("value"))
-    text = canonical("value")
-    bad = F.raise_error(
-        F.when(text.isNull(), f"Invalid JSON in {path}").otherwise(
-            f"Expected a top-level JSON array in {path}; use a JSONL file for line-delimited records."
-        )
-    ).cast("int")
-    is_array = text.isNotNull() & (root_kind("value") == "array")
-    n = F.when(is_array, F.json_array_length(text)).otherwise(bad)
-    return whole.agg(F.sum(n).cast("bigint").alias("samples"))
+    return whole.select(array_length("value", F.lit(path)).alias("n")).agg(F.sum("n").alias("samples"))
+
+
+def array_length(text: Column | str, source: Column) -> Column:
+    """Number of items of any type; any text but one JSON array ends the job, naming ``source``."""
+
+    def fault(*words: str | Column) -> Column:
+        parts = [F.lit(w) if isinstance(w, str) else w for w in words]
+        return F.raise_error(F.concat(*parts)).cast("bigint")
+
+    def read(value: Column) -> Column:
+        def judged(compact: Column) -> Column:
+            return (
+                F.when(compact.isNull(), fault("Invalid JSON in ", source))
+                .when(root_kind(value) == "array", F.json_array_length(compact).cast("bigint"))
+                .otherwise(
+                    fault("Expected a top-level JSON array in ", source,
+                          "; use a JSONL file for line-delimited records.")
+                )
+            )
+
+        return let(canonical(value), judged)
+
+    return let(F.col(text) if isinstance(text, str) else text, read)

@@ -337,6 +337,10 @@ ORACLE: dict[str, str] = {
         || '"instruction":' || {quoted('instruction')} || ',"input":"new \\"input\\"","output":' || {quoted('output')} || '}}' AS record FROM lines""",
     "merge_jsonl": f"WITH {MERGED} SELECT src_ordinal, line_key, record FROM merged",
     "count_records": f"WITH {MERGED} SELECT count(*) AS samples FROM merged",
+    "count_array_items": """SELECT 2 * (doc_id % 4) AS n, count(*) AS files, CAST(sum(2 * (doc_id % 4)) AS BIGINT) AS samples
+        FROM documents GROUP BY doc_id % 4""",
+    "sample_lines": f"""WITH {DPO_KEPT} SELECT paper_index, pos,
+        CAST(to_json({{'prompt': prompt, 'chosen': chosen, 'rejected': rejected}}) AS VARCHAR) AS line FROM kept""",
     "task_stats": f"""WITH {TASK_COUNTS} SELECT task_type, count(*) AS count,
         count(*) / CAST((SELECT count(*) FROM typed) AS DOUBLE) AS proportion, min(first_at) AS first_at
         FROM typed WHERE task_type IS NOT NULL GROUP BY task_type""",
@@ -355,10 +359,17 @@ ORACLE: dict[str, str] = {
     "generated_calls": f"""WITH {GENERATED} SELECT c.paper_index, c.task_type, count(*) FILTER (j.good) AS n_samples,
         count(*) FILTER (NOT j.good) AS n_discarded, any_value(c.lang) IN ('de', 'es') AS failed
         FROM calls c LEFT JOIN judged j USING (paper_index, task_type) GROUP BY c.paper_index, c.task_type""",
+    "generation_report": f"""WITH {GENERATED} SELECT (SELECT count(*) FROM calls) AS calls,
+        (SELECT count(*) FROM calls WHERE lang IN ('de', 'es')) AS failed_calls,
+        count(*) FILTER (good) AS kept, count(*) FILTER (NOT good) AS discarded FROM judged""",
     "extracted_status": f"WITH {EXTRACTED} SELECT doc_path, status, n_parts, n_errors FROM results",
     "extracted_parts": f"""WITH {EXTRACTED} SELECT doc_path, batch_no,
         '{{"{RECORD_KEYS[0]}":' || CAST(to_json({{'pages': urls}}) AS VARCHAR) || '{_others}}}' AS record_json
         FROM outcomes WHERE NOT failed""",
     "translated_records": f"""WITH RECURSIVE {greedy(2000)} SELECT id, {_told} FROM walk JOIN sized USING (id)
         JOIN batches USING (batch_no) WHERE first_id % 10 <> 3""",
+    "translation_report": f"""WITH RECURSIVE {greedy(2000)} SELECT CAST(sum(n_records) AS BIGINT) AS records, count(*) AS batches,
+        count(*) FILTER (first_id % 10 = 3) AS failed_batches,
+        CAST(coalesce(sum(n_records) FILTER (first_id % 10 <> 3), 0) AS BIGINT) AS translated,
+        CAST(coalesce(sum(n_records) FILTER (first_id % 10 = 3), 0) AS BIGINT) AS untranslated FROM batches""",
 }

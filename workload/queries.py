@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.fixed import RECORD_KEYS, TASKS
+from sheaf.fixed import RECORD_KEYS, SAMPLE_FIELDS, TASKS
 from sheaf.functions.salvage import with_fast_json, with_json_value
-from sheaf.functions.json_text import patched_object
+from sheaf.functions.json_text import patched_object, quoted
 from sheaf.operators import calibration, extraction, pages as page_ops, requests, responses as resp, samples, stats
 from sheaf.operators import translation
 from sheaf.operators.model import with_retry_class
@@ -14,7 +14,7 @@ from sheaf.plans.extract import extract
 from sheaf.plans.generate import generate
 from sheaf.plans.translate import translate_records
 from sheaf.session import stage
-from sheaf.sources.jsonl import require_objects, with_record
+from sheaf.sources.jsonl import array_length, require_objects, with_record
 from sheaf.sources.papers import missing_prompts, pending_papers, records_from_text, task_table
 from sheaf.sources.sinks import dataset_view
 from workload import fixtures as fx, stubs
@@ -269,6 +269,21 @@ def count_records(spark, sf_dir) -> DataFrame:
     return stats.count_records(require_objects(with_record(fx.json_lines(spark, sf_dir))))
 
 
+def count_array_items(spark, sf_dir) -> DataFrame:
+    """One JSON array per document, holding as many items as the document number says."""
+    docs = fx.documents(spark, sf_dir)
+    items = F.array_repeat(F.concat(quoted("text"), F.lit(" , [1,{}]")), (F.col("doc_id") % 4).cast("int"))
+    arrays = docs.select("doc_id", F.concat(F.lit(" ["), F.array_join(items, ","), F.lit("]")).alias("value"))
+    counted = arrays.select("doc_id", array_length("value", F.col("doc_id").cast("string")).alias("n"))
+    return counted.groupBy("n").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("samples"))
+
+
+def sample_lines(spark, sf_dir) -> DataFrame:
+    """The lines a writer would put out."""
+    kept = samples.normalize_samples(fx.dpo_candidates(spark, sf_dir), "DPO")
+    return kept.select("paper_index", "pos", F.to_json(F.struct(*SAMPLE_FIELDS["DPO"])).alias("line"))
+
+
 def _task_counts(spark, sf_dir):
     lines = require_objects(with_record(fx.json_lines(spark, sf_dir)))
     lines = lines.withColumn("record_index", F.col("src_ordinal") * F.lit(10**12) + F.col("line_key"))
@@ -335,6 +350,10 @@ def generated_samples(spark, sf_dir) -> DataFrame:
     return _generated(spark, sf_dir).samples
 
 
+def generation_report(spark, sf_dir) -> DataFrame:
+    return samples.generation_report(_generated(spark, sf_dir).results)
+
+
 def generated_calls(spark, sf_dir) -> DataFrame:
     r = _generated(spark, sf_dir).results
     return r.select("paper_index", "task_type", "n_samples", "n_discarded", F.col("error").isNotNull().alias("failed"))
@@ -354,10 +373,18 @@ def extracted_parts(spark, sf_dir) -> DataFrame:
     return _extracted(spark, sf_dir).parts
 
 
-def translated_records(spark, sf_dir) -> DataFrame:
+def _translated(spark, sf_dir):
     recs = fx.translation_input(spark, sf_dir)
     recs = recs.select("id", fx.as_record(recs).alias("record"))
-    return translate_records(recs, "zh", stubs.translate_batch, max_chars=2000, backoff_s=0.0).records
+    return translate_records(recs, "zh", stubs.translate_batch, max_chars=2000, backoff_s=0.0)
+
+
+def translated_records(spark, sf_dir) -> DataFrame:
+    return _translated(spark, sf_dir).records
+
+
+def translation_report(spark, sf_dir) -> DataFrame:
+    return translation.translation_report(_translated(spark, sf_dir).checked)
 
 
 QUERIES = [
@@ -368,7 +395,8 @@ QUERIES = [
     response_text, salvage_fast_path, salvage_answers, envelope_unwrap, token_usage, retry_class,
     translate_payloads, translate_batches, translate_batches_tight, translate_requests,
     translate_validate, translate_apply, record_patch,
-    merge_jsonl, count_records, task_stats, task_totals, token_stats, record_index,
+    merge_jsonl, count_records, count_array_items, sample_lines, task_stats, task_totals, token_stats, record_index,
     calibration_pairs, calibration_sample, dataset_view_sft, dataset_view_cpt,
-    generated_samples, generated_calls, extracted_status, extracted_parts, translated_records,
+    generated_samples, generated_calls, generation_report, extracted_status, extracted_parts,
+    translated_records, translation_report,
 ]
