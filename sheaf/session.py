@@ -16,6 +16,7 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # requests are long texts; the default of 10000 rows per batch could fill a worker
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
