@@ -7,6 +7,7 @@ import random
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf.fixed import CALIBRATION_SAMPLES, CALIBRATION_SEED
+from sheaf.functions.binding import let, with_kept
 from sheaf.functions.text import strip
 
 _FIELDS = ("instruction", "input", "output")
@@ -19,22 +20,29 @@ def calibration_records(records: DataFrame, record: str = "record") -> DataFrame
     Members that are not strings count as their text, a null as the word None; an
     absent member is empty. Instruction and output must not be empty.
     """
-    kinds = F.from_json(record, "struct<" + ",".join(f"{f}:variant" for f in _FIELDS) + ">")
-    texts = F.from_json(record, "struct<" + ",".join(f"{f}:string" for f in _FIELDS) + ">")
-    df = records.withColumn("_k", kinds).withColumn("_t", texts)
+    def members(kind: str) -> str:
+        return "struct<" + ",".join(f"{f}:{kind}" for f in _FIELDS) + ">"
 
-    def value(name: str) -> Column:
-        kind, text = F.schema_of_variant(f"_k.{name}"), F.col(f"_t.{name}")
-        shown = (
+    def both(text: Column) -> Column:
+        return F.struct(
+            F.from_json(text, members("variant")).alias("kinds"), F.from_json(text, members("string")).alias("texts")
+        )
+
+    def shown(p: Column, name: str) -> Column:
+        kind, text = F.schema_of_variant(p["kinds"][name]), p["texts"][name]
+        value = (
             F.when(kind == "VOID", "None")
             .when(kind == "BOOLEAN", F.initcap(text))
             .otherwise(F.coalesce(text, F.lit("")))
         )
-        return strip(shown)
+        return strip(value).alias(name)
+
+    def usable(c: Column) -> Column:
+        return F.when((c["instruction"] != "") & (c["output"] != ""), c)
 
-    for name in _FIELDS:
-        df = df.withColumn(name, value(name))
-    return df.drop("_k", "_t").filter((F.col("instruction") != "") & (F.col("output") != ""))
+    read = let(let(F.col(record), both), lambda p: F.struct(*[shown(p, f) for f in _FIELDS]))
+    kept = with_kept(records, "_c", let(read, usable))
+    return kept.withColumns({f: F.col(f"_c.{f}") for f in _FIELDS}).drop("_c")
 
 
 def chat_messages(instruction: Column, user_input: Column, output: Column) -> Column:

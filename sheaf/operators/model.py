@@ -15,13 +15,13 @@ from sheaf.fixed import MAX_RETRIES, RETRYABLE_400_TEXT, RETRYABLE_STATUS
 from sheaf.functions.json_text import canonical, is_string_variant, root_kind
 from sheaf.session import read_table_if_any
 
-RESPONSES = "request_id string, attempt int, http_status int, body string, error string, final boolean"
+RESPONSES = "request_id string, attempt int, http_status int, body string, error string, final boolean, round int"
 REQUEST_FIELDS = ("request_id", "input", "reasoning_effort", "max_output_tokens")
 
 ModelFn = Callable[[dict], tuple[int, str]]
 
 
-def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int, backoff_s: float):
+def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int, backoff_s: float, round_no: int):
     """Per-partition loop. A failing request gives an error row and never ends the job."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,7 +45,7 @@ def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int,
                 if error is not None:
                     error = f"Responses API request failed: {error}"
                 final = error is None or attempt == max_retries
-                told = (request["request_id"], attempt, status, body, error, final)
+                told = (request["request_id"], attempt, status, body, error, final, round_no)
                 rows.append(told + tuple(request[k] for k in keys))
                 if final:
                     break
@@ -53,7 +53,7 @@ def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int,
             return rows
 
         step = max(256, 8 * threads)
-        names = ["request_id", "attempt", "http_status", "body", "error", "final", *keys]
+        names = ["request_id", "attempt", "http_status", "body", "error", "final", "round", *keys]
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for batch in batches:
                 # hand answers on in small steps: requests and answers are long texts
@@ -62,7 +62,7 @@ def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int,
                     requests = part.astype(object).where(part.notna(), None).to_dict("records")
                     rows = [row for rows in pool.map(ask, requests) for row in rows]
                     yield pd.DataFrame(rows, columns=names).astype(
-                        {"attempt": "int32", "http_status": "Int32", "final": "bool"}
+                        {"attempt": "int32", "http_status": "Int32", "final": "bool", "round": "int32"}
                     )
 
     return run
@@ -80,13 +80,14 @@ def call_model(
     max_retries: int = MAX_RETRIES,
     threads: int = 1,
     backoff_s: float = 1.0,
+    round_no: int = 0,
 ) -> DataFrame:
     """Responses of all requests, lazily. Concurrency is running tasks times ``threads``.
 
     ``keys`` are scalar columns handed on with each response, so that responses need not
     be joined back to their requests.
     """
-    run = _caller(model_fn, list(keys), max_retries, threads, backoff_s)
+    run = _caller(model_fn, list(keys), max_retries, threads, backoff_s, round_no)
     return requests.select(*REQUEST_FIELDS, *keys).mapInPandas(run, response_schema(requests, keys))
 
 
@@ -103,25 +104,30 @@ def answer(
     """Answer all requests into a table at ``path`` and return that table's rows for them.
 
     Responses are written before they are used, so no later failure repeats a call.
-    Requests already answered at ``path`` are not asked again. ``waves`` commits the
-    work in that many steps: what a lost job has to repeat is at most one wave.
+    Requests already answered at ``path`` are not asked again; those that failed there
+    are, in a new round, and their latest round counts. ``waves`` commits the work in
+    that many steps: what a lost job has to repeat is at most one wave.
     """
     spark = requests.sparkSession
     schema = response_schema(requests, keys)
-    resumed = read_table_if_any(spark, path, schema) is not None
+    earlier = read_table_if_any(spark, path, schema)
+    rounds = None if earlier is None else earlier.agg(F.max("round")).first()[0]
+    round_no = 0 if rounds is None else rounds + 1
     wave = F.pmod(F.xxhash64("request_id"), F.lit(waves))
     for number in range(waves):
         todo = requests if waves == 1 else requests.filter(wave == number)
-        done = read_table_if_any(spark, path, schema)
-        if done is not None:
-            finished = done.filter("final").select("request_id")
-            todo = todo.join(finished, "request_id", "left_anti")
-        told = call_model(todo, model_fn, keys, max_retries, threads, backoff_s)
+        if earlier is not None:
+            # a fresh scan: the listing of the first one does not know this call's waves
+            answered = spark.read.schema(schema).parquet(path).filter("final and error is null")
+            todo = todo.join(answered.select("request_id"), "request_id", "left_anti")
+        told = call_model(todo, model_fn, keys, max_retries, threads, backoff_s, round_no)
         told.write.mode("append").parquet(path)
     responses = spark.read.schema(schema).parquet(path)
-    if resumed:
-        # the table may hold answers to requests of another run
-        responses = responses.join(requests.select("request_id"), "request_id", "left_semi")
+    if earlier is not None:
+        # the table may also hold answers to other requests; only ids and rounds are grouped
+        latest = responses.groupBy("request_id").agg(F.max("round").alias("round"))
+        wanted = latest.join(requests.select("request_id"), "request_id", "left_semi")
+        responses = responses.join(wanted, ["request_id", "round"]).select(*responses.columns)
     return responses
 
 

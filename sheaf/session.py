@@ -15,6 +15,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a speculative copy of a model task would pay for its calls twice
+    "spark.speculation": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

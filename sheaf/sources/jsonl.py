@@ -7,7 +7,7 @@ from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheaf.functions.binding import let
+from sheaf.functions.binding import let, with_kept
 from sheaf.functions.json_text import canonical, root_kind
 from sheaf.functions.text import is_filled, without_bom
 from sheaf.operators.ordering import add_position
@@ -103,11 +103,11 @@ def with_record(lines: DataFrame, value_col: str = "value") -> DataFrame:
         def judged(text: Column) -> Column:
             is_object = root_kind(value) == "object"
             problem = F.when(text.isNull(), BROKEN).when(~is_object, NOT_OBJECT)
-            return F.struct(F.when(is_object, text).alias("record"), F.when(is_filled(value), problem).alias("problem"))
+            return F.struct(F.when(is_object, text).alias("record"), problem.alias("problem"))
 
-        return let(canonical(value), judged)
+        return F.when(is_filled(value), let(canonical(value), judged))
 
-    read_lines = lines.filter(is_filled(value_col)).withColumn("_r", let(F.col(value_col), read))
+    read_lines = with_kept(lines, "_r", let(F.col(value_col), read))
     return read_lines.withColumns({n: F.col(f"_r.{n}") for n in ("record", "problem")}).drop("_r")
 
 

@@ -56,12 +56,30 @@ def test_answers_are_not_asked_twice(spark, tmp_path):
 
     path = staged_path(spark, "responses")
     first = answer(requests(spark, ["a", "b", "busy1"]), logged, path, max_retries=0, backoff_s=0.0)
-    assert first.count() == 3
+    assert first.filter("final").count() == 3
     second = answer(requests(spark, ["b", "c"]), logged, path, waves=3, max_retries=0, backoff_s=0.0)
     assert {r.request_id for r in second.collect()} == {"b", "c"}
     assert sorted(open(log).read().split()) == ["a", "b", "busy1", "c"]
 
 
+@pytest.mark.parametrize("waves", [1, 3])
+def test_failures_are_asked_again_and_the_latest_round_counts(spark, waves):
+    path = staged_path(spark, "responses")
+    names = [f"r{i}" for i in range(12)]
+
+    def moody(bad):
+        def model(request):
+            return (503, "later") if int(request["request_id"][1:]) in bad else by_name(request)
+
+        return model
+
+    for bad, failed in [({1, 2, 3}, 3), ({2, 3, 7}, 2), (set(), 0), ({1, 2, 3, 4}, 0)]:
+        got = answer(requests(spark, names), moody(bad), path, keys=["n"], waves=waves, max_retries=1, backoff_s=0.0)
+        final = got.filter("final").collect()
+        assert sorted(r.request_id for r in final) == sorted(names)
+        assert sum(r.error is not None for r in final) == failed
+
+
 @pytest.mark.parametrize("waves", [1, 4])
 def test_waves_answer_everything(spark, waves):
     names = [f"r{i}" for i in range(40)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sheaf.fixed import RECORD_KEYS, SAMPLE_FIELDS, TASKS
+from sheaf.functions.binding import with_kept
 from sheaf.functions.salvage import with_fast_json, with_json_value
 from sheaf.functions.json_text import patched_object, quoted
 from sheaf.operators import calibration, extraction, pages as page_ops, requests, responses as resp, samples, stats
@@ -164,8 +165,8 @@ def response_text(spark, sf_dir) -> DataFrame:
 
 
 def _answers(spark, sf_dir):
-    read = resp.with_response_text(fx.responses(spark, sf_dir)).filter("text_error is null")
-    return read.select("doc_id", "text")
+    told = resp.response_text("body", "error").getField("text")
+    return with_kept(fx.responses(spark, sf_dir), "text", told).select("doc_id", "text")
 
 
 def salvage_fast_path(spark, sf_dir) -> DataFrame:
@@ -327,7 +328,8 @@ def calibration_sample(spark, sf_dir) -> DataFrame:
     from sheaf.operators.ordering import with_dense_index
 
     usable = _calibration(spark, sf_dir).select("line_key", "instruction", "input", "output")
-    indexed = with_dense_index(usable, ["line_key"], out="usable_index")
+    # range partitioning samples its input first, so parse the lines only once
+    indexed = with_dense_index(stage(usable, "usable"), ["line_key"], out="usable_index")
     return calibration.seeded_draw(indexed, "usable_index").select("draw_no", "usable_index", "line_key", "instruction")
 
 
