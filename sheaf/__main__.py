@@ -16,7 +16,7 @@ from sheaf import fixed
 from sheaf.functions.text import count_words
 from sheaf.operators.ordering import with_dense_index
 from sheaf.operators.responses import total_usage
-from sheaf.operators.stats import token_counter
+from sheaf.operators.stats import hugging_face_counter, token_counter, tokenizer_file_counter
 from sheaf.plans import tools
 from sheaf.plans.extract import extract
 from sheaf.plans.generate import generate
@@ -83,7 +83,10 @@ def parser() -> argparse.ArgumentParser:
     command("task-stats", "records per task type").add_argument("input")
     sub = command("tokens", "token statistics per line")
     sub.add_argument("input")
-    sub.add_argument("--counter", type=named, metavar="MODULE:FACTORY", help="builds a function from texts to counts")
+    which = sub.add_mutually_exclusive_group()
+    which.add_argument("--tokenizer-model", help="name of a Hugging Face tokenizer")
+    which.add_argument("--tokenizer-file", help="a tokenizer.json")
+    which.add_argument("--counter", type=named, metavar="MODULE:FACTORY", help="builds a function from texts to counts")
     command("usage", "token usage of a response table").add_argument("input")
     sub = command("calibration-set", "seeded draw of chat messages")
     sub.add_argument("input")
@@ -147,7 +150,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, int]:
             stats.show(1000, truncate=False)
             return totals.first().asDict(), 0
         case "tokens":
-            counter = token_counter(args.counter) if args.counter else count_words
+            factory = args.counter
+            if args.tokenizer_model:
+                factory = hugging_face_counter(args.tokenizer_model)
+            elif args.tokenizer_file:
+                factory = tokenizer_file_counter(spark.read.text(args.tokenizer_file, wholetext=True).first().value)
+            counter = token_counter(factory) if factory else count_words
             return tools.token_statistics(spark, args.input, counter).first().asDict(), 0
         case "usage":
             return total_usage(spark.read.parquet(args.input)).first().asDict(), 0

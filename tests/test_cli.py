@@ -76,6 +76,13 @@ def test_tools(spark, tmp_path):
     assert call(spark, "merge", path, path, "-o", tmp_path / "m")[0] == {"files": 2, "written": 6}
     assert lines_in(tmp_path / "m") == records * 2
     assert call(spark, "tokens", path, "--counter", f"{HERE}:characters")[0]["total_tokens"] == path.stat().st_size
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    words = Tokenizer(models.WordLevel({"?": 0}, unk_token="?"))
+    words.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+    words.save(str(tmp_path / "tokenizer.json"))
+    blanks = path.read_text(encoding="utf-8").count(" ")
+    assert call(spark, "tokens", path, "--tokenizer-file", tmp_path / "tokenizer.json")[0]["total_tokens"] == blanks + 3
     call(spark, "calibration-set", path, "--calibration-samples", 2, "-o", tmp_path / "c")
     assert len(lines_in(tmp_path / "c")) == 2
     call(spark, "dataset-view", path, "--name", "sft", "-o", tmp_path / "v")

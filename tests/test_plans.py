@@ -197,3 +197,30 @@ def test_translation_checks(spark):
         assert (r.translated is None) == (fault is not None)
         if r.n == "repeated":
             assert [(t.id, t.fields) for t in r.translated] == [(0, {"text": "last"}), (1, {"text": "U", "input": "I"}), (2, {})]
+
+
+def test_nothing_to_do(spark, tmp_path):
+    pages = spark.createDataFrame([], PAGES)
+    done = extract(pages.select("doc_path", "page_count"), pages, "read", reading_model, ledger_path=staged_path(spark, "ledger"))
+    assert done.report()["papers"] == 0 and done.write(str(tmp_path / "records")) == 0
+    records = spark.createDataFrame([], "paper_index bigint, record_json string")
+    none = generate(records, prompts_of(spark), "SFT", reading_model)
+    assert none.report()["calls"] == 0 and none.write(str(tmp_path / "samples"), "SFT") == 0
+    (tmp_path / "empty.jsonl").write_text("\n \n")
+    empty = [str(tmp_path / "empty.jsonl")]
+    blank = translate(spark, empty, "zh", reading_model)
+    assert blank.report()["batches"] == 0 and blank.write(str(tmp_path / "zh")) == 0
+    assert merge(spark, empty, str(tmp_path / "merged")) == 0
+
+
+def test_a_third_of_all_samples_may_be_one_sample(spark):
+    """Copies are combined before the shuffle: what leaves a task does not grow with them."""
+    hot = "x" * 200
+    rows = spark.range(30000).selectExpr(
+        "id AS paper_index", "'literature_qa' AS task_type", "0 AS pos",
+        f"IF(id % 3 = 0, '{hot}', concat('t', id)) AS text")
+    from sheaf.operators.samples import first_wins
+
+    df = first_wins(rows, "CPT")
+    assert df.count() == 20001
+    assert df.filter(F.col("text") == hot).first().paper_index == 0
