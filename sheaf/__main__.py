@@ -104,7 +104,10 @@ def records_of(spark: SparkSession, path: str):
     if path.lower().endswith(".json"):
         indexed = with_dense_index(read_records(spark, path), ["path", "item_no"], out="paper_index")
     else:
-        indexed = run_strict(spark, [path], lambda: index_records(read_jsonl(spark, [path]), out="paper_index"))
+        def read(python_judges: bool):
+            return index_records(read_jsonl(spark, [path], python_judges=python_judges), out="paper_index")
+
+        indexed = run_strict(spark, [path], read)
         indexed = indexed.withColumnRenamed("record", "record_json")
     return spread(indexed.select("paper_index", "record_json"))
 

@@ -61,6 +61,12 @@ def is_string_variant(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
 
 
+def object_keys(text: Column | str) -> Column:
+    """Top-level keys in order, also of objects holding NaN, which the plain function refuses."""
+    lenient = F.map_keys(F.from_json(_col(text), "map<string,string>"))
+    return F.coalesce(F.json_object_keys(_col(text)), lenient)
+
+
 def quoted(text: Column | str) -> Column:
     """JSON string literal of a text."""
     return F.regexp_replace(F.to_json(F.array(_col(text))), r"\A\[|\]\z", "")
@@ -74,7 +80,7 @@ def patched_object(text: Column | str, changes: Column | str) -> Column:
     text = _col(text)
     nothing = F.expr("cast(array() as array<string>)")
     parts = F.struct(
-        F.coalesce(F.json_object_keys(text), nothing).alias("keys"),
+        F.coalesce(object_keys(text), nothing).alias("keys"),
         F.from_json(text, "map<string,string>").alias("texts"),
         F.from_json(text, "map<string,variant>").alias("kinds"),
         _col(changes).alias("changes"),

@@ -19,7 +19,7 @@ from sheaf.functions.text import _col, strip
 SALVAGED = "struct<kind:string,value:string>"
 
 
-def _scanner() -> Callable[[str], tuple[str, str] | None]:
+def _scanner(whole_text: bool) -> Callable[[str], tuple[str, str] | None]:
     """Per-answer fallback; built inside the task so that only this closure travels."""
     import json
     import re
@@ -60,7 +60,7 @@ def _scanner() -> Callable[[str], tuple[str, str] | None]:
 
     def salvage(answer: str):
         try:
-            value = first_value(answer)
+            value = json.loads(answer) if whole_text else first_value(answer)
             text = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
         except (ValueError, RecursionError):
             return None
@@ -71,12 +71,12 @@ def _scanner() -> Callable[[str], tuple[str, str] | None]:
     return salvage
 
 
-def _fallback_udf():
+def _fallback_udf(whole_text: bool = False):
     scanner = _scanner
 
     @F.pandas_udf(SALVAGED)
     def salvage_rest(batches: pd.Series) -> pd.DataFrame:
-        salvage = scanner()
+        salvage = scanner(whole_text)
         found = [salvage(a) if a is not None else None for a in batches]
         return pd.DataFrame(
             {
@@ -88,6 +88,13 @@ def _fallback_udf():
     return salvage_rest
 
 
+def decoded(text: Column) -> Column:
+    """Struct of ``kind`` and ``value`` of a text that is one JSON value to Python's
+    decoder, which also takes NaN and repeated keys; null for others and for null.
+    """
+    return _fallback_udf(whole_text=True)(text)
+
+
 def _unfenced(text: Column) -> Column:
     """Stripped answer without its code fence, whose lines end in line feeds.
 

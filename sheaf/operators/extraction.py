@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf.fixed import IMAGE_MAX_MB, RECORD_KEYS
+from sheaf.functions.json_text import object_keys
 from sheaf.operators.pages import oversize_error
 
 
@@ -14,7 +15,7 @@ def with_schema_error(df: DataFrame, kind: str = "json_kind", value: str = "json
     Keys count when they are there; their values may be null.
     """
     wanted = F.array(*[F.lit(k) for k in RECORD_KEYS])
-    missing = F.array_except(wanted, F.json_object_keys(F.col(value)))
+    missing = F.array_except(wanted, object_keys(value))
     reason = (
         F.when(F.col(kind).isNull(), "Model response holds no JSON value.")
         .when(F.col(kind) != "object", "Model returned JSON, but the top-level value is not an object.")

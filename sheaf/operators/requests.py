@@ -53,7 +53,9 @@ def generation_requests(
     records: DataFrame, prompts: DataFrame, method: str, max_chars: int = MAX_SAMPLE_CHARS
 ) -> DataFrame:
     """Nine requests per row of (``paper_index``, ``record_json``)."""
-    compact = records.select("paper_index", canonical("record_json").alias("record"))
+    # a record holding NaN has no canonical form here and is sent as it is
+    text = F.coalesce(canonical("record_json"), F.col("record_json"))
+    compact = records.select("paper_index", text.alias("record"))
     # hash the record once, not once per task
     compact = compact.withColumn("_digest", F.sha2("record", 256))
     pairs = with_tasks(compact, prompts)

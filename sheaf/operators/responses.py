@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf.fixed import ENVELOPE_KEYS
 from sheaf.functions.binding import let
-from sheaf.functions.json_text import is_object_variant, is_string_variant
+from sheaf.functions.json_text import is_object_variant, is_string_variant, object_keys
 from sheaf.functions.text import _col, strip
 
 _BODY = "struct<status:string,output_text:variant,output:array<variant>,error:variant,incomplete_details:variant>"
@@ -48,7 +48,7 @@ def response_text(body: Column | str, error: Column | str) -> Column:
         details = F.coalesce(F.to_json(b["incomplete_details"]), F.lit("null"))
         said_error = ~error_json.isin("null", "false", "0", '""', "[]", "{}")
         payload_error = F.concat(F.lit("Model API returned an error payload: "), error_json)
-        keys = F.array_join(F.array_sort(F.json_object_keys(body)), ", ")
+        keys = F.array_join(F.array_sort(object_keys(body)), ", ")
 
         def fault(found: Column) -> Column:
             return (

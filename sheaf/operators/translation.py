@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf.fixed import BATCH_CHARS, BATCH_RECORDS, LANGUAGES, TRANSLATE_FIELDS, TRANSLATION_TEXT
@@ -153,7 +154,30 @@ def translated_rows(checked: DataFrame) -> DataFrame:
 
 def apply_translations(records: DataFrame, translated: DataFrame) -> DataFrame:
     """Records with their translated members; records without a translation are left out."""
-    return records.join(translated, "id").withColumn("record", patched_object("record", "fields")).drop("fields")
+    joined = records.join(translated, "id")
+    # Spark would turn a NaN into a text; the few records that may hold one are patched in Python
+    odd = F.col("record").contains("NaN") | F.col("record").contains("Infinity")
+    patched = _python_patch()(F.when(odd, F.col("record")), F.when(odd, F.to_json("fields")))
+    joined = joined.withColumn("_odd", patched)
+    record = F.coalesce("_odd", patched_object("record", "fields"))
+    return joined.withColumn("record", record).drop("fields", "_odd")
+
+
+def _python_patch():
+    @F.pandas_udf("string")
+    def patch(records: pd.Series, changes: pd.Series) -> pd.Series:
+        import json
+
+        def one(record, change):
+            if record is None:
+                return None
+            value = json.loads(record)
+            value.update(json.loads(change))
+            return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+        return pd.Series([one(r, c) for r, c in zip(records, changes)], dtype=object)
+
+    return patch
 
 
 def translation_report(checked: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from sheaf.sources.jsonl import (
     read_jsonl,
     run_strict,
 )
-from sheaf.sources.sinks import dataset_view, write_lines
+from sheaf.sources.sinks import dataset_view, require_new, write_lines
 
 
 def merge(spark: SparkSession, inputs: Sequence[str], output: str, ordered: bool = True) -> int:
@@ -28,11 +28,14 @@ def merge(spark: SparkSession, inputs: Sequence[str], output: str, ordered: bool
     Duplicates stay. The ordered form sorts by position; it needs the records landed
     once. ``ordered=False`` copies without sort or shuffle.
     """
-    def job() -> int:
-        records = read_jsonl(spark, inputs)
+    require_new(spark, output)
+
+    def job(python_judges: bool) -> int:
+        records = read_jsonl(spark, inputs, python_judges=python_judges)
+        # appending: a first try that met a bad line leaves an empty folder behind
         if ordered:
-            return write_lines(index_records(records), output, "record", order=["record_index"])
-        return write_lines(records, output, "record")
+            return write_lines(index_records(records), output, "record", ["record_index"], mode="append")
+        return write_lines(records, output, "record", mode="append")
 
     return run_strict(spark, inputs, job)
 
@@ -41,13 +44,18 @@ def count(spark: SparkSession, path: str) -> int:
     """Objects in JSON Lines, or items of the array in a ``.json`` file."""
     if path.lower().endswith(".json"):
         return count_array_items(spark, path).first().samples
-    return run_strict(spark, [path], lambda: count_records(read_jsonl(spark, [path])).first().samples)
+
+    def job(python_judges: bool) -> int:
+        return count_records(read_jsonl(spark, [path], python_judges=python_judges)).first().samples
+
+    return run_strict(spark, [path], job)
 
 
 def task_statistics(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(per task type, totals) of JSON Lines. Positions only break ties, so a scan position will do."""
-    def job() -> DataFrame:
-        records = index_records(read_jsonl(spark, [path]).withColumn("record", record_task_type("record")))
+    def job(python_judges: bool) -> DataFrame:
+        records = read_jsonl(spark, [path], python_judges=python_judges)
+        records = index_records(records.withColumn("record", record_task_type("record")))
         return stage(task_counts(records, F.col("record")), "task-counts")
 
     counts = run_strict(spark, [path], job)
@@ -63,8 +71,8 @@ def calibration_set(
     spark: SparkSession, path: str, k: int = CALIBRATION_SAMPLES, seed: int = CALIBRATION_SEED
 ) -> DataFrame:
     """Chat messages of a seeded draw of usable records, in draw order."""
-    def job() -> DataFrame:
-        usable = calibration_records(read_jsonl(spark, [path], mode="skip"))
+    def job(python_judges: bool) -> DataFrame:
+        usable = calibration_records(read_jsonl(spark, [path], "skip", python_judges))
         return index_records(usable, out="usable_index")
 
     indexed = run_strict(spark, [path], job, skip_others=True)

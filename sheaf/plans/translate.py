@@ -65,8 +65,8 @@ def translate_records(
 
 def translate(spark: SparkSession, inputs: Sequence[str], language: str, model_fn: ModelFn, **options) -> Translated:
     """Translate JSON Lines files, read strictly."""
-    def read() -> DataFrame:
-        indexed = index_records(read_jsonl(spark, inputs), out="id")
+    def read(python_judges: bool) -> DataFrame:
+        indexed = index_records(read_jsonl(spark, inputs, python_judges=python_judges), out="id")
         return indexed.select("id", "record")
 
     return translate_records(run_strict(spark, inputs, read), language, model_fn, **options)

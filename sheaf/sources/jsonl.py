@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheaf.functions.binding import let, with_kept
 from sheaf.functions.json_text import canonical, root_kind
+from sheaf.functions.salvage import decoded
 from sheaf.functions.text import is_filled, without_bom
 from sheaf.operators.ordering import add_position
 from sheaf.session import stage
@@ -111,6 +112,18 @@ def with_record(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return read_lines.withColumns({n: F.col(f"_r.{n}") for n in ("record", "problem")}).drop("_r")
 
 
+def with_python_judgement(records: DataFrame, value_col: str = "value") -> DataFrame:
+    """Let Python's decoder have the last word on lines Spark's refuses, such as NaN values."""
+    broken = F.col("problem") == BROKEN
+    judged = records.withColumn("_p", decoded(F.when(broken, F.col(value_col))))
+    kind = F.when(broken, F.col("_p.kind"))
+    return (
+        judged.withColumn("record", F.when(kind == "object", F.col("_p.value")).otherwise(F.col("record")))
+        .withColumn("problem", F.when(kind == "object", None).when(kind.isNotNull(), NOT_OBJECT).otherwise(F.col("problem")))
+        .drop("_p")
+    )
+
+
 def require_objects(records: DataFrame, skip_others: bool = False) -> DataFrame:
     """Strict reading: a broken line ends the job, naming its file.
 
@@ -126,16 +139,21 @@ def require_objects(records: DataFrame, skip_others: bool = False) -> DataFrame:
     return records.filter("record is not null") if skip_others else records
 
 
-def read_jsonl(spark: SparkSession, inputs: Sequence[str], mode: str = "fail") -> DataFrame:
+def read_jsonl(
+    spark: SparkSession, inputs: Sequence[str], mode: str = "fail", python_judges: bool = False
+) -> DataFrame:
     """One row per non-blank line with its canonical ``record``.
 
     ``mode='fail'`` rejects the input at a line that is not an object, ``'quarantine'``
     leaves such lines out (``bad_lines`` returns them), ``'skip'`` leaves out valid
-    values that are not objects and rejects broken JSON.
+    values that are not objects and rejects broken JSON. ``python_judges`` shows refused
+    lines to Python's decoder; it costs a Python step that clean inputs do not need.
     """
     if mode not in ("fail", "quarantine", "skip"):
         raise ValueError(f"unknown mode {mode!r}")
     records = with_record(scan_lines(spark, inputs))
+    if python_judges:
+        records = with_python_judgement(records)
     if mode == "quarantine":
         return records.filter(F.col("problem").isNull()).drop("problem")
     return require_objects(records, skip_others=mode == "skip")
@@ -159,7 +177,8 @@ def bad_lines(spark: SparkSession, inputs: Sequence[str]) -> DataFrame:
     Line numbers are 1-based per file and count blank lines.
     """
     lines = scan_lines(spark, inputs)
-    marked = lines.withColumn("problem", line_problem("value"))
+    marked = lines.withColumn("problem", line_problem("value")).withColumn("record", F.lit(None).cast("string"))
+    marked = with_python_judgement(marked).drop("record")
     marked = marked.withColumn("value", F.when(F.col("problem").isNotNull(), F.col("value")))
     numbered = add_position(
         stage(marked, "lines"),
@@ -174,20 +193,27 @@ def bad_lines(spark: SparkSession, inputs: Sequence[str]) -> DataFrame:
 
 
 def run_strict(
-    spark: SparkSession, inputs: Sequence[str], action: Callable[[], T], skip_others: bool = False
+    spark: SparkSession, inputs: Sequence[str], action: Callable[[bool], T], skip_others: bool = False
 ) -> T:
-    """Run a job over strictly read lines; on a bad line, report its file and number."""
-    try:
-        return action()
-    except Exception as failure:
-        if "USER_RAISED_EXCEPTION" not in str(failure):
-            raise
-        bad = bad_lines(spark, inputs)
-        bad = bad.filter(F.col("problem") == BROKEN) if skip_others else bad
-        first = bad.orderBy("src_ordinal", "path", "line_no").first()
-        if first is None:
-            raise
-        raise JsonlError(f"{first.problem} at {first.path}:{first.line_no}") from failure
+    """Run ``action(python_judges)`` over strictly read lines.
+
+    The first try reads in the JVM alone. Only if it meets a line it refuses, a second
+    one asks Python; if that refuses too, the error names the first bad line.
+    """
+    failure = None
+    for python_judges in (False, True):
+        try:
+            return action(python_judges)
+        except Exception as error:
+            if "USER_RAISED_EXCEPTION" not in str(error):
+                raise
+            failure = error
+    bad = bad_lines(spark, inputs)
+    bad = bad.filter(F.col("problem") == BROKEN) if skip_others else bad
+    first = bad.orderBy("src_ordinal", "path", "line_no").first()
+    if first is None:
+        raise failure
+    raise JsonlError(f"{first.problem} at {first.path}:{first.line_no}") from failure
 
 
 def count_array_items(spark: SparkSession, path: str) -> DataFrame:

@@ -100,7 +100,7 @@ def read_prompts(spark: SparkSession, folder: str) -> DataFrame:
     files = files.select(
         F.regexp_replace(F.col("_metadata.file_name"), r"\.md\z", "").alias("prompt_name"),
         strip("value").alias("prompt"),
-    )
+    ).filter(F.col("prompt_name").isin(*TASKS))
     wanted = task_table(spark)
     prompts = wanted.join(F.broadcast(files), "prompt_name")
     missing = [r.prompt_name for r in missing_prompts(wanted, files).collect()]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from sheaf.fixed import DATASET_VIEWS
 
@@ -20,16 +20,25 @@ def write_jsonl(
     return write_lines(rows.withColumn("_line", F.to_json(F.struct(*fields))), path, "_line", order)
 
 
-def write_lines(rows: DataFrame, path: str, line_col: str, order: Sequence[str] = ()) -> int:
+def write_lines(
+    rows: DataFrame, path: str, line_col: str, order: Sequence[str] = (), mode: str = "errorifexists"
+) -> int:
     """Write ready JSON text, one row per line; return the number of rows."""
     if order:
         rows = rows.orderBy(*order)
     written = Observation("written")
     lines = rows.select(F.col(line_col).alias("value")).observe(written, F.count(F.lit(1)).alias("n"))
-    lines.write.mode("errorifexists").text(path)
+    lines.write.mode(mode).text(path)
     return written.get["n"]
 
 
+def require_new(spark: SparkSession, path: str) -> None:
+    """Refuse an existing target before any work is done."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        raise FileExistsError(f"Output already exists; choose a new output path: {path}")
+
+
 def write_records(parts: DataFrame, path: str) -> int:
     """Write extraction records in (paper path, part) order, one record per line.
 

@@ -86,6 +86,21 @@ def test_merge_keeps_order_and_duplicates(spark, tmp_path, small_splits):
     assert tools.merge(spark, [b, b], str(tmp_path / "any"), ordered=False) == 2
 
 
+def test_lines_only_python_decodes_pass(spark, tmp_path):
+    path = write(tmp_path / "n.jsonl", '{"a":NaN}\n{"b":1}\n \n{"c":-Infinity,"d":"é"}\n')
+    assert tools.count(spark, path) == 3
+    for ordered in (True, False):
+        out = str(tmp_path / f"out{ordered}")
+        assert tools.merge(spark, [path], out, ordered) == 3
+        assert sorted(text_of(out).split()) == ['{"a":NaN}', '{"b":1}', '{"c":-Infinity,"d":"é"}']
+    assert bad_lines(spark, [path]).collect() == []
+    worse = write(tmp_path / "w.jsonl", '{"a":NaN}\nNaN\n{"a":nan}\n')
+    assert [(r.line_no, r.problem) for r in bad_lines(spark, [worse]).orderBy("line_no").collect()] == [
+        (2, "Expected a JSON object"), (3, "Invalid JSON")]
+    with pytest.raises(JsonlError, match="w.jsonl:2"):
+        tools.count(spark, worse)
+
+
 def test_count(spark, tmp_path):
     assert tools.count(spark, write(tmp_path / "a.jsonl", '{"a":1}\n\n{}\n')) == 2
     assert tools.count(spark, write(tmp_path / "b.JSON", '\ufeff[1, "x", {"a":[2]}, null, []]\n')) == 5

@@ -69,10 +69,12 @@ def test_schema_errors(spark):
     whole = {k: None for k in RECORD_KEYS}
     lacking = {k: 1 for k in RECORD_KEYS[2:-1]}
     cases = [("object", json.dumps(whole, ensure_ascii=False)), ("object", json.dumps(lacking, ensure_ascii=False)),
-             ("array", "[]"), ("scalar", "7"), (None, None), ("object", json.dumps({**whole, "x": 1}, ensure_ascii=False))]
+             ("array", "[]"), ("scalar", "7"), (None, None), ("object", json.dumps({**whole, "x": 1}, ensure_ascii=False)),
+             ("object", json.dumps({**whole, "x": float("nan")}, ensure_ascii=False)), ("object", '{"x":NaN}')]
     df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, json_kind string, json string")
     got = {r.i: r.schema_error for r in extraction.with_schema_error(df).collect()}
-    assert got[0] is None and got[5] is None
+    assert got[0] is None and got[5] is None and got[6] is None
+    assert got[7].endswith("keys: " + ", ".join(RECORD_KEYS))
     assert got[1].endswith("keys: " + ", ".join([*RECORD_KEYS[:2], RECORD_KEYS[-1]]))
     assert "not an object" in got[2] and "not an object" in got[3] and got[4]
 

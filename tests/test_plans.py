@@ -149,6 +149,7 @@ def test_translate(spark, tmp_path):
         return said(json.dumps(items + items[:1]))
 
     records = [{"n": i, "text": f"t{i}", "z": {"text": "keep"}, "prompt": " "} for i in range(11)] + [{"only": 1}]
+    records[4]["z"] = {"x": [float("-inf"), "NaN"], "text": 1}
     path = tmp_path / "in.jsonl"
     path.write_text("\n".join(json.dumps(r) for r in records), encoding="utf-8")
     done = translate(spark, [str(path)], "en", model, batch_size=3, backoff_s=0.0)
