@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.llm import exact_dedup, quality_rules
+from sheaf.llm import exact_dedup, packing, quality_rules
 from sheaf.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """Path of a file of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark, sf_dir) -> DataFrame:
+    """The place of every piece of every document in sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def op3_quality_rules(spark, sf_dir) -> DataFrame:
     """Measurements, failure bits and the verdict of the production policy for every document."""
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
@@ -27,7 +39,7 @@ def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     )
 
 
-QUERIES = [op3_quality_rules, op8_exact_dedup]
+QUERIES = [op1_best_fit_packing, op3_quality_rules, op8_exact_dedup]
 
 ORACLE = {
     "op3_quality_rules": r"""
