@@ -28,9 +28,9 @@ from sheaf.session import stage
 
 CAPACITY = 1024
 END_ID = 2
-#: Pieces longer than this share of a sequence are large: eight at most fit together.
-LARGE_SHARE = 1 / 8
-GROUPS = 160
+#: Pieces longer than this share of a sequence are large: three at most fit together.
+LARGE_SHARE = 1 / 4
+GROUPS = 400
 
 #: The split pattern and the end-of-text token of the byte-level vocabulary (fixed values).
 BYTE_BPE_PATTERN = (
@@ -215,7 +215,7 @@ class Plan:
         stock = [list(g) for g in groups]
         for config, times in plan:
             runs = [(self.sequences, times, 0)]  # first sequence, how many, tokens in each
-            for k in np.flatnonzero(config).tolist() * 1:
+            for k in np.flatnonzero(config).tolist():
                 for _ in range(int(config[k])):
                     after = []
                     for first, many, filled in runs:
@@ -267,14 +267,23 @@ class Plan:
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> Plan:
-    """Places for all pieces of a histogram (length to count) of lengths 1 to ``capacity``."""
+    """Places for all pieces of a histogram (length to count) of lengths 1 to ``capacity``.
+
+    On few pieces, rounding can cost more than configurations gain; the plan is then the
+    one of no large pieces, which is best fit decreasing.
+    """
+    plans = [_planned(histogram, capacity, groups), _planned(histogram, capacity, 0)]
+    return min(plans, key=lambda p: p.sequences)
+
+
+def _planned(histogram: dict[int, int], capacity: int, groups: int) -> Plan:
     plan = Plan({n: c for n, c in histogram.items() if c}, capacity)
     whole = plan.left.get(capacity, 0)
     if whole:
         plan.put(capacity, whole, plan.sequences, 1, 0)
         plan.open(whole, 0)
     large = sorted((n for n in plan.left if LARGE_SHARE * capacity < n < capacity), reverse=True)
-    if large:
+    if large and groups:
         grouped = equal_groups(large, [plan.left[n] for n in large], groups)
         sizes = np.array([g[0][0] for g in grouped])
         demand = np.array([sum(c for _, c in g) for g in grouped], dtype=float)
