@@ -42,3 +42,30 @@ def in_chunks(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 2
 def crc32(ids: np.ndarray) -> int:
     """CRC-32 of ids as little-endian unsigned 32-bit numbers."""
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").data)
+
+
+def rows_staying(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named by ``kept`` (doc_id, text_hash), with their columns.
+
+    ``text_hash`` is :func:`text_hash`. Of rows of ``docs`` that share id and text one
+    stays, whichever Spark meets first; ``kept`` may name a row more than once.
+    """
+    own = docs.withColumn("_hash", text_hash())
+    named = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_named")).distinct()
+    repeated = own.groupBy("doc_id", "_hash").count().filter("count > 1").select(
+        F.col("doc_id").alias("_id"), F.col("_hash").alias("_named")
+    )
+
+    def same(other: DataFrame) -> Column:
+        return own["doc_id"].eqNullSafe(other["_id"]) & (own["_hash"] == other["_named"])
+
+    staying = own.join(named, same(named), "leftsemi")
+    # only repeated rows pay for a shuffle of whole rows by key
+    once = staying.join(repeated, same(repeated), "leftanti")
+    more = staying.join(repeated, same(repeated), "leftsemi").dropDuplicates(["doc_id", "_hash"])
+    return once.unionByName(more).select(*docs.columns)
+
+
+def text_hash(column: str = "text") -> Column:
+    """Tells apart rows that share an id; null counts as empty."""
+    return F.xxhash64(text_or_empty(column), F.length(text_or_empty(column)))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sheaf.llm.common import SPACES, text_or_empty
+from sheaf.llm.common import SPACES, rows_staying, text_hash, text_or_empty
 from sheaf.session import stage
 
 FAN_IN = 16
@@ -34,6 +34,7 @@ def text_keys(docs: DataFrame) -> DataFrame:
         F.unhex(F.sha2(norm, 256)).alias("digest"),
         F.length(norm).alias("n_norm"),
         F.xxhash64(norm).alias("second_hash"),
+        text_hash().alias("text_hash"),
         F.spark_partition_id().alias("run"),
         F.monotonically_increasing_id().alias("row_id"),
     )
@@ -64,7 +65,7 @@ def exact_duplicates(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored).
 
     ``doc_id, keep_id`` (id of the row that stays), ``group_size``, ``kept``,
-    ``text_sha256`` (of the normalised text), ``n_chars``, ``n_norm``, ``best_copies``.
+    ``text_sha256`` (of the normalised text), ``n_chars``, ``n_norm``, ``text_hash``.
     Null text counts as empty; all texts without a visible character are one group.
     Of repeated rows with the same id and text exactly one is kept. A row without an id
     stays only if no row of its group with as many code points has one; ``keep_id`` is
@@ -80,31 +81,13 @@ def exact_duplicates(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
         "group_size",
         (F.col("row_id") == F.col("best.row_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
-        "n_chars", "n_norm",
+        "n_chars", "n_norm", "text_hash",
     )
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns.
 
-    Rows that stay are found by id and normalised text. Rows equal in both are
-    interchangeable but for their further columns; one of those with most code points
-    stays, whichever Spark meets first.
+    Rows with the same id and text can differ in further columns; any one of them stays.
     """
-    kept = exact_duplicates(docs).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest"), F.col("n_chars").alias("_n")
-    )
-    own = docs.withColumn("_digest", F.unhex(F.sha2(F.translate(text_or_empty(), SPACES, ""), 256)))
-    own = own.withColumn("_n", F.length(text_or_empty()))
-    same_row = own["doc_id"].eqNullSafe(kept["_id"]) & (own["_digest"] == kept["_digest"]) & (own["_n"] == kept["_n"])
-    staying = own.join(kept, same_row, "leftsemi")
-    repeated = own.groupBy("doc_id", "_digest", "_n").count().filter("count > 1").select(
-        F.col("doc_id").alias("_id"), F.col("_digest").alias("_d"), F.col("_n").alias("_m")
-    )
-    twice = staying["doc_id"].eqNullSafe(repeated["_id"]) & (staying["_digest"] == repeated["_d"]) & (
-        staying["_n"] == repeated["_m"]
-    )
-    once = staying.join(repeated, twice, "leftanti")
-    return once.unionByName(
-        staying.join(repeated, twice, "leftsemi").dropDuplicates(["doc_id", "_digest", "_n"])
-    ).select(*docs.columns)
+    return rows_staying(docs, exact_duplicates(docs).filter("kept"))

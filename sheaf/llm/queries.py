@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.llm import exact_dedup, packing, quality_rules
+from sheaf.llm import exact_dedup, near_dedup, packing, quality_rules
 from sheaf.llm.common import table
 
 
@@ -32,6 +32,13 @@ def op3_quality_rules(spark, sf_dir) -> DataFrame:
     )
 
 
+def op5_minhash_near_dedup(spark, sf_dir) -> DataFrame:
+    """The component of near duplicates of every document, on four-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), 4).select(
+        "doc_id", "n_shingles", "component_id", "kept", "class_id"
+    )
+
+
 def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     """The document that stays for every document."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).select(
@@ -39,7 +46,7 @@ def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     )
 
 
-QUERIES = [op1_best_fit_packing, op3_quality_rules, op8_exact_dedup]
+QUERIES = [op1_best_fit_packing, op3_quality_rules, op5_minhash_near_dedup, op8_exact_dedup]
 
 ORACLE = {
     "op3_quality_rules": r"""
