@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.llm import exact_dedup, near_dedup, packing, quality_rules
+from sheaf.llm import exact_dedup, near_dedup, packing, quality_rules, secrets
 from sheaf.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op5_minhash_near_dedup(spark, sf_dir) -> DataFrame:
     )
 
 
+def op6_secret_scans(spark, sf_dir) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.digest_columns(secrets.secret_spans(table(spark, sf_dir, "documents")))
+
+
 def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     """The document that stays for every document."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).select(
@@ -46,7 +51,7 @@ def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     )
 
 
-QUERIES = [op1_best_fit_packing, op3_quality_rules, op5_minhash_near_dedup, op8_exact_dedup]
+QUERIES = [op1_best_fit_packing, op3_quality_rules, op5_minhash_near_dedup, op6_secret_scans, op8_exact_dedup]
 
 ORACLE = {
     "op3_quality_rules": r"""
