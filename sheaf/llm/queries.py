@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.llm import exact_dedup, near_dedup, packing, quality_rules, secrets
+from sheaf.llm import exact_dedup, near_dedup, packing, pii, quality_rules, secrets
 from sheaf.llm.common import table
 
 
@@ -51,7 +51,12 @@ def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     )
 
 
-QUERIES = [op1_best_fit_packing, op3_quality_rules, op5_minhash_near_dedup, op6_secret_scans, op8_exact_dedup]
+def op10_pii(spark, sf_dir) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digest_columns(pii.personal_spans(table(spark, sf_dir, "documents")))
+
+
+QUERIES = [op1_best_fit_packing, op3_quality_rules, op5_minhash_near_dedup, op6_secret_scans, op8_exact_dedup, op10_pii]
 
 ORACLE = {
     "op3_quality_rules": r"""
