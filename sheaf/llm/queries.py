@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.llm import exact_dedup, near_dedup, packing, pii, quality_rules, secrets
+from sheaf.llm import exact_dedup, near_dedup, packing, pii, quality_model, quality_rules, secrets, url_filter
 from sheaf.llm.common import table
 
 
@@ -44,6 +44,15 @@ def op6_secret_scans(spark, sf_dir) -> DataFrame:
     return secrets.digest_columns(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def op7_url_filters(spark, sf_dir) -> DataFrame:
+    """The verdict on the URL of every page."""
+    return url_filter.judged(
+        table(spark, sf_dir, "pages"),
+        url_filter.host_table(spark, url_filter.HOST_RULES),
+        url_filter.pattern_table(spark, url_filter.PATTERN_RULES),
+    ).drop("url")
+
+
 def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     """The document that stays for every document."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).select(
@@ -51,12 +60,20 @@ def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     )
 
 
+def op9_quality_classifier(spark, sf_dir) -> DataFrame:
+    """The quality score of every document."""
+    return quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_pii(spark, sf_dir) -> DataFrame:
     """Personal data in every document."""
     return pii.digest_columns(pii.personal_spans(table(spark, sf_dir, "documents")))
 
 
-QUERIES = [op1_best_fit_packing, op3_quality_rules, op5_minhash_near_dedup, op6_secret_scans, op8_exact_dedup, op10_pii]
+QUERIES = [
+    op1_best_fit_packing, op3_quality_rules, op5_minhash_near_dedup, op6_secret_scans, op7_url_filters,
+    op8_exact_dedup, op9_quality_classifier, op10_pii,
+]
 
 ORACLE = {
     "op3_quality_rules": r"""
@@ -91,6 +108,38 @@ WITH d AS (
     + CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END)::BIGINT AS failed_rules FROM m
 )
 SELECT *, failed_rules & 3 <> 0 AS base_failed, failed_rules = 0 AS kept, 'production-1' AS policy FROM b
+""",
+    "op7_url_filters": r"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT page_id, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS url,
+    translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p
+), r(host, path, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), q(pattern, regex, verdict) AS (
+  VALUES ('^casino^', '(?:[^0-9a-z]|^|$)casino(?:[^0-9a-z]|^|$)', 'block'),
+    ('^casino-win^', '(?:[^0-9a-z]|^|$)casino-win(?:[^0-9a-z]|^|$)', 'block'),
+    ('^free-bets^', '(?:[^0-9a-z]|^|$)free-bets(?:[^0-9a-z]|^|$)', 'block'),
+    ('^poker^', '(?:[^0-9a-z]|^|$)poker(?:[^0-9a-z]|^|$)', 'block'),
+    ('^xxx^', '(?:[^0-9a-z]|^|$)xxx(?:[^0-9a-z]|^|$)', 'block'),
+    ('^payday*loan^', '(?:[^0-9a-z]|^|$)payday.*loan(?:[^0-9a-z]|^|$)', 'block'),
+    ('^utm_source=spam^', '(?:[^0-9a-z]|^|$)utm_source=spam(?:[^0-9a-z]|^|$)', 'block'),
+    ('^archive^pdf^', '(?:[^0-9a-z]|^|$)archive(?:[^0-9a-z]|^|$)pdf(?:[^0-9a-z]|^|$)', 'allow')
+), fit AS (
+  SELECT page_id, h.host, h.path, h.url,
+    (SELECT max({'n': length(r.host || r.path), 'm': length(r.host), 'rule': r.host || r.path, 'verdict': verdict})
+     FROM r WHERE (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path)) AS best,
+    (SELECT max({'n': length(pattern), 'pattern': pattern, 'verdict': verdict})
+     FROM q WHERE regexp_matches(h.url, regex)) AS found
+  FROM h
+)
+SELECT page_id, host, path, best.rule AS rule, found.pattern AS pattern,
+  coalesce(best.verdict, found.verdict, 'allow') AS verdict
+FROM fit
 """,
     "op8_exact_dedup": r"""
 WITH d AS (
