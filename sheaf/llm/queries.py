@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.llm import exact_dedup, near_dedup, packing, pii, quality_model, quality_rules, secrets, url_filter
+from sheaf.llm import (
+    exact_dedup, near_dedup, packing, pieces, pii, quality_model, quality_rules, secrets, token_files, url_filter,
+)
 from sheaf.llm.common import table
 
 
@@ -20,6 +22,11 @@ def op1_best_fit_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op2_sentencepiece(spark, sf_dir) -> DataFrame:
+    """Encoding with merge dropout and decoding, of every document."""
+    return pieces.round_trips(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op3_quality_rules(spark, sf_dir) -> DataFrame:
     """Measurements, failure bits and the verdict of the production policy for every document."""
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
@@ -32,6 +39,11 @@ def op3_quality_rules(spark, sf_dir) -> DataFrame:
     )
 
 
+def op4_token_counts(spark, sf_dir) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return token_files.counted_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op5_minhash_near_dedup(spark, sf_dir) -> DataFrame:
     """The component of near duplicates of every document, on four-word shingles."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), 4).select(
@@ -71,7 +83,7 @@ def op10_pii(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = [
-    op1_best_fit_packing, op3_quality_rules, op5_minhash_near_dedup, op6_secret_scans, op7_url_filters,
+    op1_best_fit_packing, op2_sentencepiece, op3_quality_rules, op4_token_counts, op5_minhash_near_dedup, op6_secret_scans, op7_url_filters,
     op8_exact_dedup, op9_quality_classifier, op10_pii,
 ]
 
