@@ -19,7 +19,7 @@ a link. No bucket, partner or candidate is capped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -38,9 +38,9 @@ SIMILARITY = 80
 #: Estimates below this discard a candidate: 0.8 less six standard deviations.
 LEAST_ESTIMATE = 0.55
 #: Shingles compared with one set before the comparison is given to another task.
-BLOCK_SHINGLES = 1 << 16
-#: Members of a bucket that are compared with one another at a time.
-BLOCK_MEMBERS = 512
+STAR_SHINGLES = 1 << 16
+#: Members of a bucket, and their shingles, that are compared with one another at a time.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1 << 20
 
 _LOW_BITS = 0x5555555555555555
 _factors = np.random.default_rng(20260101).integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -138,13 +138,13 @@ def star_candidates(bands: DataFrame, classes: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """The pairs (a, b, n_a, n_b) whose full shingle sets are similar enough, as ``a, b``.
 
-    The partners of one ``a`` are dealt into blocks of about ``BLOCK_SHINGLES`` shingles;
+    The partners of one ``a`` are dealt into blocks of about ``STAR_SHINGLES`` shingles;
     the text of ``a`` goes once to every block. A task reads a block's rows sorted, ``a``
     first, and holds one set besides the one it compares.
     """
     per_a = pairs.groupBy("a").agg(
         F.greatest(
-            F.lit(1), F.ceil(F.sum("n_b") / F.greatest(F.lit(BLOCK_SHINGLES), 8 * F.max("n_a")))
+            F.lit(1), F.ceil(F.sum("n_b") / F.greatest(F.lit(STAR_SHINGLES), 8 * F.max("n_a")))
         ).alias("blocks")
     )
     dealt = pairs.join(per_a, "a").withColumn("block", F.pmod(F.xxhash64("b"), "blocks").cast("int"))
@@ -153,10 +153,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
         dealt.select("a", "block", F.lit(0).alias("role"), F.col("a").alias("node")).distinct()
     )
     wanted = wanted.join(classes.select("node", "doc_id", "text_hash"), "node")
-    texts = docs.select(
-        F.col("doc_id").cast("bigint").alias("_id"), text_hash().alias("_hash"), text_or_empty().alias("text")
-    )
-    # rows with the same id and text would come twice; any of them has the class's set
+    texts = _texts(docs)
     found = wanted.join(
         texts, wanted["doc_id"].eqNullSafe(texts["_id"]) & (wanted["text_hash"] == texts["_hash"])
     ).select("a", "block", "role", "node", "text")
@@ -170,8 +167,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
                 if role == 0:
                     now, own = (a, block), other
                 elif now == (a, block):
-                    both = common(own, other)
-                    if 100 * both >= SIMILARITY * (len(own) + len(other) - both) and both:
+                    if _linked(own, other):
                         links.append((a, node))
                 else:
                     raise ValueError(f"the text of node {a} is missing: the documents changed while they were read")
@@ -185,70 +181,118 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
     )
 
 
-def crossing_candidates(bands: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """``a, b`` in one bucket but in different components of ``found`` (node, component), close by estimate.
+def _partners(group: pa.RecordBatch, joined: Callable[[int, int], bool]) -> Iterator[tuple[int, np.ndarray]]:
+    """For rows of one block, the rows of the other that may be linked to them and meet here first.
+
+    ``joined`` tells whether two components are known to be one by now. Two members share
+    several buckets if they are close; only the first of these looks at them.
+    """
+    get = lambda c: np.asarray(group.column(c))
+    component, size, block, band = get("component"), get("n_shingles"), get("block"), int(group.column("band")[0].as_py())
+    bits = np.stack([get(f"bits_{w}").view(np.uint64) for w in range(WORDS)], axis=1)
+    bands = np.asarray(group.column("bands").flatten()).reshape(-1, BANDS)
+    first = np.flatnonzero(block == get("x")[0])
+    second = np.flatnonzero(block == get("y")[0])
+    for i in first.tolist():
+        x = bits[second] ^ bits[i]
+        different = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LOW_BITS)).sum(axis=1)
+        low, high = np.minimum(size[second], size[i]), np.maximum(size[second], size[i])
+        near = second[_close(different) & (component[second] != component[i]) & (100 * low >= SIMILARITY * high)]
+        near = near[(bands[near] == bands[i]).argmax(axis=1) == band]
+        yield i, np.array([j for j in near.tolist() if not joined(int(component[i]), int(component[j]))], dtype=np.int64)
+
+
+def crossing_links(bands: DataFrame, classes: DataFrame, docs: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """``a, b``: links between different components of ``found`` (node, component) inside one bucket.
 
     In a bucket the component with most members is the main one: its members are not
-    compared with each other. All others meet each other and the main ones, in blocks.
-    A bucket of two needs no second look, as its star was the pair itself.
+    compared with each other. All others meet each other and the main ones, in blocks of
+    bounded numbers of members and shingles. A first pass over the blocks, on bits alone,
+    names the members that may be linked to any other; a second gets their texts and
+    decides. Pairs never become rows: a block gives the links that join components, one
+    less than it has components at most. A bucket of two needs no second look, as its
+    star was the pair itself.
     """
     placed = bands.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stage(placed.select("key", "node", "component"), "near-placed")
+    placed = stage(placed.select("key", "band", "node", "component"), "near-placed")
     mixed_keys = placed.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("members > 2 and low <> high").select("key")
-    unsettled = stage(placed.join(mixed_keys, "key"), "near-unsettled")
-    sizes = unsettled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    per_key = sizes.groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"),
-        F.max("n").alias("n_main"), F.sum("n").alias("n_all"),
+    member = placed.join(mixed_keys, "key").join(classes.drop("set_1", "set_2"), "node")
+    member = stage(member, "near-unsettled")
+    parts = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK_MEMBERS, size / BLOCK_SHINGLES)).cast("int")
+    per_key = parts.groupBy("key").agg(
+        F.max(F.struct("n", "size", "component")).alias("main"), F.sum("n").alias("n"), F.sum("size").alias("size")
     ).select(
-        "key", "main",
-        F.ceil(F.col("n_main") / BLOCK_MEMBERS).cast("int").alias("mains"),
-        F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK_MEMBERS).cast("int").alias("others"),
+        "key", F.col("main.component").alias("main"),
+        blocks(F.col("main.n"), F.col("main.size")).alias("mains"),
+        blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("others"),
     )
     # blocks 0 to others-1 hold the others, the next ones the main component
-    member = unsettled.join(per_key, "key").withColumn("is_main", F.col("component") == F.col("main")).withColumn(
+    is_main = F.col("component") == F.col("main")
+    dealt = member.join(per_key, "key").withColumn(
         "block",
-        F.when(F.col("is_main"), F.col("others") + F.pmod(F.xxhash64("node"), "mains"))
+        F.when(is_main, F.col("others") + F.pmod(F.xxhash64("node"), "mains"))
         .otherwise(F.pmod(F.xxhash64("node"), "others")).cast("int"),
     )
-    met = F.when(F.col("is_main"), F.sequence(F.lit(0), F.col("others") - 1)).otherwise(
-        F.sequence(F.lit(0), F.col("others") + F.col("mains") - 1)
-    )
-    sent = member.withColumn("met", F.explode(met)).select(
-        "key", F.least("block", "met").alias("x"), F.greatest("block", "met").alias("y"), "block", "node", "component"
-    ).join(classes.select("node", "n_shingles", *(f"bits_{w}" for w in range(WORDS))), "node")
+    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    dealt = dealt.withColumn("met", F.explode(F.sequence(F.lit(0), last))).withColumns(
+        {"x": F.least("block", "met"), "y": F.greatest("block", "met")}
+    ).drop("met", "main", "mains", "others")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _sorted_groups(batches, ("key", "x", "y")):
-            get = lambda c: np.asarray(group.column(c))
-            node, component, size, block = get("node"), get("component"), get("n_shingles"), get("block")
-            bits = np.stack([get(f"bits_{w}").view(np.uint64) for w in range(WORDS)], axis=1)
-            first = np.flatnonzero(block == get("x")[0])
-            second = np.flatnonzero(block == get("y")[0])
-            out_a, out_b = [], []
-            for i in first.tolist():
-                x = bits[second] ^ bits[i]
-                different = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LOW_BITS)).sum(axis=1)
-                low, high = np.minimum(size[second], size[i]), np.maximum(size[second], size[i])
-                near = second[
-                    _close(different) & (component[second] != component[i]) & (100 * low >= SIMILARITY * high)
-                ]
-                out_a.append(np.minimum(node[near], node[i]))
-                out_b.append(np.maximum(node[near], node[i]))
-            if out_a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"]
-                )
-
-    met_pairs = sent.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(
-        compare, "a bigint, b bigint"
-    ).distinct()
-    sizes_of = classes.select("node", "n_shingles")
-    return met_pairs.join(sizes_of.withColumnsRenamed({"node": "a", "n_shingles": "n_a"}), "a").join(
-        sizes_of.withColumnsRenamed({"node": "b", "n_shingles": "n_b"}), "b"
-    ).select("a", "b", "n_a", "n_b")
+            near: set[int] = set()
+            for i, partners in _partners(group, lambda c, d: False):
+                if len(partners):
+                    near.update(partners.tolist())
+                    near.add(i)
+            if near:
+                yield group.take(pa.array(sorted(near)))
+
+    schema = ", ".join(f"{n} {t}" for n, t in dealt.dtypes)
+    in_blocks = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    named = stage(in_blocks.mapInArrow(name, schema), "near-named")
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _sorted_groups(in_chunks(batches, "text", 1 << 20), ("key", "x", "y")):
+            sets = shingle_sets(group.column("text"), k)
+            node, component = group.column("node").to_pylist(), group.column("component").to_pylist()
+            root = {c: c for c in component}
+
+            def find(c: int, root: dict[int, int] = root) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            links = []
+            for i, partners in _partners(group, lambda c, d: find(c) == find(d)):
+                for j in partners.tolist():
+                    c, d = find(component[i]), find(component[j])
+                    if c != d and _linked(sets[i], sets[j]):
+                        root[c] = d
+                        links.append((node[i], node[j]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[e] for x in links], pa.int64()) for e in (0, 1)], names=["a", "b"]
+            )
+
+    full = named.join(_texts(docs), named["doc_id"].eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    return full.drop("_id", "_hash").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(
+        decide, "a bigint, b bigint"
+    )
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """Texts by id and hash. Rows alike in both come several times; each has the same shingles."""
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("_id"), text_hash().alias("_hash"), text_or_empty().alias("text")
+    )
+
+
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    both = common(a, b)
+    return both > 0 and 100 * both >= SIMILARITY * (len(a) + len(b) - both)
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
@@ -298,12 +342,10 @@ def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
     classes = stage(
         filled.join(sets.select(F.col("first.node").alias("node")), "node", "leftsemi"), "near-representatives"
     )
-    bands = classes.select("node", F.explode("bands").alias("key"))
+    bands = classes.select("node", F.posexplode("bands").alias("band", "key"))
     stars = star_candidates(bands, classes)
     links = stage(confirmed(stars, classes, docs, k), "near-links")
-    crossing = stage(crossing_candidates(bands, classes, components(links)), "near-crossing")
-    if not crossing.isEmpty():
-        links = links.unionByName(confirmed(crossing, classes, docs, k))
+    links = links.unionByName(crossing_links(bands, classes, docs, components(links), k))
     settled = stage(components(links), "near-components")
     # the smallest id of a component; its classes' first documents hold it
     named = classes.select("node", "doc_id").join(settled, "node").groupBy("component").agg(first.alias("least"))
