@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sheaf.functions.binding import with_kept
 from sheaf.llm.common import SPACE_RUN, SPACES, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
@@ -143,5 +144,7 @@ def ablations(rows: DataFrame, policy: Policy, rules: Mapping[str, str] = RULES)
 def kept_documents(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
     """The rows of ``docs`` that pass the policy, with exactly their columns."""
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    judged = with_measures(docs.select(whole, "text")).withColumn("failed", failure_bits())
-    return judged.filter(passes(policy)).select("_row.*")
+    measured = with_measures(docs.select(whole, "text"))
+    verdict = F.when(failure_bits().bitwiseAND(F.lit(policy.mask()).cast("bigint")) == 0, True)
+    # a plain filter would be pushed below the measurements, and copy them many times over
+    return with_kept(measured, "_kept", verdict).select("_row.*")
