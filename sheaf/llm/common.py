@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 #: The characters that separate words, everywhere in this subpackage: [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
@@ -69,3 +69,19 @@ def rows_staying(docs: DataFrame, kept: DataFrame) -> DataFrame:
 def text_hash(column: str = "text") -> Column:
     """Tells apart rows that share an id; null counts as empty."""
     return F.xxhash64(text_or_empty(column), F.length(text_or_empty(column)))
+
+
+def sampled(rows: DataFrame, most: int, *columns: str) -> list[Row]:
+    """The ``most`` rows with the smallest hashes of ``columns``, on the driver; all rows if they are fewer.
+
+    A threshold on the hash, from the number of rows, leaves hardly more than ``most``
+    rows to be sent, however many partitions there are. ``rows`` is read twice.
+    """
+    n = rows.count()
+    keyed = rows.withColumn("_order", F.xxhash64(*columns))
+    if n > most:
+        share = most / n * (1 + 6 / most**0.5)
+        if share < 1:
+            keyed = keyed.filter(F.col("_order") < int(share * 2**64) - 2**63)
+    found = sorted(keyed.collect(), key=lambda r: (r["_order"], *(repr(r[c]) for c in columns)))
+    return found[:most]

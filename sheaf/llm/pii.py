@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.llm.common import in_chunks, text_hash, text_or_empty
+from sheaf.llm.common import in_chunks, sampled, text_hash, text_or_empty
 from sheaf.llm.crf import Crf, train
 from sheaf.llm.spans import PERSONAL, Span, find, joined, overlaps, sha256
 from sheaf.session import stage
@@ -172,12 +172,12 @@ def learn(labelled: DataFrame, most: int = TRAINING_RUNS) -> Tagger:
     Half of the ``most`` rows used are runs with personal data, half without, of each the
     ones with the smallest hashes; that sample is what comes to the driver.
     """
-    usable = labelled.filter(F.size("words") <= TRAINING_WORDS).dropDuplicates(["words", "before"])
+    usable = labelled.filter(F.size("words") <= TRAINING_WORDS).select("words", "before", "labels")
+    usable = stage(usable.dropDuplicates(["words", "before"]), "pii-labels")
     with_data = F.exists("labels", lambda x: x > 0)
     runs = []
     for wanted in (with_data, ~with_data):
-        rows = usable.filter(wanted).orderBy(F.xxhash64("words", "before"), F.to_json(F.struct("words"))).limit(most // 2)
-        runs += rows.select("words", "before", "labels").collect()
+        runs += sampled(usable.filter(wanted), most // 2, "words", "before")
     named = [run_features(r["words"], r["before"]) for r in runs]
     numbers = {f: k + 1 for k, f in enumerate(sorted({f for run in named for fs in run for f in fs}))}
     sequences = [[[numbers[f] for f in fs] for fs in run] for run in named]

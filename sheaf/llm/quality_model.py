@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf.llm.boosting import Trees, fit
-from sheaf.llm.common import in_chunks, text_or_empty
+from sheaf.llm.common import in_chunks, sampled, text_or_empty
 from sheaf.session import stage
 
 #: The most labelled documents the trees are trained on: those with the smallest hashes of their ids.
@@ -81,9 +81,7 @@ def learn(measured: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) ->
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality").filter(
         F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != HELD_OUT)
     ).groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other")).filter("label = other")
-    rows = measured.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(most).select(
-        "features", "label"
-    ).collect()
+    rows = sampled(stage(measured.join(known, "doc_id").drop("other"), "quality-labelled"), most, "doc_id", "features")
     features = np.array([r["features"] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
     return fit(features, np.array([r["label"] for r in rows], dtype=float))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sheaf.llm.automata import Automaton, infer
-from sheaf.llm.common import in_chunks, text_hash, text_or_empty
+from sheaf.llm.common import in_chunks, sampled, text_hash, text_or_empty
 from sheaf.llm.spans import SECRETS, Span, find, joined, overlaps, replaced, sha256
 from sheaf.session import stage
 
@@ -67,8 +67,8 @@ def found_spans(docs: DataFrame) -> DataFrame:
 
 
 def labelled(found: DataFrame) -> DataFrame:
-    """``kind, value``: credentials the base patterns label, and candidates as kind ``''``; distinct."""
-    return found.select(F.explode(F.concat("base", "candidates")).alias("s")).select("s.kind", "s.value").distinct()
+    """``kind, value``: credentials the base patterns label, and candidates as kind ``''``."""
+    return found.select(F.explode(F.concat("base", "candidates")).alias("s")).select("s.kind", "s.value")
 
 
 @dataclass(frozen=True)
@@ -96,11 +96,11 @@ def learn(credentials: DataFrame, most: int = TRAINING_EXAMPLES) -> Formats:
     the background; the sample is what comes to the driver. A kind with fewer than ten
     examples is left out.
     """
-    usable = credentials.filter(F.length("value") <= TRAINING_LENGTH)
+    usable = stage(credentials.filter(F.length("value") <= TRAINING_LENGTH).distinct(), "secret-labels")
     examples = {}
     for kind in [*SECRETS, ""]:
-        rows = usable.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value")
-        examples[kind] = [r["value"] for r in rows.limit(most if kind else 2 * most).collect()]
+        rows = usable.filter(F.col("kind") == kind)
+        examples[kind] = [r["value"] for r in sampled(rows, most if kind else 2 * most, "value")]
     kinds = {}
     for kind in SECRETS:
         if len(examples[kind]) >= 10:
