@@ -25,7 +25,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_words": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+    "repeated_lines": "2 * n_dup_lines > n_lines",
     "short_words": "word_chars < 3 * n_words",
     "long_words": "word_chars > 12 * n_words",
     "capitals": "2 * n_capitals > word_chars",

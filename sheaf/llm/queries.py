@@ -114,7 +114,7 @@ WITH d AS (
   SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END
     + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
     + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
-    + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
     + CASE WHEN word_chars < 3 * n_words THEN 16 ELSE 0 END
     + CASE WHEN word_chars > 12 * n_words THEN 32 ELSE 0 END
     + CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END)::BIGINT AS failed_rules FROM m
