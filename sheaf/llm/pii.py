@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheaf.llm.common import in_chunks, sampled, text_hash, text_or_empty
 from sheaf.llm.crf import Crf, train
-from sheaf.llm.spans import PERSONAL, Span, find, joined, overlaps, sha256
+from sheaf.llm.spans import IP, PERSONAL, PHONE, Span, find, joined, overlaps, sha256
 from sheaf.session import stage
 
 #: A word with a digit or @. It starts after white space and no sign is looked at twice.
@@ -98,8 +98,16 @@ def run_labels(words: list[str], starts: list[int], spans: list[Span]) -> list[i
     return labels
 
 
+def undecided(text: str, own: list[Span]) -> list[Span]:
+    """What looks like a phone number or an address but fails its check: runs with it are no examples."""
+    loose = [("phone", *m.span()) for m in PHONE.finditer(text)] if "+" in text else []
+    loose += [("ip", *m.span()) for m in IP.finditer(text)] if "." in text else []
+    known = set(own)
+    return [s for s in loose if s not in known]
+
+
 def found_spans(docs: DataFrame) -> DataFrame:
-    """Per document: base spans by kind and start, and its runs with the labels those spans give."""
+    """Per document: base spans by kind and start, and its runs with the labels those spans give (null: undecided)."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -112,8 +120,13 @@ def found_spans(docs: DataFrame) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 own = find(text, PERSONAL)
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
+                open_ = undecided(text, own)
                 runs.append([
-                    {"words": w, "starts": s, "before": b, "labels": run_labels(w, s, own)} for w, s, b in runs_of(text)
+                    {
+                        "words": w, "starts": s, "before": b,
+                        "labels": None if overlaps(s[0], s[-1] + len(w[-1]), open_) else run_labels(w, s, own),
+                    }
+                    for w, s, b in runs_of(text)
                 ])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(base, span), pa.array(runs, run)],
@@ -167,12 +180,12 @@ def _spans_of(words: list[str], starts: list[int], labels: np.ndarray) -> list[S
 
 
 def learn(labelled: DataFrame, most: int = TRAINING_RUNS) -> Tagger:
-    """A tagger from a table of runs (words, before, labels).
+    """A tagger from a table of runs (words, before, labels); runs without labels are left out.
 
     Half of the ``most`` rows used are runs with personal data, half without, of each the
     ones with the smallest hashes; that sample is what comes to the driver.
     """
-    usable = labelled.filter(F.size("words") <= TRAINING_WORDS).select("words", "before", "labels")
+    usable = labelled.filter((F.size("words") <= TRAINING_WORDS) & F.col("labels").isNotNull()).select("words", "before", "labels")
     usable = stage(usable.dropDuplicates(["words", "before"]), "pii-labels")
     with_data = F.exists("labels", lambda x: x > 0)
     runs = []
