@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ DROPOUT, SEED, SLOTS = 0.1, 17, 2
 KEPT_SEGMENTS, KEPT_LENGTH = 400_000, 48
 
 _M, _PIECE = (1 << 64) - 1, (1 << 32) - 1
+_FACTOR, _SPREAD = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
+_NONE = np.int64((1 << 62) - 1)
 
 
 class PieceCodec:
@@ -57,6 +59,10 @@ class PieceCodec:
                 left, right = normal.get(piece[:cut]), normal.get(piece[cut:])
                 if left is not None and right is not None:
                     self.merge[left << 20 | right] = order[-model.get_score(i)] + 1 << 32 | i
+        self.id_of = np.full(0x110000, -1, dtype=np.int32)
+        self.id_of[[ord(c) for c in self.char_id]] = list(self.char_id.values())
+        self.pairs = np.array(sorted(self.merge), dtype=np.int64)
+        self.results = np.array([self.merge[p] for p in self.pairs.tolist()], dtype=np.int64)
         self.one_line = "\n" in self.char_id  # else no piece crosses a line end either
         self.cut = re.compile(" +[^ ]*|[^ ]+")
         self.limit, self.seed = int(dropout * (1 << 53)), seed
@@ -64,17 +70,43 @@ class PieceCodec:
         self.late: dict[int, dict[str, list[int]]] = {}
         self.old: dict[int, dict[str, list[int]]] = {}
 
-    def encode(self, text: str, slot: int = 0) -> list[int]:
-        """Ids of a text; a space is put before it, as the model expects. An empty text has none."""
-        if not text:
-            return []
-        late = self.late.setdefault(slot, {})
-        ids: list[int] = []
-        for segment in self._segments(" " + text):
-            own = late.get(segment)
-            ids += own if own is not None else self._kept(segment, slot, late)
+    def encode_all(self, texts: list[str], slots: list[int]) -> list[list[int]]:
+        """Ids of texts in their slots; a space is put before a text, as the model expects. Empty texts have none.
+
+        Segments that are not kept yet are merged together, all texts' at once.
+        """
+        cut = [self._segments(" " + t) if t else [] for t in texts]
+        fresh: dict[int, set[str]] = {}
+        for segments, slot in zip(cut, slots, strict=True):
+            late = self.late.setdefault(slot, {})
+            fresh.setdefault(slot, set()).update([s for s in set(segments) if s not in late])
+        long: dict[int, set[str]] = {}
+        for slot, new in fresh.items():
+            late, old = self.late[slot], self.old.get(slot, {})
+            by_width: dict[int, list[str]] = {}
+            for s in new:
+                if s in old:
+                    late[s] = old[s]
+                    continue
+                by_width.setdefault(min(-(-len(s) // 8), KEPT_LENGTH // 8 + 1), []).append(s)
+            long[slot] = set(by_width.pop(KEPT_LENGTH // 8 + 1, ()))
+            late.update((s, self._merged(s, slot)) for s in long[slot])
+            for width, segments in by_width.items():
+                late.update(zip(segments, self._merged_together(segments, slot, 8 * width), strict=True))
+        ids = [
+            list(chain.from_iterable(map(self.late[slot].__getitem__, segments)))
+            for segments, slot in zip(cut, slots, strict=True)
+        ]
+        for slot, segments in long.items():
+            for s in segments:
+                del self.late[slot][s]
+        if sum(map(len, self.late.values())) >= KEPT_SEGMENTS:
+            self.old, self.late = self.late, {}  # frequent segments will come back from the old ones
         return ids
 
+    def encode(self, text: str, slot: int = 0) -> list[int]:
+        return self.encode_all([text], [slot])[0]
+
     def _segments(self, text: str) -> list[str]:
         if self.one_line:
             return self.cut.findall(text)
@@ -90,20 +122,74 @@ class PieceCodec:
             out.append("\n")
         return out[:-1]
 
-    def _kept(self, segment: str, slot: int, late: dict[str, list[int]]) -> list[int]:
-        """Frequent segments survive: when the late ones are many, they become the old ones."""
-        own = self.old.get(slot, {}).get(segment) or self._merged(segment, slot)
-        if len(segment) <= KEPT_LENGTH:
-            late[segment] = own
-            if sum(map(len, self.late.values())) >= KEPT_SEGMENTS:
-                self.old, self.late = self.late, {k: {} for k in self.late}
-        return own
-
     def decode(self, ids: list[int]) -> str:
         """The text of some ids; the space that encoding puts first is taken away."""
         of = self.bytes_of
         return b"".join([of[i] for i in ids])[1:].decode()
 
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What neighbouring symbols merge to (rank << 32 | piece), or ``_NONE``."""
+        pair = left.astype(np.int64) << 20 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (left >= 0) & (right >= 0), self.results[at], _NONE)
+
+    def _merged_together(self, segments: list[str], slot: int, width: int) -> list[list[int]]:
+        """:meth:`_merged` of many short segments: in each round every segment takes one entry of its agenda.
+
+        A segment is a row of symbols, and of what each merges to with the next one.
+        """
+        rows = len(segments)
+        columns = np.arange(width + 1)
+        lengths = np.fromiter(map(len, segments), np.int64, rows)
+        symbol = np.full((rows, width + 1), -3, dtype=np.int32)
+        symbol[columns < lengths[:, None]] = self.id_of[np.frombuffer("".join(segments).encode("utf-32-le"), "<u4")]
+        at = np.broadcast_to(columns, symbol.shape).astype(np.int32)  # the sign a symbol starts with
+        merges = np.full((rows, width + 1), _NONE)
+        merges[:, :-1] = self._look_up(symbol[:, :-1], symbol[:, 1:])
+        key = np.array([self._key(s, slot) for s in segments], dtype=np.uint64)
+        live = np.arange(rows)
+        while len(live):
+            # the best score first, the leftmost of equals: ranks are above, pieces below
+            k = (merges[live] >> 32).argmin(axis=1)
+            found = merges[live, k]
+            some = found != _NONE
+            live, k, found = live[some], k[some], found[some]
+            if not len(live):
+                break
+            piece = (found & _PIECE).astype(np.int32)
+            if self.limit:
+                h = key[live] ^ (at[live, k].astype(np.uint64) << np.uint64(20) | piece.astype(np.uint64)) * np.uint64(_FACTOR)
+                skipped = ((h ^ h >> np.uint64(32)) * np.uint64(_SPREAD)) >> np.uint64(11) < self.limit
+                merges[live[skipped], k[skipped]] = _NONE
+                rows_now, k, piece = live[~skipped], k[~skipped], piece[~skipped]
+            else:
+                rows_now = live
+            symbol[rows_now, k] = piece
+            # close the gap the right symbol leaves
+            source = np.minimum(columns + (columns > k[:, None]), width)
+            for table in (symbol, at, merges):
+                table[rows_now] = np.take_along_axis(table[rows_now], source, axis=1)
+            symbol[rows_now, -1], merges[rows_now, -1] = -3, _NONE
+            merges[rows_now, k] = self._look_up(piece, symbol[rows_now, np.minimum(k + 1, width)])
+            left = k > 0
+            r, b = rows_now[left], k[left] - 1
+            merges[r, b] = self._look_up(symbol[r, b], piece[left])
+        used = symbol > -3
+        flat = symbol[used].tolist()
+        stops = np.cumsum(used.sum(axis=1)).tolist()
+        out = [flat[a:b] for a, b in pairwise([0, *stops])]
+        for r in np.flatnonzero((symbol == -1).any(axis=1)).tolist():
+            out[r] = []
+            for x, p in zip(symbol[r].tolist(), at[r].tolist(), strict=True):
+                if x >= 0:
+                    out[r].append(x)
+                elif x == -1:
+                    out[r] += [self.byte_id[b] for b in segments[r][p].encode()]
+        return out
+
+    def _key(self, segment: str, slot: int) -> int:
+        return (zlib.crc32(segment.encode()) << 24 ^ self.seed << 8 ^ slot) * 0x9E3779B97F4A7C15 & _M
+
     def _merged(self, segment: str, slot: int) -> list[int]:
         get, merge, limit = self.char_id.get, self.merge.get, self.limit
         symbol = [get(c, -1) for c in segment]
@@ -114,7 +200,7 @@ class PieceCodec:
             found & ~_PIECE | k for k, pair in enumerate(pairwise(symbol)) if (found := merge(pair[0] << 20 | pair[1]))
         ]
         heapify(agenda)
-        key = (zlib.crc32(segment.encode()) << 24 ^ self.seed << 8 ^ slot) * 0x9E3779B97F4A7C15
+        key = self._key(segment, slot)
         while agenda:
             entry = heappop(agenda)
             k = entry & _PIECE
@@ -126,8 +212,8 @@ class PieceCodec:
                 continue  # what stood here has been merged with something else
             piece = found & _PIECE
             if limit:
-                h = (key ^ (k << 20 | piece) * 0xD6E8FEB86659FD93) & _M
-                if ((h ^ h >> 32) * 0xC2B2AE3D27D4EB4F & _M) >> 11 < limit:
+                h = (key ^ (k << 20 | piece) * _FACTOR) & _M
+                if ((h ^ h >> 32) * _SPREAD & _M) >> 11 < limit:
                     continue
             symbol[k], symbol[j] = piece, -2
             after[k] = m = after[j]
@@ -179,8 +265,8 @@ def encoded(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path, dropout, seed)
         for batch in in_chunks(batches, "text"):
-            slot = _slots(batch.column("doc_id"), slots)
-            ids = [own.encode(t, s) for t, s in zip(batch.column("text").to_pylist(), slot, strict=True)]
+            slot, texts = _slots(batch.column("doc_id"), slots), batch.column("text").to_pylist()
+            ids = own.encode_all(texts, slot)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(slot, pa.int32()), pa.array(ids, pa.list_(pa.int32()))],
                 names=["doc_id", "text_hash", "slot", "ids"],
@@ -217,10 +303,9 @@ def round_trips(
         is_byte = np.zeros(len(own.bytes_of), dtype=bool)
         is_byte[own.byte_id] = True
         for batch in in_chunks(batches, "text"):
-            slot = _slots(batch.column("doc_id"), slots)
+            slot, texts = _slots(batch.column("doc_id"), slots), batch.column("text").to_pylist()
             rows = []
-            for text, s in zip(batch.column("text").to_pylist(), slot, strict=True):
-                ids = own.encode(text, s)
+            for text, ids in zip(texts, own.encode_all(texts, slot), strict=True):
                 array = np.array(ids, dtype="<u4")
                 rows.append((len(ids), int(is_byte[array].sum()), crc32(array), own.decode(ids) == text))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
