@@ -27,7 +27,7 @@ from sheaf.llm.common import crc32, in_chunks, text_hash, text_or_empty
 
 DROPOUT, SEED, SLOTS = 0.1, 17, 2
 #: Segments after which a worker starts to forget, and the longest one it keeps.
-KEPT_SEGMENTS, KEPT_LENGTH = 400_000, 48
+KEPT_SEGMENTS, KEPT_LENGTH = 600_000, 48
 
 _M, _PIECE = (1 << 64) - 1, (1 << 32) - 1
 _FACTOR, _SPREAD = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
@@ -264,7 +264,7 @@ def encoded(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path, dropout, seed)
-        for batch in in_chunks(batches, "text"):
+        for batch in in_chunks(batches, "text", 8 << 20):
             slot, texts = _slots(batch.column("doc_id"), slots), batch.column("text").to_pylist()
             ids = own.encode_all(texts, slot)
             yield pa.RecordBatch.from_arrays(
@@ -302,7 +302,7 @@ def round_trips(
         own = codec(model_path, dropout, seed)
         is_byte = np.zeros(len(own.bytes_of), dtype=bool)
         is_byte[own.byte_id] = True
-        for batch in in_chunks(batches, "text"):
+        for batch in in_chunks(batches, "text", 8 << 20):
             slot, texts = _slots(batch.column("doc_id"), slots), batch.column("text").to_pylist()
             rows = []
             for text, ids in zip(texts, own.encode_all(texts, slot), strict=True):
