@@ -33,6 +33,8 @@ class Extracted:
     results: DataFrame  # doc_path, status, n_parts, n_errors
     errors: DataFrame  # doc_path, batch_no, error
     responses: DataFrame  # one row per attempt of every pass
+    ledger_path: str | None = None
+    run_id: str = "run"
 
     def report(self) -> dict:
         totals = extraction_report(self.results).first().asDict()
@@ -40,7 +42,15 @@ class Extracted:
         return totals
 
     def write(self, path: str) -> int:
-        return write_records(self.parts, path)
+        """Write the records, and only then call their papers finished.
+
+        A paper is skipped by later runs once it is in the ledger, so nothing may be in
+        there whose records are not on disk.
+        """
+        written = write_records(self.parts, path)
+        if self.ledger_path:
+            append_ledger(self.results, self.ledger_path, self.run_id)
+        return written
 
 
 def extract(
@@ -61,7 +71,8 @@ def extract(
 
     ``pages`` has doc_path, page_no, page_count, image_bytes_len, image_url. Batches whose
     answer is not a complete record are asked again with a correction, ``schema_retries``
-    times. With ``ledger_path``, finished papers are skipped and newly finished ones added.
+    times. With ``ledger_path``, finished papers are skipped, and writing the result adds
+    the newly finished ones.
     """
     spark = papers.sparkSession
     ledger = read_ledger(spark, ledger_path) if ledger_path else None
@@ -82,9 +93,10 @@ def extract(
         passes.append(responses)
         read = with_response_text(responses.filter("final")).select(*BATCH_KEYS, "text", "text_error")
         answers = stage(with_schema_error(with_json_value(read, "text").drop("text")), "answers")
-        again = answers.filter("text_error is null and schema_error is not null")
+        wrong = F.col("text_error").isNull() & F.col("schema_error").isNotNull()
+        again = answers.filter(wrong)
         if attempt < schema_retries:
-            settled = answers.join(again, ["doc_path", "batch_no"], "left_anti")
+            settled = answers.filter(~wrong)
             todo = todo.join(again.select("doc_path", "batch_no"), ["doc_path", "batch_no"], "left_semi")
         else:
             settled = answers
@@ -96,7 +108,5 @@ def extract(
     outcomes = batch_outcomes(checked, schema_retries + 1)
     fatal = fatal_errors(papers, oversized, max_mb)
     results = stage(document_results(papers, outcomes, fatal), "document-results")
-    if ledger_path:
-        append_ledger(results, ledger_path, run_id)
     parts = outcomes.filter("record_json is not null").select("doc_path", "batch_no", "record_json")
-    return Extracted(parts, results, document_errors(outcomes, fatal), responses)
+    return Extracted(parts, results, document_errors(outcomes, fatal), responses, ledger_path, run_id)

@@ -32,10 +32,9 @@ def merge(spark: SparkSession, inputs: Sequence[str], output: str, ordered: bool
 
     def job(python_judges: bool) -> int:
         records = read_jsonl(spark, inputs, python_judges=python_judges)
-        # appending: a first try that met a bad line leaves an empty folder behind
         if ordered:
-            return write_lines(index_records(records), output, "record", ["record_index"], mode="append")
-        return write_lines(records, output, "record", mode="append")
+            return write_lines(index_records(records), output, "record", ["record_index"])
+        return write_lines(records, output, "record")
 
     return run_strict(spark, inputs, job)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -20,15 +21,29 @@ def write_jsonl(
     return write_lines(rows.withColumn("_line", F.to_json(F.struct(*fields))), path, "_line", order)
 
 
-def write_lines(
-    rows: DataFrame, path: str, line_col: str, order: Sequence[str] = (), mode: str = "errorifexists"
-) -> int:
-    """Write ready JSON text, one row per line; return the number of rows."""
+def write_lines(rows: DataFrame, path: str, line_col: str, order: Sequence[str] = ()) -> int:
+    """Write ready JSON text, one row per line; return the number of rows.
+
+    The files are written beside the target and moved there once all are complete, so a
+    failed write leaves nothing behind, and a repeated one finds nothing to add to,
+    however the cluster commits its tasks.
+    """
+    spark = rows.sparkSession
+    require_new(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
     if order:
         rows = rows.orderBy(*order)
     written = Observation("written")
     lines = rows.select(F.col(line_col).alias("value")).observe(written, F.count(F.lit(1)).alias("n"))
-    lines.write.mode(mode).text(path)
+    try:
+        lines.write.text(aside.toString())
+        if not fs.rename(aside, target):
+            raise FileExistsError(f"cannot move the finished files to {path}")
+    except BaseException:
+        fs.delete(aside, True)
+        raise
     return written.get["n"]
 
 
@@ -36,7 +51,7 @@ def require_new(spark: SparkSession, path: str) -> None:
     """Refuse an existing target before any work is done."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        raise FileExistsError(f"Output already exists; choose a new output path: {path}")
+        raise FileExistsError(f"the target {path} already exists")
 
 
 def write_records(parts: DataFrame, path: str) -> int:

@@ -1,19 +1,20 @@
-"""Incremental intake: hand each new page file to the batch job once."""
+"""Incremental intake: hand the pages of new papers, once all are there, to the batch job."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sheaf.session import read_table_if_any, stage
 from sheaf.sources.papers import pending_papers, read_ledger
 
 PAGES_SCHEMA = "doc_path string, page_no int, page_count int, image_bytes_len bigint, image_url string"
 
 
 def stream_pages(spark: SparkSession, folder: str, schema: str = PAGES_SCHEMA, files_per_trigger: int = 1000) -> DataFrame:
-    """Page tables arriving as Parquet files. A paper's pages must arrive in one file."""
+    """Page tables arriving as Parquet files, a paper's pages in one file or several."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
@@ -24,14 +25,30 @@ def start_intake(
     ledger_path: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Run ``run_batch(pages, run_id)`` on the pages of papers that are not finished.
-
-    The stream's checkpoint decides which files are new; the ledger which papers are
-    done. A batch that is replayed after a failure finds its finished papers there.
+    """Run ``run_batch(pages, run_id)`` on the pages of complete papers that are not finished.
+
+    The stream's checkpoint decides which files are new; the ledger, to which
+    ``run_batch`` adds once its records are written, which papers are done. Pages of
+    papers that are not all there yet, or that failed, wait in a table beside the ledger
+    and come back with the next trigger that has new files; a page sent again replaces
+    the one that waits. Each trigger reads the table its predecessor left and writes its
+    own, so a batch replayed after a failure sees what it saw before.
     """
+    def waiting(batch_id: int) -> str:
+        return f"{ledger_path.rstrip('/')}.waiting/batch={batch_id}"
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        ledger = read_ledger(batch.sparkSession, ledger_path)
-        run_batch(pending_papers(batch, ledger), f"intake-{batch_id}")
+        spark = batch.sparkSession
+        pages = batch.dropDuplicates(["doc_path", "page_no"])
+        held = read_table_if_any(spark, waiting(batch_id - 1), batch.schema.simpleString()[7:-1].replace(":", " "))
+        if held is not None:
+            pages = pages.unionByName(held.join(pages.select("doc_path", "page_no"), ["doc_path", "page_no"], "left_anti"))
+        pages = stage(pending_papers(pages, read_ledger(spark, ledger_path)), "intake")
+        there = pages.groupBy("doc_path").agg(F.count(F.lit(1)).alias("n"), F.max("page_count").alias("all"))
+        whole = there.filter(F.col("n") >= F.col("all")).select("doc_path")
+        run_batch(pages.join(whole, "doc_path", "left_semi"), f"intake-{batch_id}")
+        left = pending_papers(pages, read_ledger(spark, ledger_path))
+        left.write.mode("overwrite").parquet(waiting(batch_id))
 
     writer = pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -86,6 +86,36 @@ def test_merge_keeps_order_and_duplicates(spark, tmp_path, small_splits):
     assert tools.merge(spark, [b, b], str(tmp_path / "any"), ordered=False) == 2
 
 
+def test_a_failed_merge_leaves_nothing_and_lines_come_once(spark, tmp_path):
+    inputs = [write(tmp_path / f"{k}.jsonl", "".join('{"k":%d}\n' % i for i in range(100))) for k in range(5)]
+    broken = write(tmp_path / "broken.jsonl", '{"k":\n')
+    conf = "mapreduce.fileoutputcommitter.algorithm.version"
+    hadoop = spark._jsc.hadoopConfiguration()
+    before = hadoop.get(conf)
+    try:
+        for version in ("1", "2"):
+            hadoop.set(conf, version)
+            for ordered in (True, False):
+                out = tmp_path / f"out-{version}-{ordered}"
+                write(tmp_path / "broken.jsonl", '{"k":\n')
+                with pytest.raises(JsonlError, match="broken.jsonl:1"):
+                    tools.merge(spark, [*inputs, broken], str(out), ordered)
+                assert not [p for p in tmp_path.iterdir() if "out-" in p.name and p.name.lstrip(".").startswith(out.name)]
+                write(tmp_path / "broken.jsonl", '{"k":NaN}\n')
+                assert tools.merge(spark, [*inputs, broken], str(out), ordered) == 501
+                assert len(text_of(str(out)).splitlines()) == 501
+    finally:
+        hadoop.set(conf, before or "1")
+
+
+def test_of_repeated_members_the_last_counts(spark, tmp_path):
+    path = write(tmp_path / "twice.jsonl", '{"a":1,"text":"x","a":2}\n{"b":{"c":1,"c":[2]}}\n')
+    out = str(tmp_path / "merged")
+    assert tools.merge(spark, [path], out) == 2
+    assert text_of(out) == '{"a":2,"text":"x"}\n{"b":{"c":[2]}}\n'
+    assert bad_lines(spark, [path]).count() == 0
+
+
 def test_lines_only_python_decodes_pass(spark, tmp_path):
     path = write(tmp_path / "n.jsonl", '{"a":NaN}\n{"b":1}\n \n{"c":-Infinity,"d":"é"}\n')
     assert tools.count(spark, path) == 3

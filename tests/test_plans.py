@@ -121,7 +121,8 @@ def test_intake_hands_over_new_pages_of_unfinished_papers(spark, tmp_path):
     def run_batch(pages, run_id):
         papers = pages.select("doc_path", "page_count").distinct()
         seen.append(sorted(r.doc_path for r in papers.collect()))
-        extract(papers, pages, "read", reading_model, ledger_path=ledger, run_id=run_id, max_retries=0, backoff_s=0.0)
+        done = extract(papers, pages, "read", reading_model, ledger_path=ledger, run_id=run_id, max_retries=0, backoff_s=0.0)
+        done.write(str(tmp_path / run_id))
 
     def arrive(spec):
         spark.createDataFrame(page_rows(spec), PAGES).coalesce(1).write.mode("append").parquet(folder)
@@ -137,6 +138,26 @@ def test_intake_hands_over_new_pages_of_unfinished_papers(spark, tmp_path):
     run()
     assert seen == [["a", "down"], ["b", "down"]]
     assert sorted(r.doc_path for r in spark.read.parquet(ledger).collect()) == ["a", "b"]
+    # a paper whose pages come in two files waits for the second; a failed one comes back unasked
+    rows = page_rows({"split": 2})
+    for part in (rows[:1], rows[1:]):
+        spark.createDataFrame(part, PAGES).coalesce(1).write.mode("append").parquet(folder)
+        run()
+    assert seen[2:] == [["down"], ["down", "split"]]
+    assert spark.read.parquet(ledger).filter("doc_path = 'split'").count() == 1
+
+
+def test_papers_stay_pending_until_their_records_are_written(spark, tmp_path):
+    pages = spark.createDataFrame(page_rows({"a": 1, "b": 2}), PAGES)
+    papers = pages.select("doc_path", "page_count").distinct()
+    ledger = staged_path(spark, "ledger")
+    (tmp_path / "there").mkdir()
+    done = extract(papers, pages, "read", reading_model, ledger_path=ledger, backoff_s=0.0)
+    with pytest.raises(FileExistsError):
+        done.write(str(tmp_path / "there"))
+    again = extract(papers, pages, "read", reading_model, ledger_path=ledger, backoff_s=0.0)
+    assert again.write(str(tmp_path / "records")) == 2
+    assert extract(papers, pages, "read", reading_model, ledger_path=ledger, backoff_s=0.0).results.count() == 0
 
 
 def test_translate(spark, tmp_path):
