@@ -16,14 +16,15 @@ from sheaf import fixed
 from sheaf.functions.text import count_words
 from sheaf.operators.ordering import with_dense_index
 from sheaf.operators.responses import total_usage
-from sheaf.operators.stats import hugging_face_counter, token_counter, tokenizer_file_counter
+from sheaf.operators.stats import token_counter
 from sheaf.plans import tools
 from sheaf.plans.extract import extract
 from sheaf.plans.generate import generate
 from sheaf.plans.translate import translate
-from sheaf.session import JOB_CONF, spread
+from sheaf.session import JOB_CONF
 from sheaf.sources.jsonl import index_records, read_jsonl, run_strict
 from sheaf.sources.papers import read_prompts, read_records
+from sheaf.sources.sinks import require_new
 
 
 def positive(text: str) -> int:
@@ -50,12 +51,14 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--threads", type=positive, default=1, help="calls at a time inside a task")
             sub.add_argument("--max-retries", type=int, default=fixed.MAX_RETRIES)
             sub.add_argument("--waves", type=positive, default=1, help="number of commits of the responses")
-            sub.add_argument("--responses", help="response table; an existing one is continued")
+            sub.add_argument("--responses", help="response table, by default beside the output; an existing one is continued")
+            sub.add_argument("--errors", help="folder for one JSON line per paper, call or batch that failed")
             sub.add_argument("-o", "--output", required=True)
         return sub
 
     sub = command("extract", "records from page tables", model=True)
     sub.add_argument("pages", help="Parquet table of pages")
+    sub.add_argument("--papers", help="Parquet table of papers (doc_path, page_count); needed for papers without pages to fail")
     sub.add_argument("--prompt", required=True, help="file with the extraction prompt")
     sub.add_argument("--pages-per-request", type=positive, default=fixed.PAGES_PER_REQUEST)
     sub.add_argument("--image-max-mb", type=float, default=fixed.IMAGE_MAX_MB)
@@ -80,13 +83,12 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("-o", "--output", required=True)
     sub.add_argument("--unordered", action="store_true")
     command("count", "count records").add_argument("input")
-    command("task-stats", "records per task type").add_argument("input")
+    sub = command("task-stats", "records per task type")
+    sub.add_argument("input")
+    sub.add_argument("-o", "--output", help="folder for the table; without it every type is printed")
     sub = command("tokens", "token statistics per line")
     sub.add_argument("input")
-    which = sub.add_mutually_exclusive_group()
-    which.add_argument("--tokenizer-model", help="name of a Hugging Face tokenizer")
-    which.add_argument("--tokenizer-file", help="a tokenizer.json")
-    which.add_argument("--counter", type=named, metavar="MODULE:FACTORY", help="builds a function from texts to counts")
+    sub.add_argument("--counter", type=named, metavar="MODULE:FACTORY", help="builds a function from texts to counts")
     command("usage", "token usage of a response table").add_argument("input")
     sub = command("calibration-set", "seeded draw of chat messages")
     sub.add_argument("input")
@@ -109,13 +111,23 @@ def records_of(spark: SparkSession, path: str):
 
         indexed = run_strict(spark, [path], read)
         indexed = indexed.withColumnRenamed("record", "record_json")
-    return spread(indexed.select("paper_index", "record_json"))
+    return indexed.select("paper_index", "record_json")
+
+
+def write_errors(errors, path: str | None) -> None:
+    if path:
+        errors.write.json(path)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, int]:
     """The command's report and its exit code."""
     model = {}
+    for target in (getattr(args, "output", None), getattr(args, "errors", None)):
+        if target:
+            require_new(spark, target)
     if hasattr(args, "model"):
+        args.responses = args.responses or f"{args.output.rstrip('/')}.responses"
+        print(f"responses: {args.responses}", file=sys.stderr)
         model = {
             "concurrency": args.concurrency, "threads": args.threads, "max_retries": args.max_retries,
             "waves": args.waves, "responses_path": args.responses,
@@ -123,26 +135,32 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, int]:
     match args.command:
         case "extract":
             pages = spark.read.parquet(args.pages)
-            papers = pages.select("doc_path", "page_count").distinct()
+            papers = spark.read.parquet(args.papers) if args.papers else pages
+            papers = papers.select("doc_path", "page_count").distinct()
             prompt = spark.read.text(args.prompt, wholetext=True).first().value.strip()
             done = extract(
                 papers, pages, prompt, args.model, args.pages_per_request, args.image_max_mb,
                 ledger_path=args.ledger, run_id=args.run_id, **model,
             )
-            return {"written": done.write(args.output), **done.report()}, 0
+            written = done.write(args.output)
+            write_errors(done.errors, args.errors)
+            return {"written": written, **done.report()}, 0
         case "generate":
             done = generate(
                 records_of(spark, args.input), read_prompts(spark, args.prompts), args.method, args.model,
                 args.max_sample_chars, **model,
             )
             report = {"written": done.write(args.output, args.method, not args.unordered), **done.report()}
+            write_errors(done.results.filter("error is not null").select("paper_index", "task_type", "error"), args.errors)
             return report, 1 if report["failed_calls"] else 0
         case "translate":
             done = translate(
                 spark, [args.input], args.language, args.model, batch_size=args.batch_size,
                 max_chars=args.max_batch_chars, **model,
             )
-            return {"written": done.write(args.output), **done.report()}, 0
+            written = done.write(args.output)
+            write_errors(done.checked.filter("fault is not null").select("batch_no", "fault"), args.errors)
+            return {"written": written, **done.report()}, 0
         case "merge":
             written = tools.merge(spark, args.inputs, args.output, not args.unordered)
             return {"files": len(args.inputs), "written": written}, 0
@@ -150,15 +168,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, int]:
             return {"samples": tools.count(spark, args.input)}, 0
         case "task-stats":
             stats, totals = tools.task_statistics(spark, args.input)
-            stats.show(1000, truncate=False)
+            if args.output:
+                stats.write.json(args.output)
+            else:
+                for row in stats.toLocalIterator():
+                    print(json.dumps(row.asDict(), ensure_ascii=False))
             return totals.first().asDict(), 0
         case "tokens":
-            factory = args.counter
-            if args.tokenizer_model:
-                factory = hugging_face_counter(args.tokenizer_model)
-            elif args.tokenizer_file:
-                factory = tokenizer_file_counter(spark.read.text(args.tokenizer_file, wholetext=True).first().value)
-            counter = token_counter(factory) if factory else count_words
+            counter = token_counter(args.counter) if args.counter else count_words
             return tools.token_statistics(spark, args.input, counter).first().asDict(), 0
         case "usage":
             return total_usage(spark.read.parquet(args.input)).first().asDict(), 0

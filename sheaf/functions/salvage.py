@@ -1,117 +1,87 @@
 """Finding the JSON value inside a model's answer.
 
-Nearly all answers are plain or fenced JSON and never leave the JVM. Only the rest is
-sent through an Arrow UDF, which looks for the first decodable value.
+Fences are taken off in the JVM. Nearly all answers are then plain JSON and are decoded
+there; only rows with another answer are sent to Python, which looks for the first value
+that can be decoded.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sheaf.fixed import EXOTIC_LINE_ENDS
 from sheaf.functions.binding import let
 from sheaf.functions.json_text import canonical, root_kind
 from sheaf.functions.text import _col, strip
+from sheaf.session import stage
 
-SALVAGED = "struct<kind:string,value:string>"
+DECODED = "struct<kind:string,value:string>"
+KINDS = {dict: "object", list: "array"}
 
 
-def _scanner(whole_text: bool) -> Callable[[str], tuple[str, str] | None]:
-    """Per-answer fallback; built inside the task so that only this closure travels."""
-    import json
-    import re
+def _told(value: object) -> tuple[str, str] | None:
+    """Kind and compact text of a decoded value; null for one that is nested too deeply."""
+    try:
+        text = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    except RecursionError:
+        return None
+    # a lone surrogate has no UTF-8 form and would end the whole job; leave it escaped
+    return KINDS.get(type(value), "scalar"), re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04X}", text)
 
-    surrogate = re.compile("[\ud800-\udfff]")
-    decoder = json.JSONDecoder()
 
-    def unfenced(answer: str) -> str:
-        answer = answer.strip()
-        if not answer.startswith("```"):
-            return answer
-        body = answer.splitlines()[1:]
-        if body and body[-1].strip() == "```":
-            del body[-1]
-        return "\n".join(body).strip()
-
-    def first_value(answer: str):
-        candidate = unfenced(answer)
-        try:
-            return json.loads(candidate)
-        except json.JSONDecodeError:
-            pass
-        starts = sorted(
-            {i for opener in "[{" for i in _positions(candidate, opener)}
-        )
-        for start in starts:
-            try:
-                return decoder.raw_decode(candidate, start)[0]
-            except json.JSONDecodeError:
-                continue
-        raise ValueError("no JSON value")
-
-    def _positions(s: str, ch: str):
-        at = s.find(ch)
-        while at >= 0:
-            yield at
-            at = s.find(ch, at + 1)
-
-    def salvage(answer: str):
+def _values(text: str, inside: bool) -> Iterator[tuple[str, str] | None]:
+    """The whole text as a value; then, with ``inside``, whatever starts at a bracket, in order."""
+    decoder = json.JSONDecoder()
+    places = (m.start() for m in re.finditer(r"[\[{]", text)) if inside else ()
+    for decode in (lambda: json.loads(text), *((lambda p=p: decoder.raw_decode(text, p)[0]) for p in places)):
         try:
-            value = json.loads(answer) if whole_text else first_value(answer)
-            text = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+            yield _told(decode())
         except (ValueError, RecursionError):
-            return None
-        kind = {dict: "object", list: "array"}.get(type(value), "scalar")
-        # a lone surrogate has no UTF-8 form and would end the whole job; leave it escaped
-        return kind, surrogate.sub(lambda m: f"\\u{ord(m[0]):04X}", text)
-
-    return salvage
-
+            continue
 
-def _fallback_udf(whole_text: bool = False):
-    scanner = _scanner
 
-    @F.pandas_udf(SALVAGED)
-    def salvage_rest(batches: pd.Series) -> pd.DataFrame:
-        salvage = scanner(whole_text)
-        found = [salvage(a) if a is not None else None for a in batches]
-        return pd.DataFrame(
-            {
-                "kind": [f[0] if f else None for f in found],
-                "value": [f[1] if f else None for f in found],
-            }
-        )
-
-    return salvage_rest
+def _first_value(text: str, inside: bool) -> tuple[str, str] | None:
+    return next(_values(text, inside), None)
 
 
 def decoded(text: Column) -> Column:
     """Struct of ``kind`` and ``value`` of a text that is one JSON value to Python's
     decoder, which also takes NaN and repeated keys; null for others and for null.
     """
-    return _fallback_udf(whole_text=True)(text)
+
+    @F.pandas_udf(DECODED)
+    def decode(texts: pd.Series) -> pd.DataFrame:
+        found = [None if t is None else _first_value(t, inside=False) for t in texts]
+        return pd.DataFrame([f or (None, None) for f in found], columns=["kind", "value"], dtype=object)
+
+    return decode(text)
 
 
-def _unfenced(text: Column) -> Column:
-    """Stripped answer without its code fence, whose lines end in line feeds.
+def unfenced(text: Column | str) -> Column:
+    """The stripped answer without its code fence, closed or left open.
 
-    Null for a fence that is left open, closed by a line with more than backticks, or
-    that holds other line ends: the fallback reads those. Plain searches do here what
-    regular expressions took most of the time of reading an answer for.
+    A fence is a first line that starts with three backticks; a last line of nothing but
+    these closes it. Lines may end in any way that Python knows; inside a fence all ends
+    become line feeds.
     """
 
-    def body(t: Column) -> Column:
-        feed = F.instr(t, "\n")
-        closed = (feed > 0) & t.endswith("\n```")
-        for end in "\r" + EXOTIC_LINE_ENDS:
-            closed = closed & ~t.contains(end)
-        inside = t.substr(feed + 1, F.length(t) - feed - 3)
-        return F.when(~t.startswith("```"), t).when(closed, inside)
+    def inside(t: Column) -> Column:
+        def unclosed(body: Column) -> Column:
+            last = F.substring_index(body, "\n", -1)
+            head = body.substr(F.lit(1), F.length(body) - F.length(last) - 1)
+            return strip(F.when(strip(last) == "```", head).otherwise(body))
 
-    return let(strip(text), body)
+        lines = F.regexp_replace(t, f"\r\n|[\r{EXOTIC_LINE_ENDS}]", "\n")
+        first = F.length(F.substring_index(lines, "\n", 1))
+        return let(lines.substr(first + 2, F.length(lines)), unclosed)
+
+    return let(strip(_col(text)), lambda t: F.when(t.startswith("```"), inside(t)).otherwise(t))
 
 
 def fast_json(text: Column | str) -> Column:
@@ -128,7 +98,7 @@ def fast_json(text: Column | str) -> Column:
 
         return let(canonical(body), judged)
 
-    return let(_unfenced(_col(text)), read)
+    return let(unfenced(text), read)
 
 
 def with_fast_json(df: DataFrame, text_col: str, kind: str, value: str) -> DataFrame:
@@ -139,13 +109,22 @@ def with_fast_json(df: DataFrame, text_col: str, kind: str, value: str) -> DataF
 def with_json_value(df: DataFrame, text_col: str, kind: str = "json_kind", value: str = "json") -> DataFrame:
     """Add the JSON value found in an answer: its kind and its compact text.
 
-    Both are null when no value can be decoded. A null answer gives null.
+    Both are null when no value can be decoded. A null answer gives null. The table is
+    written once with what the JVM reads; of its two parts only the refused rows see Python.
     """
-    df = df.withColumn("_fast", fast_json(text_col))
-    rest = F.when(F.col("_fast").isNull(), F.col(text_col))
-    df = df.withColumn("_rest", _fallback_udf()(rest))
-    return (
-        df.withColumn(kind, F.coalesce("_fast.kind", "_rest.kind"))
-        .withColumn(value, F.coalesce("_fast.value", "_rest.value"))
-        .drop("_fast", "_rest")
-    )
+    read = stage(with_fast_json(df, text_col, kind, value), "decoded")
+    refused = F.col(kind).isNull() & F.col(text_col).isNotNull()
+    rest = read.filter(refused).withColumn("_body", unfenced(text_col)).drop(kind, value)
+    kept = [c for c in rest.columns if c != "_body"]
+
+    def salvage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [_first_value(t, inside=True) or (None, None) for t in batch["_body"]]
+            out = batch[kept].copy()
+            out[kind] = pd.Series([f[0] for f in found], index=out.index, dtype=object)
+            out[value] = pd.Series([f[1] for f in found], index=out.index, dtype=object)
+            yield out
+
+    schema = StructType([*rest.drop("_body").schema, StructField(kind, StringType()), StructField(value, StringType())])
+    salvaged = rest.mapInPandas(salvage, schema)
+    return read.filter(~refused).unionByName(salvaged)

@@ -20,14 +20,13 @@ def add_position(
     within: Sequence[str] = (),
     first: int = 0,
     keep: str | None = None,
-    few_ranges: bool = False,
 ) -> DataFrame:
     """Number the rows of a landed table densely in the order (``by``, ``pos``).
 
     ``pos`` must grow by one from row to row inside each range ``by``. Only one row per
     range (a byte range of a file, or a written partition) takes part in the running
     sum. ``within`` restarts the numbers, ``keep`` selects the rows to return. Ranges are
-    counted before they are broadcast, unless ``few_ranges`` vouches for their number.
+    counted before they are broadcast.
     """
     ranges = landed.groupBy(*by).agg(F.min(pos).alias("_low"), F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(True))
@@ -35,10 +34,8 @@ def add_position(
     order = order.orderBy(*rest).rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("_base", F.coalesce(F.sum("_n").over(order), F.lit(0)))
     ranges = ranges.select(*by, (F.col("_base") - F.col("_low") + first).alias("_shift"))
-    if not few_ranges:
-        ranges = stage(ranges, "ranges")
-        few_ranges = ranges.count() <= MAX_BROADCAST_RANGES
-    if few_ranges:
+    ranges = stage(ranges, "ranges")
+    if ranges.count() <= MAX_BROADCAST_RANGES:
         ranges = F.broadcast(ranges)
     rows = landed.filter(keep) if keep else landed
     return (
@@ -65,5 +62,4 @@ def with_dense_index(
         F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
     )
     landed = stage(placed, "ordered")
-    # one range per shuffle partition
-    return add_position(landed, by=["_part"], pos="_pos", out=out, few_ranges=True).drop("_part", "_pos")
+    return add_position(landed, by=["_part"], pos="_pos", out=out).drop("_part", "_pos")

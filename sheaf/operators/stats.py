@@ -67,30 +67,6 @@ def token_counter(factory: CounterFactory) -> Callable[[Column | str], Column]:
     return count_tokens
 
 
-def hugging_face_counter(name: str, **options) -> CounterFactory:
-    """Counter of a published tokenizer; the executors need the transformers package."""
-
-    def factory() -> Callable[[list[str]], list[int]]:
-        from transformers import AutoTokenizer
-
-        tokenizer = AutoTokenizer.from_pretrained(name, **options)
-        return lambda texts: [len(ids) for ids in tokenizer(texts, add_special_tokens=False)["input_ids"]]
-
-    return factory
-
-
-def tokenizer_file_counter(definition: str) -> CounterFactory:
-    """Counter of a tokenizer given as the text of its ``tokenizer.json``."""
-
-    def factory() -> Callable[[list[str]], list[int]]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(definition)
-        return lambda texts: [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    return factory
-
-
 def token_stats(lines: DataFrame, text_col: str = "value", counter: Callable[[Column], Column] = count_words) -> DataFrame:
     """Lines, total, mean, smallest and largest number of tokens; zeros without lines.
 

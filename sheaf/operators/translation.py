@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -154,30 +156,23 @@ def translated_rows(checked: DataFrame) -> DataFrame:
 
 def apply_translations(records: DataFrame, translated: DataFrame) -> DataFrame:
     """Records with their translated members; records without a translation are left out."""
-    joined = records.join(translated, "id")
-    # Spark would turn a NaN into a text; the few records that may hold one are patched in Python
-    odd = F.col("record").contains("NaN") | F.col("record").contains("Infinity")
-    patched = _python_patch()(F.when(odd, F.col("record")), F.when(odd, F.to_json("fields")))
-    joined = joined.withColumn("_odd", patched)
-    record = F.coalesce("_odd", patched_object("record", "fields"))
-    return joined.withColumn("record", record).drop("fields", "_odd")
-
-
-def _python_patch():
-    @F.pandas_udf("string")
-    def patch(records: pd.Series, changes: pd.Series) -> pd.Series:
+    # Spark has no NaN and Infinity in JSON: records with such a value are patched in Python.
+    # Texts may hold these letters; only a parser tells, and it is asked for those alone.
+    letters = F.col("record").contains("NaN") | F.col("record").contains("Infinity")
+    odd = letters & F.try_parse_json("record").isNull()
+    plain = records.filter(~odd).join(translated, "id").withColumn("record", patched_object("record", "fields"))
+    rest = records.filter(odd).join(translated, "id").withColumn("fields", F.to_json("fields"))
+    kept = [c for c in rest.columns if c != "fields"]
+
+    def patch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
 
-        def one(record, change):
-            if record is None:
-                return None
-            value = json.loads(record)
-            value.update(json.loads(change))
-            return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-
-        return pd.Series([one(r, c) for r, c in zip(records, changes)], dtype=object)
+        for batch in batches:
+            changed = [json.loads(r) | json.loads(f) for r, f in zip(batch["record"], batch["fields"], strict=True)]
+            batch["record"] = [json.dumps(c, ensure_ascii=False, separators=(",", ":")) for c in changed]
+            yield batch[kept]
 
-    return patch
+    return plain.drop("fields").unionByName(rest.mapInPandas(patch, rest.drop("fields").schema))
 
 
 def translation_report(checked: DataFrame) -> DataFrame:

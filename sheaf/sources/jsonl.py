@@ -93,18 +93,28 @@ def _line_pieces(value: str, last: Column) -> Column:
 
 def line_problem(value: Column | str) -> Column:
     """Why a line is not one JSON object; null for a good or a blank line."""
-    bad = F.when(canonical(value).isNull(), BROKEN).when(root_kind(value) != "object", NOT_OBJECT)
+    bad = F.when(~_is_plain(canonical(value), value), BROKEN).when(root_kind(value) != "object", NOT_OBJECT)
     return F.when(is_filled(value), bad)
 
 
+def _is_plain(compact: Column, value: Column | str) -> Column:
+    """Whether Spark may judge a line alone: one valid value, no object in it with repeated members.
+
+    Of repeated members the last counts; Spark's parser for variants refuses them, so such
+    lines are read by Python's decoder, like those with NaN.
+    """
+    return compact.isNotNull() & F.try_parse_json(value).isNotNull()
+
+
 def with_record(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Drop blank lines and add ``record`` (canonical text) and ``problem``."""
 
     def read(value: Column) -> Column:
         def judged(text: Column) -> Column:
             is_object = root_kind(value) == "object"
-            problem = F.when(text.isNull(), BROKEN).when(~is_object, NOT_OBJECT)
-            return F.struct(F.when(is_object, text).alias("record"), problem.alias("problem"))
+            plain = _is_plain(text, value)
+            problem = F.when(~plain, BROKEN).when(~is_object, NOT_OBJECT)
+            return F.struct(F.when(plain & is_object, text).alias("record"), problem.alias("problem"))
 
         return F.when(is_filled(value), let(canonical(value), judged))
 

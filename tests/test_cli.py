@@ -4,6 +4,7 @@ import json
 import os
 import sys
 
+import pytest
 from pyspark import cloudpickle
 
 from sheaf.__main__ import parser, run
@@ -76,14 +77,42 @@ def test_tools(spark, tmp_path):
     assert call(spark, "merge", path, path, "-o", tmp_path / "m")[0] == {"files": 2, "written": 6}
     assert lines_in(tmp_path / "m") == records * 2
     assert call(spark, "tokens", path, "--counter", f"{HERE}:characters")[0]["total_tokens"] == path.stat().st_size
-    from tokenizers import Tokenizer, models, pre_tokenizers
-
-    words = Tokenizer(models.WordLevel({"?": 0}, unk_token="?"))
-    words.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
-    words.save(str(tmp_path / "tokenizer.json"))
-    blanks = path.read_text(encoding="utf-8").count(" ")
-    assert call(spark, "tokens", path, "--tokenizer-file", tmp_path / "tokenizer.json")[0]["total_tokens"] == blanks + 3
     call(spark, "calibration-set", path, "--calibration-samples", 2, "-o", tmp_path / "c")
     assert len(lines_in(tmp_path / "c")) == 2
     call(spark, "dataset-view", path, "--name", "sft", "-o", tmp_path / "v")
     assert lines_in(tmp_path / "v") == [{"prompt": f"i{n}", "query": "", "response": "o"} for n in range(3)]
+
+
+def test_every_task_type_is_printed(spark, tmp_path, capsys):
+    path = tmp_path / "many.jsonl"
+    path.write_text("".join(json.dumps({"task_type": f"type {n}"}) + "\n" for n in range(1500)), encoding="utf-8")
+    assert call(spark, "task-stats", path)[0]["total"] == 1500
+    assert len({json.loads(x)["task_type"] for x in capsys.readouterr().out.splitlines()}) == 1500
+    call(spark, "task-stats", path, "-o", tmp_path / "table")
+    assert len(lines_in(tmp_path / "table")) == 1500
+
+
+def test_existing_targets_are_refused_before_any_call(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"text":"x"}\n', encoding="utf-8")
+    (tmp_path / "there").mkdir()
+    for more in (("-o", tmp_path / "there"), ("-o", tmp_path / "new", "--errors", tmp_path / "there")):
+        with pytest.raises(FileExistsError):
+            call(spark, "translate", tmp_path / "a.jsonl", "--language", "zh", "--model", f"{HERE}:never", *more)
+    assert sorted(os.listdir(tmp_path)) == ["a.jsonl", "there"]
+
+
+def never(request):
+    raise AssertionError("no call was to be made")
+
+
+def test_papers_without_pages_fail_and_errors_are_written(spark, tmp_path):
+    spark.createDataFrame(
+        [("a", 1, 1, 10, "u")], "doc_path string, page_no int, page_count int, image_bytes_len bigint, image_url string"
+    ).write.parquet(str(tmp_path / "pages"))
+    spark.createDataFrame([("a", 1), ("empty", 0)], "doc_path string, page_count int").write.parquet(str(tmp_path / "papers"))
+    (tmp_path / "prompt.md").write_text("read", encoding="utf-8")
+    report, _ = call(spark, "extract", tmp_path / "pages", "--papers", tmp_path / "papers", "--prompt", tmp_path / "prompt.md",
+                     "-o", tmp_path / "records", "--errors", tmp_path / "errors", "--model", f"{HERE}:model")
+    assert (report["papers"], report["written"]) == (2, 1)
+    assert [e["doc_path"] for e in lines_in(tmp_path / "errors")] == ["empty"]
+    assert (tmp_path / "records.responses").is_dir()
