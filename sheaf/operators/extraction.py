@@ -17,12 +17,12 @@ def with_schema_error(df: DataFrame, kind: str = "json_kind", value: str = "json
     wanted = F.array(*[F.lit(k) for k in RECORD_KEYS])
     missing = F.array_except(wanted, object_keys(value))
     reason = (
-        F.when(F.col(kind).isNull(), "Model response holds no JSON value.")
-        .when(F.col(kind) != "object", "Model returned JSON, but the top-level value is not an object.")
+        F.when(F.col(kind).isNull(), "no JSON value in the answer")
+        .when(F.col(kind) != "object", "the answer is not an object")
         .when(
             F.size(missing) > 0,
             F.concat(
-                F.lit("Model returned an incomplete document schema; missing top-level keys: "),
+                F.lit("members are missing from the record: "),
                 F.array_join(missing, ", "),
             ),
         )
@@ -37,7 +37,7 @@ def batch_outcomes(checked: DataFrame, attempts: int) -> DataFrame:
     error names the number of passes; a request that failed does not.
     """
     schema = F.concat(
-        F.lit(f"Model did not return a complete document schema after {attempts} attempt(s): "), F.col("schema_error")
+        F.lit(f"no complete record after {attempts} attempt(s): "), F.col("schema_error")
     )
     error = F.coalesce("text_error", F.when(F.col("schema_error").isNotNull(), schema))
     return checked.select(
@@ -54,7 +54,7 @@ def error_label(batch_no: Column, batch_count: Column, start_page: Column, end_p
 def fatal_errors(papers: DataFrame, oversized: DataFrame, max_mb: float = IMAGE_MAX_MB) -> DataFrame:
     """Errors that end a paper: no pages at all, or an oversized page."""
     empty = papers.filter(F.col("page_count") < 1).select(
-        "doc_path", F.concat(F.lit("PDF has no pages: "), "doc_path").alias("error")
+        "doc_path", F.concat(F.lit("paper without pages: "), "doc_path").alias("error")
     )
     big = oversized.select(
         "doc_path", oversize_error(F.col("first_bad"), F.col("bad_bytes"), max_mb).alias("error")

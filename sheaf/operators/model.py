@@ -20,6 +20,9 @@ REQUEST_FIELDS = ("request_id", "input", "reasoning_effort", "max_output_tokens"
 
 ModelFn = Callable[[dict], tuple[int, str]]
 
+# how much of a refused answer its error shows; the whole body is kept in its own column
+EXCERPT_CHARS = 150
+
 
 def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int, backoff_s: float, round_no: int):
     """Per-partition loop. A failing request gives an error row and never ends the job."""
@@ -36,14 +39,14 @@ def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int,
                 try:
                     status, body = model_fn(request)
                     if status >= 400:
-                        excerpt = (body or "")[:150]
-                        error = f"HTTP {status}; response body: {excerpt}"
+                        excerpt = (body or "")[:EXCERPT_CHARS]
+                        error = f"HTTP {status}, body: {excerpt}"
                     elif not isinstance(json.loads(body), dict):
-                        error = "Responses API response must be a JSON object."
+                        error = "the body is not a JSON object"
                 except Exception as exc:  # noqa: BLE001 - any failure belongs to this request only
                     error = str(exc) or type(exc).__name__
                 if error is not None:
-                    error = f"Responses API request failed: {error}"
+                    error = f"request failed: {error}"
                 final = error is None or attempt == max_retries
                 told = (request["request_id"], attempt, status, body, error, final, round_no)
                 rows.append(told + tuple(request[k] for k in keys))

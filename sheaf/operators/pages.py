@@ -78,7 +78,7 @@ def guard_oversized(batches: DataFrame, oversized: DataFrame) -> DataFrame:
 def oversize_error(page_no: Column, n_bytes: Column, max_mb: float = IMAGE_MAX_MB) -> Column:
     mb = 1024.0 * 1024.0
     return F.format_string(
-        "Page %d image is %.2f MB, exceeding --image-max-mb=%.2f MB.",
+        "image of page %d has %.2f MB, the limit is %.2f MB",
         page_no, n_bytes / F.lit(mb), F.lit(image_limit(max_mb) / mb),
     )
 

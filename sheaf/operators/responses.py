@@ -47,7 +47,7 @@ def response_text(body: Column | str, error: Column | str) -> Column:
         error_json = F.coalesce(F.to_json(b["error"]), F.lit("null"))
         details = F.coalesce(F.to_json(b["incomplete_details"]), F.lit("null"))
         said_error = ~error_json.isin("null", "false", "0", '""', "[]", "{}")
-        payload_error = F.concat(F.lit("Model API returned an error payload: "), error_json)
+        payload_error = F.concat(F.lit("the model reported an error: "), error_json)
         keys = F.array_join(F.array_sort(object_keys(body)), ", ")
 
         def fault(found: Column) -> Column:
@@ -56,12 +56,12 @@ def response_text(body: Column | str, error: Column | str) -> Column:
                 .when(b["status"] == "failed", payload_error)
                 .when(
                     b["status"] == "incomplete",
-                    F.concat(F.lit("Model API returned an incomplete response: "), details),
+                    F.concat(F.lit("the answer was cut short: "), details),
                 )
                 .when(found.isNotNull(), None)
                 .when(said_error, payload_error)
                 .otherwise(
-                    F.concat(F.lit("Could not find output_text in the Responses API response (keys="), keys, F.lit(")."))
+                    F.concat(F.lit("no text in the answer (members: "), keys, F.lit(")."))
                 )
             )
 
@@ -142,6 +142,6 @@ def object_items(kind: Column | str, value: Column | str) -> Column:
 def with_items(answers: DataFrame, kind: str = "json_kind", value: str = "json") -> DataFrame:
     """Add ``items`` (texts of the object items) and ``items_error``."""
     wrong_root = F.when(
-        F.col(kind) == "scalar", "Model response JSON must be an array of samples."
-    ).when(F.col(kind).isNull(), "Model response holds no JSON value.")
+        F.col(kind) == "scalar", "the samples are not an array"
+    ).when(F.col(kind).isNull(), "no JSON value in the answer")
     return answers.withColumn("items", object_items(kind, value)).withColumn("items_error", wrong_root)

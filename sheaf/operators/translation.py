@@ -116,22 +116,22 @@ def check_batches(answers: DataFrame, kind: str = "json_kind", value: str = "jso
         texts = F.forall(F.map_values(item["fields"]), is_string_variant)
         shown = item["id"].cast("string")
         return (
-            F.when(~item["is_object"] | item["id"].isNull(), "Translation response contains an invalid item or id.")
+            F.when(~item["is_object"] | item["id"].isNull(), "an item has no usable id")
             .when(
                 names.isNull() | item["fields"].isNull(),
-                F.concat(F.lit("Translation response contains unexpected id: "), shown),
+                F.concat(F.lit("an id that was not asked for: "), shown),
             )
-            .when(~(same & texts), F.concat(F.lit("Translation response fields do not match id "), shown, F.lit(".")))
+            .when(~(same & texts), F.concat(F.lit("other members than were sent for id "), shown, F.lit(".")))
         )
 
     def fault(got: Column) -> Column:
         first = F.get(F.filter(F.transform(got, fault_of), lambda f: f.isNotNull()), F.lit(0))
         missing = F.array_except(sent["id"], F.transform(got, lambda i: i["id"]))
         return (
-            F.when(F.col(kind).isNull(), "Translation response holds no JSON value.")
-            .when(got.isNull(), "Translation response must be a JSON array.")
+            F.when(F.col(kind).isNull(), "no JSON value in the translation")
+            .when(got.isNull(), "the translation is not an array")
             .otherwise(
-                F.coalesce(first, F.when(F.size(missing) > 0, "Translation response is missing one or more records."))
+                F.coalesce(first, F.when(F.size(missing) > 0, "records are missing from the translation"))
             )
         )
 

@@ -17,8 +17,8 @@ from sheaf.session import stage
 T = TypeVar("T")
 
 
-BROKEN = "Invalid JSON"
-NOT_OBJECT = "Expected a JSON object"
+BROKEN = "broken JSON"
+NOT_OBJECT = "not a JSON object"
 
 
 class JsonlError(RuntimeError):
@@ -242,11 +242,11 @@ def array_length(text: Column | str, source: Column) -> Column:
     def read(value: Column) -> Column:
         def judged(compact: Column) -> Column:
             return (
-                F.when(compact.isNull(), fault("Invalid JSON in ", source))
+                F.when(compact.isNull(), fault("broken JSON in ", source))
                 .when(root_kind(value) == "array", F.json_array_length(compact).cast("bigint"))
                 .otherwise(
-                    fault("Expected a top-level JSON array in ", source,
-                          "; use a JSONL file for line-delimited records.")
+                    fault("no JSON array in ", source,
+                          "; lines of records belong in a .jsonl file")
                 )
             )
 

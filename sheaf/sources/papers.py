@@ -22,9 +22,9 @@ def list_papers(spark: SparkSession, folder: str) -> DataFrame:
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(where):
-        raise FileNotFoundError(f"Paper directory not found: {folder}")
+        raise FileNotFoundError(f"no such folder of papers: {folder}")
     if not fs.getFileStatus(where).isDirectory():
-        raise NotADirectoryError(f"Paper path is not a directory: {folder}")
+        raise NotADirectoryError(f"not a folder of papers: {folder}")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
     return files.select(F.col("path").alias("doc_path"), "length")
 
@@ -60,17 +60,17 @@ def records_from_text(files: DataFrame, text_col: str = "value") -> DataFrame:
         types = F.from_json(array_text, "array<variant>")
         good = let(types, lambda t: t.isNotNull() & F.forall(t, is_object_variant))
         return F.when(good, F.from_json(array_text, "array<string>", STRICT)).otherwise(
-            fault("Every item in the input JSON array must be an object.")
+            fault("an item of the array is not an object")
         )
 
     def items(text: Column) -> Column:
         def judged(value: Column) -> Column:
             kind = root_kind(text)
             return (
-                F.when(value.isNull(), fault("Input is not valid JSON."))
+                F.when(value.isNull(), fault("the file is not one JSON value"))
                 .when(kind == "array", items_of(value))
                 .when(kind == "object", F.array(value))
-                .otherwise(fault("Input JSON must contain an object or an array of objects."))
+                .otherwise(fault("the value is neither an object nor an array"))
             )
 
         return let(canonical(text), judged)
@@ -106,10 +106,10 @@ def read_prompts(spark: SparkSession, folder: str) -> DataFrame:
     missing = [r.prompt_name for r in missing_prompts(wanted, files).collect()]
     if missing:
         names = ", ".join(f"{folder}/{n}.md" for n in sorted(missing))
-        raise ConfigError(f"Missing prompt files: {names}")
+        raise ConfigError(f"prompts not found: {names}")
     empty = prompts.filter(~is_filled("prompt")).first()
     if empty is not None:
-        raise ConfigError(f"Prompt file is empty: {folder}/{empty.prompt_name}.md")
+        raise ConfigError(f"prompt without text: {folder}/{empty.prompt_name}.md")
     return prompts
 
 

@@ -66,9 +66,9 @@ def test_bad_lines_are_numbered_per_file(spark, tmp_path, small_splits):
     a, b = write(tmp_path / "a.jsonl", "\n".join(lines)), write(tmp_path / "b.jsonl", "\n7\n" + good)
     rows = bad_lines(spark, [a, b]).orderBy("src_ordinal", "line_no").collect()
     assert [(r.src_ordinal, r.line_no, r.problem) for r in rows] == [
-        (0, 8, "Expected a JSON object"), (0, 151, "Invalid JSON"), (0, 300, "Invalid JSON"), (1, 2, "Expected a JSON object")]
+        (0, 8, "not a JSON object"), (0, 151, "broken JSON"), (0, 300, "broken JSON"), (1, 2, "not a JSON object")]
     assert read_jsonl(spark, [a, b], mode="quarantine").count() == 296 + 1
-    with pytest.raises(JsonlError, match=r"Expected a JSON object at .*a\.jsonl:8"):
+    with pytest.raises(JsonlError, match=r"not a JSON object at .*a\.jsonl:8"):
         tools.count(spark, a)
     with pytest.raises(JsonlError, match=r"b\.jsonl:2"):
         tools.merge(spark, [b], str(tmp_path / "out"))
@@ -126,7 +126,7 @@ def test_lines_only_python_decodes_pass(spark, tmp_path):
     assert bad_lines(spark, [path]).collect() == []
     worse = write(tmp_path / "w.jsonl", '{"a":NaN}\nNaN\n{"a":nan}\n')
     assert [(r.line_no, r.problem) for r in bad_lines(spark, [worse]).orderBy("line_no").collect()] == [
-        (2, "Expected a JSON object"), (3, "Invalid JSON")]
+        (2, "not a JSON object"), (3, "broken JSON")]
     with pytest.raises(JsonlError, match="w.jsonl:2"):
         tools.count(spark, worse)
 
@@ -136,7 +136,7 @@ def test_count(spark, tmp_path):
     assert tools.count(spark, write(tmp_path / "b.JSON", '\ufeff[1, "x", {"a":[2]}, null, []]\n')) == 5
     assert tools.count(spark, write(tmp_path / "c.json", "[]")) == 0
     assert tools.count(spark, write(tmp_path / "e.jsonl", "")) == 0
-    for name, data, reason in [("d.json", '{"a":1}', "top-level JSON array"), ("f.json", "[1] x", "Invalid JSON")]:
+    for name, data, reason in [("d.json", '{"a":1}', "top-level JSON array"), ("f.json", "[1] x", "broken JSON")]:
         with pytest.raises(Exception, match=reason):
             tools.count(spark, write(tmp_path / name, data))
 
@@ -262,5 +262,5 @@ def test_prompts(spark, tmp_path):
     other = tmp_path / "DPO"
     other.mkdir()
     write(other / f"{first}.md", "x")
-    with pytest.raises(ConfigError, match="Missing prompt files: .*02_.*09_"):
+    with pytest.raises(ConfigError, match="prompts not found: .*02_.*09_"):
         read_prompts(spark, str(other))

@@ -95,7 +95,7 @@ def test_status_and_errors(spark):
     }
     errors = {(r.doc_path, r.batch_no): r.error for r in extraction.document_errors(outcomes, fatal).collect()}
     assert errors["some", 2] == "part 2/2 (page 2-2): boom"
-    assert errors["empty", None] == "PDF has no pages: empty"
-    assert errors["big", None] == "Page 2 image is 11.00 MB, exceeding --image-max-mb=10.00 MB."
+    assert errors["empty", None] == "paper without pages: empty"
+    assert errors["big", None] == "image of page 2 has 11.00 MB, the limit is 10.00 MB"
     report = extraction.extraction_report(results).first()
     assert (report.papers, report.parts, report.papers_without_parts) == (5, 3, 2)

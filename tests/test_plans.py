@@ -102,7 +102,7 @@ def test_extract(spark, tmp_path):
     assert {r.doc_path: r.status for r in got.results.collect()} == {
         "ok": "success", "mended": "success", "never": "failed", "down": "failed", "none": "failed"}
     errors = {r.doc_path: r.error for r in got.errors.collect()}
-    assert errors["never"].startswith("part 1/1 (page 1-1): Model did not return a complete document schema after 2 attempt(s): ")
+    assert errors["never"].startswith("part 1/1 (page 1-1): no complete record after 2 attempt(s): ")
     assert "not an object" in errors["never"] and "HTTP 500" in errors["down"] and "2 attempt" not in errors["down"]
     assert sorted((r.doc_path, r.batch_no) for r in got.parts.collect()) == [("mended", 1), ("ok", 1), ("ok", 2)]
     assert got.parts.first().record_json == WHOLE

@@ -283,7 +283,7 @@ ORACLE: dict[str, str] = {
         SELECT doc_path, batch_no, 'part ' || batch_no || '/' || batch_count || ' (page ' || start_page || '-' || end_page
                || '): no answer' AS error FROM outcomes WHERE failed
         UNION ALL
-        SELECT doc_path, NULL, printf('Page %d image is %.2f MB, exceeding --image-max-mb=%.2f MB.',
+        SELECT doc_path, NULL, printf('image of page %d has %.2f MB, the limit is %.2f MB',
                first_bad, bad_bytes / 1048576.0, 10.0) FROM bad""",
     "extraction_report": f"""WITH {STATUS} SELECT count(*) AS papers, CAST(sum(n_parts) AS BIGINT) AS parts,
         count(*) FILTER (n_parts = 0) AS papers_without_parts, count(*) FILTER (status = 'success') AS successful,
@@ -295,9 +295,9 @@ ORACLE: dict[str, str] = {
         missing AS (
         SELECT *, CASE WHEN ok AND json_type(j) = 'OBJECT' THEN
             list_filter({array(RECORD_KEYS)}, lambda k: NOT list_contains(json_keys(j), k)) END AS lost FROM valid)
-        SELECT doc_id, CASE WHEN NOT ok THEN 'Model response holds no JSON value.'
-            WHEN json_type(j) <> 'OBJECT' THEN 'Model returned JSON, but the top-level value is not an object.'
-            WHEN len(lost) > 0 THEN 'Model returned an incomplete document schema; missing top-level keys: '
+        SELECT doc_id, CASE WHEN NOT ok THEN 'no JSON value in the answer'
+            WHEN json_type(j) <> 'OBJECT' THEN 'the answer is not an object'
+            WHEN len(lost) > 0 THEN 'members are missing from the record: '
                  || array_to_string(lost, ', ') END AS schema_error FROM missing""",
     "record_items": f"""WITH {RECORDS} SELECT paper_index, 0 AS item_no, record AS record_json FROM records
         UNION ALL SELECT paper_index, 1, record FROM records WHERE paper_index % 2 <> 0""",
@@ -329,11 +329,23 @@ ORACLE: dict[str, str] = {
     "translate_requests": f"""WITH RECURSIVE {greedy(30000)} SELECT batch_no, sha256(CAST(to_json([{{'role': 'user', 'content':
         {text(_head + LANGUAGES['en'] + _tail)} || source_json}}]) AS VARCHAR)) AS input_sha FROM batches""",
     "translate_validate": f"""WITH RECURSIVE {greedy(2000)} SELECT batch_no, n_records,
-        CASE batch_no % 5 WHEN 0 THEN 'Translation response is missing one or more records.'
-             WHEN 1 THEN 'Translation response fields do not match id ' || first_id || '.' END AS fault FROM batches""",
+        CASE batch_no % 5 WHEN 0 THEN 'records are missing from the translation'
+             WHEN 1 THEN 'other members than were sent for id ' || first_id || '.' END AS fault FROM batches""",
     "translate_apply": f"""WITH RECURSIVE {greedy(2000)} SELECT id, {_told} FROM walk JOIN sized USING (id)
         WHERE batch_no % 5 NOT IN (0, 1)""",
-    "record_patch": f"""WITH {LINES} SELECT line_key, '{{' || CASE WHEN task_type IS NULL THEN '' ELSE '"task_type":' || {quoted('task_type')} || ',' END
+    "translate_formulas": """SELECT doc_id AS id, '{"n":1.0E-7,"text":"new ' || lang || '","k":[null,true]}' AS record FROM documents""",
+    "merge_files": f"""WITH {MERGED} SELECT row_number() OVER (ORDER BY src_ordinal, line_key) - 1 AS record_index, record FROM merged""",
+    "merge_repeated_keys": """SELECT row_number() OVER (ORDER BY event_id) - 1 AS record_index,
+        '{"a":' || user_id || ',"props":' || CAST(json(props) AS VARCHAR) || '}' AS record FROM events""",
+    "count_files": f"""WITH {MERGED} SELECT CAST(s AS INTEGER) AS src_ordinal, count(record) AS samples
+        FROM range(3) r(s) LEFT JOIN merged ON src_ordinal = s GROUP BY s""",
+    "bad_line_files": """SELECT CASE WHEN doc_id % 3 = 1 THEN 'not a JSON object' ELSE 'broken JSON' END AS problem,
+               count(*) AS lines, count(*) AS places FROM documents WHERE doc_id % 3 <> 0 GROUP BY doc_id % 3""",
+    "ledger_round": f"""WITH {EXTRACTED} SELECT doc_path, status <> 'success' AS pending,
+        (SELECT count(*) FROM outcomes WHERE NOT failed) AS records_on_disk FROM results""",
+    "record_patch": f"""WITH {MERGED} SELECT 1 AS src_ordinal, line_key, substr(record, 1, length(record) - 1)
+        || CASE WHEN record = '{{}}' THEN '' ELSE ',' END || '"input":"new \\"input\\""}}' AS record FROM merged WHERE src_ordinal = 1
+        UNION ALL SELECT 0, line_key, '{{' || CASE WHEN task_type IS NULL THEN '' ELSE '"task_type":' || {quoted('task_type')} || ',' END
         || '"instruction":' || {quoted('instruction')} || ',"input":"new \\"input\\"","output":' || {quoted('output')} || '}}' AS record FROM lines""",
     "merge_jsonl": f"WITH {MERGED} SELECT src_ordinal, line_key, record FROM merged",
     "count_records": f"WITH {MERGED} SELECT count(*) AS samples FROM merged",

@@ -14,10 +14,11 @@ from sheaf.operators.model import with_retry_class
 from sheaf.plans.extract import extract
 from sheaf.plans.generate import generate
 from sheaf.plans.translate import translate_records
-from sheaf.session import stage
-from sheaf.sources.jsonl import array_length, require_objects, with_record
-from sheaf.sources.papers import missing_prompts, pending_papers, records_from_text, task_table
-from sheaf.sources.sinks import dataset_view
+from sheaf.plans import tools
+from sheaf.session import stage, staged_path
+from sheaf.sources.jsonl import array_length, bad_lines, index_records, read_jsonl, require_objects, with_record
+from sheaf.sources.papers import missing_prompts, pending_papers, read_ledger, records_from_text, task_table
+from sheaf.sources.sinks import dataset_view, write_lines
 from workload import fixtures as fx, stubs
 
 
@@ -255,10 +256,84 @@ def translate_apply(spark, sf_dir) -> DataFrame:
 
 
 def record_patch(spark, sf_dir) -> DataFrame:
-    """Overwrite one member of every line that has it; other members and key order stay."""
-    lines = with_record(fx.json_lines(spark, sf_dir)).filter("src_ordinal = 0")
+    """Overwrite one member of every line that has it, append it to the others; the rest and key order stay."""
+    lines = require_objects(with_record(fx.json_lines(spark, sf_dir)))
     changed = patched_object("record", F.create_map(F.lit("input"), F.lit('new "input"')))
-    return lines.select("line_key", changed.alias("record"))
+    return lines.select("src_ordinal", "line_key", changed.alias("record"))
+
+
+def translate_formulas(spark, sf_dir) -> DataFrame:
+    """Texts that name NaNO3 or Infinity, and numbers in exponent form, are ordinary to a translation."""
+    docs = fx.documents(spark, sf_dir)
+    name = F.when(F.col("doc_id") % 2 == 0, "NaNO3 ").otherwise("Infinity ")
+    record = F.concat(F.lit('{"n":1.0E-7,"text":'), quoted(F.concat(name, "text")), F.lit(',"k":[null,true]}'))
+    records = docs.select(F.col("doc_id").alias("id"), record.alias("record"))
+    changes = docs.select(F.col("doc_id").alias("id"), F.create_map(F.lit("text"), F.concat(F.lit("new "), "lang")).alias("fields"))
+    return translation.apply_translations(records, changes)
+
+
+# -- files: lines written, read, merged and counted -----------------------------------------------
+def _line_files(spark, sf_dir) -> list[str]:
+    """The lines of each source as files of their own, in order."""
+    lines = fx.json_lines(spark, sf_dir)
+    folders = [staged_path(spark, f"lines-{k}") for k in range(3)]
+    for k, folder in enumerate(folders):
+        write_lines(lines.filter(F.col("src_ordinal") == k), folder, "value", ["line_key"])
+    return folders
+
+
+def merge_files(spark, sf_dir) -> DataFrame:
+    """Files of lines merged into one, and read back with their positions."""
+    merged = staged_path(spark, "merged")
+    tools.merge(spark, _line_files(spark, sf_dir), merged)
+    return index_records(read_jsonl(spark, [merged])).select("record_index", "record")
+
+
+def merge_repeated_keys(spark, sf_dir) -> DataFrame:
+    """Of the repeated members of a line the last counts, in the place of the first."""
+    events = fx.table(spark, sf_dir, "events")
+    line = F.format_string('{"a":%d,"props":%s,"a":%d}', F.col("event_id"), F.col("props"), F.col("user_id"))
+    path, merged = staged_path(spark, "repeated"), staged_path(spark, "merged")
+    write_lines(events.withColumn("line", line), path, "line", ["event_id"])
+    tools.merge(spark, [path], merged)
+    return index_records(read_jsonl(spark, [merged])).select("record_index", "record")
+
+
+def count_files(spark, sf_dir) -> DataFrame:
+    """Lines of each file, as the count command counts them."""
+    files = _line_files(spark, sf_dir)
+    found = [(k, tools.count(spark, path)) for k, path in enumerate(files)]
+    return spark.createDataFrame(found, "src_ordinal int, samples bigint")
+
+
+def bad_line_files(spark, sf_dir) -> DataFrame:
+    """Every line of a file that is not an object, by its number: texts of documents between objects."""
+    docs = fx.documents(spark, sf_dir)
+    value = (
+        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('{"n":'), F.col("doc_id").cast("string"), F.lit("}")))
+        .when(F.col("doc_id") % 3 == 1, quoted("source")).otherwise(F.concat(F.lit('{"n":'), quoted("source")))
+    )
+    path = staged_path(spark, "bad")
+    write_lines(docs.withColumn("value", value), path, "value", ["doc_id"])
+    # a line's number is its own file's; the sorted files hold them all once
+    bad = bad_lines(spark, [path])
+    return bad.groupBy("problem").agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("path", "line_no").alias("places")
+    )
+
+
+def ledger_round(spark, sf_dir) -> DataFrame:
+    """Papers by what the ledger says once the records are on disk."""
+    ledger = staged_path(spark, "ledger")
+    done = _extracted(spark, sf_dir, ledger_path=ledger)
+    path = staged_path(spark, "records")
+    done.write(path)
+    written = read_jsonl(spark, [path]).count()
+    papers = fx.papers(spark, sf_dir).select("doc_path")
+    pending = pending_papers(papers, read_ledger(spark, ledger)).withColumn("pending", F.lit(True))
+    return papers.join(pending, "doc_path", "left").select(
+        "doc_path", F.coalesce("pending", F.lit(False)).alias("pending"), F.lit(written).cast("bigint").alias("records_on_disk")
+    )
 
 
 # -- JSON lines -------------------------------------------------------------------------------------------
@@ -313,7 +388,7 @@ def record_index(spark, sf_dir) -> DataFrame:
 
 # -- calibration and views ------------------------------------------------------------------------------------
 def _calibration(spark, sf_dir) -> DataFrame:
-    lines = with_record(fx.json_lines(spark, sf_dir)).filter("problem is null")
+    lines = require_objects(with_record(fx.json_lines(spark, sf_dir)), skip_others=True)
     return calibration.calibration_records(lines.select("src_ordinal", "line_key", "record"))
 
 
@@ -361,10 +436,10 @@ def generated_calls(spark, sf_dir) -> DataFrame:
     return r.select("paper_index", "task_type", "n_samples", "n_discarded", F.col("error").isNotNull().alias("failed"))
 
 
-def _extracted(spark, sf_dir):
+def _extracted(spark, sf_dir, **options):
     pages = fx.pages(spark, sf_dir).drop("doc_id")
     papers = fx.papers(spark, sf_dir).drop("doc_id")
-    return extract(papers, pages, "|".join(RECORD_KEYS), stubs.read_pages, backoff_s=0.0)
+    return extract(papers, pages, "|".join(RECORD_KEYS), stubs.read_pages, backoff_s=0.0, **options)
 
 
 def extracted_status(spark, sf_dir) -> DataFrame:
@@ -396,7 +471,8 @@ QUERIES = [
     document_status, document_errors, extraction_report, pending_documents, required_keys, record_items,
     response_text, salvage_fast_path, salvage_answers, envelope_unwrap, token_usage, retry_class,
     translate_payloads, translate_batches, translate_batches_tight, translate_requests,
-    translate_validate, translate_apply, record_patch,
+    translate_validate, translate_apply, translate_formulas, record_patch,
+    merge_files, merge_repeated_keys, count_files, bad_line_files, ledger_round,
     merge_jsonl, count_records, count_array_items, sample_lines, task_stats, task_totals, token_stats, record_index,
     calibration_pairs, calibration_sample, dataset_view_sft, dataset_view_cpt,
     generated_samples, generated_calls, generation_report, extracted_status, extracted_parts,
