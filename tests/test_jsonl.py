@@ -136,7 +136,7 @@ def test_count(spark, tmp_path):
     assert tools.count(spark, write(tmp_path / "b.JSON", '\ufeff[1, "x", {"a":[2]}, null, []]\n')) == 5
     assert tools.count(spark, write(tmp_path / "c.json", "[]")) == 0
     assert tools.count(spark, write(tmp_path / "e.jsonl", "")) == 0
-    for name, data, reason in [("d.json", '{"a":1}', "top-level JSON array"), ("f.json", "[1] x", "broken JSON")]:
+    for name, data, reason in [("d.json", '{"a":1}', "no JSON array"), ("f.json", "[1] x", "broken JSON")]:
         with pytest.raises(Exception, match=reason):
             tools.count(spark, write(tmp_path / name, data))
 
@@ -238,8 +238,8 @@ def test_read_records(spark, tmp_path):
     assert [r.record_json for r in read_records(spark, one).collect()] == ['{"a":"é"}']
     assert [(r.item_no, r.record_json) for r in read_records(spark, many).collect()] == [(0, '{"b":1}'), (1, '{"b":{"z":1,"a":2}}')]
     assert read_records(spark, write(tmp_path / "empty.json", "[]")).collect() == []
-    for name, data, reason in [("s.json", '[{"a":1},"{}"]', "Every item"), ("n.json", "7", "object or an array"),
-                               ("j.json", '{"a":1} x', "not valid JSON")]:
+    for name, data, reason in [("s.json", '[{"a":1},"{}"]', "an item of the array"), ("n.json", "7", "neither an object nor an array"),
+                               ("j.json", '{"a":1} x', "not one JSON value")]:
         with pytest.raises(Exception, match=reason):
             read_records(spark, write(tmp_path / name, data)).collect()
 
@@ -254,7 +254,7 @@ def test_prompts(spark, tmp_path):
     assert got == {n: (t, f"{n} 提示") for n, t in TASKS.items()}
     first = next(iter(TASKS))
     write(folder / f"{first}.md", " \n")
-    with pytest.raises(ConfigError, match="empty"):
+    with pytest.raises(ConfigError, match="without text"):
         read_prompts(spark, str(folder))
     two = list(TASKS)[3:5]
     names = spark.createDataFrame([(n,) for n in TASKS if n not in two], "prompt_name string")

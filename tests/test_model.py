@@ -43,7 +43,7 @@ def test_every_attempt_is_a_row_and_no_failure_ends_the_job(spark):
     assert last["ok"].error is None and last["ok"].n == 0
     assert "no route" in last["boom"].error and last["boom"].http_status is None
     assert "HTTP 503" in last["busy"].error and last["busy"].body == "later"
-    assert "must be a JSON object" in last["list"].error
+    assert "not a JSON object" in last["list"].error
 
 
 def test_answers_are_not_asked_twice(spark, tmp_path):

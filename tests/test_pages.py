@@ -74,8 +74,8 @@ def test_schema_errors(spark):
     df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, json_kind string, json string")
     got = {r.i: r.schema_error for r in extraction.with_schema_error(df).collect()}
     assert got[0] is None and got[5] is None and got[6] is None
-    assert got[7].endswith("keys: " + ", ".join(RECORD_KEYS))
-    assert got[1].endswith("keys: " + ", ".join([*RECORD_KEYS[:2], RECORD_KEYS[-1]]))
+    assert got[7].endswith("record: " + ", ".join(RECORD_KEYS))
+    assert got[1].endswith("record: " + ", ".join([*RECORD_KEYS[:2], RECORD_KEYS[-1]]))
     assert "not an object" in got[2] and "not an object" in got[3] and got[4]
 
 

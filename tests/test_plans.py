@@ -63,7 +63,7 @@ def test_generate(spark, tmp_path):
     }
     results = {(r.paper_index, r.task_type): r for r in done.results.collect()}
     assert len(results) == 27
-    assert "error payload" in results[0, "anomaly_detection"].error and "no JSON" in results[0, "literature_qa"].error
+    assert "reported an error" in results[0, "anomaly_detection"].error and "no JSON" in results[0, "literature_qa"].error
     empty = results[1, "mechanism_explanation"]
     assert (empty.n_samples, empty.n_discarded, empty.error) == (0, 0, None)
     out = str(tmp_path / "out")
@@ -198,18 +198,18 @@ def test_translation_checks(spark):
         "repeated": (good + [{"id": 0, "fields": {"text": "last"}}], None),
         "true is one": (changed(1, id=True), None),
         "missing": (good[:2], "missing"),
-        "text id": (changed(0, id="0"), "invalid item"),
-        "float id": (changed(0, id=0.0), "invalid item"),
-        "no id": ([{"fields": {}}], "invalid item"),
-        "not an object": (good + ["x"], "invalid item"),
-        "foreign id": (good + [{"id": 9, "fields": {}}], "unexpected id: 9"),
-        "no fields": (changed(2, fields=None), "unexpected id: 2"),
-        "list fields": (changed(2, fields=[]), "unexpected id: 2"),
-        "number": (changed(0, fields={"text": 5}), "do not match id 0"),
-        "lacks one": (changed(1, fields={"text": "U"}), "do not match id 1"),
-        "has one more": (changed(2, fields={"text": "U"}), "do not match id 2"),
-        "bad repeat": (good + [{"id": 0, "fields": {"text": None}}], "do not match id 0"),
-        "object": ({"id": 0}, "must be a JSON array"),
+        "text id": (changed(0, id="0"), "no usable id"),
+        "float id": (changed(0, id=0.0), "no usable id"),
+        "no id": ([{"fields": {}}], "no usable id"),
+        "not an object": (good + ["x"], "no usable id"),
+        "foreign id": (good + [{"id": 9, "fields": {}}], "not asked for: 9"),
+        "no fields": (changed(2, fields=None), "not asked for: 2"),
+        "list fields": (changed(2, fields=[]), "not asked for: 2"),
+        "number": (changed(0, fields={"text": 5}), "than were sent for id 0"),
+        "lacks one": (changed(1, fields={"text": "U"}), "than were sent for id 1"),
+        "has one more": (changed(2, fields={"text": "U"}), "than were sent for id 2"),
+        "bad repeat": (good + [{"id": 0, "fields": {"text": None}}], "than were sent for id 0"),
+        "object": ({"id": 0}, "not an array"),
     }
     rows = [(n, sent, "object" if isinstance(c[0], dict) else "array", json.dumps(c[0])) for n, c in cases.items()]
     schema = "n string, expected array<struct<id:bigint,names:array<string>>>, json_kind string, json string"

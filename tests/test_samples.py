@@ -122,11 +122,11 @@ def test_response_text_and_errors(spark):
         ({"output_text": " ", "output": [message(said)]}, "hi", None),
         ({"output_text": 5, "output": [{"type": "x", "content": [said]}, message({"type": "output_text", "text": ""}, said)]}, "hi", None),
         ({"output": [7, "s", {"type": "message", "content": "no"}, message(3, {"type": "output_text", "text": 4}, said)]}, "hi", None),
-        ({"status": "failed", "output_text": "a", "error": {"code": 1}}, None, "error payload"),
-        ({"status": "incomplete", "output_text": "a"}, None, "incomplete"),
+        ({"status": "failed", "output_text": "a", "error": {"code": 1}}, None, "reported an error"),
+        ({"status": "incomplete", "output_text": "a"}, None, "cut short"),
         ({"status": "completed", "error": "boom"}, None, "boom"),
-        ({"output": "text", "id": 1}, None, "keys=id, output"),
-        ({"error": {}}, None, "Could not find"),
+        ({"output": "text", "id": 1}, None, "members: id, output"),
+        ({"error": {}}, None, "no text in the answer"),
     ]
     rows = [(i, json.dumps(c[0]), None) for i, c in enumerate(cases)] + [(99, None, "no route")]
     df = spark.createDataFrame(rows, "i int, body string, error string")
