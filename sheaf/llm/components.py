@@ -20,7 +20,8 @@ def _starred(links: DataFrame, large: bool) -> DataFrame:
         near = near.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         near = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root"))
+    # written, so that the join shuffles both sides anew and Spark can split the links of one node
+    least = stage(near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots")
     moved = near.join(least, "a")
     if large:
         moved = moved.filter("b > a").select("root", "b")
