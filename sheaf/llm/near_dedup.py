@@ -15,6 +15,10 @@
 Two texts with a similarity of 0.8 share no band with probability 5e-8, and more similar
 ones with less; the estimate would have to be wrong by six standard deviations to discard
 a link. No bucket, partner or candidate is capped.
+
+Sums by bucket, node or component are written before they are joined back. Both sides of
+such a join are then shuffled by it, and Spark can split the rows of one hot key; on a
+side that still lies as it was summed it could not.
 """
 
 from __future__ import annotations
@@ -125,7 +129,8 @@ def _sizes_allow(a: str, b: str) -> Column:
 def star_candidates(bands: DataFrame, classes: DataFrame) -> DataFrame:
     """``a, b``: the smallest member of a bucket and each other member that may be linked to it."""
     hubs = bands.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members"))
-    stars = stage(bands.join(hubs.filter("members > 1"), "key").filter("node <> a").select(
+    hubs = stage(hubs.filter("members > 1"), "near-hubs")
+    stars = stage(bands.join(hubs, "key").filter("node <> a").select(
         "a", F.col("node").alias("b")
     ).distinct(), "near-stars")
     left = classes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), *bit_names("a"))
@@ -147,6 +152,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
             F.lit(1), F.ceil(F.sum("n_b") / F.greatest(F.lit(STAR_SHINGLES), 8 * F.max("n_a")))
         ).alias("blocks")
     )
+    per_a = stage(per_a, "near-blocks")
     dealt = pairs.join(per_a, "a").withColumn("block", F.pmod(F.xxhash64("b"), "blocks").cast("int"))
     dealt = stage(dealt.select("a", "b", "block"), "near-pairs")
     wanted = dealt.select("a", "block", F.lit(1).alias("role"), F.col("b").alias("node")).unionByName(
@@ -218,6 +224,7 @@ def crossing_links(bands: DataFrame, classes: DataFrame, docs: DataFrame, found:
     mixed_keys = placed.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("members > 2 and low <> high").select("key")
+    mixed_keys = stage(mixed_keys, "near-keys")
     member = placed.join(mixed_keys, "key").join(classes.drop("set_1", "set_2"), "node")
     member = stage(member, "near-unsettled")
     parts = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
@@ -229,6 +236,7 @@ def crossing_links(bands: DataFrame, classes: DataFrame, docs: DataFrame, found:
         blocks(F.col("main.n"), F.col("main.size")).alias("mains"),
         blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("others"),
     )
+    per_key = stage(per_key, "near-key-blocks")
     # blocks 0 to others-1 hold the others, the next ones the main component
     is_main = F.col("component") == F.col("main")
     dealt = member.join(per_key, "key").withColumn(
@@ -343,12 +351,13 @@ def near_duplicates(docs: DataFrame, k: int) -> DataFrame:
         filled.join(sets.select(F.col("first.node").alias("node")), "node", "leftsemi"), "near-representatives"
     )
     bands = classes.select("node", F.posexplode("bands").alias("band", "key"))
-    stars = star_candidates(bands, classes)
+    stars = stage(star_candidates(bands, classes), "near-candidates")
     links = stage(confirmed(stars, classes, docs, k), "near-links")
     links = links.unionByName(crossing_links(bands, classes, docs, components(links), k))
     settled = stage(components(links), "near-components")
     # the smallest id of a component; its classes' first documents hold it
     named = classes.select("node", "doc_id").join(settled, "node").groupBy("component").agg(first.alias("least"))
+    named = stage(named, "near-least")
     named = stage(settled.join(named, "component").select(F.col("node").alias("class"), "least"), "near-names")
     in_class = members.join(named, "class", "left").select(
         "node", "doc_id", "text_hash", "n_shingles", "class_id",
