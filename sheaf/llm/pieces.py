@@ -4,20 +4,20 @@ The vocabulary of a SentencePiece BPE model is read from its file; merging is do
 A text is cut before runs of spaces and at line ends, which no piece crosses, and every
 segment is merged on its own: an agenda holds the neighbouring pairs that form a piece,
 best score first, leftmost among equals. Each candidate taken from the agenda is skipped
-if a hash of (seed, slot, segment, place, piece) falls under the dropout rate, so that a
-segmentation depends on nothing but these. A document's slot is its id modulo ``SLOTS``:
-within a document a segment is always cut alike, and segments repeat often enough within
-a slot for workers to keep them.
+if a hash of (seed, document, place in the text, piece) falls under the dropout rate:
+every occurrence of a word in every document has draws of its own, and an encoding
+depends on nothing but these. What does not depend on draws is kept by workers: a
+segment's trace is what is taken from its agenda, in order, and the ids this ends in, if
+nothing is skipped; from each skipped candidate another trace branches off.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain, pairwise
+from itertools import chain, count, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheaf.llm.common import crc32, in_chunks, text_hash, text_or_empty
 
-DROPOUT, SEED, SLOTS = 0.1, 17, 2
-#: Segments after which a worker starts to forget, and the longest one it keeps.
+DROPOUT, SEED = 0.1, 17
+#: Traces after which a worker starts anew, and the longest segment whose traces it keeps.
 KEPT_SEGMENTS, KEPT_LENGTH = 600_000, 48
 
 _M, _PIECE = (1 << 64) - 1, (1 << 32) - 1
@@ -34,6 +34,36 @@ _FACTOR, _SPREAD = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
 _NONE = np.int64((1 << 62) - 1)
 
 
+class _Column:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype: type = np.int32):
+        self.n, self.room = 0, np.empty(1024, dtype=dtype)
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.n + len(values)
+        if n > len(self.room):
+            self.room = np.concatenate((self.room[: self.n], np.empty(2 * n - self.n, dtype=self.room.dtype)))
+        self.room[self.n : n] = values
+        self.n = n
+
+
+class _Traces:
+    """What draws can lead to, so far: traces with their draws and ids.
+
+    Draws are numbered over all traces. A draw is a place in its segment and the piece
+    that is made there unless it is skipped; then ``child`` is the trace that goes on, or
+    -1 while nobody has needed it.
+    """
+
+    def __init__(self):
+        self.root: dict[str, int] = {}
+        self.segment: list[str] = []
+        self.skips: list[tuple[int, ...]] = []  # the steps skipped on the way, the last one just before the first draw
+        self.first, self.draws, self.start, self.length = _Column(np.int64), _Column(), _Column(np.int64), _Column()
+        self.ids, self.place, self.piece, self.child = _Column(), _Column(), _Column(), _Column()
+
+
 class PieceCodec:
     """Encoder and decoder of one model file, dropout rate and seed."""
 
@@ -66,46 +96,139 @@ class PieceCodec:
         self.one_line = "\n" in self.char_id  # else no piece crosses a line end either
         self.cut = re.compile(" +[^ ]*|[^ ]+")
         self.limit, self.seed = int(dropout * (1 << 53)), seed
-        # segments by slot and text, those of late and those of before
-        self.late: dict[int, dict[str, list[int]]] = {}
-        self.old: dict[int, dict[str, list[int]]] = {}
+        self.traces = _Traces()
 
-    def encode_all(self, texts: list[str], slots: list[int]) -> list[list[int]]:
-        """Ids of texts in their slots; a space is put before a text, as the model expects. Empty texts have none.
+    def encode_all(self, texts: list[str], keys: list[int]) -> list[list[int]]:
+        """Ids of texts with the keys of their documents; a space is put before a text, as the model expects.
 
-        Segments that are not kept yet are merged together, all texts' at once.
+        Empty texts have none.
         """
-        cut = [self._segments(" " + t) if t else [] for t in texts]
-        fresh: dict[int, set[str]] = {}
-        for segments, slot in zip(cut, slots, strict=True):
-            late = self.late.setdefault(slot, {})
-            fresh.setdefault(slot, set()).update([s for s in set(segments) if s not in late])
-        long: dict[int, set[str]] = {}
-        for slot, new in fresh.items():
-            late, old = self.late[slot], self.old.get(slot, {})
-            by_width: dict[int, list[str]] = {}
-            for s in new:
-                if s in old:
-                    late[s] = old[s]
-                    continue
-                by_width.setdefault(min(-(-len(s) // 8), KEPT_LENGTH // 8 + 1), []).append(s)
-            long[slot] = set(by_width.pop(KEPT_LENGTH // 8 + 1, ()))
-            late.update((s, self._merged(s, slot)) for s in long[slot])
-            for width, segments in by_width.items():
-                late.update(zip(segments, self._merged_together(segments, slot, 8 * width), strict=True))
-        ids = [
-            list(chain.from_iterable(map(self.late[slot].__getitem__, segments)))
-            for segments, slot in zip(cut, slots, strict=True)
-        ]
-        for slot, segments in long.items():
-            for s in segments:
-                del self.late[slot][s]
-        if sum(map(len, self.late.values())) >= KEPT_SEGMENTS:
-            self.old, self.late = self.late, {}  # frequent segments will come back from the old ones
-        return ids
+        return [ids.tolist() for ids in self.encode_arrays(texts, keys)]
 
-    def encode(self, text: str, slot: int = 0) -> list[int]:
-        return self.encode_all([text], [slot])[0]
+    def encode_arrays(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
+        cut = [self._segments(" " + t) if t else [] for t in texts]
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        segments = list(chain.from_iterable(cut))
+        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+        place = np.cumsum(lengths) - lengths  # in its text, once that of the text is taken off
+        firsts = np.cumsum(counts) - counts
+        some = counts > 0
+        place -= np.repeat(place[firsts[some]], counts[some])
+        key = np.repeat(self._key(np.array([k & _M for k in keys], dtype=np.uint64)), counts)
+        short = lengths <= KEPT_LENGTH
+        own = self.traces
+        self._grow([(s, ()) for s in {s for s in segments if len(s) <= KEPT_LENGTH} if s not in own.root])
+        trace = np.fromiter((own.root.get(s, -1) for s in segments), np.int64, len(segments))
+        trace[short] = self._followed(trace[short], key[short], place[short])
+        long = np.flatnonzero(~short)
+        more = [self._merged(segments[k], keys[d], int(place[k])) for k, d in zip(
+            long.tolist(), (np.searchsorted(firsts, long, "right") - 1).tolist(), strict=True
+        )]
+        pool = np.concatenate((own.ids.room[: own.ids.n], np.array(list(chain.from_iterable(more)), dtype=np.int32)))
+        start, n = np.empty(len(segments), dtype=np.int64), np.empty(len(segments), dtype=np.int64)
+        start[short], n[short] = own.start.room[trace[short]], own.length.room[trace[short]]
+        n[long] = np.fromiter(map(len, more), np.int64, len(more))
+        start[long] = own.ids.n + np.cumsum(n[long]) - n[long]
+        stops = np.cumsum(n)
+        flat = pool[np.repeat(start - stops + n, n) + np.arange(stops[-1] if len(stops) else 0)]
+        bounds = np.concatenate(([0], stops))[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        if len(own.segment) >= KEPT_SEGMENTS:
+            self.traces = _Traces()
+        return [flat[a:b] for a, b in pairwise(bounds)]
+
+    def encode(self, text: str, key: int = 0) -> list[int]:
+        return self.encode_all([text], [key])[0]
+
+    def _followed(self, trace: np.ndarray, key: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The traces that occurrences of segments end in, from those they begin with."""
+        own, trace = self.traces, trace.copy()
+        if not self.limit:
+            return trace
+        at = own.first.room[trace]
+        rows = np.arange(len(trace))
+        while len(rows):
+            waiting = []
+            while True:
+                rows = rows[at[rows] < (own.first.room[trace[rows]] + own.draws.room[trace[rows]])]
+                if not len(rows):
+                    break
+                draw = at[rows]
+                skipped = self._skipped(key[rows], place[rows] + own.place.room[draw], own.piece.room[draw])
+                at[rows] += 1
+                out = rows[skipped]
+                child = own.child.room[draw[skipped]]
+                at[out] = draw[skipped]
+                known = out[child >= 0]
+                trace[known] = child[child >= 0]
+                at[known] = own.first.room[trace[known]]
+                if len(known) < len(out):
+                    waiting.append(out[child < 0])
+                    mark = np.ones(len(rows), dtype=bool)
+                    mark[np.flatnonzero(skipped)[child < 0]] = False
+                    rows = rows[mark]
+            if not waiting:
+                break
+            rows = np.concatenate(waiting)
+            draws, one = np.unique(at[rows], return_index=True)
+            parents = trace[rows[one]]
+            steps = (draws - own.first.room[parents]).tolist()
+            parents = parents.tolist()
+            wanted = []
+            for p, k in zip(parents, steps, strict=True):
+                skips = own.skips[p]
+                wanted.append((own.segment[p], (*skips, k + (skips[-1] + 1 if skips else 0))))
+            numbers = self._grow(wanted)
+            own.child.room[draws] = numbers
+            trace[rows] = own.child.room[at[rows]]
+            at[rows] = own.first.room[trace[rows]]
+        return trace
+
+    def _grow(self, wanted: list[tuple[str, tuple[int, ...]]]) -> np.ndarray:
+        """Add the traces of segments after some skipped steps; those after none are the segments' roots. Their numbers."""
+        own = self.traces
+        numbers = np.empty(len(wanted), dtype=np.int64)
+        by_width: dict[int, list[int]] = {}
+        for k, (segment, _) in enumerate(wanted):
+            by_width.setdefault(-(-len(segment) // 8), []).append(k)
+        for width, members in by_width.items():
+            for a in range(0, len(members), 1 << 17):
+                part = members[a : a + (1 << 17)]
+                segments, skips = [wanted[k][0] for k in part], [wanted[k][1] for k in part]
+                forced: dict[int, list[int]] = {}
+                for r, steps in enumerate(skips):
+                    for step in steps:
+                        forced.setdefault(step, []).append(r)
+                last = np.array([steps[-1] if steps else -1 for steps in skips])
+                seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+                mask = np.zeros(len(part), dtype=bool)
+
+                def skipped(step, rows, place, piece, last=last, seen=seen, mask=mask, forced=forced) -> np.ndarray:  # noqa: ANN001
+                    new = last[rows] < step
+                    seen.append((rows[new], place[new], piece[new]))
+                    if step not in forced:
+                        return np.zeros(len(rows), dtype=bool)
+                    mask[:] = False
+                    mask[forced[step]] = True
+                    return mask[rows]
+
+                ids = self._merge_rows(segments, 8 * width, skipped)
+                row, place, piece = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else [np.empty(0, np.int64)] * 3
+                order = np.argsort(row, kind="stable")
+                draws = np.bincount(row, minlength=len(part))
+                numbers[part] = new = np.arange(len(own.segment), len(own.segment) + len(part))
+                own.first.add(own.place.n + np.cumsum(draws) - draws)
+                own.draws.add(draws)
+                own.place.add(place[order])
+                own.piece.add(piece[order])
+                own.child.add(np.full(len(row), -1))
+                lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+                own.start.add(own.ids.n + np.cumsum(lengths) - lengths)
+                own.length.add(lengths)
+                own.ids.add(np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())))
+                own.segment += segments
+                own.skips += skips
+                own.root.update((s, k) for s, steps, k in zip(segments, skips, new.tolist(), strict=True) if not steps)
+        return numbers
 
     def _segments(self, text: str) -> list[str]:
         if self.one_line:
@@ -133,10 +256,16 @@ class PieceCodec:
         at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         return np.where((self.pairs[at] == pair) & (left >= 0) & (right >= 0), self.results[at], _NONE)
 
-    def _merged_together(self, segments: list[str], slot: int, width: int) -> list[list[int]]:
-        """:meth:`_merged` of many short segments: in each round every segment takes one entry of its agenda.
+    def _merged_together(self, segments: list[str], key: int, width: int) -> list[list[int]]:
+        """:meth:`_merged` of many short segments."""
+        mixed = self._key(np.array([key & _M], dtype=np.uint64))
+        return self._merge_rows(segments, width, lambda _, rows, place, piece: self._skipped(mixed, place, piece))
+
+    def _merge_rows(self, segments: list[str], width: int, skipped_in: Callable[..., np.ndarray]) -> list[list[int]]:
+        """Ids of many short segments: in each round every segment takes one entry of its agenda.
 
         A segment is a row of symbols, and of what each merges to with the next one.
+        ``skipped_in(round, rows, places, pieces)`` tells which entries are skipped.
         """
         rows = len(segments)
         columns = np.arange(width + 1)
@@ -146,9 +275,8 @@ class PieceCodec:
         at = np.broadcast_to(columns, symbol.shape).astype(np.int32)  # the sign a symbol starts with
         merges = np.full((rows, width + 1), _NONE)
         merges[:, :-1] = self._look_up(symbol[:, :-1], symbol[:, 1:])
-        key = np.array([self._key(s, slot) for s in segments], dtype=np.uint64)
         live = np.arange(rows)
-        while len(live):
+        for step in count():
             # the best score first, the leftmost of equals: ranks are above, pieces below
             k = (merges[live] >> 32).argmin(axis=1)
             found = merges[live, k]
@@ -157,13 +285,9 @@ class PieceCodec:
             if not len(live):
                 break
             piece = (found & _PIECE).astype(np.int32)
-            if self.limit:
-                h = key[live] ^ (at[live, k].astype(np.uint64) << np.uint64(20) | piece.astype(np.uint64)) * np.uint64(_FACTOR)
-                skipped = ((h ^ h >> np.uint64(32)) * np.uint64(_SPREAD)) >> np.uint64(11) < self.limit
-                merges[live[skipped], k[skipped]] = _NONE
-                rows_now, k, piece = live[~skipped], k[~skipped], piece[~skipped]
-            else:
-                rows_now = live
+            skipped = skipped_in(step, live, at[live, k], piece)
+            merges[live[skipped], k[skipped]] = _NONE
+            rows_now, k, piece = live[~skipped], k[~skipped], piece[~skipped]
             symbol[rows_now, k] = piece
             # close the gap the right symbol leaves
             source = np.minimum(columns + (columns > k[:, None]), width)
@@ -187,10 +311,19 @@ class PieceCodec:
                     out[r] += [self.byte_id[b] for b in segments[r][p].encode()]
         return out
 
-    def _key(self, segment: str, slot: int) -> int:
-        return (zlib.crc32(segment.encode()) << 24 ^ self.seed << 8 ^ slot) * 0x9E3779B97F4A7C15 & _M
+    def _key(self, keys: np.ndarray) -> np.ndarray:
+        """Keys of documents, mixed with the seed."""
+        h = (keys ^ np.uint64(self.seed * _FACTOR & _M)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        return h ^ h >> np.uint64(31)
+
+    def _skipped(self, key: np.ndarray, place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        h = key ^ (place.astype(np.uint64) << np.uint64(20) | piece.astype(np.uint64)) * np.uint64(_FACTOR)
+        return ((h ^ h >> np.uint64(32)) * np.uint64(_SPREAD)) >> np.uint64(11) < np.uint64(self.limit)
 
-    def _merged(self, segment: str, slot: int) -> list[int]:
+    def _merged(self, segment: str, key: int, start: int = 0) -> list[int]:
+        """Ids of a segment that begins at ``start`` of a text."""
         get, merge, limit = self.char_id.get, self.merge.get, self.limit
         symbol = [get(c, -1) for c in segment]
         n = len(symbol)
@@ -200,7 +333,7 @@ class PieceCodec:
             found & ~_PIECE | k for k, pair in enumerate(pairwise(symbol)) if (found := merge(pair[0] << 20 | pair[1]))
         ]
         heapify(agenda)
-        key = self._key(segment, slot)
+        key = int(self._key(np.array([key & _M], dtype=np.uint64))[0])
         while agenda:
             entry = heappop(agenda)
             k = entry & _PIECE
@@ -212,7 +345,7 @@ class PieceCodec:
                 continue  # what stood here has been merged with something else
             piece = found & _PIECE
             if limit:
-                h = (key ^ (k << 20 | piece) * _FACTOR) & _M
+                h = (key ^ (start + k << 20 | piece) * _FACTOR) & _M
                 if ((h ^ h >> 32) * _SPREAD & _M) >> 11 < limit:
                     continue
             symbol[k], symbol[j] = piece, -2
@@ -243,21 +376,19 @@ def codec(model_path: str, dropout: float, seed: int) -> PieceCodec:
     return PieceCodec(model_path, dropout, seed)
 
 
-def _slots(ids: pa.Array, slots: int) -> list[int]:
-    """A document's slot; documents without an id are in slot 0."""
-    return [0 if i is None else i % slots for i in ids.to_pylist()]
-
-
 def _texts(docs: DataFrame) -> DataFrame:
+    """``key`` is what the draws of a row depend on: its id, or the hash of its text if it has none."""
+    doc_id = F.col("doc_id").cast("bigint")
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("text_hash"), text_or_empty().alias("text")
+        doc_id.alias("doc_id"), text_hash().alias("text_hash"), F.coalesce(doc_id, text_hash()).alias("key"),
+        text_or_empty().alias("text"),
     )
 
 
 def encoded(
-    docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED, slots: int = SLOTS
+    docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED
 ) -> DataFrame:
-    """``doc_id, text_hash, slot, ids`` for every row of ``docs`` (doc_id, text; others are ignored).
+    """``doc_id, text_hash, ids`` for every row of ``docs`` (doc_id, text; others are ignored).
 
     Null and empty texts have no ids; rows that share an id are encoded each by itself.
     """
@@ -265,14 +396,13 @@ def encoded(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path, dropout, seed)
         for batch in in_chunks(batches, "text", 8 << 20):
-            slot, texts = _slots(batch.column("doc_id"), slots), batch.column("text").to_pylist()
-            ids = own.encode_all(texts, slot)
+            ids = own.encode_all(batch.column("text").to_pylist(), batch.column("key").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(slot, pa.int32()), pa.array(ids, pa.list_(pa.int32()))],
-                names=["doc_id", "text_hash", "slot", "ids"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(ids, pa.list_(pa.int32()))],
+                names=["doc_id", "text_hash", "ids"],
             )
 
-    return _texts(docs).mapInArrow(encode, "doc_id bigint, text_hash bigint, slot int, ids array<int>")
+    return _texts(docs).mapInArrow(encode, "doc_id bigint, text_hash bigint, ids array<int>")
 
 
 def decoded(tokens: DataFrame, model_path: str) -> DataFrame:
@@ -290,11 +420,11 @@ def decoded(tokens: DataFrame, model_path: str) -> DataFrame:
 
 
 def round_trips(
-    docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED, slots: int = SLOTS
+    docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED
 ) -> DataFrame:
     """What encoding and decoding every row of ``docs`` gives, in one pass.
 
-    ``doc_id, slot, n_tokens, n_byte_tokens`` (of signs outside the vocabulary),
+    ``doc_id, n_tokens, n_byte_tokens`` (of signs outside the vocabulary),
     ``ids_crc32`` (as little-endian unsigned 32-bit numbers), ``lossless``.
     """
 
@@ -303,18 +433,16 @@ def round_trips(
         is_byte = np.zeros(len(own.bytes_of), dtype=bool)
         is_byte[own.byte_id] = True
         for batch in in_chunks(batches, "text", 8 << 20):
-            slot, texts = _slots(batch.column("doc_id"), slots), batch.column("text").to_pylist()
-            rows = []
-            for text, ids in zip(texts, own.encode_all(texts, slot), strict=True):
-                array = np.array(ids, dtype="<u4")
-                rows.append((len(ids), int(is_byte[array].sum()), crc32(array), own.decode(ids) == text))
+            texts, rows = batch.column("text").to_pylist(), []
+            for text, ids in zip(texts, own.encode_arrays(texts, batch.column("key").to_pylist()), strict=True):
+                rows.append((len(ids), int(is_byte[ids].sum()), crc32(ids), own.decode(ids.tolist()) == text))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(slot, pa.int32()), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
-                names=["doc_id", "slot", "n_tokens", "n_byte_tokens", "ids_crc32", "lossless"],
+                [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
+                names=["doc_id", "n_tokens", "n_byte_tokens", "ids_crc32", "lossless"],
             )
 
     return _texts(docs).drop("text_hash").mapInArrow(
-        run, "doc_id bigint, slot int, n_tokens bigint, n_byte_tokens bigint, ids_crc32 bigint, lossless boolean"
+        run, "doc_id bigint, n_tokens bigint, n_byte_tokens bigint, ids_crc32 bigint, lossless boolean"
     )

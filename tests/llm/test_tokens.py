@@ -108,3 +108,31 @@ def test_documents_get_their_counts(spark, odd, sf_dir, plain, tmp_path):
 def test_no_documents(spark, nothing, tmp_path):
     nothing.write.parquet(path := str(tmp_path / "none"))
     assert tf.counted_documents(spark.read.parquet(path), MODEL).count() == 0
+
+
+def test_every_occurrence_and_document_draws_for_itself(plain):
+    word = " unbelievable"
+    codec = pieces.PieceCodec(MODEL, 0.3, 5)
+    ids = codec.encode_all([word[1:] + word * 200] * 40, [2 * k for k in range(40)])
+    assert len(set(map(tuple, ids))) == 40  # documents of one parity
+    single = codec.encode_all([word[1:]] * 4000, list(range(4000)))
+    # one document's occurrences of a word are cut in as many ways as those of many documents, or nearly
+    inside = [tuple(x) for x in "".join(f"|{i}" for i in ids[0]).split("".join(f"|{i}" for i in single[0]))]
+    assert len({tuple(x) for x in single[:200]}) > 30 and len(inside) < 100
+    assert {tuple(x) for x in single} >= {tuple(plain.encode(word[1:]))}
+
+
+def test_kept_traces_are_what_merging_each_occurrence_gives():
+    own, codec = texts(400), pieces.PieceCodec(MODEL, 0.25, 9)
+    for text, ids, key in zip(own, codec.encode_all(own, list(range(400))), range(400), strict=True):
+        want, place = [], 0
+        for s in codec._segments(" " + text) if text else []:
+            want += codec._merged(s, key, place)
+            place += len(s)
+        assert ids == want
+
+
+def test_rows_without_id_draw_by_their_text(spark):
+    docs = spark.createDataFrame([(None, f"unbelievable unbelievable {k}") for k in range(60)], "doc_id bigint, text string")
+    rows = [tuple(r["ids"][:4]) for r in pieces.encoded(docs, MODEL, 0.3).collect()]
+    assert len(set(rows)) > 5
