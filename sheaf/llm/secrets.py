@@ -1,18 +1,23 @@
 """Secrets: base patterns, and candidates that read like labelled credentials.
 
-One pass over the texts finds the base spans and every other run of credential
-characters of ``LEAST_CANDIDATE`` or more. Automata are inferred from a bounded sample
+One pass over the texts finds the base spans and, in what they leave of every run of
+credential characters, the candidates of ``LEAST_CANDIDATE`` or more: the whole of it,
+and its parts between joining signs, for every choice of the signs taken to join; each
+also without the signs at its ends. Automata are inferred from a bounded sample
 of labelled credentials, one per kind, and one from a sample of the unlabelled
 candidates as the background. Then all candidates are scored: one is a secret if some
 kind's automaton reads it at least as well as all but the oddest of its own examples,
-and better than the background does.
+and better than the background does. Of secrets that overlap the longest counts.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +25,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheaf.llm.automata import Automaton, infer
 from sheaf.llm.common import in_chunks, sampled, text_hash, text_or_empty
-from sheaf.llm.spans import SECRETS, Span, find, joined, overlaps, replaced, sha256
+from sheaf.llm.spans import SECRETS, Span, find, joined, replaced, sha256
 from sheaf.session import stage
 
-LEAST_CANDIDATE = 16
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: The shortest value the base patterns label.
+LEAST_CANDIDATE = 12
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+JOINING = "=/._-+"
 VALUE = re.compile(r"[A-Za-z0-9+/_.=-]+\Z")
 #: The most examples of a kind an automaton is inferred from, and their greatest length.
 TRAINING_EXAMPLES, TRAINING_LENGTH = 400, 128
@@ -37,6 +44,56 @@ SPAN = "struct<kind:string,start:int,end:int,value:string>"
 FOUND = f"doc_id bigint, text_hash bigint, base array<{SPAN}>, candidates array<{SPAN}>"
 
 
+@lru_cache(maxsize=None)  # one for each set of joining signs
+def _cutters(signs: str) -> list[re.Pattern]:
+    """What cuts a run, by every choice of ``signs``; an = at the end of a part is padding."""
+    chosen = chain.from_iterable(combinations(signs, n) for n in range(1, len(signs) + 1))
+    return [
+        re.compile("|".join("(?<!=)=++(?=[^=])" if c == "=" else re.escape(c) for c in some)) for some in chosen
+    ]
+
+
+def parts(run: str) -> list[tuple[int, int]]:
+    """Where candidates in a run of credential characters start and end, by start. Time is linear in the run."""
+    found = set()
+
+    def add(a: int, b: int) -> None:
+        if b - a >= LEAST_CANDIDATE:
+            found.add((a, b))
+            bare = run[a:b].lstrip(JOINING)
+            head, tail = b - a - len(bare), len(bare) - len(bare.rstrip(JOINING))
+            found.update({(a + head, b), (a, b - tail), (a + head, b - tail)} if bare else ())
+
+    add(0, len(run))
+    signs = "".join(c for c in JOINING if c in run)
+    for cutter in _cutters(signs) if signs else ():
+        start = 0
+        for m in cutter.finditer(run):
+            add(start, m.start())
+            start = m.end()
+        add(start, len(run))
+    return sorted((a, b) for a, b in found if b - a >= LEAST_CANDIDATE)
+
+
+def candidates(text: str, own: list[Span]) -> Iterator[tuple[int, int]]:
+    """Candidates outside the base spans ``own``, which are sorted by start."""
+    k, done = 0, 0
+    for m in CANDIDATE.finditer(text):
+        at = max(m.start(), done)
+        while True:
+            while k < len(own) and own[k][2] <= at:
+                k += 1
+            cut = k < len(own) and own[k][1] < m.end()
+            end = max(at, own[k][1]) if cut else m.end()
+            if end - at >= LEAST_CANDIDATE:
+                yield from ((at + a, at + b) for a, b in parts(text[at:end]))
+            if not cut:
+                break
+            at = done = max(at, own[k][2])
+            if at >= m.end():
+                break
+
+
 def found_spans(docs: DataFrame) -> DataFrame:
     """Per document: base spans by start, and candidates outside them, with what they read."""
 
@@ -52,8 +109,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
                     for k, a, b in own
                 ])
                 more.append([
-                    {"kind": "", "start": m.start(), "end": m.end(), "value": m[0]}
-                    for m in CANDIDATE.finditer(text) if not overlaps(m.start(), m.end(), own)
+                    {"kind": "", "start": a, "end": b, "value": text[a:b]} for a, b in candidates(text, own)
                 ])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(base, span), pa.array(more, span)],
@@ -109,6 +165,19 @@ def learn(credentials: DataFrame, most: int = TRAINING_EXAMPLES) -> Formats:
     return Formats(kinds, infer(examples[""]))
 
 
+def _longest(good: np.ndarray, owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[int]:
+    """Of the good candidates those that overlap no longer one of their row, in order."""
+    taken: dict[int, list[tuple[int, int]]] = {}  # starts and ends by row, in order: they do not overlap
+    chosen = []
+    for k in good[np.lexsort((start[good], start[good] - end[good]))].tolist():
+        own, span = taken.setdefault(int(owner[k]), []), (int(start[k]), int(end[k]))
+        at = bisect_left(own, span)
+        if not (at and own[at - 1][1] > span[0] or at < len(own) and own[at][0] < span[1]):
+            own.insert(at, span)
+            chosen.append(k)
+    return sorted(chosen)
+
+
 def secret_spans(docs: DataFrame, credentials: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -124,9 +193,11 @@ def secret_spans(docs: DataFrame, credentials: DataFrame | None = None) -> DataF
             lists = batch.column("candidates")
             flat = lists.flatten()
             good = formats.matches(flat.field("value").to_pylist())
-            owner = np.asarray(lists.value_parent_indices())[good]
-            counts = np.bincount(owner, minlength=batch.num_rows)
-            kept = flat.filter(pa.array(good))
+            owner = np.asarray(lists.value_parent_indices())
+            start, end = np.asarray(flat.field("start")), np.asarray(flat.field("end"))
+            chosen = np.array(_longest(np.flatnonzero(good), owner, start, end), dtype=np.int64)
+            counts = np.bincount(owner[chosen], minlength=batch.num_rows)
+            kept = flat.take(pa.array(chosen))
             spans = pa.StructArray.from_arrays(
                 [pa.array(["format"] * len(kept), pa.string()), kept.field("start"), kept.field("end")],
                 names=["kind", "start", "end"],

@@ -99,6 +99,34 @@ def test_automata_find_unlabelled_secrets_and_leave_words(spark):
     assert sum(got[i] for i in range(600, 620)) >= 16
 
 
+def test_secrets_joined_to_their_surroundings_are_found(spark):
+    rng = random.Random(4)
+    key = lambda head, n=16: head + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=n))
+    words = ["".join(rng.choices("aeioutnrsl", k=rng.randint(16, 22))) for _ in range(300)]
+    rows = [f"some {key('AKIA')} here and {w} too" for w in words]
+    around = ["it was {}.", "key={} then", "see a/b/{}/c", "AWS_ACCESS_KEY_ID={}", "-{}-", "x?sig={}&y", "AKIA" + "Z" * 16 + "/{}"]
+    rows += [a.format(key("ASIA")) for a in around for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    spans_of = {r["doc_id"]: r["format"] for r in secrets.secret_spans(docs).collect()}
+    assert not any(spans_of[i] for i in range(300))
+    for k in range(len(around)):
+        own = [(rows[i], spans_of[i]) for i in range(300 + 6 * k, 306 + 6 * k)]
+        hits = sum(any(f["start"] <= t.index("ASIA") and f["end"] >= t.index("ASIA") + 20 for f in fs) for t, fs in own)
+        assert hits >= 4, around[k]
+
+
+def test_parts_of_a_run():
+    run = "AWS_SECRET_ACCESS_KEY=abcd/efgh+ijkl-mnop=="
+    found = {run[a:b] for a, b in secrets.parts(run)}
+    assert {run, "abcd/efgh+ijkl-mnop==", "abcd/efgh+ijkl-mnop", "efgh+ijkl-mnop=="} <= found
+    assert all(len(p) >= 12 for p in found)
+    own = [("assign", 3, 20), ("hex", 10, 20)]
+    assert list(secrets.candidates("ab " + "x" * 17 + "y" * 13 + " z", own)) == [(20, 33)]
+    for c in "a-=.":
+        secrets.parts(c * 300_000)
+    assert len(secrets.parts("a-=./_+" * 20_000)) < 100
+
+
 def test_redaction_keeps_rows_and_columns(spark, odd):
     text = "my token = abcdef0123456789abcd, again token = abcdef0123456789abcd!"
     docs = spark.createDataFrame(
