@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,6 +47,27 @@ class Crf:
                     out[k], gain[k] = path, g
         return out, gain
 
+    def decode_blocks(self, blocks: Iterable[list[list[int]]]) -> tuple[np.ndarray, float]:
+        """:meth:`decode` of one long sequence that comes in blocks; the best scores are carried from one to the next."""
+        best, none = np.where(np.arange(len(self.move)) == 0, 0.0, -np.inf), 0.0
+        backs = []
+        for block in blocks:
+            scores = self.scores(np.array([block]))[0]
+            back = np.empty(scores.shape, dtype=np.int8)
+            for t in range(len(block)):
+                ways = best[:, None] + self.move
+                back[t] = ways.argmax(axis=0)
+                best = ways.max(axis=0) + scores[t]
+            backs.append(back)
+            none += scores[:, 0].sum() + len(block) * self.move[0, 0]
+        best = best + self.move[:, 0]
+        back = np.concatenate(backs)
+        labels = np.zeros(len(back), dtype=np.int64)
+        labels[-1] = best.argmax()
+        for t in range(len(back) - 1, 0, -1):
+            labels[t - 1] = back[t, labels[t]]
+        return labels, float(best.max() - none - self.move[0, 0])
+
     def _viterbi(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         scores = self.scores(rows)
         n, length, _ = scores.shape

@@ -2,7 +2,9 @@
 
 Words without a digit or @ are pinned to the label "outside". A chain of labels falls
 apart at pinned words, so decoding only the runs of other words, between labels
-"outside", gives exactly the labels that decoding whole texts would. One pass over the
+"outside", gives exactly the labels that decoding whole texts would. Words of more than
+``LONG_WORD`` characters, and words with East Asian script, are cut into tokens first,
+as whole records and sentences can stand there without a space. One pass over the
 texts finds base spans and runs; the field is trained on a small labelled table of runs,
 and all runs are then decoded in batches.
 """
@@ -27,6 +29,15 @@ from sheaf.session import stage
 MARKED = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*")
 GAP = re.compile(r"[\x20\x09-\x0D]+\Z")
 BEFORE = re.compile(r"[^\x20\x09-\x0D]{1,40}\Z")
+#: What stands between the tokens of a word that is cut, and East Asian script, which is a token by itself.
+LONG_WORD = 80
+EAST = r"\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF\uFE30-\uFE4F\uFF00-\uFFEF\U00020000-\U0003FFFF"
+BETWEEN = ",;:=?!&|/\"'<>{}\\[\\]\\\\"
+EASTERN = re.compile(f"[{EAST}]")
+TOKEN = re.compile(f"[{EAST}]+|[^{BETWEEN}{EAST}]+")
+DIGIT_OR_AT = re.compile("[0-9@]")
+#: Words of a run whose features are held at a time.
+BLOCK_WORDS = 4096
 #: Rows of the labelled table used, and words of a run used, for training.
 TRAINING_RUNS, TRAINING_WORDS = 2000, 24
 #: A decoded run must beat "nothing here" by so much (natural logarithm), and hold so many digits or an @.
@@ -46,12 +57,11 @@ _SHAPES = str.maketrans(
 @lru_cache(maxsize=100_000)
 def word_features(word: str) -> tuple[str, ...]:
     """Names of a word's own features: its shape, its shape without lengths, its ends, its numbers of digits."""
-    word = word[:80]
     shape = word.translate(_SHAPES)
     short = re.sub(r"(.)\1+", r"\1", shape)
     digits = shape.count("9")
     return (
-        "shape=" + shape[:24], "short=" + short, "first=" + shape[:2], "last=" + shape[-2:],
+        "shape=" + shape[:24], "short=" + short[:80], "first=" + shape[:2], "last=" + shape[-2:],
         f"digits={min(digits, 20)}", f"dots={min(word.count('.'), 4)}", f"at={word.count('@')}",
         "edge=" + word[:1] + word[-1:] if not word[:1].isalnum() else "edge=",
     )
@@ -78,7 +88,7 @@ def runs_of(text: str) -> Iterator[tuple[list[str], list[int], str]]:
         return words, starts, before[0] if before else ""
 
     for m in MARKED.finditer(text):
-        if words and m.start() - end > 1 and not GAP.match(text, end, m.start()) or words and len(words) >= 4096:
+        if words and m.start() - end > 1 and not GAP.match(text, end, m.start()):
             yield run()
             words, starts = [], []
         words.append(m[0])
@@ -88,6 +98,29 @@ def runs_of(text: str) -> Iterator[tuple[list[str], list[int], str]]:
         yield run()
 
 
+def token_runs(text: str) -> Iterator[tuple[list[str], list[int], str]]:
+    """The runs of a text with the words that are to be cut in tokens; a token without a digit or @ ends a run."""
+    for words, starts, before in runs_of(text):
+        if all(len(w) <= LONG_WORD and (w.isascii() or not EASTERN.search(w)) for w in words):
+            yield words, starts, before
+            continue
+        own: list[str] = []
+        places: list[int] = []
+        for word, start in zip(words, starts, strict=True):
+            cut = len(word) > LONG_WORD or EASTERN.search(word)
+            for a, token in [(m.start(), m[0]) for m in TOKEN.finditer(word)] if cut else [(0, word)]:
+                if DIGIT_OR_AT.search(token):
+                    own.append(token)
+                    places.append(start + a)
+                    continue
+                if own:
+                    yield own, places, before
+                    own, places = [], []
+                before = token[-40:]
+        if own:
+            yield own, places, before
+
+
 def run_labels(words: list[str], starts: list[int], spans: list[Span]) -> list[int]:
     """The label of each word by the spans that overlap it."""
     labels, last = [], None
@@ -126,7 +159,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
                         "words": w, "starts": s, "before": b,
                         "labels": None if overlaps(s[0], s[-1] + len(w[-1]), open_) else run_labels(w, s, own),
                     }
-                    for w, s, b in runs_of(text)
+                    for w, s, b in token_runs(text)
                 ])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(base, span), pa.array(runs, run)],
@@ -149,9 +182,22 @@ class Tagger:
     def rows(self, words: list[str], before: str) -> list[list[int]]:
         return [[self.numbers.get(f, 0) for f in fs] for fs in run_features(words, before)]
 
+    def blocks(self, words: list[str], before: str) -> Iterator[list[list[int]]]:
+        """:meth:`rows` of a long run, some at a time."""
+        for a in range(0, len(words), BLOCK_WORDS):
+            head = min(a, 1)  # a neighbour on both sides, for its shape
+            yield self.rows(words[a - head : a + BLOCK_WORDS + 1], before)[head : head + BLOCK_WORDS]
+
     def spans(self, runs: list[dict]) -> list[list[Span]]:
         """What each run adds: spans of whole words less the signs around them."""
-        decoded, gains = self.crf.decode([self.rows(r["words"], r["before"]) for r in runs])
+        short = [r for r in runs if len(r["words"]) <= BLOCK_WORDS]
+        found = zip(*self.crf.decode([self.rows(r["words"], r["before"]) for r in short]), strict=True)
+        decoded, gains = [], []
+        for r in runs:
+            whole = len(r["words"]) <= BLOCK_WORDS
+            labels, gain = next(found) if whole else self.crf.decode_blocks(self.blocks(r["words"], r["before"]))
+            decoded.append(labels)
+            gains.append(gain)
         return [
             _spans_of(r["words"], r["starts"], labels) if gain >= LEAST_GAIN and labels.any() else []
             for r, labels, gain in zip(runs, decoded, gains, strict=True)

@@ -191,6 +191,37 @@ def test_field_finds_what_patterns_miss_and_leaves_clean_texts(spark):
     assert sum(got[i]["n_likely"] > 0 for i in range(600, 620)) >= 15
 
 
+def test_personal_data_deep_in_long_words_is_found(spark):
+    rng = random.Random(6)
+    d = lambda n: "".join(rng.choices("0123456789", k=n))
+    late = lambda: f"+1({d(3)})555-{d(10)}"  # noqa: E731  too many digits for the pattern
+    phone = pii.LABELS.index("B-phone")
+    known = [([late()], "phone", [phone]) for _ in range(200)] + [([d(rng.randint(1, 6))], "in", [0]) for _ in range(200)]
+    labelled = spark.createDataFrame(known, "words array<string>, before string, labels array<int>")
+    rows = [f"in {d(4)} there were {d(2)} of them" for _ in range(50)]
+    rows += ['{"name":"' + "abc" * 40 + '","phone":"' + late() + '","room":"' + "x" * 100 + '"}' for _ in range(20)]
+    rows += ["中文" * 60 + late() + "中文" * 60 for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["likely"] for r in pii.personal_spans(docs, labelled).collect()}
+    assert not any(got[i] for i in range(50))
+    for first in (50, 70):
+        hits = [rows[i][s["start"] : s["end"]] for i in range(first, first + 20) for s in got[i]]
+        assert len(hits) >= 15 and all(h.startswith("+1(") and len(h) == 21 for h in hits)
+
+
+def test_long_runs_are_decoded_as_one():
+    rng = np.random.default_rng(1)
+    crf = Crf(rng.normal(size=(60, 9)), rng.normal(size=(9, 9)))
+    names = [f"{n}={v}" for n in ("shape", "short", "digits") for v in ("9", "99", "1", "2")]
+    tagger = pii.Tagger({n: k + 1 for k, n in enumerate([*names, "bias", "prev:short=9", "next:short=9"])}, crf)
+    words = ["".join(rng.choice(list("0123456789"), rng.integers(1, 4))) for _ in range(9000)]
+    (text_run,) = pii.token_runs(" ".join(words))
+    assert text_run[0] == words
+    labels, gain = crf.decode_blocks(tagger.blocks(words, "x"))
+    (want,), (more,) = crf.decode([tagger.rows(words, "x")])
+    assert labels.tolist() == want.tolist() and abs(gain - more) < 1e-6
+
+
 def test_runs_hold_every_marked_word():
     for text in texts()[:1500]:
         found = [(w, s) for ws, ss, _ in pii.runs_of(text) for w, s in zip(ws, ss, strict=True)]
