@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sheaf.llm import (
-    exact_dedup, near_dedup, packing, pieces, pii, quality_model, quality_rules, secrets, token_files, url_filter,
+    exact_dedup, lexical_scan, near_dedup, packing, pieces, pii, quality_model, quality_rules, secrets, token_files,
+    url_filter, whitening,
 )
 from sheaf.llm.common import table
 
@@ -82,9 +83,20 @@ def op10_pii(spark, sf_dir) -> DataFrame:
     return pii.digest_columns(pii.personal_spans(table(spark, sf_dir, "documents")))
 
 
+def op11_ranked_lexical_search(spark, sf_dir) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_scan.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item")
+
+
+def op13_embedding_whitening(spark, sf_dir) -> DataFrame:
+    """Whitened embeddings, one row per vector and component."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = [
     op1_best_fit_packing, op2_sentencepiece, op3_quality_rules, op4_token_counts, op5_minhash_near_dedup, op6_secret_scans, op7_url_filters,
-    op8_exact_dedup, op9_quality_classifier, op10_pii,
+    op8_exact_dedup, op9_quality_classifier, op10_pii, op11_ranked_lexical_search,
+    op13_embedding_whitening,
 ]
 
 ORACLE = {
@@ -163,5 +175,36 @@ WITH d AS (
   FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+""",
+    "op11_ranked_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), counted AS (
+  SELECT doc, doc_id, term, count(*) AS tf FROM d GROUP BY ALL
+), lengths AS (
+  SELECT doc, sum(tf)::BIGINT AS n FROM counted GROUP BY doc
+), total AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counted, total GROUP BY term, docs
+), shares AS (
+  SELECT doc, doc_id, term,
+    w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))) AS share
+  FROM counted JOIN lengths USING (doc) JOIN weights USING (term), total
+), asked AS (
+  SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scores AS (
+  SELECT item, item_id, doc, doc_id, sum(share)::BIGINT AS score FROM asked JOIN shares USING (term) GROUP BY ALL
+), placed AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM placed WHERE rank <= 10
 """,
 }

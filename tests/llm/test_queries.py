@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from sheaf.llm import queries
 
-NAMES = [f"op{n}" for n in range(1, 11)]
+NAMES = [f"op{n}" for n in range(1, 14)]
 
 
 def test_all_are_registered():
@@ -19,7 +19,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_oracle(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     result = con.execute(queries.ORACLE[name])
     names = [d[0] for d in result.description]
