@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sheaf.llm import (
-    exact_dedup, lexical_scan, near_dedup, packing, pieces, pii, quality_model, quality_rules, secrets, token_files,
-    url_filter, whitening,
+    exact_dedup, lexical_scan, near_dedup, packing, pieces, pii, quality_model, quality_rules, secrets, suffix_buckets,
+    token_files, url_filter, whitening,
 )
 from sheaf.llm.common import table
 
@@ -88,6 +88,13 @@ def op11_ranked_lexical_search(spark, sf_dir) -> DataFrame:
     return lexical_scan.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item")
 
 
+def op12_suffix_dedup(spark, sf_dir) -> DataFrame:
+    """What every document loses if passages of 400 bytes that start twice or more are removed."""
+    return suffix_buckets.without_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")
+    )
+
+
 def op13_embedding_whitening(spark, sf_dir) -> DataFrame:
     """Whitened embeddings, one row per vector and component."""
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
@@ -96,7 +103,7 @@ def op13_embedding_whitening(spark, sf_dir) -> DataFrame:
 QUERIES = [
     op1_best_fit_packing, op2_sentencepiece, op3_quality_rules, op4_token_counts, op5_minhash_near_dedup, op6_secret_scans, op7_url_filters,
     op8_exact_dedup, op9_quality_classifier, op10_pii, op11_ranked_lexical_search,
-    op13_embedding_whitening,
+    op12_suffix_dedup, op13_embedding_whitening,
 ]
 
 ORACLE = {
