@@ -98,6 +98,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("input")
     sub.add_argument("--name", choices=tuple(fixed.DATASET_VIEWS), required=True)
     sub.add_argument("-o", "--output", required=True)
+    sub = command("check-records", "reports on the fields of extraction records")
+    sub.add_argument("input", help="JSON file with records, or JSON Lines (.jsonl file or folder)")
+    sub.add_argument("-o", "--output", required=True, help="folder for one table per report")
     return top
 
 
@@ -186,6 +189,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, int]:
         case "dataset-view":
             tools.training_view(spark, args.input, args.name).write.mode("errorifexists").json(args.output)
             return {}, 0
+        case "check-records":
+            return tools.check_records(records_of(spark, args.input), args.output), 0
 
 
 def main() -> int:

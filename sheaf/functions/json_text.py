@@ -53,6 +53,12 @@ def _string_of(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
 
 
+def strict_variant(text: Column | str) -> Column:
+    """Variant of one valid JSON value without repeated members, null when the text is anything else."""
+    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), _col(text), F.lit("]"))), "$", "array<variant>")
+    return let(wrapped, lambda w: F.when(F.size(w) == 1, F.get(w, 0)))
+
+
 def is_object_variant(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 

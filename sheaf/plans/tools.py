@@ -10,7 +10,9 @@ from sheaf.fixed import CALIBRATION_SAMPLES, CALIBRATION_SEED, DATASET_VIEWS
 from sheaf.functions.json_text import string_members
 from sheaf.functions.text import count_words
 from sheaf.operators.calibration import calibration_records, seeded_draw, with_messages
+from sheaf.operators import record_checks
 from sheaf.operators.stats import count_records, record_task_type, task_counts, task_stats, task_totals, token_stats
+from sheaf.record_template import TEMPLATE
 from sheaf.session import stage
 from sheaf.sources.jsonl import (
     count_array_items,
@@ -85,3 +87,31 @@ def training_view(spark: SparkSession, path: str, name: str) -> DataFrame:
     fields = list(DATASET_VIEWS[name].values())
     records = read_jsonl(spark, [path]).select(string_members("record", fields).alias("m"))
     return dataset_view(records.select("m.*"), name)
+
+
+def record_reports(records: DataFrame, text: str = "record_json") -> dict[str, DataFrame]:
+    """Quality reports on extraction records (their keys and ``record_json``), by name.
+
+    Paths are unfolded once and written; two reports read them. The others decide each
+    record within its row.
+    """
+    paths = record_checks.field_paths(records, text, TEMPLATE)
+    return {
+        "path_faults": record_checks.path_faults(paths),
+        "field_fill": record_checks.field_fill(paths),
+        "orphan_samples": record_checks.orphan_samples(records, text),
+        "process_params": record_checks.process_param_check(records, text),
+        "techniques": record_checks.technique_check(records, text),
+    }
+
+
+def check_records(records: DataFrame, output: str) -> dict[str, int]:
+    """Write each report as a folder of JSON Lines in ``output``; returns their row counts."""
+    spark = records.sparkSession
+    require_new(spark, output)
+    written = {}
+    for name, report in record_reports(records).items():
+        path = f"{output.rstrip('/')}/{name}"
+        report.write.mode("errorifexists").json(path)
+        written[name] = spark.read.schema(report.schema).json(path).count()
+    return written

@@ -83,6 +83,19 @@ def test_tools(spark, tmp_path):
     assert lines_in(tmp_path / "v") == [{"prompt": f"i{n}", "query": "", "response": "o"} for n in range(3)]
 
 
+def test_records_are_checked(spark, tmp_path):
+    records = [{k: None for k in RECORD_KEYS}, {"喷涂工艺参数": [{"样品/涂层编号": "S1", "喷涂技术类型": "x"}], "热物理性能": [{"样品/涂层编号": "S2"}]}]
+    path = tmp_path / "records.json"
+    path.write_text(json.dumps(records, ensure_ascii=False), encoding="utf-8")
+    report, _ = call(spark, "check-records", path, "-o", tmp_path / "checked")
+    assert (report["orphan_samples"], report["techniques"], report["process_params"]) == (1, 1, 0)
+    orphan = lines_in(tmp_path / "checked" / "orphan_samples")
+    assert orphan == [{"paper_index": 1, "section": "热物理性能", "sample_no": "S2", "n": 1}]
+    assert {"paper_index": 1, "path": "/文献元数据", "fault": "absent", "kind": "absent", "n": 1} in lines_in(tmp_path / "checked" / "path_faults")
+    with pytest.raises(FileExistsError):
+        call(spark, "check-records", path, "-o", tmp_path / "checked")
+
+
 def test_every_task_type_is_printed(spark, tmp_path, capsys):
     path = tmp_path / "many.jsonl"
     path.write_text("".join(json.dumps({"task_type": f"type {n}"}) + "\n" for n in range(1500)), encoding="utf-8")

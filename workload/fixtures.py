@@ -13,6 +13,7 @@ from sheaf.fixed import RECORD_KEYS, TASKS
 from sheaf.functions.json_text import quoted
 from sheaf.operators.ordering import with_dense_index
 from sheaf.operators.pages import page_key
+from sheaf.record_template import TECHNIQUES
 from sheaf.session import spread
 
 TASK_LIST = list(TASKS.values())
@@ -123,6 +124,62 @@ def damaged_records(spark, sf_dir) -> DataFrame:
     return docs.select("doc_id", shaped.alias("answer"))
 
 
+TECHNIQUE_CYCLE = [*TECHNIQUES, "plasma", None]
+#: First and third core parameter of each technique, by place in the cycle.
+PARAMETERS = [(core[0], core[2].split("|")[0]) for core, _ in TECHNIQUES.values()] + [("x", "y")] * 2
+
+
+def section_records(spark, sf_dir) -> DataFrame:
+    """Records with samples, techniques and measured values, and faults of every kind in them."""
+    docs = documents(spark, sf_dir)
+    d, n = F.col("doc_id"), F.col("n_chars").cast("string")
+    year = (
+        F.when(d % 4 == 0, F.concat(F.lit(',"发表年份":'), (2000 + d % 25).cast("string")))
+        .when(d % 4 == 1, F.lit(',"发表年份":" 2001.5 "')).when(d % 4 == 2, F.lit(',"发表年份":null')).otherwise("")
+    )
+    source = F.concat(
+        F.lit('"文献元数据":{"标题":'), quoted("source"), year, F.lit(',"关键词":['), quoted("lang"), F.lit(',1,"k"],"a~/*":{"*":[]}}')
+    )
+    abstract = F.concat(F.lit(',"文献原文信息":{"摘要":'), quoted("text"), F.lit(',"结论":null,"重要机理":""}'))
+
+    def cycled(values: list, k: Column) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.pmod(d + k, F.lit(len(values))).cast("int"))
+
+    def sprayed(k: Column) -> Column:
+        number = F.when(d % 2 == 0, F.concat(F.lit(" s"), k.cast("string"), F.lit(" "))).otherwise(F.concat(F.lit("S"), k.cast("string")))
+        second = F.when(d % 5 == 0, cycled([p[1] for p in PARAMETERS[1:] + PARAMETERS[:1]], k)).otherwise(
+            cycled([p[1] for p in PARAMETERS], k)
+        )
+        return F.concat(
+            F.lit('{"样品/涂层编号":"'), number, F.lit('","功能层类型":"工作层","喷涂技术类型":'),
+            F.coalesce(quoted(cycled(TECHNIQUE_CYCLE, k)), F.lit("null")), F.lit(',"工艺参数":{'),
+            quoted(cycled([p[0] for p in PARAMETERS], k)), F.lit(":"), n, F.lit(","), quoted(second), F.lit(":null}}"),
+        )
+
+    def measured(k: Column) -> Column:
+        mean = F.when(d % 6 == 0, F.lit('"n/a"')).when(d % 6 == 1, F.concat(F.lit('"'), n, F.lit('"'))).otherwise(n)
+        number = F.when((d % 9 == 0) & (k == 1), F.lit("null")).otherwise(F.concat(F.lit('"S'), k.cast("string"), F.lit('"')))
+        return F.concat(
+            F.lit('{"样品/涂层编号":'), number, F.lit(',"显微硬度":{"类型":"HV","平均值":'), mean, F.lit('},"弹性模量(GPa)":'), n, F.lit("}")
+        )
+
+    def listed(last: Column, item) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(1).cast("bigint"), last), item), ",")
+
+    record = F.concat(
+        F.lit("{"), source, F.when(d % 7 == 0, F.lit("")).otherwise(abstract),
+        F.lit(',"喷涂工艺参数":['), listed(1 + d % 3, sprayed), F.lit('],"力学性能参数":['), listed(1 + d % 4, measured),
+        F.lit('],"摩擦学性能":'), F.when(d % 11 == 0, F.lit("null")).otherwise(F.lit("[]")),
+        F.when(d % 5 == 0, F.lit(',"extra/field":{"a":[1,{"b":true}]}')).otherwise(F.lit("")), F.lit("}"),
+    )
+    shaped = (
+        F.when(d % 13 == 0, F.concat(F.lit("["), record, F.lit("]")))
+        .when(d % 17 == 0, F.substring(record, F.lit(1), (F.length(record) / 2).cast("int")))
+        .otherwise(record)
+    )
+    return docs.select("doc_id", shaped.alias("record_json"))
+
+
 # -- documents as papers with pages --------------------------------------------------------
 def papers(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -12,6 +12,7 @@ from sheaf.fixed import (
     TRANSLATION_TEXT,
     WHITESPACE,
 )
+from workload import record_oracle
 from workload.fixtures import IMAGE_HOST, STATUS_CYCLE
 
 
@@ -384,4 +385,4 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (first_id % 10 = 3) AS failed_batches,
         CAST(coalesce(sum(n_records) FILTER (first_id % 10 <> 3), 0) AS BIGINT) AS translated,
         CAST(coalesce(sum(n_records) FILTER (first_id % 10 = 3), 0) AS BIGINT) AS untranslated FROM batches""",
-}
+} | record_oracle.ORACLE

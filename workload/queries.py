@@ -8,13 +8,15 @@ from sheaf.fixed import RECORD_KEYS, SAMPLE_FIELDS, TASKS
 from sheaf.functions.binding import with_kept
 from sheaf.functions.salvage import with_fast_json, with_json_value
 from sheaf.functions.json_text import patched_object, quoted
-from sheaf.operators import calibration, extraction, pages as page_ops, requests, responses as resp, samples, stats
+from sheaf.operators import calibration, extraction, pages as page_ops, record_checks, requests, responses as resp
+from sheaf.operators import samples, stats
 from sheaf.operators import translation
 from sheaf.operators.model import with_retry_class
 from sheaf.plans.extract import extract
 from sheaf.plans.generate import generate
 from sheaf.plans.translate import translate_records
 from sheaf.plans import tools
+from sheaf.record_template import TEMPLATE
 from sheaf.session import stage, staged_path
 from sheaf.sources.jsonl import array_length, bad_lines, index_records, read_jsonl, require_objects, with_record
 from sheaf.sources.papers import missing_prompts, pending_papers, read_ledger, records_from_text, task_table
@@ -159,6 +161,42 @@ def record_items(spark, sf_dir) -> DataFrame:
     return records_from_text(files).select("paper_index", "item_no", "record_json")
 
 
+# -- fields of records ---------------------------------------------------------------------------
+def _paths(spark, sf_dir) -> DataFrame:
+    return record_checks.field_paths(fx.section_records(spark, sf_dir), template=TEMPLATE)
+
+
+def field_paths(spark, sf_dir) -> DataFrame:
+    """Every path of every record with the kinds of its values, absent members included."""
+    return _paths(spark, sf_dir)
+
+
+def path_faults(spark, sf_dir) -> DataFrame:
+    """Members that a record lacks, and members that its template does not know."""
+    return record_checks.path_faults(_paths(spark, sf_dir))
+
+
+def field_fill(spark, sf_dir) -> DataFrame:
+    """How the number fields of all records are filled."""
+    return record_checks.field_fill(_paths(spark, sf_dir))
+
+
+def section_items(spark, sf_dir) -> DataFrame:
+    return record_checks.section_items(fx.section_records(spark, sf_dir))
+
+
+def orphan_samples(spark, sf_dir) -> DataFrame:
+    return record_checks.orphan_samples(fx.section_records(spark, sf_dir))
+
+
+def process_param_check(spark, sf_dir) -> DataFrame:
+    return record_checks.process_param_check(fx.section_records(spark, sf_dir))
+
+
+def technique_check(spark, sf_dir) -> DataFrame:
+    return record_checks.technique_check(fx.section_records(spark, sf_dir))
+
+
 # -- responses -----------------------------------------------------------------------------------
 def response_text(spark, sf_dir) -> DataFrame:
     read = resp.with_response_text(fx.responses(spark, sf_dir))
@@ -469,6 +507,7 @@ QUERIES = [
     task_request_matrix, task_request_matrix_cpt, planned_calls, prompt_completeness,
     page_batches, page_keys, oversized_guard, extraction_requests,
     document_status, document_errors, extraction_report, pending_documents, required_keys, record_items,
+    field_paths, path_faults, field_fill, section_items, orphan_samples, process_param_check, technique_check,
     response_text, salvage_fast_path, salvage_answers, envelope_unwrap, token_usage, retry_class,
     translate_payloads, translate_batches, translate_batches_tight, translate_requests,
     translate_validate, translate_apply, translate_formulas, record_patch,
