@@ -15,6 +15,7 @@ number in its partition.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -37,6 +38,8 @@ BYTE_BPE_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 BYTE_BPE_SPECIAL = {"<|endoftext|>": 50256}
+#: White space as the split pattern means it, in runs so long that the pattern's engine could run out of stack.
+LONG_BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 
@@ -47,6 +50,8 @@ def byte_bpe(ranks_path: str) -> Callable[[str], np.ndarray]:
 
     Gives the ids of ``Tokenizer.from_file`` of the same vocabulary's JSON file with
     ``add_special_tokens=False``, the end-of-text string included, several times faster.
+    Very long runs of white space do not go through the split pattern: it would make one
+    part of such a run, less its last character if something other follows.
     """
     import tiktoken
 
@@ -55,7 +60,21 @@ def byte_bpe(ranks_path: str) -> Callable[[str], np.ndarray]:
     encoding = tiktoken.Encoding(
         "byte_bpe", pat_str=BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens=BYTE_BPE_SPECIAL
     )
-    return lambda text: encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+
+    def plain(text: str) -> np.ndarray:
+        return encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+
+    def encode(text: str) -> np.ndarray:
+        out, done = [], 0
+        for run in LONG_BLANKS.finditer(text):
+            ends = run.end() == len(text) or text.startswith(tuple(BYTE_BPE_SPECIAL), run.end())
+            stop = run.end() if ends else run.end() - 1
+            out.append(plain(text[done : run.start()]))
+            out.append(np.array(encoding._encode_single_piece(text[run.start() : stop]), dtype=np.uint32))
+            done = stop
+        return np.concatenate([*out, plain(text[done:])]) if out else plain(text)
+
+    return encode
 
 
 def pieces(

@@ -26,6 +26,26 @@ def test_encoder_gives_the_tokenizer_ids(tokenizer):
         assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_runs_of_white_space_outside_the_pattern(tokenizer, monkeypatch):
+    """Cut at any length, such runs give the ids of the tokenizer, whatever stands around them."""
+    import re
+
+    monkeypatch.setattr(pk, "LONG_BLANKS", re.compile(pk.LONG_BLANKS.pattern.replace("4096", "3")))
+    encode = pk.byte_bpe(RANKS)
+    random.seed(8)
+    parts = ["a", " ", "  ", "\n", "\t", "\r\n", "   ", "\xa0", "\u3000", "1", "'s", "é", "\x1c", "\u200b", "<|endoftext|>", "<"]
+    for _ in range(3000):
+        text = "".join(random.choices(parts, k=random.randint(0, 30)))
+        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\n", " \n", "\r\n\t", "\u3000"])
+def test_very_long_white_space(tokenizer, blank):
+    text = "x" + blank * (3_000_000 // len(blank)) + "y" + blank * 10_000 + "<|endoftext|>" + blank * 5000
+    ids = pk.byte_bpe(RANKS)(text)
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def check(rows, want, capacity):
     """want: ids of every document with its end, a list per doc_id."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
