@@ -1,12 +1,14 @@
 """Near duplicates by b-bit MinHash, with every link confirmed on full shingle sets.
 
 1. One pass over the texts makes a sketch per document: the size and a 128-bit digest of
-   its shingle set, 32 band keys of four minima each, and the two lowest bits of the 128
-   minima packed in four longs.
+   its shingle set, 32 band keys of four minima each, and two bits of each of the 128
+   minima packed in four longs. The minima are mixed first, each in its own way: the
+   lowest bits of the values themselves would be those of the shingle under all functions.
 2. Documents with equal sets become one class, whose first document stands for it.
 3. Classes that share a band key are candidates. In every bucket each member is first
    compared with the bucket's smallest only: the similarity estimated by counting equal
-   bits, corrected for chance, discards most, and full sets decide the others.
+   bits, corrected for chance, discards most, and full sets decide the others. Sets of few
+   shingles are not estimated but compared, as that costs no more.
 4. The links found give components. A bucket whose members are by now all in one
    component needs nothing more, however large it is. In the others, and only there,
    members of different components are compared, in blocks.
@@ -41,6 +43,8 @@ BANDS, WORDS = HASHES // BAND_ROWS, HASHES * BITS // 64
 SIMILARITY = 80
 #: Estimates below this discard a candidate: 0.8 less six standard deviations.
 LEAST_ESTIMATE = 0.55
+#: Sets up to this size are compared without an estimate.
+SMALL_SET = 64
 #: Shingles compared with one set before the comparison is given to another task.
 STAR_SHINGLES = 1 << 16
 #: Members of a bucket, and their shingles, that are compared with one another at a time.
@@ -70,7 +74,8 @@ def _sketch_columns(sets: list[np.ndarray]) -> list[pa.Array]:
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), wide.shape[:2])
     for r in range(BAND_ROWS):
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + wide[:, :, r])
-    low = (least & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(-1, WORDS, 64 // BITS)
+    own = np.arange(1, HASHES + 1, dtype=np.uint64) << np.uint64(32)
+    low = (mixed(least.astype(np.uint64) | own) & np.uint64((1 << BITS) - 1)).reshape(-1, WORDS, 64 // BITS)
     packed = np.bitwise_or.reduce(low << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)), axis=2)
     zero = np.uint64(0)
     digests = [
@@ -116,10 +121,14 @@ def estimated_similarity(a: str = "a", b: str = "b") -> Column:
     return (1 - different / HASHES - chance) / (1 - chance)
 
 
-def _close(different: np.ndarray) -> np.ndarray:
-    """The same in numpy: which numbers of different minima pass the least estimate."""
+def _may_be_linked(a: str, b: str) -> Column:
+    return (F.greatest(a, b) <= SMALL_SET) | (estimated_similarity() >= LEAST_ESTIMATE)
+
+
+def _close(different: np.ndarray, larger: np.ndarray) -> np.ndarray:
+    """The same in numpy, from the numbers of different minima and of shingles in the larger set."""
     chance = 0.5**BITS
-    return (1 - different / HASHES - chance) / (1 - chance) >= LEAST_ESTIMATE
+    return (larger <= SMALL_SET) | ((1 - different / HASHES - chance) / (1 - chance) >= LEAST_ESTIMATE)
 
 
 def _sizes_allow(a: str, b: str) -> Column:
@@ -136,7 +145,7 @@ def star_candidates(bands: DataFrame, classes: DataFrame) -> DataFrame:
     left = classes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), *bit_names("a"))
     right = classes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), *bit_names("b"))
     return stars.join(right, "b").join(left, "a").filter(
-        _sizes_allow("n_a", "n_b") & (estimated_similarity() >= LEAST_ESTIMATE)
+        _sizes_allow("n_a", "n_b") & _may_be_linked("n_a", "n_b")
     ).select("a", "b", "n_a", "n_b")
 
 
@@ -203,7 +212,7 @@ def _partners(group: pa.RecordBatch, joined: Callable[[int, int], bool]) -> Iter
         x = bits[second] ^ bits[i]
         different = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LOW_BITS)).sum(axis=1)
         low, high = np.minimum(size[second], size[i]), np.maximum(size[second], size[i])
-        near = second[_close(different) & (component[second] != component[i]) & (100 * low >= SIMILARITY * high)]
+        near = second[_close(different, high) & (component[second] != component[i]) & (100 * low >= SIMILARITY * high)]
         near = near[(bands[near] == bands[i]).argmax(axis=1) == band]
         yield i, np.array([j for j in near.tolist() if not joined(int(component[i]), int(component[j]))], dtype=np.int64)
 

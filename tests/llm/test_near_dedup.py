@@ -111,17 +111,45 @@ def test_no_rows(nothing):
     assert nd.without_near_duplicates(nothing).count() == 0
 
 
+def estimates(left, right):
+    """Estimated similarities of pairs of sets, from the packed bits of their sketches."""
+    def words(sets):
+        columns = nd._sketch_columns(sets)
+        return np.stack([np.asarray(c).view(np.uint64) for c in columns[-nd.WORDS:]], axis=1)
+
+    x = words(left) ^ words(right)
+    different = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(nd._LOW_BITS)).sum(axis=1)
+    return (1 - different / nd.HASHES - 0.25) / 0.75
+
+
 def test_estimates_follow_similarity():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**63, 4000).astype(np.uint64)
     for shared in (0.5, 0.8, 0.95):
         n = int(2000 * shared)
-        a, b = np.sort(pool[:2000]), np.sort(pool[2000 - n : 4000 - n])
-        low = [nd.minima(x) & np.uint32(3) for x in (a, b)]
-        estimate = ((low[0] == low[1]).mean() - 0.25) / 0.75
+        (estimate,) = estimates([np.sort(pool[:2000])], [np.sort(pool[2000 - n : 4000 - n])])
         assert abs(estimate - n / (4000 - n)) < 0.2
 
 
+@pytest.mark.parametrize("shared,apart", [(4, 1), (80, 10)])
+def test_no_link_is_discarded_for_its_lowest_bits(shared, apart):
+    """Sets at exactly 0.8 whose few different shingles differ from the shared ones in bit 0 of every value."""
+    rng = np.random.default_rng(5)
+    left, right = [], []
+    for _ in range(15_000):
+        high = rng.choice(2**32, shared + 2 * apart, replace=False).astype(np.uint64) & ~np.uint64(1)
+        high[shared:] |= np.uint64(1)
+        own = (high << np.uint64(32)) | rng.integers(0, 2**32, len(high)).astype(np.uint64)
+        # one shingle more on one side only, where that makes 0.8
+        left.append(np.sort(own[: shared + apart]))
+        right.append(np.sort(own[:shared] if shared == 4 else np.concatenate([own[:shared], own[shared + apart :]])))
+    found = estimates(left, right)
+    assert abs(found.mean() - 0.8) < 0.005 and found.std() < 0.05
+    sizes = np.array([max(len(a), len(b)) for a, b in zip(left, right, strict=True)])
+    different = np.rint((1 - (found * 0.75 + 0.25)) * nd.HASHES)
+    assert nd._close(different, sizes).all()
+
+
 def test_shingle_hashes_are_sets_of_word_sequences():
     random.seed(5)
     parts = ["a", "B", " ", "\n", "é", "ab ", "\xa0", "中 "]
