@@ -12,6 +12,7 @@ and all runs are then decoded in batches.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheaf.llm.common import in_chunks, sampled, text_hash, text_or_empty
 from sheaf.llm.crf import Crf, train
-from sheaf.llm.spans import IP, PERSONAL, PHONE, Span, find, joined, overlaps, sha256
+from sheaf.llm.spans import IP, PERSONAL, PHONE, InOrder, Span, find, joined, sha256
 from sheaf.session import stage
 
 #: A word with a digit or @. It starts after white space and no sign is looked at twice.
@@ -54,19 +55,35 @@ _SHAPES = str.maketrans(
 )
 
 
-@lru_cache(maxsize=100_000)
+def _told(shape: str) -> str:
+    """A shape as it is, or a digest of the whole of one that is long."""
+    return shape if len(shape) <= LONG_WORD else f"#{zlib.crc32(shape.encode())}"
+
+
 def word_features(word: str) -> tuple[str, ...]:
-    """Names of a word's own features: its shape, its shape without lengths, its ends, its numbers of digits."""
+    """Names of a word's own features: its shape, its shape without lengths, its ends, its numbers of digits.
+
+    All are of the whole word, however long it is.
+    """
+    return _kept_features(word) if len(word) <= LONG_WORD else _features(word)
+
+
+def _features(word: str) -> tuple[str, ...]:
     shape = word.translate(_SHAPES)
     short = re.sub(r"(.)\1+", r"\1", shape)
     digits = shape.count("9")
     return (
-        "shape=" + shape[:24], "short=" + short[:80], "first=" + shape[:2], "last=" + shape[-2:],
+        "shape=" + _told(shape), "short=" + _told(short), "first=" + shape[:2], "last=" + shape[-2:],
         f"digits={min(digits, 20)}", f"dots={min(word.count('.'), 4)}", f"at={word.count('@')}",
         "edge=" + word[:1] + word[-1:] if not word[:1].isalnum() else "edge=",
     )
 
 
+@lru_cache(maxsize=100_000)
+def _kept_features(word: str) -> tuple[str, ...]:
+    return _features(word)
+
+
 def run_features(words: list[str], before: str) -> list[list[str]]:
     """Features of every word of a run: its own, and the short shapes of its neighbours."""
     own = [word_features(w) for w in words]
@@ -121,12 +138,12 @@ def token_runs(text: str) -> Iterator[tuple[list[str], list[int], str]]:
             yield own, places, before
 
 
-def run_labels(words: list[str], starts: list[int], spans: list[Span]) -> list[int]:
-    """The label of each word by the spans that overlap it."""
+def run_labels(words: list[str], starts: list[int], spans: InOrder) -> list[int]:
+    """The label of each word by the first of the spans that overlap it."""
     labels, last = [], None
     for word, start in zip(words, starts, strict=True):
-        span = next((s for s in spans if s[1] < start + len(word) and start < s[2]), None)
-        labels.append(0 if span is None else 1 + 2 * KINDS.index(span[0]) + (span == last))
+        span = min(spans.touching(start, start + len(word)), default=None)
+        labels.append(0 if span is None else 1 + 2 * KINDS.index(spans.spans[span][0]) + (span == last))
         last = span
     return labels
 
@@ -153,11 +170,11 @@ def found_spans(docs: DataFrame) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 own = find(text, PERSONAL)
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
-                open_ = undecided(text, own)
+                open_, known = InOrder(undecided(text, own)), InOrder(own)
                 runs.append([
                     {
                         "words": w, "starts": s, "before": b,
-                        "labels": None if overlaps(s[0], s[-1] + len(w[-1]), open_) else run_labels(w, s, own),
+                        "labels": None if open_.touching(s[0], s[-1] + len(w[-1])) else run_labels(w, s, known),
                     }
                     for w, s, b in token_runs(text)
                 ])
@@ -263,10 +280,10 @@ def personal_spans(docs: DataFrame, labelled: DataFrame | None = None) -> DataFr
             added = iter(tagger.spans([r for own in runs for r in own]))
             out = []
             for base, own in zip(bases, runs, strict=True):
-                known = [(s["kind"], s["start"], s["end"]) for s in base]
-                fresh = [s for _ in own for s in next(added)]
+                known = InOrder([(s["kind"], s["start"], s["end"]) for s in base])
+                fresh = [s for _ in own for s in next(added)]  # by start, as runs and words are
                 out.append([
-                    {"kind": k, "start": a, "end": b} for k, a, b in fresh if not overlaps(a, b, known)
+                    {"kind": k, "start": a, "end": b} for k, a, b in fresh if not known.touching(a, b)
                 ])
             yield batch.drop_columns(["runs"]).append_column("likely", pa.array(out, span))
 

@@ -121,8 +121,22 @@ def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def overlaps(start: int, end: int, spans: list[Span]) -> bool:
-    return any(a < end and start < b for _, a, b in spans)
+class InOrder:
+    """Spans, asked for in the order of their places, so that all questions together take linear time."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans = spans
+        self._order = sorted(range(len(spans)), key=lambda k: spans[k][1])
+        self._next = 0
+        self._near: list[int] = []
+
+    def touching(self, start: int, end: int) -> list[int]:
+        """Places in ``spans`` of those that overlap; ``start`` must not fall from one call to the next."""
+        while self._next < len(self._order) and self.spans[self._order[self._next]][1] < end:
+            self._near.append(self._order[self._next])
+            self._next += 1
+        self._near = [k for k in self._near if self.spans[k][2] > start]
+        return [k for k in self._near if self.spans[k][1] < end]
 
 
 def replaced(text: str, spans: Iterable[Span], by: Callable[[str], str]) -> str:

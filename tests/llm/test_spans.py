@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -178,6 +179,41 @@ def test_personal_data_of_every_document(spark, odd, sf_dir):
                 assert not any(x < int(b) and int(a) < y for x, y in base)
 
 
+def test_labels_are_those_of_the_first_span_that_overlaps():
+    rng = random.Random(3)
+    for _ in range(300):
+        words = ["x" * rng.randint(1, 9) for _ in range(rng.randint(1, 12))]
+        starts = np.cumsum([0] + [len(w) + rng.randint(0, 3) for w in words[:-1]]).tolist()
+        own = []
+        for kind in pii.KINDS:
+            at = 0
+            while (at := at + rng.randint(0, 12)) < 60:
+                own.append((kind, at, at := at + rng.randint(1, 15)))
+        want, last = [], None
+        for word, start in zip(words, starts, strict=True):
+            span = next((s for s in own if s[1] < start + len(word) and start < s[2]), None)
+            want.append(0 if span is None else 1 + 2 * pii.KINDS.index(span[0]) + (span == last))
+            last = span
+        assert pii.run_labels(words, starts, spans.InOrder(own)) == want
+
+
+def test_a_list_of_a_megabyte_of_addresses_takes_linear_time(spark):
+    """The whole path: base spans, labels of runs, decoding, and what the field adds."""
+    text = " ".join(f"a{k}@mail{k % 7}.example.com, +1 (275) 555-{k % 10000:04}" for k in range(25_000))
+    assert len(text) > 10**6
+    docs = spark.createDataFrame([(1, text), (2, text.replace(" ", ""))], "doc_id bigint, text string")
+    begin = time.monotonic()
+    rows = {r["doc_id"]: r for r in pii.digest_columns(pii.personal_spans(docs)).collect()}
+    assert rows[1]["n_email"] == 25_000 and time.monotonic() - begin < 120
+
+
+def test_features_see_the_whole_of_a_long_word():
+    long = "ab" * 60
+    seen = {pii.word_features(w) for w in (long, long + "1", long[:50] + "7" + long[50:], long[:90] + "-" + long[90:])}
+    assert len(seen) == 4
+    assert max(len(f) for f in pii.word_features("a1" * 500_000)) < 100
+
+
 def test_field_finds_what_patterns_miss_and_leaves_clean_texts(spark):
     rng = random.Random(6)
     d = lambda n: "".join(rng.choices("0123456789", k=n))
