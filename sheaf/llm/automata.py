@@ -83,27 +83,41 @@ class Automaton:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Mean log probability of a character (and the end) of each text; -inf if it is refused."""
-        if not texts:
-            return np.empty(0)
-        read = [t.translate(CLASSES) for t in texts]
-        lengths = np.array([len(t) for t in read])
-        order = np.argsort(-lengths, kind="stable")
-        table = np.full(0x110000 if any(ord(max(t, default=" ")) > 127 for t in read) else 128, len(ALPHABET), np.int8)
-        table[[ord(c) for c in ALPHABET]] = range(len(ALPHABET))
-        state = np.zeros(len(read), dtype=np.int32)
-        total = np.zeros(len(read))
-        codes = [table[np.frombuffer(t.encode("utf-32-le"), "<u4")] for t in read]
-        alive = len(read)
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        return self.scores_at(codes("".join(texts)), np.concatenate([[0], ends])[:-1], ends)
+
+    def scores_at(self, read: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """:meth:`scores` of places in a text's :func:`codes`; all places are read in step, one sign at a time."""
+        lengths = end - start
+        rows = np.argsort(-lengths, kind="stable")
+        # places that are still read, by falling length, are at the front
+        left = -lengths[rows]
+        state, total = np.zeros(len(start), dtype=np.int32), np.zeros(len(start))
+        refuse = len(self.end) - 1
         for k in range(int(lengths.max(initial=0))):
-            while alive and lengths[order[alive - 1]] <= k:
-                alive -= 1
-            rows = order[:alive]
-            symbol = np.array([codes[r][k] for r in rows])
-            total[rows] += self.cost[state[rows], symbol]
-            state[rows] = self.next[state[rows], symbol]
+            n = int(np.searchsorted(left, -k, "left"))
+            rows, left = rows[:n], left[:n]
+            if not n:
+                break
+            symbol = read[start[rows] + k]
+            now = state[rows]
+            total[rows] += self.cost[now, symbol]
+            state[rows] = now = self.next[now, symbol]
+            # what is refused stays so
+            if k % 8 == 7:
+                rows, left = rows[now != refuse], left[now != refuse]
         return (total + self.end[state]) / (lengths + 1)
 
 
+_OTHER = len(ALPHABET)
+_CODES = np.array([ALPHABET.find(chr(b).translate(CLASSES)) % (_OTHER + 1) for b in range(256)], dtype=np.int8)
+
+
+def codes(text: str) -> np.ndarray:
+    """The symbol an automaton reads for every code point of a text."""
+    return _CODES[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
+
+
 def infer(examples: Iterable[str], alpha: float = 0.05) -> Automaton:
     """The automaton of some examples, read as classes of characters; of none, one that refuses everything."""
     tree = _Tree(e.translate(CLASSES) for e in examples)

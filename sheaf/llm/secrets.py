@@ -1,13 +1,14 @@
 """Secrets: base patterns, and candidates that read like labelled credentials.
 
-One pass over the texts finds the base spans and, in what they leave of every run of
-credential characters, the candidates of ``LEAST_CANDIDATE`` or more: the whole of it,
-and its parts between joining signs, for every choice of the signs taken to join; each
-also without the signs at its ends. Automata are inferred from a bounded sample
-of labelled credentials, one per kind, and one from a sample of the unlabelled
-candidates as the background. Then all candidates are scored: one is a secret if some
-kind's automaton reads it at least as well as all but the oddest of its own examples,
-and better than the background does. Of secrets that overlap the longest counts.
+The base spans of a text leave parts of its runs of credential characters; candidates
+are the pieces of ``LEAST_CANDIDATE`` or more in them: the whole of it, and its parts
+between joining signs, for every choice of the signs taken to join; each also without the
+signs at its ends. A first pass over the texts gathers short values, of which a bounded
+sample makes the automata: one per kind of labelled credential, and one of unlabelled
+candidates as the background. The second pass scores all candidates where they stand: one
+is a secret if some kind's automaton reads it at least as well as all but the oddest of
+its own examples, and better than the background does. Of secrets that overlap the longest
+counts. Candidates are places, and never leave the worker that finds them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sheaf.llm.automata import Automaton, infer
+from sheaf.llm.automata import Automaton, codes, infer
 from sheaf.llm.common import in_chunks, sampled, text_hash, text_or_empty
 from sheaf.llm.spans import SECRETS, Span, find, joined, replaced, sha256
 from sheaf.session import stage
@@ -40,8 +41,10 @@ ODDEST = 0.02
 #: A candidate must beat the background by so much a character (natural logarithm).
 LEAST_GAIN = 0.1
 
-SPAN = "struct<kind:string,start:int,end:int,value:string>"
-FOUND = f"doc_id bigint, text_hash bigint, base array<{SPAN}>, candidates array<{SPAN}>"
+#: Candidates scored at a time.
+AT_ONCE = 100_000
+
+SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
 @lru_cache(maxsize=None)  # one for each set of joining signs
@@ -94,37 +97,37 @@ def candidates(text: str, own: list[Span]) -> Iterator[tuple[int, int]]:
                 break
 
 
-def found_spans(docs: DataFrame) -> DataFrame:
-    """Per document: base spans by start, and candidates outside them, with what they read."""
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("text_hash"), text_or_empty().alias("text")
+    )
+
+
+def base_spans(text: str) -> list[Span]:
+    kinds = list(SECRETS)
+    return sorted(find(text, SECRETS), key=lambda s: (s[1], kinds.index(s[0])))
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """``kind, value``: credentials the base patterns label, and candidates as kind ``''``.
+
+    Only values short enough to learn from; each comes once from a batch.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = list(SECRETS)
-        span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())]))
         for batch in in_chunks(batches, "text"):
-            base, more = [], []
+            found = set()
             for text in batch.column("text").to_pylist():
-                own = sorted(find(text, SECRETS), key=lambda s: (s[1], kinds.index(s[0])))
-                base.append([
-                    {"kind": k, "start": a, "end": b, "value": VALUE.search(text, a, b)[0] if k == "assign" else text[a:b]}
-                    for k, a, b in own
-                ])
-                more.append([
-                    {"kind": "", "start": a, "end": b, "value": text[a:b]} for a, b in candidates(text, own)
-                ])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(base, span), pa.array(more, span)],
-                names=["doc_id", "text_hash", "base", "candidates"],
-            )
+                own = base_spans(text)
+                for k, a, b in own:
+                    value = VALUE.search(text, a, b)[0] if k == "assign" else text[a:b]
+                    if len(value) <= TRAINING_LENGTH:
+                        found.add((k, value))
+                found.update(("", text[a:b]) for a, b in candidates(text, own) if b - a <= TRAINING_LENGTH)
+            rows = list(zip(*sorted(found), strict=True)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in rows], names=["kind", "value"])
 
-    texts = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("text_hash"), text_or_empty().alias("text")
-    )
-    return texts.mapInArrow(search, FOUND)
-
-
-def labelled(found: DataFrame) -> DataFrame:
-    """``kind, value``: credentials the base patterns label, and candidates as kind ``''``."""
-    return found.select(F.explode(F.concat("base", "candidates")).alias("s")).select("s.kind", "s.value")
+    return _texts(docs).select("text").mapInArrow(search, "kind string, value string")
 
 
 @dataclass(frozen=True)
@@ -134,13 +137,13 @@ class Formats:
     kinds: dict[str, tuple[Automaton, float]]
     background: Automaton
 
-    def matches(self, values: list[str]) -> np.ndarray:
-        """Which values read like credentials of some kind."""
-        plain = self.background.scores(values)
+    def matches(self, read: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which places in a text's codes read like credentials of some kind."""
+        plain = self.background.scores_at(read, start, end)
         plain = np.where(np.isfinite(plain), plain, -5.0)  # refused: as odd as can be
-        good = np.zeros(len(values), dtype=bool)
+        good = np.zeros(len(start), dtype=bool)
         for automaton, least in self.kinds.values():
-            score = automaton.scores(values)
+            score = automaton.scores_at(read, start, end)
             good |= (score >= least) & (score > plain + LEAST_GAIN)
         return good
 
@@ -149,8 +152,8 @@ def learn(credentials: DataFrame, most: int = TRAINING_EXAMPLES) -> Formats:
     """Automata from labelled values (kind, value); kind ``''`` is the background.
 
     Of each kind the ``most`` values with the smallest hashes are used, ``2 * most`` for
-    the background; the sample is what comes to the driver. A kind with fewer than ten
-    examples is left out.
+    the background; the sample is what comes to the driver. Few examples make an automaton
+    that reads little else; a kind without any has none.
     """
     usable = stage(credentials.filter(F.length("value") <= TRAINING_LENGTH).distinct(), "secret-labels")
     examples = {}
@@ -159,7 +162,7 @@ def learn(credentials: DataFrame, most: int = TRAINING_EXAMPLES) -> Formats:
         examples[kind] = [r["value"] for r in sampled(rows, most if kind else 2 * most, "value")]
     kinds = {}
     for kind in SECRETS:
-        if len(examples[kind]) >= 10:
+        if examples[kind]:
             automaton = infer(examples[kind])
             kinds[kind] = (automaton, float(np.quantile(automaton.scores(examples[kind]), ODDEST)))
     return Formats(kinds, infer(examples[""]))
@@ -178,6 +181,32 @@ def _longest(good: np.ndarray, owner: np.ndarray, start: np.ndarray, end: np.nda
     return sorted(chosen)
 
 
+def _format_spans(texts: list[str], base: list[list[Span]], formats: Formats) -> list[list[Span]]:
+    """What the automata add to each text."""
+    read = codes("".join(texts))
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    held: list[tuple[int, int, int]] = []
+    good = [np.empty((0, 3), np.int64)]
+
+    def judge() -> None:
+        rows = np.array(held, np.int64).reshape(-1, 3)
+        held.clear()
+        at = first[rows[:, 0]]
+        good.append(rows[formats.matches(read, at + rows[:, 1], at + rows[:, 2])])
+
+    for k, (text, own) in enumerate(zip(texts, base, strict=True)):
+        for a, b in candidates(text, own):
+            held.append((k, a, b))
+            if len(held) >= AT_ONCE:
+                judge()
+    judge()
+    owner, start, end = np.concatenate(good).T
+    out: list[list[Span]] = [[] for _ in texts]
+    for k in _longest(np.arange(len(owner)), owner, start, end):
+        out[owner[k]].append(("format", int(start[k]), int(end[k])))
+    return [sorted(spans, key=lambda s: s[1]) for spans in out]
+
+
 def secret_spans(docs: DataFrame, credentials: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -185,30 +214,23 @@ def secret_spans(docs: DataFrame, credentials: DataFrame | None = None) -> DataF
     the spans the automata add. Without labelled ``credentials`` (kind, value) those that
     the base patterns find in ``docs`` are the labels. Null and empty texts have no spans.
     """
-    found = stage(found_spans(docs), "secret-spans")
-    formats = learn(labelled(found) if credentials is None else credentials)
+    formats = learn(labelled(docs) if credentials is None else credentials)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("candidates")
-            flat = lists.flatten()
-            good = formats.matches(flat.field("value").to_pylist())
-            owner = np.asarray(lists.value_parent_indices())
-            start, end = np.asarray(flat.field("start")), np.asarray(flat.field("end"))
-            chosen = np.array(_longest(np.flatnonzero(good), owner, start, end), dtype=np.int64)
-            counts = np.bincount(owner[chosen], minlength=batch.num_rows)
-            kept = flat.take(pa.array(chosen))
-            spans = pa.StructArray.from_arrays(
-                [pa.array(["format"] * len(kept), pa.string()), kept.field("start"), kept.field("end")],
-                names=["kind", "start", "end"],
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+        def listed(spans: list[list[Span]]) -> pa.Array:
+            return pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in own] for own in spans], span)
+
+        for batch in in_chunks(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            base = [base_spans(t) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), listed(base), listed(_format_spans(texts, base, formats))],
+                names=["doc_id", "text_hash", "base", "format"],
             )
-            offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
-            yield batch.drop_columns(["candidates"]).append_column("format", pa.ListArray.from_arrays(offsets, spans))
 
-    plain = "array<struct<kind:string,start:int,end:int>>"
-    rows = found.select("doc_id", "text_hash", F.col("base").cast("array<struct<kind:string,start:int,end:int,value:string>>"), "candidates")
-    rows = rows.withColumn("base", F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
-    return rows.mapInArrow(judge, f"doc_id bigint, text_hash bigint, base {plain}, format {plain}")
+    return _texts(docs).mapInArrow(search, f"doc_id bigint, text_hash bigint, base {SPANS}, format {SPANS}")
 
 
 def redacted(docs: DataFrame, spans: DataFrame) -> DataFrame:

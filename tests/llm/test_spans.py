@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -116,6 +117,52 @@ def test_secrets_joined_to_their_surroundings_are_found(spark):
         assert hits >= 4, around[k]
 
 
+def test_nine_and_ten_examples_give_like_results(spark):
+    rng = random.Random(4)
+    key = lambda: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16))
+    words = ["".join(rng.choices("aeioutnrsl", k=rng.randint(16, 22))) for _ in range(100)]
+    # a format of fixed classes, which the pattern labels after a name only
+    value = lambda: "ZQ" + "".join(rng.choice("0123456789") for _ in range(14))
+    counts = []
+    for n in (9, 10):
+        rows = [f"token = {value()} and {w}" for w in words[:n]] + [f"plain {w} text" for w in words[n:]]
+        rows += [f"here is {value()} alone" for _ in range(20)]
+        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+        got = {r["doc_id"]: r["n_format"] for r in secrets.digest_columns(secrets.secret_spans(docs)).collect()}
+        assert not any(got[i] for i in range(100))
+        counts.append(sum(got[i] for i in range(100, 120)))
+    assert counts == [20, 20]
+
+
+def test_a_run_of_a_megabyte_is_judged_by_places():
+    rng = random.Random(1)
+    hidden = "AKIB" + "Z7" * 8
+    run = "".join(rng.choices("abcdefgh-=./_+XYZ0123456789", k=500_000)) + "/" + hidden + "/" + "".join(
+        rng.choices("abcdefgh-=./_+XYZ0123456789", k=500_000)
+    )
+    examples = ["AKIA" + "".join(rng.choices("GHIJKLMNOPQRSTUVWXYZ", k=1)) + "".join(
+        x + y for x, y in zip(rng.choices("GZ", k=8), rng.choices("0123456789", k=8), strict=True)) for _ in range(50)]
+    automaton = infer([e[:4] + e[5:] for e in examples])
+    formats = secrets.Formats({"access": (automaton, -9.0)}, infer(["abc"]))
+    tracemalloc.start()
+    (found,) = secrets._format_spans([run], [[]], formats)
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+    assert ("format", 500_001, 500_001 + len(hidden)) in found
+
+
+def test_scores_at_places_are_those_of_the_texts():
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcxyz019AGZ+/_=é中 ", k=3000))
+    automaton = infer(text[a : a + rng.randint(1, 20)] for a in range(0, 2900, 7))
+    places = [(a, a + rng.randint(0, 60)) for a in rng.choices(range(2900), k=500)]
+    start, end = np.array(places).T
+    from sheaf.llm.automata import codes
+
+    alone = [automaton.scores([text[a:b]])[0] for a, b in places]
+    assert np.allclose(automaton.scores_at(codes(text), start, end), alone, equal_nan=True)
+
+
 def test_parts_of_a_run():
     run = "AWS_SECRET_ACCESS_KEY=abcd/efgh+ijkl-mnop=="
     found = {run[a:b] for a, b in secrets.parts(run)}
