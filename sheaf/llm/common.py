@@ -44,26 +44,31 @@ def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").data)
 
 
+def as_struct(df: DataFrame) -> Column:
+    """A whole row as one value, so that its columns clash with no others, whatever they are called."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns))
+
+
 def rows_staying(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` named by ``kept`` (doc_id, text_hash), with their columns.
 
     ``text_hash`` is :func:`text_hash`. Of rows of ``docs`` that share id and text one
     stays, whichever Spark meets first; ``kept`` may name a row more than once.
     """
-    own = docs.withColumn("_hash", text_hash())
-    named = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_named")).distinct()
-    repeated = own.groupBy("doc_id", "_hash").count().filter("count > 1").select(
-        F.col("doc_id").alias("_id"), F.col("_hash").alias("_named")
+    own = docs.select(as_struct(docs).alias("row"), F.col("doc_id").alias("id"), text_hash().alias("hash"))
+    named = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    repeated = own.groupBy("id", "hash").count().filter("count > 1").select(
+        F.col("id").alias("_id"), F.col("hash").alias("_hash")
     )
 
     def same(other: DataFrame) -> Column:
-        return own["doc_id"].eqNullSafe(other["_id"]) & (own["_hash"] == other["_named"])
+        return own["id"].eqNullSafe(other["_id"]) & (own["hash"] == other["_hash"])
 
     staying = own.join(named, same(named), "leftsemi")
     # only repeated rows pay for a shuffle of whole rows by key
     once = staying.join(repeated, same(repeated), "leftanti")
-    more = staying.join(repeated, same(repeated), "leftsemi").dropDuplicates(["doc_id", "_hash"])
-    return once.unionByName(more).select(*docs.columns)
+    more = staying.join(repeated, same(repeated), "leftsemi").dropDuplicates(["id", "hash"])
+    return once.unionByName(more).select("row.*")
 
 
 def text_hash(column: str = "text") -> Column:
@@ -75,7 +80,9 @@ def sampled(rows: DataFrame, most: int, *columns: str) -> list[Row]:
     """The ``most`` rows with the smallest hashes of ``columns``, on the driver; all rows if they are fewer.
 
     A threshold on the hash, from the number of rows, leaves hardly more than ``most``
-    rows to be sent, however many partitions there are. ``rows`` is read twice.
+    rows to be sent, however many partitions there are. No two rows may be alike in
+    ``columns``: they would share a hash, and one repeated row could pass the threshold
+    any number of times. ``rows`` is read twice.
     """
     n = rows.count()
     keyed = rows.withColumn("_order", F.xxhash64(*columns))

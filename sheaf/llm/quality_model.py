@@ -81,7 +81,8 @@ def learn(measured: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) ->
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality").filter(
         F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != HELD_OUT)
     ).groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other")).filter("label = other")
-    rows = sampled(stage(measured.join(known, "doc_id").drop("other"), "quality-labelled"), most, "doc_id", "features")
+    examples = measured.join(known, "doc_id").select("doc_id", "features", "label").dropDuplicates(["doc_id", "features"])
+    rows = sampled(stage(examples, "quality-labelled"), most, "doc_id", "features")
     features = np.array([r["features"] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
     return fit(features, np.array([r["label"] for r in rows], dtype=float))
 

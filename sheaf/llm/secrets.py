@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sheaf.llm.automata import Automaton, codes, infer
-from sheaf.llm.common import in_chunks, sampled, text_hash, text_or_empty
+from sheaf.llm.common import as_struct, in_chunks, sampled, text_hash, text_or_empty
 from sheaf.llm.spans import SECRETS, Span, find, joined, replaced, sha256
 from sheaf.session import stage
 
@@ -240,8 +240,8 @@ def redacted(docs: DataFrame, spans: DataFrame) -> DataFrame:
     spans are not sent to Python.
     """
     marked = spans.select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.concat("base", "format").alias("_spans")
-    ).filter(F.size("_spans") > 0).dropDuplicates(["_id", "_hash"])
+        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.concat("base", "format").alias("spans")
+    ).filter(F.size("spans") > 0).dropDuplicates(["id", "hash"])
 
     @F.pandas_udf("string")
     def hide(texts, lists):  # noqa: ANN001, ANN202
@@ -253,13 +253,14 @@ def redacted(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
         return pd.Series([one(t, s) for t, s in zip(texts, lists, strict=True)])
 
-    keyed = docs.withColumn("_key", text_hash())
-    same = keyed["doc_id"].eqNullSafe(marked["_id"]) & (keyed["_key"] == marked["_hash"])
-    clean = keyed.join(marked, same, "leftanti").select(*docs.columns)
-    dirty = keyed.join(marked, same).withColumn("text", hide("text", "_spans"))
+    keyed = docs.select(as_struct(docs).alias("row"), F.col("doc_id").alias("_id"), text_hash().alias("_hash"))
+    same = keyed["_id"].eqNullSafe(marked["id"]) & (keyed["_hash"] == marked["hash"])
+    clean = keyed.join(marked, same, "leftanti").select("row.*")
+    dirty = keyed.join(marked, same).select("row", hide(text_or_empty("row.text"), "spans").alias("hidden"))
+    row = F.col("row").withField("text", F.col("hidden"))
     if "n_chars" in docs.columns:
-        dirty = dirty.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.unionByName(dirty.select(*docs.columns))
+        row = row.withField("n_chars", F.length("hidden").cast(docs.schema["n_chars"].dataType))
+    return clean.unionByName(dirty.select(row.alias("row")).select("row.*"))
 
 
 def digest_columns(spans: DataFrame) -> DataFrame:

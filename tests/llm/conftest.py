@@ -8,12 +8,14 @@ ODD_TEXTS = [
 
 @pytest.fixture(scope="session")
 def odd(spark):
-    """Nulls, ties, repeated rows and ids, very long texts, columns that clash with internal names."""
+    """Nulls, ties, repeated rows and ids, very long texts, columns that clash with internal names or hold dots."""
     rows = [(i, t) for i, t in enumerate(ODD_TEXTS)]
     rows += [(3, "one"), (3, "one"), (3, "another text under the same id"), (None, "no id"), (None, None), (-7, "two words")]
-    rows = [(i, t, f"src{k % 3}", k, "x", 1.0) for k, (i, t) in enumerate(rows)]
+    clashing = ["_hash", "_key", "_id", "_spans", "_named", "_order", "_text", "row", "hash", "spans", "a.b", "count", "x"]
+    rows = [(i, t, f"src{k % 3}", k, "x", 1.0, *[f"{c}{k}" for c in clashing]) for k, (i, t) in enumerate(rows)]
     return spark.createDataFrame(
-        rows, "doc_id bigint, text string, source string, node int, text_hash string, failed double"
+        rows, "doc_id bigint, text string, source string, node int, text_hash string, failed double, "
+        + ", ".join(f"`{c}` string" for c in clashing)
     ).repartition(3)
 
 
