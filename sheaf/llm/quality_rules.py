@@ -13,8 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sheaf.functions.binding import with_kept
-from sheaf.llm.common import SPACE_RUN, SPACES, text_or_empty
+from sheaf.llm.common import SPACE_RUN, SPACES, as_struct, text_or_empty
+from sheaf.session import stage
 
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -108,8 +108,11 @@ def failure_bits(rules: Mapping[str, str] = RULES) -> Column:
 
 
 def ledger(docs: DataFrame, rules: Mapping[str, str] = RULES) -> DataFrame:
-    """``doc_id``, the measurements and ``failed`` (bigint bits) for each row of ``docs``."""
-    return with_measures(docs.select("doc_id", "text")).withColumn("failed", failure_bits(rules))
+    """``doc_id``, the measurements and ``failed`` (bigint bits) for each row of ``docs``.
+
+    Nothing has been written yet: :func:`sheaf.session.stage` it, and decide from that.
+    """
+    return with_measures(docs.select("doc_id", "text")).drop("text").withColumn("failed", failure_bits(rules))
 
 
 def passes(policy: Policy, rules: Mapping[str, str] = RULES) -> Column:
@@ -141,10 +144,25 @@ def ablations(rows: DataFrame, policy: Policy, rules: Mapping[str, str] = RULES)
     return counts.select(F.explode(per_rule).alias("r")).select("r.*")
 
 
+def judged(rows: DataFrame, policy: Policy, rules: Mapping[str, str] = RULES) -> DataFrame:
+    """A written ledger with the verdict of a policy (``kept``) and what each rejection hangs on.
+
+    ``only_rule`` names the rule of the policy that alone rejects a document, null for
+    others; ``kept_without`` is the number of documents the policy would keep without it.
+    """
+    bits = {r: F.lit(1 << list(rules).index(r)).cast("bigint") for r in policy.rules}
+    failed = F.col("failed").bitwiseAND(F.lit(policy.mask(rules)).cast("bigint"))
+    only = F.coalesce(*(F.when(failed == b, F.lit(r)) for r, b in bits.items()))
+    # one row per rule
+    without = F.broadcast(ablations(rows, policy, rules).select(F.col("rule").alias("only_rule"), "kept_without"))
+    return rows.withColumns({"kept": passes(policy, rules), "only_rule": only}).join(without, "only_rule", "left")
+
+
 def kept_documents(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
-    """The rows of ``docs`` that pass the policy, with exactly their columns."""
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    measured = with_measures(docs.select(whole, "text"))
-    verdict = F.when(failure_bits().bitwiseAND(F.lit(policy.mask()).cast("bigint")) == 0, True)
-    # a plain filter would be pushed below the measurements, and copy them many times over
-    return with_kept(measured, "_kept", verdict).select("_row.*")
+    """The rows of ``docs`` that pass the policy, with exactly their columns.
+
+    Their ledger is written with the rows, and the policy reads it from there.
+    """
+    measured = with_measures(docs.select(as_struct(docs).alias("_row"), "text")).drop("text")
+    rows = stage(measured.withColumn("failed", failure_bits()), "quality-ledger")
+    return rows.filter(passes(policy)).select("_row.*")

@@ -9,6 +9,7 @@ from sheaf.llm import (
     token_files, url_filter, whitening,
 )
 from sheaf.llm.common import table
+from sheaf.session import stage
 
 
 def vocabulary(name: str) -> str:
@@ -29,14 +30,13 @@ def op2_sentencepiece(spark, sf_dir) -> DataFrame:
 
 
 def op3_quality_rules(spark, sf_dir) -> DataFrame:
-    """Measurements, failure bits and the verdict of the production policy for every document."""
-    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
-    return rows.select(
+    """Measurements, failure bits, the verdict of the production policy and its ablation for every document."""
+    rows = stage(quality_rules.ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    return quality_rules.judged(rows, quality_rules.PRODUCTION).select(
         "doc_id", *quality_rules.MEASURES,
-        (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"),
-        quality_rules.passes(quality_rules.PRODUCTION).alias("kept"),
+        (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"), "kept",
         F.col("failed").alias("failed_rules"),
-        F.lit(quality_rules.PRODUCTION.version).alias("policy"),
+        F.lit(quality_rules.PRODUCTION.version).alias("policy"), "only_rule", "kept_without",
     )
 
 
@@ -138,7 +138,12 @@ WITH d AS (
     + CASE WHEN word_chars > 12 * n_words THEN 32 ELSE 0 END
     + CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END)::BIGINT AS failed_rules FROM m
 )
-SELECT *, failed_rules & 3 <> 0 AS base_failed, failed_rules = 0 AS kept, 'production-1' AS policy FROM b
+SELECT *, failed_rules & 3 <> 0 AS base_failed, failed_rules = 0 AS kept, 'production-1' AS policy,
+  CASE failed_rules WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'symbols' WHEN 8 THEN 'repeated_lines'
+    WHEN 16 THEN 'short_words' WHEN 32 THEN 'long_words' WHEN 64 THEN 'capitals' END AS only_rule,
+  CASE WHEN failed_rules IN (1, 2, 4, 8, 16, 32, 64) THEN
+    (SELECT count(*) FROM b WHERE failed_rules = 0) + count(*) OVER (PARTITION BY failed_rules) END AS kept_without
+FROM b
 """,
     "op7_url_filters": r"""
 WITH p AS (

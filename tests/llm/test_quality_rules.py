@@ -47,6 +47,19 @@ def test_policies_and_ablations(spark, sf_dir):
             assert a["kept_without"] == sum(not r["failed"] & (mask & ~bit) for r in seen)
 
 
+def test_verdicts_name_the_rule_they_hang_on(spark, sf_dir):
+    rows = qr.ledger(spark.read.parquet(f"{sf_dir}/documents.parquet")).cache()
+    seen = rows.collect()
+    for policy in (qr.BASE, qr.PRODUCTION):
+        mask = policy.mask()
+        kept = sum(not r["failed"] & mask for r in seen)
+        for r in qr.judged(rows, policy).collect():
+            own = r["failed"] & mask
+            only = [name for k, name in enumerate(qr.RULES) if own == 1 << k]
+            assert r["kept"] == (own == 0) and r["only_rule"] == (only[0] if only else None)
+            assert r["kept_without"] == (kept + sum(x["failed"] & mask == own for x in seen) if only else None)
+
+
 def test_rejected_documents_go_and_columns_stay(odd):
     kept = qr.kept_documents(odd)
     assert kept.columns == odd.columns
