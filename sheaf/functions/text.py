@@ -25,11 +25,6 @@ def is_filled(c: Column | str) -> Column:
     return F.coalesce(strip(c) != "", F.lit(False))
 
 
-def without_bom(c: Column | str) -> Column:
-    """Drop a byte order mark; Spark does so for lines, not for whole files."""
-    return F.regexp_replace(_col(c), r"\A\x{feff}", "")
-
-
 def count_words(c: Column | str) -> Column:
     """Number of runs of non-blank characters: an approximate token count."""
     return F.size(F.regexp_extract_all(_col(c), F.lit(r"(\S+)"), F.lit(1)))

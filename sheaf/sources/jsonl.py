@@ -10,15 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sheaf.functions.binding import let, with_kept
 from sheaf.functions.json_text import canonical, root_kind
 from sheaf.functions.salvage import decoded
-from sheaf.functions.text import is_filled, without_bom
+from sheaf.functions.text import is_filled
 from sheaf.operators.ordering import add_position
 from sheaf.session import stage
+from sheaf.sources.json_array import checked_items, read_items
 
 T = TypeVar("T")
 
 
 BROKEN = "broken JSON"
 NOT_OBJECT = "not a JSON object"
+NOT_LINES = "; lines of records belong in a .jsonl file"
 
 
 class JsonlError(RuntimeError):
@@ -227,9 +229,14 @@ def run_strict(
 
 
 def count_array_items(spark: SparkSession, path: str) -> DataFrame:
-    """Items of any type in a file holding one JSON array; anything else ends the job."""
-    whole = spark.read.text(path, wholetext=True).select(without_bom("value").alias("value"))
-    return whole.select(array_length("value", F.lit(path)).alias("n")).agg(F.sum("n").alias("samples"))
+    """Items of any type in a file holding one JSON array; anything else ends the job.
+
+    The file is read by as many tasks as it has byte ranges.
+    """
+    items = checked_items(read_items(spark, path))
+    wrong = F.raise_error(F.concat(F.lit("no JSON array in "), F.col("path"), F.lit(NOT_LINES))).cast("bigint")
+    one = F.when(~F.col("is_array"), wrong).when(F.col("item").isNotNull(), F.lit(1).cast("bigint"))
+    return items.agg(F.coalesce(F.sum(one), F.lit(0).cast("bigint")).alias("samples"))
 
 
 def array_length(text: Column | str, source: Column) -> Column:
@@ -245,8 +252,7 @@ def array_length(text: Column | str, source: Column) -> Column:
                 F.when(compact.isNull(), fault("broken JSON in ", source))
                 .when(root_kind(value) == "array", F.json_array_length(compact).cast("bigint"))
                 .otherwise(
-                    fault("no JSON array in ", source,
-                          "; lines of records belong in a .jsonl file")
+                    fault("no JSON array in ", source, NOT_LINES)
                 )
             )
 

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sheaf.fixed import TASKS
 from sheaf.functions.binding import let
 from sheaf.functions.json_text import canonical, is_object_variant, root_kind, STRICT
-from sheaf.functions.text import is_filled, strip, without_bom
+from sheaf.functions.text import is_filled, strip
 from sheaf.session import read_table_if_any
+from sheaf.sources.json_array import checked_items, read_items
 
 LEDGER_SCHEMA = "doc_path string, run_id string"
 
@@ -82,13 +83,13 @@ def records_from_text(files: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Extraction records of a file or folder, with ``paper_index`` per file order.
+    """``path, item_no, record_json``: the extraction records of a file or folder.
 
     Files written by the record sink are JSON Lines and are read with ``read_jsonl``;
-    this reads files that hold a single JSON value each.
+    this reads files that hold a single JSON value each, a record or an array of them.
     """
-    files = spark.read.text(path, wholetext=True)
-    return records_from_text(files.select(F.col("_metadata.file_path").alias("path"), without_bom("value").alias("value")))
+    items = checked_items(read_items(spark, path), objects=True)
+    return items.select("path", "item_no", F.col("item").alias("record_json"))
 
 
 def read_prompts(spark: SparkSession, folder: str) -> DataFrame:

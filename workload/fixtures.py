@@ -14,7 +14,7 @@ from sheaf.functions.json_text import quoted
 from sheaf.operators.ordering import with_dense_index
 from sheaf.operators.pages import page_key
 from sheaf.record_template import TECHNIQUES
-from sheaf.session import spread
+from sheaf.session import spread, staged_path
 
 TASK_LIST = list(TASKS.values())
 IMAGE_HOST = "https://images.example/"
@@ -180,6 +180,33 @@ def section_records(spark, sf_dir) -> DataFrame:
     return docs.select("doc_id", shaped.alias("record_json"))
 
 
+def array_files(spark, sf_dir) -> str:
+    """Folder of files with one JSON array each, indented or not; every document is an item."""
+    docs = documents(spark, sf_dir)
+    item = F.concat(
+        F.lit('{"id":'), F.col("doc_id").cast("string"), F.lit(',"text":'), quoted("text"), F.lit(',"of":[{"lang":'),
+        quoted("lang"), F.lit('}, "],[", null]}'),
+    )
+
+    def as_array(batches):
+        import pandas as pd
+
+        first = True
+        for batch in batches:
+            head = batch["value"].copy()
+            head[:] = "  " + head
+            head.iloc[1:] = ",\n" + head.iloc[1:]
+            head.iloc[0] = ("[" if first else ",") + head.iloc[0]
+            first = False
+            yield pd.DataFrame({"value": head})
+        yield pd.DataFrame({"value": ["[]" if first else "]"]})
+
+    # a task writes one file
+    path = staged_path(spark, "arrays")
+    docs.select(item.alias("value")).mapInPandas(as_array, "value string").write.text(path)
+    return path
+
+
 # -- documents as papers with pages --------------------------------------------------------
 def papers(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

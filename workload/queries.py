@@ -18,8 +18,9 @@ from sheaf.plans.translate import translate_records
 from sheaf.plans import tools
 from sheaf.record_template import TEMPLATE
 from sheaf.session import stage, staged_path
+from sheaf.sources.jsonl import count_array_items as json_array_count
 from sheaf.sources.jsonl import array_length, bad_lines, index_records, read_jsonl, require_objects, with_record
-from sheaf.sources.papers import missing_prompts, pending_papers, read_ledger, records_from_text, task_table
+from sheaf.sources.papers import missing_prompts, pending_papers, read_ledger, read_records, records_from_text, task_table
 from sheaf.sources.sinks import dataset_view, write_lines
 from workload import fixtures as fx, stubs
 
@@ -161,6 +162,20 @@ def record_items(spark, sf_dir) -> DataFrame:
     return records_from_text(files).select("paper_index", "item_no", "record_json")
 
 
+def array_file_records(spark, sf_dir) -> DataFrame:
+    """Every item of files that hold one array of all documents' records each, as a task wrote it."""
+    records = read_records(spark, fx.array_files(spark, sf_dir))
+    told = F.from_json("record_json", "id bigint, text string, of array<string>")
+    return records.select(told.alias("t"), "record_json").select(
+        F.col("t.id").alias("doc_id"), F.sha2("t.text", 256).alias("text_sha"), F.size("t.of").alias("n_of"),
+        F.length("record_json").alias("chars"),
+    )
+
+
+def count_array_files(spark, sf_dir) -> DataFrame:
+    return json_array_count(spark, fx.array_files(spark, sf_dir))
+
+
 # -- fields of records ---------------------------------------------------------------------------
 def _paths(spark, sf_dir) -> DataFrame:
     return record_checks.field_paths(fx.section_records(spark, sf_dir), template=TEMPLATE)
@@ -507,6 +522,7 @@ QUERIES = [
     task_request_matrix, task_request_matrix_cpt, planned_calls, prompt_completeness,
     page_batches, page_keys, oversized_guard, extraction_requests,
     document_status, document_errors, extraction_report, pending_documents, required_keys, record_items,
+    array_file_records, count_array_files,
     field_paths, path_faults, field_fill, section_items, orphan_samples, process_param_check, technique_check,
     response_text, salvage_fast_path, salvage_answers, envelope_unwrap, token_usage, retry_class,
     translate_payloads, translate_batches, translate_batches_tight, translate_requests,

@@ -96,6 +96,10 @@ core(technique, name, spellings) AS (VALUES {_core}),
 allowed(technique, every) AS (VALUES {_allowed})"""
 
 ORACLE = {
+    "array_file_records": f"""SELECT doc_id, sha256(text) AS text_sha, 3 AS n_of,
+      length('{{"id":' || doc_id || ',"text":' || {quoted('text')} || ',"of":[{{"lang":' || {quoted('lang')} || '}},"],[",null]}}') AS chars
+      FROM documents""",
+    "count_array_files": "SELECT count(*) AS samples FROM documents",
     "field_paths": f"WITH {PATHS} SELECT * FROM paths",
     "path_faults": f"""WITH {PATHS}
       SELECT doc_id, path, 'absent' AS fault, kind, n FROM paths WHERE kind = 'absent'
