@@ -3,7 +3,7 @@
 A batch takes records in id order until it is full or the next one would exceed the
 character budget. Where a batch starts depends on every earlier record, yet from a given
 start the next start is decided by at most ``batch_size`` records. So each chunk of ids is
-summed up as a function: "entered at offset e, the first start behind the chunk is at
+summed up, by pointer doubling, as a function: "entered at offset e, the first start behind the chunk is at
 offset f(e), after n(e) batches". These short functions are composed, which gives every
 chunk its true entry, and a second pass over the chunks numbers the batches.
 """
@@ -36,19 +36,20 @@ def _summarise(batch_size: int, max_chars: int, chunk_rows: int):
     starts_of = _starts_of
 
     def summarise(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
         rows = rows.sort_values("id")
         own = int((rows["id"] < (key[0] + 1) * chunk_rows).sum())
-        nxt = starts_of(rows["chars"].to_numpy(), batch_size, max_chars)[:own].tolist()
-        end, seen = [0] * own, [0] * own
-        for i in range(own - 1, -1, -1):
-            j = nxt[i]
-            if j >= own:
-                end[i], seen[i] = j - own, 1
-            else:
-                end[i], seen[i] = end[j], seen[j] + 1
-        exits = [end[e] if e < own else e - own for e in range(batch_size)]
-        counts = [seen[e] if e < own else 0 for e in range(batch_size)]
-        return pd.DataFrame({"chunk": [key[0]], "exits": [exits], "counts": [counts]})
+        nxt = starts_of(rows["chars"].to_numpy(), batch_size, max_chars)[:own]
+        # each round follows twice as many batches; rows behind the chunk are where it ends
+        end = np.concatenate([nxt, np.arange(own, own + batch_size + 1)])
+        seen = np.concatenate([np.ones(own, np.int64), np.zeros(batch_size + 1, np.int64)])
+        while (end[:own] < own).any():
+            seen[:own] += seen[end[:own]]
+            end[:own] = end[end[:own]]
+        entry = np.arange(batch_size)
+        exits, counts = end[entry] - own, seen[entry]
+        return pd.DataFrame({"chunk": [key[0]], "exits": [exits.tolist()], "counts": [counts.tolist()]})
 
     return summarise
 
@@ -77,20 +78,33 @@ def _walk(key: tuple, entries: pd.DataFrame, maps: pd.DataFrame) -> pd.DataFrame
     return pd.DataFrame(out, columns=["chunk", "entry", "base"])
 
 
+def _opened(nxt, at: int):
+    """The starts that follow one another from ``at`` on, as marks of the rows."""
+    import numpy as np
+
+    n = len(nxt)
+    jump = np.append(nxt, n)
+    jumps = [jump]
+    while (jumps[-1][:n] < n).any():
+        jumps.append(jumps[-1][jumps[-1]])
+    # what any number of steps reaches: each round adds what lies a power of two further
+    reached = np.array([min(at, n)])
+    for jump in reversed(jumps):
+        reached = np.concatenate([reached, jump[reached]])
+        reached = reached[reached < n] if (reached < n).any() else reached[:1]
+    opens = np.zeros(n + 1, dtype=np.int64)
+    opens[reached] = 1
+    return opens[:n]
+
+
 def _number(batch_size: int, max_chars: int):
-    starts_of = _starts_of
+    starts_of, opened = _starts_of, _opened
 
     def number(key: tuple, entries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
         rows = rows.sort_values("id")
-        n = len(rows)
-        nxt = starts_of(rows["chars"].to_numpy(), batch_size, max_chars).tolist()
-        opens = np.zeros(n, dtype=np.int64)
-        at = int(entries["entry"].iloc[0])
-        while at < n:
-            opens[at] = 1
-            at = nxt[at]
+        opens = opened(starts_of(rows["chars"].to_numpy(), batch_size, max_chars), int(entries["entry"].iloc[0]))
         # rows before the first start belong to the batch that began in an earlier chunk
         batch = int(entries["base"].iloc[0]) - 1 + np.cumsum(opens)
         return pd.DataFrame({"id": rows["id"].to_numpy(), "batch_no": batch})
