@@ -51,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--threads", type=positive, default=1, help="calls at a time inside a task")
             sub.add_argument("--max-retries", type=int, default=fixed.MAX_RETRIES)
             sub.add_argument("--waves", type=positive, default=1, help="number of commits of the responses")
+            sub.add_argument("--resume", action="store_true", help="go on with the unfinished waves of a lost run")
             sub.add_argument("--responses", help="response table, by default beside the output; an existing one is continued")
             sub.add_argument("--errors", help="folder for one JSON line per paper, call or batch that failed")
             sub.add_argument("-o", "--output", required=True)
@@ -133,7 +134,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, int]:
         print(f"responses: {args.responses}", file=sys.stderr)
         model = {
             "concurrency": args.concurrency, "threads": args.threads, "max_retries": args.max_retries,
-            "waves": args.waves, "responses_path": args.responses,
+            "waves": args.waves, "resume": args.resume, "responses_path": args.responses,
         }
     match args.command:
         case "extract":

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheaf.fixed import MAX_RETRIES, RETRYABLE_400_TEXT, RETRYABLE_STATUS
 from sheaf.functions.json_text import canonical, is_string_variant, root_kind
@@ -94,6 +94,23 @@ def call_model(
     return requests.select(*REQUEST_FIELDS, *keys).mapInPandas(run, response_schema(requests, keys))
 
 
+WAVES = "round int, waves int, wave int"
+
+
+def committed_waves(spark: SparkSession, path: str, waves: int) -> tuple[int, set[int]] | None:
+    """Round and finished waves of the last run at ``path`` if it was cut into as many waves and did not finish."""
+    marks = read_table_if_any(spark, _marks(path), WAVES)
+    last = None if marks is None else marks.agg(F.max("round")).first()[0]
+    if last is None:
+        return None
+    done = {r["wave"] for r in marks.filter((F.col("round") == last) & (F.col("waves") == waves)).select("wave").distinct().collect()}
+    return (last, done) if 0 < len(done) < waves else None
+
+
+def _marks(path: str) -> str:
+    return f"{path.rstrip('/')}.waves"
+
+
 def answer(
     requests: DataFrame,
     model_fn: ModelFn,
@@ -103,6 +120,8 @@ def answer(
     max_retries: int = MAX_RETRIES,
     threads: int = 1,
     backoff_s: float = 1.0,
+    wave_by: Sequence[str] = ("request_id",),
+    resume: bool = False,
 ) -> DataFrame:
     """Answer all requests into a table at ``path`` and return that table's rows for them.
 
@@ -110,21 +129,33 @@ def answer(
     Requests already answered at ``path`` are not asked again; those that failed there
     are, in a new round, and their latest round counts. ``waves`` commits the work in
     that many steps: what a lost job has to repeat is at most one wave.
+
+    ``wave_by`` names columns that decide a request's wave. Those that requests are built
+    from let Spark skip the other waves' rows before it multiplies and hashes texts. Each
+    finished wave is marked beside the table. ``resume`` goes on with the last round if it
+    was lost on the way: its finished waves are not even built again, and the others
+    ask what that round has not asked. It is for the same requests and number of waves.
     """
     spark = requests.sparkSession
     schema = response_schema(requests, keys)
     earlier = read_table_if_any(spark, path, schema)
     rounds = None if earlier is None else earlier.agg(F.max("round")).first()[0]
-    round_no = 0 if rounds is None else rounds + 1
-    wave = F.pmod(F.xxhash64("request_id"), F.lit(waves))
+    lost = committed_waves(spark, path, waves) if resume else None
+    round_no, done = lost or (0 if rounds is None else rounds + 1, set())
+    wave = F.pmod(F.xxhash64(*wave_by), F.lit(waves))
+    asked = F.col("error").isNull() | (F.col("round") == round_no)
     for number in range(waves):
+        if number in done:
+            continue
         todo = requests if waves == 1 else requests.filter(wave == number)
         if earlier is not None:
             # a fresh scan: the listing of the first one does not know this call's waves
-            answered = spark.read.schema(schema).parquet(path).filter("final and error is null")
+            answered = spark.read.schema(schema).parquet(path).filter("final").filter(asked)
             todo = todo.join(answered.select("request_id"), "request_id", "left_anti")
         told = call_model(todo, model_fn, keys, max_retries, threads, backoff_s, round_no)
         told.write.mode("append").parquet(path)
+        if waves > 1:
+            spark.createDataFrame([(round_no, waves, number)], WAVES).coalesce(1).write.mode("append").parquet(_marks(path))
     responses = spark.read.schema(schema).parquet(path)
     if earlier is not None:
         # the table may also hold answers to other requests; only ids and rounds are grouped

@@ -89,7 +89,7 @@ def extract(
     checked, todo, passes = None, batches, []
     for attempt in range(schema_retries + 1):
         requests = extraction_requests(todo, prompt, correct=attempt > 0)
-        responses = answer(requests, model_fn, f"{path}/pass={attempt}", keys=BATCH_KEYS, **model_options)
+        responses = answer(requests, model_fn, f"{path}/pass={attempt}", keys=BATCH_KEYS, wave_by=["doc_path", "batch_no"], **model_options)
         passes.append(responses)
         read = with_response_text(responses.filter("final")).select(*BATCH_KEYS, "text", "text_error")
         answers = stage(with_schema_error(with_json_value(read, "text").drop("text")), "answers")

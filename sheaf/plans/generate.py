@@ -84,7 +84,7 @@ def generate(
         records = records.repartition(concurrency)
     requests = generation_requests(records, prompts, method, max_chars)
     path = responses_path or staged_path(spark, "responses")
-    responses = answer(requests, model_fn, path, keys=["paper_index", "task_type"], **model_options)
+    responses = answer(requests, model_fn, path, keys=["paper_index", "task_type"], wave_by=["paper_index"], **model_options)
     answers = with_json_value(with_response_text(responses.filter("final")), "text")
     # samples and results both read the decoded answers, which may have needed Python
     candidates = stage(judged_candidates(answers, method, max_chars), "candidates")

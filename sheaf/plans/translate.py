@@ -55,7 +55,7 @@ def translate_records(
     batches = stage(batch_payloads(payloads(records), batch_size, max_chars), "batches")
     requests = translation_requests(batches.repartition(concurrency) if concurrency else batches, language)
     path = responses_path or staged_path(spark, "responses")
-    responses = answer(requests, model_fn, path, keys=["batch_no"], **model_options)
+    responses = answer(requests, model_fn, path, keys=["batch_no"], wave_by=["batch_no"], **model_options)
     final = with_response_text(responses.filter("final")).select("batch_no", "text", "text_error")
     answers = with_json_value(batches.select("batch_no", "expected").join(final, "batch_no"), "text")
     checked = check_batches(answers).withColumn("fault", F.coalesce("text_error", "fault"))

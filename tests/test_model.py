@@ -87,6 +87,64 @@ def test_waves_answer_everything(spark, waves):
     assert sorted((r.request_id, r.n) for r in got.collect()) == sorted((n, i) for i, n in enumerate(names))
 
 
+def test_a_lost_run_goes_on_with_its_open_waves(spark, tmp_path):
+    log = str(tmp_path / "calls")
+    names = [f"r{i}" for i in range(60)]
+    path = staged_path(spark, "responses")
+
+    def logged(request):
+        with open(log, "a") as f:
+            f.write(request["request_id"] + "\n")
+        return (503, "later") if int(request["request_id"][1:]) % 10 == 0 else by_name(request)
+
+    class Lost(Exception):
+        pass
+
+    asked = requests(spark, names)
+    built = []
+
+    class Watched:
+        """The requests, noting which waves are built; the third one is lost."""
+
+        sparkSession, schema = asked.sparkSession, asked.schema
+
+        def select(self, *c):
+            return asked.select(*c)
+
+        def filter(self, condition):
+            built.append(str(condition))
+            if len(built) == 3:
+                raise Lost
+            return asked.filter(condition)
+
+    with pytest.raises(Lost):
+        answer(Watched(), logged, path, keys=["n"], waves=4, max_retries=0, backoff_s=0.0, wave_by=["n"])
+    first = set(open(log).read().split())
+    assert 0 < len(first) < 60
+    built.extend(["x", "y"])  # no wave is lost from here on
+    got = answer(Watched(), logged, path, keys=["n"], waves=4, max_retries=0, backoff_s=0.0, wave_by=["n"], resume=True)
+    assert len(built) == 3 + 2 + 2  # two waves were left
+    calls = open(log).read().split()
+    assert sorted(calls) == sorted(names)  # failed ones of finished waves included: none is asked twice
+    final = got.filter("final").collect()
+    assert sorted(r.request_id for r in final) == sorted(names) and {r["round"] for r in final} == {0}
+    # a further run, not a resumed one, asks the failed ones again
+    answer(asked, logged, path, keys=["n"], waves=4, max_retries=0, backoff_s=0.0, wave_by=["n"], resume=True)
+    assert len(open(log).read().split()) == 66
+
+
+def test_a_wave_skips_rows_before_they_are_multiplied(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from sheaf.operators.requests import generation_requests
+    from workload import fixtures as fx
+
+    spark.createDataFrame([(i, '{"a":1}') for i in range(9)], "paper_index bigint, record_json string").write.parquet(str(tmp_path / "r"))
+    asked = generation_requests(spark.read.parquet(str(tmp_path / "r")), fx.prompts(spark), "SFT")
+    wave = asked.filter(F.pmod(F.xxhash64("paper_index"), F.lit(4)) == 2)
+    plan = wave._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("xxhash64") > plan.index("Generate")  # the filter is below the generator
+
+
 def test_retry_class(spark):
     ok, bad = '{"a":1}', '{"error":{"message":"Disallowed URL: x"}}'
     cases = [

@@ -3,6 +3,7 @@
 import json
 import os
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -17,7 +18,7 @@ from sheaf.plans.translate import translate
 from sheaf.plans.tools import merge
 from sheaf.session import staged_path
 from sheaf.sources.jsonl import JsonlError
-from sheaf.streaming.intake import start_intake, stream_pages
+from sheaf.streaming.intake import Waiting, start_intake, stream_pages
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WHOLE = json.dumps({k: None for k in RECORD_KEYS}, ensure_ascii=False, separators=(",", ":"))
@@ -147,6 +148,62 @@ def test_intake_hands_over_new_pages_of_unfinished_papers(spark, tmp_path):
     assert spark.read.parquet(ledger).filter("doc_path = 'split'").count() == 1
 
 
+def test_failed_papers_come_back_without_new_files(spark, tmp_path):
+    folder, ledger = str(tmp_path / "pages"), staged_path(spark, "ledger")
+    seen, up = [], tmp_path / "up"
+
+    def model(request):
+        return reading_model(request) if up.exists() or "down" not in request["input"] else (500, "down")
+
+    def run_batch(pages, run_id):
+        papers = pages.select("doc_path", "page_count").distinct()
+        seen.append(sorted(r.doc_path for r in papers.collect()))
+        if "down" in seen[-1] and up.exists():
+            pages = pages.withColumn("image_url", F.regexp_replace("image_url", "down", "ok"))
+        done = extract(papers, pages, "read", model, ledger_path=ledger, run_id=run_id, max_retries=0, backoff_s=0.0)
+        done.write(str(tmp_path / run_id))
+
+    def run(retry_after):
+        start_intake(stream_pages(spark, folder), run_batch, str(tmp_path / "cp"), ledger, retry_after=retry_after).awaitTermination()
+
+    rows = page_rows({"a": 1, "down": 1, "split": 2})
+    spark.createDataFrame(rows[:-1], PAGES).coalesce(1).write.mode("append").parquet(folder)
+    run(3600)
+    assert seen == [["a", "down"]]
+    waiting = Waiting(spark, ledger)
+    assert sorted((r.doc_path, r.page_no) for r in waiting.pages().collect()) == [("down", 1), ("split", 1)]
+    logged = sorted(os.listdir(waiting.pages_path))
+    run(3600)  # no new file, and it is too early to try again
+    assert seen == [["a", "down"]]
+    run(0)  # no new file; the model is still down
+    assert seen[1:] == [["down"]]
+    up.touch()
+    run(0)
+    assert seen[2:] == [["down"]] and spark.read.parquet(ledger).filter("doc_path = 'down'").count() == 1
+    run(0)
+    assert len(seen) == 3 and sorted(os.listdir(waiting.pages_path)) == logged  # nothing unchanged was written again
+    waiting.compact()
+    assert [(r.doc_path, r.page_no) for r in waiting.pages().collect()] == [("split", 1)]
+    spark.createDataFrame(rows[-1:], PAGES).coalesce(1).write.mode("append").parquet(folder)
+    run(3600)
+    assert seen[3:] == [["split"]]
+
+
+def test_a_running_intake_tries_again_by_itself(spark, tmp_path):
+    folder, ledger = str(tmp_path / "pages"), staged_path(spark, "ledger")
+    seen = []
+    spark.createDataFrame(page_rows({"x": 1}), PAGES).coalesce(1).write.parquet(folder)
+    query = start_intake(
+        stream_pages(spark, folder), lambda pages, run_id: seen.append([r.doc_path for r in pages.collect()]),
+        str(tmp_path / "cp"), ledger, trigger={"processingTime": "1 second"}, retry_after=0,
+    )
+    end = time.monotonic() + 60
+    while len(seen) < 3 and time.monotonic() < end and query.isActive:
+        time.sleep(0.5)
+    query.stop()
+    assert len(seen) >= 3 and all(s == ["x"] for s in seen)
+
+
 def test_papers_stay_pending_until_their_records_are_written(spark, tmp_path):
     pages = spark.createDataFrame(page_rows({"a": 1, "b": 2}), PAGES)
     papers = pages.select("doc_path", "page_count").distinct()
