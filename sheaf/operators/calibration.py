@@ -11,6 +11,8 @@ from sheaf.functions.binding import let, with_kept
 from sheaf.functions.text import strip
 
 _FIELDS = ("instruction", "input", "output")
+# Numbers that are drawn on the driver; calibration sets have some hundred members.
+MAX_DRAWS = 1_000_000
 MAX_BROADCAST_DRAWS = 1_000_000
 
 
@@ -65,8 +67,11 @@ def seeded_draw(
     """Draw min(k, n) of the n rows whose ``index`` is dense from 0; adds ``draw_no``.
 
     The draw is that of a seeded ``random.Random(seed).sample`` over the row numbers,
-    so only the k numbers, not the rows, are drawn on the driver.
+    so only the k numbers, not the rows, are drawn on the driver; ``k`` above
+    ``MAX_DRAWS`` is refused.
     """
+    if k > MAX_DRAWS:
+        raise ValueError(f"a calibration set has at most {MAX_DRAWS} members, not {k}")
     n = indexed.count()
     picks = random.Random(seed).sample(range(n), min(k, n))
     rows = [(p, i) for i, p in enumerate(picks)]

@@ -37,13 +37,15 @@ def task_counts(records: DataFrame, task_type: Column, order: str = "record_inde
 def task_stats(counts: DataFrame) -> DataFrame:
     """Count and share of all records for each task type, most frequent first.
 
-    The share's denominator includes records without a type. Ties keep the order of
-    first appearance.
+    The share's denominator includes records without a type; ``percent`` shows it with two
+    decimals, halves going to the even one. Ties keep the order of first appearance.
     """
     total = counts.agg(F.sum("count")).scalar()
     typed = counts.filter(F.col("task_type").isNotNull())
+    share = F.col("count") / total
     return typed.select(
-        "task_type", "count", (F.col("count") / total).alias("proportion"), "first_at"
+        "task_type", "count", share.alias("proportion"),
+        F.concat(F.format_number(100 * share, 2), F.lit("%")).alias("percent"), "first_at",
     ).orderBy(F.desc("count"), "first_at")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -156,23 +154,27 @@ def translated_rows(checked: DataFrame) -> DataFrame:
 
 def apply_translations(records: DataFrame, translated: DataFrame) -> DataFrame:
     """Records with their translated members; records without a translation are left out."""
-    # Spark has no NaN and Infinity in JSON: records with such a value are patched in Python.
-    # Texts may hold these letters; only a parser tells, and it is asked for those alone.
-    letters = F.col("record").contains("NaN") | F.col("record").contains("Infinity")
-    odd = letters & F.try_parse_json("record").isNull()
-    plain = records.filter(~odd).join(translated, "id").withColumn("record", patched_object("record", "fields"))
-    rest = records.filter(odd).join(translated, "id").withColumn("fields", F.to_json("fields"))
-    kept = [c for c in rest.columns if c != "fields"]
 
-    def patch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def patched(texts: pd.Series, changes: pd.Series) -> pd.Series:
         import json
 
-        for batch in batches:
-            changed = [json.loads(r) | json.loads(f) for r, f in zip(batch["record"], batch["fields"], strict=True)]
-            batch["record"] = [json.dumps(c, ensure_ascii=False, separators=(",", ":")) for c in changed]
-            yield batch[kept]
+        def one(text: str | None, change: str | None) -> str | None:
+            if text is None:
+                return None
+            return json.dumps(json.loads(text) | json.loads(change), ensure_ascii=False, separators=(",", ":"))
 
-    return plain.drop("fields").unionByName(rest.mapInPandas(patch, rest.drop("fields").schema))
+        return pd.Series([one(t, c) for t, c in zip(texts, changes, strict=True)], dtype=object)
+
+    # Spark has no NaN and Infinity in JSON: records with such a value are patched in Python.
+    # Texts may hold these letters; only a parser tells, and it is asked for those alone.
+    letters = F.col("record").contains("NaN") | F.col("record").contains("Infinity")
+    joined = records.join(translated, "id").withColumn("_odd", letters & F.try_parse_json("record").isNull())
+    odd = F.col("_odd")
+    # Python is sent nothing but nulls for the others
+    in_python = patched(F.when(odd, F.col("record")), F.when(odd, F.to_json("fields")))
+    record = F.when(odd, F.col("_python")).otherwise(patched_object("record", "fields"))
+    return joined.withColumn("_python", in_python).withColumn("record", record).drop("_odd", "_python", "fields")
 
 
 def translation_report(checked: DataFrame) -> DataFrame:

@@ -83,10 +83,18 @@ def calibration_set(
 
 
 def training_view(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A JSON Lines file under the column names of the training-set manifest."""
+    """A JSON Lines file under the column names of the training-set manifest.
+
+    Lines are read as by the other tools: NaN and repeated members are taken, a line that
+    is no object ends the job and is named. The view is written once on the way.
+    """
     fields = list(DATASET_VIEWS[name].values())
-    records = read_jsonl(spark, [path]).select(string_members("record", fields).alias("m"))
-    return dataset_view(records.select("m.*"), name)
+
+    def job(python_judges: bool) -> DataFrame:
+        records = read_jsonl(spark, [path], python_judges=python_judges)
+        return stage(records.select(string_members("record", fields).alias("m")).select("m.*"), "view")
+
+    return dataset_view(run_strict(spark, [path], job), name)
 
 
 def record_reports(records: DataFrame, text: str = "record_json") -> dict[str, DataFrame]:

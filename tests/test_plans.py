@@ -217,6 +217,19 @@ def test_papers_stay_pending_until_their_records_are_written(spark, tmp_path):
     assert extract(papers, pages, "read", reading_model, ledger_path=ledger, backoff_s=0.0).results.count() == 0
 
 
+def test_translations_are_joined_once(spark, tmp_path):
+    from sheaf.operators.translation import apply_translations
+
+    rows = [(i, json.dumps({"text": f"t{i}", "x": float("nan") if i % 3 else "NaN"})) for i in range(6)]
+    spark.createDataFrame(rows, "id bigint, record string").write.parquet(str(tmp_path / "r"))
+    spark.createDataFrame([(i, {"text": f"T{i}"}) for i in range(5)], "id bigint, fields map<string,string>").write.parquet(str(tmp_path / "t"))
+    got = apply_translations(spark.read.parquet(str(tmp_path / "r")), spark.read.parquet(str(tmp_path / "t")))
+    assert {r.id: json.loads(r.record)["text"] for r in got.collect()} == {i: f"T{i}" for i in range(5)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2 and plan.count("Join") == 1
+
+
 def test_translate(spark, tmp_path):
     def model(request):
         items = json.loads(json.loads(request["input"])[0]["content"].split("Source JSON:\n")[1])

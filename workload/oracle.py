@@ -340,8 +340,9 @@ ORACLE: dict[str, str] = {
         '{"a":' || user_id || ',"props":' || CAST(json(props) AS VARCHAR) || '}' AS record FROM events""",
     "count_files": f"""WITH {MERGED} SELECT CAST(s AS INTEGER) AS src_ordinal, count(record) AS samples
         FROM range(3) r(s) LEFT JOIN merged ON src_ordinal = s GROUP BY s""",
-    "bad_line_files": """SELECT CASE WHEN doc_id % 3 = 1 THEN 'not a JSON object' ELSE 'broken JSON' END AS problem,
-               count(*) AS lines, count(*) AS places FROM documents WHERE doc_id % 3 <> 0 GROUP BY doc_id % 3""",
+    "bad_line_files": f"""SELECT line, CASE WHEN doc_id % 3 = 1 THEN 'not a JSON object' ELSE 'broken JSON' END AS problem,
+        sha256(CASE WHEN doc_id % 3 = 1 THEN {quoted('text')} ELSE '{{"n":' || {quoted('text')} END) AS value_sha
+        FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS line FROM documents) WHERE doc_id % 3 <> 0""",
     "ledger_round": f"""WITH {EXTRACTED} SELECT doc_path, status <> 'success' AS pending,
         (SELECT count(*) FROM outcomes WHERE NOT failed) AS records_on_disk FROM results""",
     "record_patch": f"""WITH {MERGED} SELECT 1 AS src_ordinal, line_key, substr(record, 1, length(record) - 1)
@@ -355,7 +356,8 @@ ORACLE: dict[str, str] = {
     "sample_lines": f"""WITH {DPO_KEPT} SELECT paper_index, pos,
         CAST(to_json({{'prompt': prompt, 'chosen': chosen, 'rejected': rejected}}) AS VARCHAR) AS line FROM kept""",
     "task_stats": f"""WITH {TASK_COUNTS} SELECT task_type, count(*) AS count,
-        count(*) / CAST((SELECT count(*) FROM typed) AS DOUBLE) AS proportion, min(first_at) AS first_at
+        count(*) / CAST((SELECT count(*) FROM typed) AS DOUBLE) AS proportion,
+        printf('%.2f%%', 100 * (count(*) / CAST((SELECT count(*) FROM typed) AS DOUBLE))) AS percent, min(first_at) AS first_at
         FROM typed WHERE task_type IS NOT NULL GROUP BY task_type""",
     "task_totals": f"WITH {TASK_COUNTS} SELECT count(*) AS total, count(*) FILTER (task_type IS NULL) AS missing FROM typed",
     "token_stats": f"""WITH {LINES}, counted AS (
@@ -365,6 +367,9 @@ ORACLE: dict[str, str] = {
     "record_index": "SELECT user_id, event_id, row_number() OVER (ORDER BY user_id, event_id) - 1 AS record_index FROM events",
     "calibration_pairs": f"""WITH {CALIBRATION} SELECT line_key, CASE WHEN u = '' THEN i ELSE i || chr(10) || chr(10) || u END AS asked,
         o AS answered FROM usable""",
+    "calibration_draw": f"""WITH {CALIBRATION}, n AS (SELECT least(64, count(*)) AS k FROM usable)
+        SELECT k AS drawn, k AS numbers, 0::BIGINT AS least, k - 1 AS most, k AS records, k AS usable FROM n""",
+    "dataset_view_files": "SELECT sha256(text) AS prompt_sha FROM documents",
     "dataset_view_sft": f"""WITH {SFT_KEPT}, firsts AS ({first_of('task_type, instruction, input, output')})
         SELECT instruction AS prompt, input AS query, output AS response FROM firsts""",
     "dataset_view_cpt": f"WITH {CPT_KEPT}, firsts AS ({first_of('text')}) SELECT text AS prompt FROM firsts",

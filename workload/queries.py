@@ -12,6 +12,7 @@ from sheaf.operators import calibration, extraction, pages as page_ops, record_c
 from sheaf.operators import samples, stats
 from sheaf.operators import translation
 from sheaf.operators.model import with_retry_class
+from sheaf.operators.ordering import running_sums
 from sheaf.plans.extract import extract
 from sheaf.plans.generate import generate
 from sheaf.plans.translate import translate_records
@@ -19,7 +20,7 @@ from sheaf.plans import tools
 from sheaf.record_template import TEMPLATE
 from sheaf.session import stage, staged_path
 from sheaf.sources.jsonl import count_array_items as json_array_count
-from sheaf.sources.jsonl import array_length, bad_lines, index_records, read_jsonl, require_objects, with_record
+from sheaf.sources.jsonl import array_length, bad_lines, index_records, scan_lines, read_jsonl, require_objects, with_record
 from sheaf.sources.papers import missing_prompts, pending_papers, read_ledger, read_records, records_from_text, task_table
 from sheaf.sources.sinks import dataset_view, write_lines
 from workload import fixtures as fx, stubs
@@ -360,18 +361,19 @@ def count_files(spark, sf_dir) -> DataFrame:
 
 
 def bad_line_files(spark, sf_dir) -> DataFrame:
-    """Every line of a file that is not an object, by its number: texts of documents between objects."""
+    """Every line of a file that is not an object, by its number and value: texts of documents between objects."""
     docs = fx.documents(spark, sf_dir)
     value = (
-        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('{"n":'), F.col("doc_id").cast("string"), F.lit("}")))
-        .when(F.col("doc_id") % 3 == 1, quoted("source")).otherwise(F.concat(F.lit('{"n":'), quoted("source")))
+        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('{"n":'), quoted("text"), F.lit("}")))
+        .when(F.col("doc_id") % 3 == 1, quoted("text")).otherwise(F.concat(F.lit('{"n":'), quoted("text")))
     )
     path = staged_path(spark, "bad")
     write_lines(docs.withColumn("value", value), path, "value", ["doc_id"])
-    # a line's number is its own file's; the sorted files hold them all once
-    bad = bad_lines(spark, [path])
-    return bad.groupBy("problem").agg(
-        F.count(F.lit(1)).alias("lines"), F.countDistinct("path", "line_no").alias("places")
+    # a line's number is its own file's; the files, read by name, are in order
+    sizes = scan_lines(spark, [path]).groupBy("path").count()
+    before = running_sums(stage(sizes, "sizes"), ["path"], {"count": "before"}).select("path", "before")
+    return bad_lines(spark, [path]).join(before, "path").select(
+        (F.col("before") + F.col("line_no")).alias("line"), "problem", F.sha2("value", 256).alias("value_sha")
     )
 
 
@@ -421,7 +423,9 @@ def _task_counts(spark, sf_dir):
 
 
 def task_stats(spark, sf_dir) -> DataFrame:
-    return stats.task_stats(_task_counts(spark, sf_dir)).select("task_type", "count", "proportion", "first_at")
+    return stats.task_stats(_task_counts(spark, sf_dir)).select(
+        "task_type", "count", "proportion", "percent", "first_at"
+    )
 
 
 def task_totals(spark, sf_dir) -> DataFrame:
@@ -461,6 +465,29 @@ def calibration_sample(spark, sf_dir) -> DataFrame:
     return calibration.seeded_draw(indexed, "usable_index").select("draw_no", "usable_index", "line_key", "instruction")
 
 
+def calibration_draw(spark, sf_dir) -> DataFrame:
+    """What holds for any seeded draw: how many, numbered without gaps, distinct, all of them usable records."""
+    drawn = stage(calibration_sample(spark, sf_dir), "drawn")
+    usable = _calibration(spark, sf_dir).select("line_key", F.lit(1).alias("usable"))
+    return drawn.join(usable, "line_key", "left").agg(
+        F.count(F.lit(1)).alias("drawn"), F.count_distinct("draw_no").alias("numbers"),
+        F.min("draw_no").cast("bigint").alias("least"), F.max("draw_no").cast("bigint").alias("most"),
+        F.count_distinct("line_key").alias("records"), F.count("usable").alias("usable"),
+    )
+
+
+def dataset_view_files(spark, sf_dir) -> DataFrame:
+    """The training view of a file of lines, some with repeated members and NaN, which other tools take too."""
+    docs = fx.documents(spark, sf_dir)
+    value = F.concat(
+        F.lit('{"text":'), F.when(F.col("doc_id") % 4 == 0, F.lit('"first","n":NaN,"text":')).otherwise(F.lit("")),
+        quoted("text"), F.lit("}"),
+    )
+    path = staged_path(spark, "view")
+    write_lines(docs.withColumn("value", value), path, "value")
+    return tools.training_view(spark, path, "cpt").select(F.sha2("prompt", 256).alias("prompt_sha"))
+
+
 def dataset_view_sft(spark, sf_dir) -> DataFrame:
     return dataset_view(sft_samples(spark, sf_dir), "sft")
 
@@ -529,7 +556,7 @@ QUERIES = [
     translate_validate, translate_apply, translate_formulas, record_patch,
     merge_files, merge_repeated_keys, count_files, bad_line_files, ledger_round,
     merge_jsonl, count_records, count_array_items, sample_lines, task_stats, task_totals, token_stats, record_index,
-    calibration_pairs, calibration_sample, dataset_view_sft, dataset_view_cpt,
+    calibration_pairs, calibration_sample, calibration_draw, dataset_view_files, dataset_view_sft, dataset_view_cpt,
     generated_samples, generated_calls, generation_report, extracted_status, extracted_parts,
     translated_records, translation_report,
 ]
