@@ -13,13 +13,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from sheaf.fixed import EXOTIC_LINE_ENDS
 from sheaf.functions.binding import let
 from sheaf.functions.json_text import canonical, root_kind
 from sheaf.functions.text import _col, strip
-from sheaf.session import stage
 
 DECODED = "struct<kind:string,value:string>"
 KINDS = {dict: "object", list: "array"}
@@ -106,25 +104,26 @@ def with_fast_json(df: DataFrame, text_col: str, kind: str, value: str) -> DataF
     return df.withColumn(kind, F.col("_fast.kind")).withColumn(value, F.col("_fast.value")).drop("_fast")
 
 
+def salvaged(body: Column) -> Column:
+    """Struct of ``kind`` and ``value`` of the first JSON value in a text, sought by Python; null for null."""
+
+    @F.pandas_udf(DECODED)
+    def search(texts: pd.Series) -> pd.DataFrame:
+        found = [None if t is None else _first_value(t, inside=True) for t in texts]
+        return pd.DataFrame([f or (None, None) for f in found], columns=["kind", "value"], dtype=object)
+
+    return search(body)
+
+
 def with_json_value(df: DataFrame, text_col: str, kind: str = "json_kind", value: str = "json") -> DataFrame:
     """Add the JSON value found in an answer: its kind and its compact text.
 
-    Both are null when no value can be decoded. A null answer gives null. The table is
-    written once with what the JVM reads; of its two parts only the refused rows see Python.
+    Both are null when no value can be decoded. A null answer gives null. One pass, and no
+    write: Python is sent the refused answers, and nulls in place of all others.
     """
-    read = stage(with_fast_json(df, text_col, kind, value), "decoded")
-    refused = F.col(kind).isNull() & F.col(text_col).isNotNull()
-    rest = read.filter(refused).withColumn("_body", unfenced(text_col)).drop(kind, value)
-    kept = [c for c in rest.columns if c != "_body"]
-
-    def salvage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [_first_value(t, inside=True) or (None, None) for t in batch["_body"]]
-            out = batch[kept].copy()
-            out[kind] = pd.Series([f[0] for f in found], index=out.index, dtype=object)
-            out[value] = pd.Series([f[1] for f in found], index=out.index, dtype=object)
-            yield out
-
-    schema = StructType([*rest.drop("_body").schema, StructField(kind, StringType()), StructField(value, StringType())])
-    salvaged = rest.mapInPandas(salvage, schema)
-    return read.filter(~refused).unionByName(salvaged)
+    read = df.withColumn("_fast", fast_json(text_col))
+    refused = F.col("_fast").isNull() & F.col(text_col).isNotNull()
+    read = read.withColumn("_slow", salvaged(F.when(refused, unfenced(text_col))))
+    return read.withColumns(
+        {name: F.coalesce(F.col(f"_fast.{part}"), F.col(f"_slow.{part}")) for name, part in ((kind, "kind"), (value, "value"))}
+    ).drop("_fast", "_slow")
