@@ -29,6 +29,9 @@ DROPOUT, SEED = 0.1, 17
 #: Traces after which a worker starts anew, and the longest segment whose traces it keeps.
 KEPT_SEGMENTS, KEPT_LENGTH = 600_000, 48
 
+#: Segments merged together: their tables should stay in a processor's cache.
+GROWN_ROWS = 1 << 13
+
 _M, _PIECE = (1 << 64) - 1, (1 << 32) - 1
 _FACTOR, _SPREAD = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
 _NONE = np.int64((1 << 62) - 1)
@@ -83,6 +86,8 @@ class PieceCodec:
         # in a text the sign for a space is an ordinary sign: it must come back
         self.char_id = {(" " if p == "▁" else p): i for p, i in normal.items() if len(p) == 1}
         order = {s: k for k, s in enumerate(sorted({-model.get_score(i) for i in normal.values()}))}
+        #: Whether each piece has a score of its own; then equal ranks are equal pieces.
+        self.own_scores = len(order) == len(normal)
         self.merge: dict[int, int] = {}  # left id, right id: rank of the score, id of the piece
         for piece, i in normal.items():
             for cut in range(1, len(piece)):
@@ -109,7 +114,11 @@ class PieceCodec:
         cut = [self._segments(" " + t) if t else [] for t in texts]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         segments = list(chain.from_iterable(cut))
-        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+        # words repeat: what does not depend on the place is looked up once for each
+        encoded = pa.array(segments, pa.large_string()).dictionary_encode()
+        word, words = np.asarray(encoded.indices).astype(np.int64), encoded.dictionary.to_pylist()
+        word_lengths = np.fromiter(map(len, words), np.int64, len(words))
+        lengths = word_lengths[word]
         place = np.cumsum(lengths) - lengths  # in its text, once that of the text is taken off
         firsts = np.cumsum(counts) - counts
         some = counts > 0
@@ -117,8 +126,10 @@ class PieceCodec:
         key = np.repeat(self._key(np.array([k & _M for k in keys], dtype=np.uint64)), counts)
         short = lengths <= KEPT_LENGTH
         own = self.traces
-        self._grow([(s, ()) for s in {s for s in segments if len(s) <= KEPT_LENGTH} if s not in own.root])
-        trace = np.fromiter((own.root.get(s, -1) for s in segments), np.int64, len(segments))
+        known = np.fromiter((own.root.get(s, -1) for s in words), np.int64, len(words))
+        fresh = np.flatnonzero((known < 0) & (word_lengths <= KEPT_LENGTH))
+        known[fresh] = self._grow([(words[k], ()) for k in fresh.tolist()])
+        trace = known[word]
         trace[short] = self._followed(trace[short], key[short], place[short])
         long = np.flatnonzero(~short)
         more = [self._merged(segments[k], keys[d], int(place[k])) for k, d in zip(
@@ -191,8 +202,8 @@ class PieceCodec:
         for k, (segment, _) in enumerate(wanted):
             by_width.setdefault(-(-len(segment) // 8), []).append(k)
         for width, members in by_width.items():
-            for a in range(0, len(members), 1 << 17):
-                part = members[a : a + (1 << 17)]
+            for a in range(0, len(members), GROWN_ROWS):
+                part = members[a : a + GROWN_ROWS]
                 segments, skips = [wanted[k][0] for k in part], [wanted[k][1] for k in part]
                 forced: dict[int, list[int]] = {}
                 for r, steps in enumerate(skips):
@@ -278,7 +289,8 @@ class PieceCodec:
         live = np.arange(rows)
         for step in count():
             # the best score first, the leftmost of equals: ranks are above, pieces below
-            k = (merges[live] >> 32).argmin(axis=1)
+            table = merges if len(live) == rows else merges[live]
+            k = table.argmin(axis=1) if self.own_scores else (table >> 32).argmin(axis=1)
             found = merges[live, k]
             some = found != _NONE
             live, k, found = live[some], k[some], found[some]
