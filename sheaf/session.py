@@ -43,13 +43,14 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that has fewer splits than the session has cores.
+    """Use all cores on a table of fewer files than the session has cores.
 
-    A small input may be one file with one row group, which a single task would read and
-    then parse alone. Larger inputs, the normal case on a cluster, are left untouched.
+    A small table may be one file with one row group, which a single task would read and
+    then parse alone. Larger ones, the normal case on a cluster, are left untouched. Only
+    the names of the files are asked for; nothing is planned or run.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
