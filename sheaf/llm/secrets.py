@@ -239,9 +239,10 @@ def redacted(docs: DataFrame, spans: DataFrame) -> DataFrame:
     A column ``n_chars`` is set to the new length where the text changed. Texts without
     spans are not sent to Python.
     """
-    marked = spans.select(
+    # written, so that texts are searched once for the two joins below
+    marked = stage(spans.select(
         F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.concat("base", "format").alias("spans")
-    ).filter(F.size("spans") > 0).dropDuplicates(["id", "hash"])
+    ).filter(F.size("spans") > 0).dropDuplicates(["id", "hash"]), "secret-marks")
 
     @F.pandas_udf("string")
     def hide(texts, lists):  # noqa: ANN001, ANN202
