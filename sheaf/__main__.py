@@ -23,7 +23,7 @@ from sheaf.plans.generate import generate
 from sheaf.plans.translate import translate
 from sheaf.session import JOB_CONF
 from sheaf.sources.jsonl import index_records, read_jsonl, run_strict
-from sheaf.sources.papers import read_prompts, read_records
+from sheaf.sources.papers import papers_in, read_prompts, read_records
 from sheaf.sources.sinks import require_new
 
 
@@ -60,6 +60,7 @@ def parser() -> argparse.ArgumentParser:
     sub = command("extract", "records from page tables", model=True)
     sub.add_argument("pages", help="Parquet table of pages")
     sub.add_argument("--papers", help="Parquet table of papers (doc_path, page_count); needed for papers without pages to fail")
+    sub.add_argument("--folder", help="folder of the papers' PDF files, in place of --papers")
     sub.add_argument("--prompt", required=True, help="file with the extraction prompt")
     sub.add_argument("--pages-per-request", type=positive, default=fixed.PAGES_PER_REQUEST)
     sub.add_argument("--image-max-mb", type=float, default=fixed.IMAGE_MAX_MB)
@@ -139,7 +140,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, int]:
     match args.command:
         case "extract":
             pages = spark.read.parquet(args.pages)
-            papers = spark.read.parquet(args.papers) if args.papers else pages
+            if args.folder:
+                papers = papers_in(spark, args.folder, pages)
+            else:
+                papers = spark.read.parquet(args.papers) if args.papers else pages
             papers = papers.select("doc_path", "page_count").distinct()
             prompt = spark.read.text(args.prompt, wholetext=True).first().value.strip()
             done = extract(

@@ -30,6 +30,25 @@ def list_papers(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.col("path").alias("doc_path"), "length")
 
 
+def papers_in(spark: SparkSession, folder: str, pages: DataFrame) -> DataFrame:
+    """``doc_path, page_count`` of the papers of a folder, by the pages at hand (doc_path, page_count).
+
+    A paper none of whose pages are there has ``page_count`` 0, so that it fails instead of
+    vanishing. Papers and pages belong together by file name, as a folder has each once;
+    the path is that of the pages where there are any.
+    """
+    def name(c: str) -> Column:
+        return F.regexp_extract(c, r"([^/]*)\z", 1)
+
+    listed = list_papers(spark, folder).select("doc_path", name("doc_path").alias("_name"))
+    known = pages.groupBy(name("doc_path").alias("_name")).agg(
+        F.max("doc_path").alias("_path"), F.max("page_count").alias("page_count")
+    )
+    return listed.join(known, "_name", "left").select(
+        F.coalesce("_path", "doc_path").alias("doc_path"), F.coalesce("page_count", F.lit(0)).alias("page_count")
+    )
+
+
 def pending_papers(papers: DataFrame, ledger: DataFrame | None) -> DataFrame:
     """Papers that no earlier run has finished."""
     if ledger is None:

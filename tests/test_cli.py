@@ -96,6 +96,21 @@ def test_records_are_checked(spark, tmp_path):
         call(spark, "check-records", path, "-o", tmp_path / "checked")
 
 
+def test_papers_of_a_folder_fail_without_pages(spark, tmp_path):
+    spark.createDataFrame(
+        [("/scans/a.pdf", 1, 1, 10, "u")], "doc_path string, page_no int, page_count int, image_bytes_len bigint, image_url string"
+    ).write.parquet(str(tmp_path / "pages"))
+    (tmp_path / "prompt.md").write_text("read", encoding="utf-8")
+    (tmp_path / "pdf").mkdir()
+    for name in ("a.pdf", "empty.pdf", "note.txt"):
+        (tmp_path / "pdf" / name).write_text("x", encoding="utf-8")
+    report, _ = call(spark, "extract", tmp_path / "pages", "--folder", tmp_path / "pdf", "--prompt", tmp_path / "prompt.md",
+                     "-o", tmp_path / "records", "--errors", tmp_path / "errors", "--model", f"{HERE}:model")
+    assert (report["papers"], report["successful"], report["written"]) == (2, 1, 1)
+    (error,) = lines_in(tmp_path / "errors")
+    assert error["doc_path"].endswith("/empty.pdf")
+
+
 def test_every_task_type_is_printed(spark, tmp_path, capsys):
     path = tmp_path / "many.jsonl"
     path.write_text("".join(json.dumps({"task_type": f"type {n}"}) + "\n" for n in range(1500)), encoding="utf-8")
