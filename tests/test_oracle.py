@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "conversations", "events", "labels", "pages")
+TABLES = ("documents", "conversations", "events", "labels", "pages", "benchmark")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 
 
