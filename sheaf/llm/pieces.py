@@ -31,6 +31,8 @@ KEPT_SEGMENTS, KEPT_LENGTH = 600_000, 48
 
 #: Segments merged together: their tables should stay in a processor's cache.
 GROWN_ROWS = 1 << 13
+#: Occurrences whose draws are made together.
+FOLLOWED_ROWS = 1 << 16
 
 _M, _PIECE = (1 << 64) - 1, (1 << 32) - 1
 _FACTOR, _SPREAD = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
@@ -153,47 +155,38 @@ class PieceCodec:
     def _followed(self, trace: np.ndarray, key: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The traces that occurrences of segments end in, from those they begin with."""
         own, trace = self.traces, trace.copy()
-        if not self.limit:
-            return trace
-        at = own.first.room[trace]
-        rows = np.arange(len(trace))
+        rows = np.arange(len(trace)) if self.limit else np.empty(0, np.int64)
         while len(rows):
-            waiting = []
-            while True:
-                rows = rows[at[rows] < (own.first.room[trace[rows]] + own.draws.room[trace[rows]])]
-                if not len(rows):
-                    break
-                draw = at[rows]
-                skipped = self._skipped(key[rows], place[rows] + own.place.room[draw], own.piece.room[draw])
-                at[rows] += 1
-                out = rows[skipped]
-                child = own.child.room[draw[skipped]]
-                at[out] = draw[skipped]
-                known = out[child >= 0]
-                trace[known] = child[child >= 0]
-                at[known] = own.first.room[trace[known]]
-                if len(known) < len(out):
-                    waiting.append(out[child < 0])
-                    mark = np.ones(len(rows), dtype=bool)
-                    mark[np.flatnonzero(skipped)[child < 0]] = False
-                    rows = rows[mark]
-            if not waiting:
-                break
-            rows = np.concatenate(waiting)
-            draws, one = np.unique(at[rows], return_index=True)
-            parents = trace[rows[one]]
-            steps = (draws - own.first.room[parents]).tolist()
-            parents = parents.tolist()
+            # all draws of a trace at once; the first that is skipped leads to another trace
+            found = [self._first_skipped(rows[a : a + FOLLOWED_ROWS], trace, key, place) for a in range(0, len(rows), FOLLOWED_ROWS)]
+            rows, draw = (np.concatenate(x) for x in zip(*found, strict=True))
+            fresh = own.child.room[draw] < 0
+            new, one = np.unique(draw[fresh], return_index=True)
+            parents = trace[rows[fresh][one]]
             wanted = []
-            for p, k in zip(parents, steps, strict=True):
+            for p, k in zip(parents.tolist(), (new - own.first.room[parents]).tolist(), strict=True):
                 skips = own.skips[p]
                 wanted.append((own.segment[p], (*skips, k + (skips[-1] + 1 if skips else 0))))
             numbers = self._grow(wanted)
-            own.child.room[draws] = numbers
-            trace[rows] = own.child.room[at[rows]]
-            at[rows] = own.first.room[trace[rows]]
+            own.child.room[new] = numbers
+            trace[rows] = own.child.room[draw]
         return trace
 
+    def _first_skipped(
+        self, rows: np.ndarray, trace: np.ndarray, key: np.ndarray, place: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``rows`` whose trace has a draw that is skipped, and the first such draw."""
+        own = self.traces
+        n = own.draws.room[trace[rows]].astype(np.int64)
+        stops = np.cumsum(n)
+        draw = np.repeat(own.first.room[trace[rows]] - stops + n, n) + np.arange(stops[-1])
+        row = np.repeat(rows, n)
+        at = np.flatnonzero(self._skipped(key[row], place[row] + own.place.room[draw], own.piece.room[draw]))
+        row = row[at]
+        first = np.ones(len(at), dtype=bool)
+        first[1:] = row[1:] != row[:-1]
+        return row[first], draw[at[first]]
+
     def _grow(self, wanted: list[tuple[str, tuple[int, ...]]]) -> np.ndarray:
         """Add the traces of segments after some skipped steps; those after none are the segments' roots. Their numbers."""
         own = self.traces
@@ -275,7 +268,8 @@ class PieceCodec:
     def _merge_rows(self, segments: list[str], width: int, skipped_in: Callable[..., np.ndarray]) -> list[list[int]]:
         """Ids of many short segments: in each round every segment takes one entry of its agenda.
 
-        A segment is a row of symbols, and of what each merges to with the next one.
+        A segment is a row of symbols, of what each merges to with the next one, and of
+        where its neighbours stand.
         ``skipped_in(round, rows, places, pieces)`` tells which entries are skipped.
         """
         rows = len(segments)
@@ -283,7 +277,8 @@ class PieceCodec:
         lengths = np.fromiter(map(len, segments), np.int64, rows)
         symbol = np.full((rows, width + 1), -3, dtype=np.int32)
         symbol[columns < lengths[:, None]] = self.id_of[np.frombuffer("".join(segments).encode("utf-32-le"), "<u4")]
-        at = np.broadcast_to(columns, symbol.shape).astype(np.int32)  # the sign a symbol starts with
+        after = np.broadcast_to(columns + 1, symbol.shape).astype(np.int32)
+        before = np.broadcast_to(columns - 1, symbol.shape).astype(np.int32)
         merges = np.full((rows, width + 1), _NONE)
         merges[:, :-1] = self._look_up(symbol[:, :-1], symbol[:, 1:])
         live = np.arange(rows)
@@ -297,26 +292,26 @@ class PieceCodec:
             if not len(live):
                 break
             piece = (found & _PIECE).astype(np.int32)
-            skipped = skipped_in(step, live, at[live, k], piece)
+            skipped = skipped_in(step, live, k, piece)
             merges[live[skipped], k[skipped]] = _NONE
-            rows_now, k, piece = live[~skipped], k[~skipped], piece[~skipped]
-            symbol[rows_now, k] = piece
-            # close the gap the right symbol leaves
-            source = np.minimum(columns + (columns > k[:, None]), width)
-            for table in (symbol, at, merges):
-                table[rows_now] = np.take_along_axis(table[rows_now], source, axis=1)
-            symbol[rows_now, -1], merges[rows_now, -1] = -3, _NONE
-            merges[rows_now, k] = self._look_up(piece, symbol[rows_now, np.minimum(k + 1, width)])
-            left = k > 0
-            r, b = rows_now[left], k[left] - 1
+            r, k, piece = live[~skipped], k[~skipped], piece[~skipped]
+            # the right symbol goes; its place stays empty, and its neighbours are linked
+            j = after[r, k]
+            m = after[r, j]
+            symbol[r, k], symbol[r, j], merges[r, j] = piece, -2, _NONE
+            after[r, k], before[r, m] = m, k
+            merges[r, k] = self._look_up(piece, symbol[r, m])
+            b = before[r, k]
+            left = b >= 0
+            r, b = r[left], b[left]
             merges[r, b] = self._look_up(symbol[r, b], piece[left])
-        used = symbol > -3
+        used = (symbol >= 0) | (symbol == -1)
         flat = symbol[used].tolist()
         stops = np.cumsum(used.sum(axis=1)).tolist()
         out = [flat[a:b] for a, b in pairwise([0, *stops])]
         for r in np.flatnonzero((symbol == -1).any(axis=1)).tolist():
             out[r] = []
-            for x, p in zip(symbol[r].tolist(), at[r].tolist(), strict=True):
+            for p, x in enumerate(symbol[r].tolist()):
                 if x >= 0:
                     out[r].append(x)
                 elif x == -1:
