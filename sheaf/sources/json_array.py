@@ -139,7 +139,7 @@ def entries(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     # Spark drops a comma at the end of a file, and may drop the mark at its start
     whole = (F.col("size") - F.col("bytes")).isin(0, len(BOM)) | F.col("path").rlike(COMPRESSED)
     fine = whole & (F.col("quotes") % 2 == 0) & (F.col("left") == 0) & F.col("root").isNotNull()
-    every = spark.read.format("binaryFile").load(path).select("path")
+    every = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"))
     files = stage(every.join(files, "path", "left").select("path", F.coalesce(fine, F.lit(False)).alias("fine"), "root"), "json-files")
     broken = files.filter("not fine").first()
     if broken is not None:

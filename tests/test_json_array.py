@@ -154,6 +154,13 @@ def test_counts_take_arrays_only(spark, tmp_path):
 
 
 def test_records_of_a_folder(spark, tmp_path, tiny_ranges):
+    folder = tmp_path / "two words, 文件"
+    folder.mkdir()
+    (folder / "a b%20.json").write_text('[{"a": "x,y"}]', encoding="utf-8")
+    assert [r["record_json"] for r in read_records(spark, str(folder)).collect()] == ['{"a":"x,y"}']
+    (folder / "a b%20.json").unlink()
+    tmp_path = tmp_path / "records"
+    tmp_path.mkdir()
     (tmp_path / "a.json").write_text('[{"a": "x,y"}, {"b": [1, {"c": ", "}]}]', encoding="utf-8")
     (tmp_path / "b.json").write_text('{"c": 1,\n "d": [2]}', encoding="utf-8")
     rows = read_records(spark, str(tmp_path)).orderBy("path", "item_no").collect()
