@@ -345,6 +345,9 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS line FROM documents) WHERE doc_id % 3 <> 0""",
     "ledger_round": f"""WITH {EXTRACTED} SELECT doc_path, status <> 'success' AS pending,
         (SELECT count(*) FROM outcomes WHERE NOT failed) AS records_on_disk FROM results""",
+    "intake_rounds": f"""WITH {EXTRACTED} SELECT r.doc_path, status <> 'success' AS pending,
+        CASE WHEN status <> 'success' THEN p.page_count ELSE 0 END::BIGINT AS waiting_pages
+        FROM results r JOIN papers p USING (doc_path)""",
     "record_patch": f"""WITH {MERGED} SELECT 1 AS src_ordinal, line_key, substr(record, 1, length(record) - 1)
         || CASE WHEN record = '{{}}' THEN '' ELSE ',' END || '"input":"new \\"input\\""}}' AS record FROM merged WHERE src_ordinal = 1
         UNION ALL SELECT 0, line_key, '{{' || CASE WHEN task_type IS NULL THEN '' ELSE '"task_type":' || {quoted('task_type')} || ',' END

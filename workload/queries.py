@@ -23,6 +23,7 @@ from sheaf.sources.jsonl import count_array_items as json_array_count
 from sheaf.sources.jsonl import array_length, bad_lines, index_records, scan_lines, read_jsonl, require_objects, with_record
 from sheaf.sources.papers import missing_prompts, pending_papers, read_ledger, read_records, records_from_text, task_table
 from sheaf.sources.sinks import dataset_view, write_lines
+from sheaf.streaming.intake import Waiting, start_intake, stream_pages
 from workload import fixtures as fx, stubs
 
 
@@ -391,6 +392,29 @@ def ledger_round(spark, sf_dir) -> DataFrame:
     )
 
 
+def intake_rounds(spark, sf_dir) -> DataFrame:
+    """Papers by the ledger of a streamed intake: odd pages come first, then the rest, then only another try."""
+    folder, ledger, checkpoint = (staged_path(spark, n) for n in ("pages", "ledger", "intake"))
+
+    def run_batch(pages, run_id):
+        papers = pages.select("doc_path", "page_count").distinct()
+        done = extract(papers, pages, "|".join(RECORD_KEYS), stubs.read_pages, backoff_s=0.0, ledger_path=ledger, run_id=run_id)
+        done.write(staged_path(spark, "records"))
+
+    pages = fx.pages(spark, sf_dir).drop("doc_id")
+    for arrived in (pages.filter("page_no % 2 = 1"), pages.filter("page_no % 2 = 0"), None):
+        if arrived is not None:
+            arrived.write.mode("append").parquet(folder)
+        start_intake(stream_pages(spark, folder), run_batch, checkpoint, ledger, retry_after=0).awaitTermination()
+    papers = fx.papers(spark, sf_dir).select("doc_path")
+    waiting = Waiting(spark, ledger).pages().groupBy("doc_path").agg(F.count(F.lit(1)).alias("pages"))
+    pending = pending_papers(papers, read_ledger(spark, ledger)).withColumn("pending", F.lit(True))
+    return papers.join(pending, "doc_path", "left").join(waiting, "doc_path", "left").select(
+        "doc_path", F.coalesce("pending", F.lit(False)).alias("pending"),
+        F.coalesce("pages", F.lit(0).cast("bigint")).alias("waiting_pages"),
+    )
+
+
 # -- JSON lines -------------------------------------------------------------------------------------------
 def merge_jsonl(spark, sf_dir) -> DataFrame:
     return require_objects(with_record(fx.json_lines(spark, sf_dir))).select("src_ordinal", "line_key", "record")
@@ -554,7 +578,7 @@ QUERIES = [
     response_text, salvage_fast_path, salvage_answers, envelope_unwrap, token_usage, retry_class,
     translate_payloads, translate_batches, translate_batches_tight, translate_requests,
     translate_validate, translate_apply, translate_formulas, record_patch,
-    merge_files, merge_repeated_keys, count_files, bad_line_files, ledger_round,
+    merge_files, merge_repeated_keys, count_files, bad_line_files, ledger_round, intake_rounds,
     merge_jsonl, count_records, count_array_items, sample_lines, task_stats, task_totals, token_stats, record_index,
     calibration_pairs, calibration_sample, calibration_draw, dataset_view_files, dataset_view_sft, dataset_view_cpt,
     generated_samples, generated_calls, generation_report, extracted_status, extracted_parts,
