@@ -104,6 +104,11 @@ class Vocabulary:
         self.first = np.searchsorted(term, np.arange(len(self.terms) + 1))
         self.item, self.times = item, times
 
+    @property
+    def places(self) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+        """Items, and where the terms stand in them, as plain values: what a broadcast can carry anywhere."""
+        return self.items, self.first, self.item, self.times
+
     def automaton(self) -> ahocorasick.Automaton:
         """Reads UTF-8 as one character per byte."""
         found = ahocorasick.Automaton()
@@ -174,17 +179,18 @@ def _flat(column: pa.Array) -> np.ndarray:
 
 def scores_of(
     n: np.ndarray, lengths: np.ndarray, terms: np.ndarray, tf: np.ndarray, weights: np.ndarray,
-    vocabulary: Vocabulary, n_docs: int, n_all: int,
+    places: tuple[list, np.ndarray, np.ndarray, np.ndarray], n_docs: int, n_all: int,
 ) -> np.ndarray:
     """Scores (documents, items) of documents with ``n`` terms, ``lengths`` of them distinct item terms."""
     doc = np.repeat(np.arange(len(n)), lengths)
     m = 100 - 75 + (75 * n * n_docs) // max(n_all, 1)
     share = weights[terms] * ((1_000_000_000 * tf) // (1000 * tf + 8 * m[doc]))
-    count = vocabulary.first[terms + 1] - vocabulary.first[terms]
-    place = np.repeat(vocabulary.first[terms] - np.cumsum(count) + count, count) + np.arange(count.sum())
-    scores = np.zeros(len(n) * len(vocabulary.items), np.int64)
-    cell = np.repeat(doc, count) * len(vocabulary.items) + vocabulary.item[place]
-    np.add.at(scores, cell, np.repeat(share, count) * vocabulary.times[place])
+    items, first, item, times = places
+    count = first[terms + 1] - first[terms]
+    place = np.repeat(first[terms] - np.cumsum(count) + count, count) + np.arange(count.sum())
+    scores = np.zeros(len(n) * len(items), np.int64)
+    cell = np.repeat(doc, count) * len(items) + item[place]
+    np.add.at(scores, cell, np.repeat(share, count) * times[place])
     return scores.reshape(len(n), -1)
 
 
@@ -195,13 +201,14 @@ def ranked_block(counts: DataFrame, vocabulary: Vocabulary, most: int = MOST) ->
     weights = np.zeros(len(vocabulary.terms), np.int64)
     for r in counts.select(F.explode("terms").alias("term")).groupBy("term").count().toLocalIterator():
         weights[r["term"]] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * r["count"] + 1)))
-    known = counts.sparkSession.sparkContext.broadcast((vocabulary, weights))
+    known = counts.sparkSession.sparkContext.broadcast((vocabulary.places, weights))
     widest = int(np.diff(vocabulary.first).max(initial=1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weights = known.value
-        best = Best(len(vocabulary.items), most)
-        rows = max(1, CELLS // len(vocabulary.items))
+        places, weights = known.value
+        named = places[0]
+        best = Best(len(named), most)
+        rows = max(1, CELLS // len(named))
         for batch in batches:
             sizes = np.asarray(pa.compute.list_value_length(batch.column("terms")))
             # a document has each term once, so this bounds the places of a chunk
@@ -211,12 +218,12 @@ def ranked_block(counts: DataFrame, vocabulary: Vocabulary, most: int = MOST) ->
                 ids = chunk.column("doc_id")
                 scores = scores_of(
                     np.asarray(chunk.column("n")), sizes[part], _flat(chunk.column("terms")),
-                    _flat(chunk.column("tf")), weights, vocabulary, n_docs, n_all,
+                    _flat(chunk.column("tf")), weights, places, n_docs, n_all,
                 )
                 best.add(scores, np.asarray(ids.fill_null(0)), np.asarray(ids.is_null()).astype(np.int64))
         found = best.thin()
-        items = np.array([item for item, _ in vocabulary.items], np.int64)
-        own = [vocabulary.items[k][1] for k in found[:, 0]]
+        items = np.array([item for item, _ in named], np.int64)
+        own = [named[k][1] for k in found[:, 0]]
         yield pa.RecordBatch.from_pydict({
             "item": pa.array(items[found[:, 0]]), "item_id": pa.array(own, pa.int64()),
             "doc_id": pa.array(found[:, 3], mask=found[:, 2] == 1), "score": pa.array(-found[:, 1]),
