@@ -8,7 +8,8 @@ if a hash of (seed, document, place in the text, piece) falls under the dropout
 every occurrence of a word in every document has draws of its own, and an encoding
 depends on nothing but these. What does not depend on draws is kept by workers: a
 segment's trace is what is taken from its agenda, in order, and the ids this ends in, if
-nothing is skipped; from each skipped candidate another trace branches off.
+nothing is skipped; from each skipped candidate another trace branches off. A trace that
+only one occurrence in a batch asks for is not made: that occurrence is merged by itself.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from sheaf.llm.common import crc32, in_chunks, text_hash, text_or_empty
 DROPOUT, SEED = 0.1, 17
 #: Traces after which a worker starts anew, and the longest segment whose traces it keeps.
 KEPT_SEGMENTS, KEPT_LENGTH = 600_000, 48
+#: Occurrences in a batch from which on a trace is made for them.
+SHARED_BY = 4
 
 #: Segments merged together: their tables should stay in a processor's cache.
 GROWN_ROWS = 1 << 13
@@ -129,19 +132,24 @@ class PieceCodec:
         short = lengths <= KEPT_LENGTH
         own = self.traces
         known = np.fromiter((own.root.get(s, -1) for s in words), np.int64, len(words))
-        fresh = np.flatnonzero((known < 0) & (word_lengths <= KEPT_LENGTH))
+        times = np.bincount(word, minlength=len(words))
+        fresh = np.flatnonzero((known < 0) & (word_lengths <= KEPT_LENGTH) & (times >= SHARED_BY))
         known[fresh] = self._grow([(words[k], ()) for k in fresh.tolist()])
         trace = known[word]
-        trace[short] = self._followed(trace[short], key[short], place[short])
+        kept = np.flatnonzero(trace >= 0)
+        trace[kept] = self._followed(trace[kept], key[kept], place[kept])
+        kept, alone = np.flatnonzero(trace >= 0), np.flatnonzero(short & (trace < 0))
         long = np.flatnonzero(~short)
         more = [self._merged(segments[k], keys[d], int(place[k])) for k, d in zip(
             long.tolist(), (np.searchsorted(firsts, long, "right") - 1).tolist(), strict=True
         )]
-        pool = np.concatenate((own.ids.room[: own.ids.n], np.array(list(chain.from_iterable(more)), dtype=np.int32)))
+        single, starts, sizes = self._merged_alone([segments[k] for k in alone.tolist()], key[alone], place[alone])
+        pool = np.concatenate((own.ids.room[: own.ids.n], single, np.array(list(chain.from_iterable(more)), dtype=np.int32)))
         start, n = np.empty(len(segments), dtype=np.int64), np.empty(len(segments), dtype=np.int64)
-        start[short], n[short] = own.start.room[trace[short]], own.length.room[trace[short]]
+        start[kept], n[kept] = own.start.room[trace[kept]], own.length.room[trace[kept]]
+        start[alone], n[alone] = own.ids.n + starts, sizes
         n[long] = np.fromiter(map(len, more), np.int64, len(more))
-        start[long] = own.ids.n + np.cumsum(n[long]) - n[long]
+        start[long] = own.ids.n + len(single) + np.cumsum(n[long]) - n[long]
         stops = np.cumsum(n)
         flat = pool[np.repeat(start - stops + n, n) + np.arange(stops[-1] if len(stops) else 0)]
         bounds = np.concatenate(([0], stops))[np.concatenate(([0], np.cumsum(counts)))].tolist()
@@ -153,7 +161,7 @@ class PieceCodec:
         return self.encode_all([text], [key])[0]
 
     def _followed(self, trace: np.ndarray, key: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """The traces that occurrences of segments end in, from those they begin with."""
+        """The traces that occurrences of segments end in, from those they begin with; -1 where a trace is not made."""
         own, trace = self.traces, trace.copy()
         rows = np.arange(len(trace)) if self.limit else np.empty(0, np.int64)
         while len(rows):
@@ -161,8 +169,9 @@ class PieceCodec:
             found = [self._first_skipped(rows[a : a + FOLLOWED_ROWS], trace, key, place) for a in range(0, len(rows), FOLLOWED_ROWS)]
             rows, draw = (np.concatenate(x) for x in zip(*found, strict=True))
             fresh = own.child.room[draw] < 0
-            new, one = np.unique(draw[fresh], return_index=True)
-            parents = trace[rows[fresh][one]]
+            new, one, times = np.unique(draw[fresh], return_index=True, return_counts=True)
+            shared = times >= SHARED_BY
+            new, parents = new[shared], trace[rows[fresh][one[shared]]]
             wanted = []
             for p, k in zip(parents.tolist(), (new - own.first.room[parents]).tolist(), strict=True):
                 skips = own.skips[p]
@@ -170,8 +179,28 @@ class PieceCodec:
             numbers = self._grow(wanted)
             own.child.room[new] = numbers
             trace[rows] = own.child.room[draw]
+            rows = rows[trace[rows] >= 0]
         return trace
 
+    def _merged_alone(
+        self, segments: list[str], key: np.ndarray, place: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of occurrences of short segments, one behind the other, and where those of each start and how many they are."""
+        n = np.empty(len(segments), dtype=np.int64)
+        widths = (np.fromiter(map(len, segments), np.int64, len(segments)) + 7) // 8
+        order, found = np.argsort(widths, kind="stable"), [np.empty(0, dtype=np.int32)]
+        bounds = np.searchsorted(widths[order], np.unique(widths)).tolist() + [len(order)]
+        for a, b in pairwise(bounds):
+            for part in (order[k : min(k + GROWN_ROWS, b)] for k in range(a, b, GROWN_ROWS)):
+                def skipped(_, rows, at, piece, key=key[part], place=place[part]) -> np.ndarray:  # noqa: ANN001
+                    return self._skipped(key[rows], place[rows] + at, piece)
+
+                ids, n[part] = self._merge_rows([segments[k] for k in part.tolist()], 8 * int(widths[part[0]]), skipped)
+                found.append(ids)
+        start = np.empty(len(segments), dtype=np.int64)
+        start[order] = np.cumsum(n[order]) - n[order]
+        return np.concatenate(found), start, n
+
     def _first_skipped(
         self, rows: np.ndarray, trace: np.ndarray, key: np.ndarray, place: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +244,7 @@ class PieceCodec:
                     mask[forced[step]] = True
                     return mask[rows]
 
-                ids = self._merge_rows(segments, 8 * width, skipped)
+                ids, lengths = self._merge_rows(segments, 8 * width, skipped)
                 row, place, piece = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else [np.empty(0, np.int64)] * 3
                 order = np.argsort(row, kind="stable")
                 draws = np.bincount(row, minlength=len(part))
@@ -225,10 +254,9 @@ class PieceCodec:
                 own.place.add(place[order])
                 own.piece.add(piece[order])
                 own.child.add(np.full(len(row), -1))
-                lengths = np.fromiter(map(len, ids), np.int64, len(ids))
                 own.start.add(own.ids.n + np.cumsum(lengths) - lengths)
                 own.length.add(lengths)
-                own.ids.add(np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())))
+                own.ids.add(ids)
                 own.segment += segments
                 own.skips += skips
                 own.root.update((s, k) for s, steps, k in zip(segments, skips, new.tolist(), strict=True) if not steps)
@@ -263,10 +291,13 @@ class PieceCodec:
     def _merged_together(self, segments: list[str], key: int, width: int) -> list[list[int]]:
         """:meth:`_merged` of many short segments."""
         mixed = self._key(np.array([key & _M], dtype=np.uint64))
-        return self._merge_rows(segments, width, lambda _, rows, place, piece: self._skipped(mixed, place, piece))
+        ids, lengths = self._merge_rows(segments, width, lambda _, rows, place, piece: self._skipped(mixed, place, piece))
+        return [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
 
-    def _merge_rows(self, segments: list[str], width: int, skipped_in: Callable[..., np.ndarray]) -> list[list[int]]:
-        """Ids of many short segments: in each round every segment takes one entry of its agenda.
+    def _merge_rows(
+        self, segments: list[str], width: int, skipped_in: Callable[..., np.ndarray]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many short segments, and how many each has: in each round every segment takes one entry of its agenda.
 
         A segment is a row of symbols, of what each merges to with the next one, and of
         where its neighbours stand.
@@ -305,18 +336,18 @@ class PieceCodec:
             left = b >= 0
             r, b = r[left], b[left]
             merges[r, b] = self._look_up(symbol[r, b], piece[left])
-        used = (symbol >= 0) | (symbol == -1)
-        flat = symbol[used].tolist()
-        stops = np.cumsum(used.sum(axis=1)).tolist()
-        out = [flat[a:b] for a, b in pairwise([0, *stops])]
-        for r in np.flatnonzero((symbol == -1).any(axis=1)).tolist():
-            out[r] = []
-            for p, x in enumerate(symbol[r].tolist()):
-                if x >= 0:
-                    out[r].append(x)
-                elif x == -1:
-                    out[r] += [self.byte_id[b] for b in segments[r][p].encode()]
-        return out
+        used = symbol >= -1
+        flat, sizes = symbol[used], used.sum(axis=1)
+        unknown = np.flatnonzero(flat == -1)
+        if len(unknown):  # signs outside the vocabulary become their bytes
+            row, at = (x[unknown] for x in np.nonzero(used))
+            signs = [segments[r][k].encode() for r, k in zip(row.tolist(), at.tolist(), strict=True)]
+            n = np.ones(len(flat), dtype=np.int64)
+            n[unknown] = np.fromiter(map(len, signs), np.int64, len(signs))
+            sizes += np.bincount(row, n[unknown] - 1, len(sizes)).astype(np.int64)
+            flat = np.repeat(flat, n)
+            flat[flat == -1] = np.array(self.byte_id)[np.frombuffer(b"".join(signs), np.uint8)]
+        return flat, sizes
 
     def _key(self, keys: np.ndarray) -> np.ndarray:
         """Keys of documents, mixed with the seed."""

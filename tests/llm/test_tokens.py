@@ -136,3 +136,19 @@ def test_rows_without_id_draw_by_their_text(spark):
     docs = spark.createDataFrame([(None, f"unbelievable unbelievable {k}") for k in range(60)], "doc_id bigint, text string")
     rows = [tuple(r["ids"][:4]) for r in pieces.encoded(docs, MODEL, 0.3).collect()]
     assert len(set(rows)) > 5
+
+
+@pytest.mark.parametrize("shared_by", [1, 3, 1000])
+def test_traces_made_or_not_give_the_same_ids(monkeypatch, shared_by):
+    own = [*texts(300), "unbelievable 中😀 " * 20, "\x00\x01 é￿" * 3, ""]
+    keys = list(range(len(own)))
+    monkeypatch.setattr(pieces, "SHARED_BY", shared_by)
+    codec = pieces.PieceCodec(MODEL, 0.25, 9)
+    for _ in range(2):  # the second time traces of the first are there
+        for text, ids, key in zip(own, codec.encode_all(own, keys), keys, strict=True):
+            want, place = [], 0
+            for s in codec._segments(" " + text) if text else []:
+                want += codec._merged(s, key, place)
+                place += len(s)
+            assert ids == want and codec.decode(ids) == text
+    assert not codec.encode_all([], []) and codec.encode_all([""], [1]) == [[]]
