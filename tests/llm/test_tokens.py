@@ -98,13 +98,25 @@ def test_documents_get_their_counts(spark, odd, sf_dir, plain, tmp_path):
     )
     docs.repartition(4).write.parquet(path := str(tmp_path / "docs"))
     docs = spark.read.parquet(path)
-    for per_file in (7, 10_000):
-        rows = tf.counted_documents(docs, MODEL, per_file).collect()
+    for file_bytes in (20_000, tf.FILE_BYTES):
+        rows = tf.counted_documents(docs, MODEL, file_bytes).collect()
         key = lambda x: (x[0] is None, x[0] or 0, x[1])
         want = sorted(((r["doc_id"], len(plain.encode(r["text"] or ""))) for r in docs.collect()), key=key)
         assert sorted(((r["doc_id"], r["n_tokens"]) for r in rows), key=key) == want
 
 
+def test_files_are_bounded_by_their_ids(spark, plain, tmp_path):
+    own = ["", None, "word " * 3000, "a", "", "unbelievable " * 40, None] * 3 + ["x"]
+    spark.createDataFrame([(t,) for t in own], "text string").coalesce(1).write.parquet(path := str(tmp_path / "docs"))
+    tf.write_token_files(spark.read.parquet(path), MODEL, out := str(tmp_path / "ids"), 1000)
+    files = sorted((tmp_path / "ids").glob("part-*"))
+    want = [plain.encode(t or "") for t in own]
+    assert np.concatenate([np.fromfile(f, "<u2") for f in files]).tolist() == [x for ids in want for x in [*ids, 2]]
+    sizes = [f.stat().st_size for f in files]
+    assert len(sizes) > 3 and max(sizes) < 1000 + 2 * max(map(len, want)) + 2 and all(s >= 1000 for s in sizes[:-1])
+    assert tf.token_counts(spark, out).count() == len(own)
+
+
 def test_no_documents(spark, nothing, tmp_path):
     nothing.write.parquet(path := str(tmp_path / "none"))
     assert tf.counted_documents(spark.read.parquet(path), MODEL).count() == 0
