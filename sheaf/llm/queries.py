@@ -162,7 +162,7 @@ WITH p AS (
     ('^free-bets^', '(?:[^0-9a-z]|^|$)free-bets(?:[^0-9a-z]|^|$)', 'block'),
     ('^poker^', '(?:[^0-9a-z]|^|$)poker(?:[^0-9a-z]|^|$)', 'block'),
     ('^xxx^', '(?:[^0-9a-z]|^|$)xxx(?:[^0-9a-z]|^|$)', 'block'),
-    ('^payday*loan^', '(?:[^0-9a-z]|^|$)payday.*loan(?:[^0-9a-z]|^|$)', 'block'),
+    ('^payday*loan^', '(?:[^0-9a-z]|^|$)payday(?s:.*)loan(?:[^0-9a-z]|^|$)', 'block'),
     ('^utm_source=spam^', '(?:[^0-9a-z]|^|$)utm_source=spam(?:[^0-9a-z]|^|$)', 'block'),
     ('^archive^pdf^', '(?:[^0-9a-z]|^|$)archive(?:[^0-9a-z]|^|$)pdf(?:[^0-9a-z]|^|$)', 'allow')
 ), fit AS (

@@ -24,7 +24,7 @@ HOST_RULES = [
     ("net", "/fr/", "block"),
 ]
 
-#: (pattern, verdict): ``*`` is any text, ``^`` a sign other than a letter or digit, or an end.
+#: (pattern, verdict): ``*`` is any text, line ends too, ``^`` a sign other than a letter or digit, or an end.
 PATTERN_RULES = [
     ("^casino^", "block"),
     ("^casino-win^", "block"),
@@ -60,7 +60,7 @@ def _after_scheme(url: Column) -> Column:
 
 def pattern_regex(pattern: str) -> str:
     """The regular expression of a pattern, for lower-case URLs."""
-    special = {"*": ".*", "^": "(?:[^0-9a-z]|^|$)"}
+    special = {"*": "(?s:.*)", "^": "(?:[^0-9a-z]|^|$)"}
     return "".join(special.get(c) or re.escape(c) for c in pattern.lower())
 
 

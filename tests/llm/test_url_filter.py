@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -10,6 +11,7 @@ URLS = [
     "http://casino.org/", "http://my-casino-win.org/a", "http://mycasino.org/", "http://x.org/?q=CASINO", "http://free-bets.org",
     "http://freebets.org", "http://x.org/payday/abc/loan", "http://x.org/archive/pdf", "http://poker.com/", "http://x.org/a?b://c",
     "http://x.org\n/path\nline", "http://.com/", "http://com./", "é://ü.com/ß",
+    "http://x.org/payday\n\r\nloan\n", "http://x.org/poker\n",
 ]
 
 
@@ -22,6 +24,21 @@ def parts(url):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
 
 
+def matches(pattern, text):
+    """Follows a pattern through a text, sign by sign."""
+    if not all(part in text for part in re.split(r"[*^]", pattern)):
+        return False
+    at = set(range(len(text) + 1))
+    for c in pattern:
+        if c == "*":
+            at = set(range(min(at), len(text) + 1)) if at else at
+        elif c == "^":
+            at = {k for k in at if k in (0, len(text))} | {k + 1 for k in at if k < len(text) and not re.match("[0-9a-z]", text[k])}
+        else:
+            at = {k + 1 for k in at if k < len(text) and text[k] == c}
+    return bool(at)
+
+
 def brute(url, hosts, patterns):
     host, path = parts(url)
     fits = [
@@ -29,7 +46,7 @@ def brute(url, hosts, patterns):
         if host and (host == h or host.endswith("." + h)) and path.startswith(p)
     ]
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in url or "")
-    hits = [(len(p), p, v) for p, v in patterns if url is not None and re.search(uf.pattern_regex(p), lower)]
+    hits = [(len(p), p, v) for p, v in patterns if url is not None and matches(p, lower)]
     rule, pattern = max(fits, default=None), max(hits, default=None)
     verdict = rule[3] if rule else pattern[2] if pattern else "allow"
     return host, path, rule and rule[2], pattern and pattern[1], verdict
@@ -47,6 +64,22 @@ def test_every_url_matches_brute_force(spark, sf_dir, more):
     assert got == want
 
 
+def test_thousands_of_patterns(spark):
+    draw = random.Random(8)
+    words = ["".join(draw.choices("abcde01", k=draw.randint(1, 3))) for _ in range(150)]
+    patterns = {
+        "".join(draw.choice(["^", "*", "", "-", "/"]) + draw.choice(words) for _ in range(draw.randint(1, 3))) + draw.choice(["^", "*", ""])
+        for _ in range(4000)
+    }
+    rules = [(p, draw.choice(["allow", "block"])) for p in sorted(patterns)]
+    urls = ["http://" + "".join(draw.choice(words) + draw.choice("./-_?\n") for _ in range(draw.randint(1, 6))) for _ in range(250)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rows = uf.judged(pages, uf.host_table(spark, uf.HOST_RULES), uf.pattern_table(spark, rules)).collect()
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["pattern"], r["verdict"]) for r in rows}
+    assert len(rules) > 3000 and got == {k: brute(u, uf.HOST_RULES, rules) for k, u in enumerate(urls)}
+    assert len({g[3] for g in got.values()}) > 100
+
+
 def none_row(values):
     return tuple("" if v is None else v for v in values)
 
