@@ -49,6 +49,16 @@ def string_members(text: Column | str, names: Iterable[str]) -> Column:
     )
 
 
+def variant_members(value: Column | str, names: Iterable[str]) -> Column:
+    """:func:`string_members` of an object that is a variant already."""
+    v = _col(value)
+
+    def member(name: str) -> Column:
+        return let(F.try_variant_get(v, f"$.{name}", "variant"), _string_of)
+
+    return F.struct(*[member(n).alias(n) for n in names])
+
+
 def _string_of(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
 
@@ -78,6 +88,15 @@ def quoted(text: Column | str) -> Column:
     return F.regexp_replace(F.to_json(F.array(_col(text))), r"\A\[|\]\z", "")
 
 
+def escaped(text: Column | str) -> Column:
+    """A text as it stands inside a JSON string; the escaped parts of a text make up its escaped whole."""
+
+    def inside(q: Column) -> Column:
+        return q.substr(F.lit(3), F.length(q) - 4)
+
+    return F.when(_col(text).isNotNull(), let(F.to_json(F.array(_col(text))), inside))
+
+
 def patched_object(text: Column | str, changes: Column | str) -> Column:
     """Overwrite string members of a canonical object, keeping key order.
 

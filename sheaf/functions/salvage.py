@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf.fixed import EXOTIC_LINE_ENDS
 from sheaf.functions.binding import let
-from sheaf.functions.json_text import canonical, root_kind
+from sheaf.functions.json_text import canonical, root_kind, strict_variant
 from sheaf.functions.text import _col, strip
 
 DECODED = "struct<kind:string,value:string>"
@@ -61,6 +61,11 @@ def decoded(text: Column) -> Column:
     return decode(text)
 
 
+def _bytes(text: Column, start: Column, size: Column) -> Column:
+    """Part of a text by its place in UTF-8: places in characters are found by walking the text."""
+    return text.cast("binary").substr(start, size).cast("string")
+
+
 def unfenced(text: Column | str) -> Column:
     """The stripped answer without its code fence, closed or left open.
 
@@ -72,12 +77,17 @@ def unfenced(text: Column | str) -> Column:
     def inside(t: Column) -> Column:
         def unclosed(body: Column) -> Column:
             last = F.substring_index(body, "\n", -1)
-            head = body.substr(F.lit(1), F.length(body) - F.length(last) - 1)
+            head = _bytes(body, F.lit(1), F.octet_length(body) - F.octet_length(last) - 1)
             return strip(F.when(strip(last) == "```", head).otherwise(body))
 
-        lines = F.regexp_replace(t, f"\r\n|[\r{EXOTIC_LINE_ENDS}]", "\n")
-        first = F.length(F.substring_index(lines, "\n", 1))
-        return let(lines.substr(first + 2, F.length(lines)), unclosed)
+        def opened(lines: Column) -> Column:
+            first = F.octet_length(F.substring_index(lines, "\n", 1))
+            return let(_bytes(lines, first + 2, F.octet_length(lines)), unclosed)
+
+        # nearly all answers have line feeds only
+        other = t.rlike(f"[\r{EXOTIC_LINE_ENDS}]")
+        plain = F.regexp_replace(t, f"\r\n|[\r{EXOTIC_LINE_ENDS}]", "\n")
+        return let(F.when(other, plain).otherwise(t), opened)
 
     return let(strip(_col(text)), lambda t: F.when(t.startswith("```"), inside(t)).otherwise(t))
 
@@ -99,6 +109,18 @@ def fast_json(text: Column | str) -> Column:
     return let(unfenced(text), read)
 
 
+def fast_variant(text: Column | str) -> Column:
+    """Struct of ``kind`` and ``value`` as :func:`fast_json`, the value as a variant: one parse, no text."""
+
+    def read(body: Column) -> Column:
+        return let(
+            strict_variant(body),
+            lambda v: F.when(v.isNotNull(), F.struct(root_kind(body).alias("kind"), v.alias("value"))),
+        )
+
+    return let(unfenced(text), read)
+
+
 def with_fast_json(df: DataFrame, text_col: str, kind: str, value: str) -> DataFrame:
     df = df.withColumn("_fast", fast_json(text_col))
     return df.withColumn(kind, F.col("_fast.kind")).withColumn(value, F.col("_fast.value")).drop("_fast")
@@ -115,15 +137,23 @@ def salvaged(body: Column) -> Column:
     return search(body)
 
 
-def with_json_value(df: DataFrame, text_col: str, kind: str = "json_kind", value: str = "json") -> DataFrame:
+def with_json_value(
+    df: DataFrame, text_col: str, kind: str = "json_kind", value: str = "json", variant: str | None = None
+) -> DataFrame:
     """Add the JSON value found in an answer: its kind and its compact text.
 
     Both are null when no value can be decoded. A null answer gives null. One pass, and no
     write: Python is sent the refused answers, and nulls in place of all others.
+
+    With ``variant`` the values that the JVM decodes go to a column of that name instead,
+    parsed once and for good, and ``value`` is left to those that Python finds.
     """
-    read = df.withColumn("_fast", fast_json(text_col))
+    read = df.withColumn("_fast", fast_variant(text_col) if variant else fast_json(text_col))
     refused = F.col("_fast").isNull() & F.col(text_col).isNotNull()
     read = read.withColumn("_slow", salvaged(F.when(refused, unfenced(text_col))))
-    return read.withColumns(
-        {name: F.coalesce(F.col(f"_fast.{part}"), F.col(f"_slow.{part}")) for name, part in ((kind, "kind"), (value, "value"))}
-    ).drop("_fast", "_slow")
+    told = {kind: F.coalesce("_fast.kind", "_slow.kind")}
+    if variant:
+        told |= {variant: F.col("_fast.value"), value: F.col("_slow.value")}
+    else:
+        told |= {value: F.coalesce("_fast.value", "_slow.value")}
+    return read.withColumns(told).drop("_fast", "_slow")

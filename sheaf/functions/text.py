@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from sheaf.fixed import WHITESPACE
+from sheaf.functions.binding import let
 
 
 def _col(c: Column | str) -> Column:
@@ -14,10 +18,15 @@ def _col(c: Column | str) -> Column:
 def strip(c: Column | str) -> Column:
     """Remove Unicode white space from both ends.
 
-    ``btrim`` with a character list only looks at the ends of the value; a regular
-    expression anchored at the end would rescan every run of blanks inside it.
+    Trimming the end walks the whole value, character by character, so only values that
+    end in white space are trimmed there. A regular expression anchored at the end would
+    rescan every run of blanks inside.
     """
-    return F.btrim(_col(c), F.lit(WHITESPACE))
+    def trimmed(t: Column) -> Column:
+        ends_blank = reduce(or_, [t.endswith(w) for w in WHITESPACE])
+        return F.when(ends_blank, F.btrim(t, F.lit(WHITESPACE))).otherwise(F.ltrim(t, F.lit(WHITESPACE)))
+
+    return let(_col(c), trimmed)
 
 
 def is_filled(c: Column | str) -> Column:

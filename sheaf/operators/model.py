@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheaf.fixed import MAX_RETRIES, RETRYABLE_400_TEXT, RETRYABLE_STATUS
@@ -20,6 +20,9 @@ REQUEST_FIELDS = ("request_id", "input", "reasoning_effort", "max_output_tokens"
 
 ModelFn = Callable[[dict], tuple[int, str]]
 
+# what an attempt tells
+ATTEMPT = {"attempt": pa.int32(), "http_status": pa.int32(), "body": pa.string(), "error": pa.string(), "final": pa.bool_()}
+
 # how much of a refused answer its error shows; the whole body is kept in its own column
 EXCERPT_CHARS = 150
 
@@ -27,13 +30,13 @@ EXCERPT_CHARS = 150
 def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int, backoff_s: float, round_no: int):
     """Per-partition loop. A failing request gives an error row and never ends the job."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
         import time
         from concurrent.futures import ThreadPoolExecutor
 
         def ask(request: dict) -> list[tuple]:
-            rows = []
+            told = []
             for attempt in range(max_retries + 1):
                 status, body, error = None, None, None
                 try:
@@ -48,25 +51,30 @@ def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int,
                 if error is not None:
                     error = f"request failed: {error}"
                 final = error is None or attempt == max_retries
-                told = (request["request_id"], attempt, status, body, error, final, round_no)
-                rows.append(told + tuple(request[k] for k in keys))
+                told.append((attempt, status, body, error, final))
                 if final:
                     break
                 time.sleep(backoff_s * 2**attempt)
-            return rows
+            return told
 
         step = max(256, 8 * threads)
-        names = ["request_id", "attempt", "http_status", "body", "error", "final", "round", *keys]
+        names = ["request_id", *ATTEMPT, "round", *keys]
         with ThreadPoolExecutor(max_workers=threads) as pool:
+            # one request at a time needs no other thread, whose wake-ups cost as much as a short answer
+            ask_all = map if threads == 1 else pool.map
             for batch in batches:
                 # hand answers on in small steps: requests and answers are long texts
-                for start in range(0, len(batch), step):
-                    part = batch.iloc[start:start + step]
-                    requests = part.astype(object).where(part.notna(), None).to_dict("records")
-                    rows = [row for rows in pool.map(ask, requests) for row in rows]
-                    yield pd.DataFrame(rows, columns=names).astype(
-                        {"attempt": "int32", "http_status": "Int32", "final": "bool", "round": "int32"}
-                    )
+                for start in range(0, batch.num_rows, step):
+                    part = batch.slice(start, step)
+                    told = list(ask_all(ask, part.to_pylist()))
+                    asked = pa.array([i for i, attempts in enumerate(told) for _ in attempts], pa.int64())
+                    columns = zip(*(row for attempts in told for row in attempts))
+                    yield pa.RecordBatch.from_arrays([
+                        part.column("request_id").take(asked),
+                        *(pa.array(values, kind) for values, kind in zip(columns, ATTEMPT.values())),
+                        pa.array([round_no] * len(asked), pa.int32()),
+                        *(part.column(k).take(asked) for k in keys),
+                    ], names=names)
 
     return run
 
@@ -91,7 +99,7 @@ def call_model(
     be joined back to their requests.
     """
     run = _caller(model_fn, list(keys), max_retries, threads, backoff_s, round_no)
-    return requests.select(*REQUEST_FIELDS, *keys).mapInPandas(run, response_schema(requests, keys))
+    return requests.select(*REQUEST_FIELDS, *keys).mapInArrow(run, response_schema(requests, keys))
 
 
 WAVES = "round int, waves int, wave int"

@@ -107,29 +107,27 @@ def total_usage(responses: DataFrame) -> DataFrame:
     )
 
 
+def _chosen(kind: Column | str, text: Column, item_type: str, itself: Column) -> Column:
+    """Items of a decoded answer: those of the array, of the first envelope that is a list, or the object itself."""
+    members = "struct<" + ",".join(f"{k}:array<{item_type}>" for k in ENVELOPE_KEYS) + ">"
+    inside = let(
+        F.from_json(text, members),
+        lambda m: F.coalesce(*[m[k] for k in ENVELOPE_KEYS], F.array(itself)),
+    )
+    return F.when(_col(kind) == "array", F.from_json(text, f"array<{item_type}>")).when(_col(kind) == "object", inside)
+
+
 def object_items(kind: Column | str, value: Column | str) -> Column:
     """Texts of the object items of a decoded answer; null when the root is neither list nor object.
 
     An array counts as it is; an object gives its list under the first envelope key that
     holds one, else itself. Items that are not objects are dropped, not counted.
     """
-    def members(item_type: str) -> str:
-        return "struct<" + ",".join(f"{k}:array<{item_type}>" for k in ENVELOPE_KEYS) + ">"
-
-    def chosen(text: Column, item_type: str, itself: Column) -> Column:
-        inside = let(
-            F.from_json(text, members(item_type)),
-            lambda m: F.coalesce(*[m[k] for k in ENVELOPE_KEYS], F.array(itself)),
-        )
-        return F.when(_col(kind) == "array", F.from_json(text, f"array<{item_type}>")).when(
-            _col(kind) == "object", inside
-        )
-
     def both(text: Column) -> Column:
         # the same items twice: once for their text, once for their type
         return F.struct(
-            chosen(text, "string", text).alias("texts"),
-            chosen(text, "variant", F.try_parse_json(text)).alias("types"),
+            _chosen(kind, text, "string", text).alias("texts"),
+            _chosen(kind, text, "variant", F.try_parse_json(text)).alias("types"),
         )
 
     def objects(p: Column) -> Column:
@@ -139,9 +137,29 @@ def object_items(kind: Column | str, value: Column | str) -> Column:
     return let(let(_col(value), both), objects)
 
 
-def with_items(answers: DataFrame, kind: str = "json_kind", value: str = "json") -> DataFrame:
-    """Add ``items`` (texts of the object items) and ``items_error``."""
+def object_variants(kind: Column | str, value: Column | str, variant: Column | str) -> Column:
+    """:func:`object_items` as variants, of ``variant`` or, where that is null, of the text ``value``."""
+
+    def members(v: Column) -> Column:
+        inside = [F.try_variant_get(v, f"$.{k}", "array<variant>") for k in ENVELOPE_KEYS]
+        return F.when(_col(kind) == "array", F.try_variant_get(v, "$", "array<variant>")).when(
+            _col(kind) == "object", F.coalesce(*inside, F.array(v))
+        )
+
+    parsed = let(_col(value), lambda text: _chosen(kind, text, "variant", F.try_parse_json(text)))
+    return F.filter(F.when(_col(variant).isNotNull(), let(_col(variant), members)).otherwise(parsed), is_object_variant)
+
+
+def with_items(
+    answers: DataFrame, kind: str = "json_kind", value: str = "json", variant: str | None = None
+) -> DataFrame:
+    """Add ``items`` (texts of the object items) and ``items_error``.
+
+    With ``variant``, a column of values that are variants already, the items are variants;
+    ``value`` then gives those of the other rows.
+    """
     wrong_root = F.when(
         F.col(kind) == "scalar", "the samples are not an array"
     ).when(F.col(kind).isNull(), "no JSON value in the answer")
-    return answers.withColumn("items", object_items(kind, value)).withColumn("items_error", wrong_root)
+    items = object_variants(kind, value, variant) if variant else object_items(kind, value)
+    return answers.withColumn("items", items).withColumn("items_error", wrong_root)

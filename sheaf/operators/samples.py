@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import VariantType
 
 from sheaf.fixed import MAX_SAMPLE_CHARS, SAMPLE_FIELDS, TASKS
-from sheaf.functions.json_text import string_members
+from sheaf.functions.json_text import string_members, variant_members
 from sheaf.functions.text import is_filled, strip
 
 # Room for positions inside one response; a position is an int.
@@ -19,8 +20,9 @@ def field_columns(method: str) -> list[str]:
 
 
 def candidates_from_items(items: DataFrame, method: str, item_col: str = "item") -> DataFrame:
-    """Read the fields of item JSON; absent and non-string members become null."""
-    df = items.withColumn("_m", string_members(item_col, SAMPLE_FIELDS[method]))
+    """Read the fields of items, JSON texts or variants; absent and non-string members become null."""
+    members = variant_members if isinstance(items.schema[item_col].dataType, VariantType) else string_members
+    df = items.withColumn("_m", members(item_col, SAMPLE_FIELDS[method]))
     for name, field in zip(field_columns(method), SAMPLE_FIELDS[method]):
         df = df.withColumn(name, F.col(f"_m.{field}"))
     return df.drop("_m", item_col)

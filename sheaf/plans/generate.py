@@ -40,7 +40,7 @@ class Generated:
 
 def judged_candidates(answers: DataFrame, method: str, max_chars: int) -> DataFrame:
     """One row per call and sample; a call without any sample keeps one row with no ``pos``."""
-    unwrapped = with_items(answers)
+    unwrapped = with_items(answers, variant="json_variant")
     error = F.coalesce("text_error", "items_error")
     rows = unwrapped.select(
         "paper_index", "task_type", error.alias("error"),
@@ -85,7 +85,7 @@ def generate(
     requests = generation_requests(records, prompts, method, max_chars)
     path = responses_path or staged_path(spark, "responses")
     responses = answer(requests, model_fn, path, keys=["paper_index", "task_type"], wave_by=["paper_index"], **model_options)
-    answers = with_json_value(with_response_text(responses.filter("final")), "text")
+    answers = with_json_value(with_response_text(responses.filter("final")), "text", variant="json_variant")
     # samples and results both read the decoded answers, which may have needed Python
     candidates = stage(judged_candidates(answers, method, max_chars), "candidates")
     samples = first_wins(candidates.filter("keep").drop("keep"), method)

@@ -145,6 +145,26 @@ def test_a_wave_skips_rows_before_they_are_multiplied(spark, tmp_path):
     assert plan.rindex("xxhash64") > plan.index("Generate")  # the filter is below the generator
 
 
+def test_a_record_is_escaped_once_and_not_once_per_task(spark, tmp_path):
+    from sheaf.operators.requests import generation_requests
+    from workload import fixtures as fx
+
+    texts = ['{"a":"q\\"\\\\ \\n é 😀"}', '{"a":NaN}', None, '["\\u0001"]']
+    spark.createDataFrame(list(enumerate(texts)), "paper_index bigint, record_json string").write.parquet(str(tmp_path / "r"))
+    asked = generation_requests(spark.read.parquet(str(tmp_path / "r")), fx.prompts(spark), "SFT")
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructsToJson" not in plan[: plan.index("Generate")]
+    sent = {(r.paper_index, r.task_type): json.loads(r.input)[0] for r in asked.collect()}
+    assert len(sent) == 36
+    for (i, task), message in sent.items():
+        if texts[i] is None:
+            assert message == {"role": "user"}
+        else:
+            head, _, record = message["content"].rpartition("文献 JSON：\n")
+            assert f'[{{"task_type":"{task}"' in head and head.startswith("Task: ")
+            assert record == texts[i] if "NaN" in texts[i] else json.loads(record) == json.loads(texts[i])
+
+
 def test_retry_class(spark):
     ok, bad = '{"a":1}', '{"error":{"message":"Disallowed URL: x"}}'
     cases = [

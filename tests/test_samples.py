@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheaf.fixed import SAMPLE_FIELDS, TASKS
+from sheaf.functions.salvage import with_json_value
 from sheaf.operators.responses import total_usage, with_items, with_response_text
 from sheaf.operators.samples import candidates_from_items, first_wins, generation_report, mark_samples, normalize_samples
 
@@ -156,3 +157,23 @@ def test_usage_counts_whole_numbers_only(spark):
 def test_report(spark):
     df = spark.createDataFrame([(2, 1, None), (0, 0, "e")], "n_samples bigint, n_discarded bigint, error string")
     assert generation_report(df).first().asDict() == {"calls": 2, "failed_calls": 1, "kept": 2, "discarded": 1}
+
+
+def test_items_as_variants_are_the_items_as_texts(spark):
+    """The one parse of an answer tells the members that the texts of its items tell."""
+    answers = [
+        '[{"text":"a\\u00e9\\ud83d\\ude00"},{"text":5},"x",null,{"other":[{"text":"b"}]}]', "```json\n[{\"text\":\"é 😀\"}]\n```",
+        "```\r\n{\"samples\":[{\"text\":\"c\"},[1]]}\r\n```", '{"samples":5,"items":[{"text":"d"}]}', '{"data":null,"text":"e"}',
+        'See {"samples":[{"text":"f","n":NaN},{"text":"g"}]}', '{"text":"h","text":"i"}', '{"text":"j","n":NaN}', "[]", "{}", "null", "7",
+        '[{"text":"k"}] [{"text":"l"}]', "nothing", "", None, '[{"text":"\\ud800"}]', "```json\n[{\"text\":\"m \"}]\n``` end",
+    ]
+    df = spark.createDataFrame(list(enumerate(answers)), "i int, answer string")
+
+    def told(**variant):
+        items = with_items(with_json_value(df, "answer", **variant), **variant)
+        rows = items.select("i", "items_error", F.posexplode_outer("items").alias("pos", "item"))
+        found = candidates_from_items(rows, "CPT").select("i", "items_error", "pos", "text").collect()
+        return sorted(map(tuple, found), key=str)
+
+    assert told(variant="parsed") == told()
+    assert len(told()) > len(answers)
