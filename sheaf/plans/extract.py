@@ -78,17 +78,17 @@ def extract(
     ledger = read_ledger(spark, ledger_path) if ledger_path else None
     papers = pending_papers(papers, ledger)
     pages = pending_papers(pages, ledger)
+    # a batch is a short row and a long call: its bytes alone would let few tasks make all calls
+    tasks = concurrency or spark.sparkContext.defaultParallelism
     oversized = first_oversized_page(pages, max_mb)
     batches = guard_oversized(page_batches(pages, pages_per_request), oversized)
 
-    if concurrency:
-        batches = batches.repartition(concurrency)
     # every pass reads them; the pages are grouped once
     batches = stage(batches, "page-batches")
     path = responses_path or staged_path(spark, "responses")
     checked, todo, passes = None, batches, []
     for attempt in range(schema_retries + 1):
-        requests = extraction_requests(todo, prompt, correct=attempt > 0)
+        requests = extraction_requests(todo.repartition(tasks, "doc_path", "batch_no"), prompt, correct=attempt > 0)
         responses = answer(requests, model_fn, f"{path}/pass={attempt}", keys=BATCH_KEYS, wave_by=["doc_path", "batch_no"], **model_options)
         passes.append(responses)
         read = with_response_text(responses.filter("final")).select(*BATCH_KEYS, "text", "text_error")

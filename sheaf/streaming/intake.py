@@ -128,7 +128,9 @@ def start_intake(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         arrived = batch.filter("doc_path is not null") if beat else batch
-        left = run(arrived.dropDuplicates(["doc_path", "page_no"]), batch_id, f"intake-{batch_id}")
+        # read for the pages there are, for those they replace and for those that are left
+        arrived = stage(arrived.dropDuplicates(["doc_path", "page_no"]), "intake-arrived")
+        left = run(arrived, batch_id, f"intake-{batch_id}")
         left = stage(left, "intake-left")
         if not left.isEmpty():
             Waiting(batch.sparkSession, ledger_path, schema).put(left, batch_id)

@@ -115,6 +115,27 @@ def test_extract(spark, tmp_path):
     assert sorted(r.doc_path for r in again.results.collect()) == ["down", "never", "none"]
 
 
+def test_calls_are_spread_however_short_their_batches(spark, tmp_path):
+    """Batches of a few bytes would share one partition, and one task would make all calls."""
+    tasks = str(tmp_path / "tasks")
+
+    def model(request):
+        from pyspark import TaskContext
+
+        with open(tasks, "a") as f:
+            f.write(f"{TaskContext.get().partitionId()}\n")
+        return said("prose")
+
+    spec = {f"p{i}": 1 for i in range(40)}
+    papers = spark.createDataFrame(list(spec.items()), "doc_path string, page_count int")
+    got = extract(papers, spark.createDataFrame(page_rows(spec), PAGES), "read", model, max_retries=0, backoff_s=0.0)
+    assert got.results.count() == 40
+    told = open(tasks).read().split()
+    # both passes: the second asks all of them again
+    assert len(told) == 80
+    assert all(len(set(told[k : k + 40])) > 1 for k in (0, 40))
+
+
 def test_intake_hands_over_new_pages_of_unfinished_papers(spark, tmp_path):
     folder, ledger = str(tmp_path / "pages"), staged_path(spark, "ledger")
     seen = []
