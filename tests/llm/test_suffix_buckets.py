@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from sheaf import session
 from sheaf.llm import suffix_buckets as sb
 from sheaf.llm.common import text_hash, text_or_empty
 
@@ -127,3 +128,30 @@ def test_the_operator_reads_what_brute_force_reads(spark):
     texts = docs.select("doc_id", text_or_empty().alias("text"), text_hash().alias("text_hash"))
     spans = sb.repeated_stretches(texts).distinct().collect()
     assert min(r["start"] for r in spans) == 0 and max(r["stop"] for r in spans) == 600
+
+
+def test_stages_write_few_files(spark, monkeypatch, tmp_path):
+    """However many partitions a shuffle has; and what no later stage reads is not written at all."""
+    written = []
+
+    def stage(df, name):
+        path = tmp_path / f"{len(written)}-{name}"
+        written.append(path)
+        return session.stage(df, name, str(path))
+
+    monkeypatch.setattr(sb, "stage", stage)
+    changed = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        check(spark, list(enumerate(planted(6, 80, 40))), 40)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {p.name: len(list(p.glob("part-*"))) for p in written}
+    assert max(files.values()) <= 2 * spark.sparkContext.defaultParallelism, files
+    levels = len(sb.Shape(40).widths())
+    assert [sum(n.endswith(kind) for n in files) for kind in ("classes", "open", "refined")] == [
+        levels, levels - 1, levels - 1
+    ]
