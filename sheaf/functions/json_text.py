@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 from sheaf.functions.binding import let
-from sheaf.functions.text import _col
+from sheaf.functions.text import _col, byte_slice
 
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 JSON_BLANKS = " \t\n\r"
@@ -19,8 +19,13 @@ JSON_BLANKS = " \t\n\r"
 
 def root_kind(text: Column | str) -> Column:
     """'object', 'array' or 'scalar', judged by the first character. No validation."""
-    first = F.substring(F.ltrim(_col(text), F.lit(JSON_BLANKS)), 1, 1)
-    return F.when(first == "{", "object").when(first == "[", "array").otherwise("scalar")
+    text = _col(text)
+    # nearly all texts begin with their value; taking a first character counts all of them
+    first = F.substring(F.ltrim(text, F.lit(JSON_BLANKS)), 1, 1)
+    return (
+        F.when(text.startswith("{"), "object").when(text.startswith("["), "array")
+        .when(first == "{", "object").when(first == "[", "array").otherwise("scalar")
+    )
 
 
 def canonical(text: Column | str) -> Column:
@@ -85,16 +90,13 @@ def object_keys(text: Column | str) -> Column:
 
 def quoted(text: Column | str) -> Column:
     """JSON string literal of a text."""
-    return F.regexp_replace(F.to_json(F.array(_col(text))), r"\A\[|\]\z", "")
+    return let(F.to_json(F.array(_col(text))), lambda q: byte_slice(q, 2, F.octet_length(q) - 2))
 
 
 def escaped(text: Column | str) -> Column:
     """A text as it stands inside a JSON string; the escaped parts of a text make up its escaped whole."""
-
-    def inside(q: Column) -> Column:
-        return q.substr(F.lit(3), F.length(q) - 4)
-
-    return F.when(_col(text).isNotNull(), let(F.to_json(F.array(_col(text))), inside))
+    inside = let(F.to_json(F.array(_col(text))), lambda q: byte_slice(q, 3, F.octet_length(q) - 4))
+    return F.when(_col(text).isNotNull(), inside)
 
 
 def patched_object(text: Column | str, changes: Column | str) -> Column:

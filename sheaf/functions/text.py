@@ -29,6 +29,18 @@ def strip(c: Column | str) -> Column:
     return let(_col(c), trimmed)
 
 
+def byte_slice(text: Column, start: Column | int, size: Column) -> Column:
+    """Part of a text by its place in UTF-8: places in characters are found by walking the text."""
+    start = F.lit(start) if isinstance(start, int) else start
+    return text.cast("binary").substr(start, size).cast("string")
+
+
+def at_most(text: Column, chars: int) -> Column:
+    """Whether a text has so many characters at most; they are counted only where its bytes do not tell."""
+    size = F.octet_length(text)
+    return (size <= chars) | ((size <= 4 * chars) & (F.length(text) <= chars))
+
+
 def is_filled(c: Column | str) -> Column:
     """True when the value is there and holds something other than white space."""
     return F.coalesce(strip(c) != "", F.lit(False))

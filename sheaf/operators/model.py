@@ -54,9 +54,17 @@ def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int,
                 told.append((attempt, status, body, error, final))
                 if final:
                     break
-                time.sleep(backoff_s * 2**attempt)
+                if backoff_s:  # also a sleep of no time takes some
+                    time.sleep(backoff_s * 2**attempt)
             return told
 
+        def rows(part: pa.RecordBatch) -> Iterator[dict]:
+            # texts through arrays of objects, which cost less than single values
+            columns = [
+                c.to_numpy(zero_copy_only=False).tolist() if pa.types.is_string(c.type) else c.to_pylist() for c in part.columns
+            ]
+            return (dict(zip(part.schema.names, values)) for values in zip(*columns))
+
         step = max(256, 8 * threads)
         names = ["request_id", *ATTEMPT, "round", *keys]
         with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -66,7 +74,7 @@ def _caller(model_fn: ModelFn, keys: list[str], max_retries: int, threads: int,
                 # hand answers on in small steps: requests and answers are long texts
                 for start in range(0, batch.num_rows, step):
                     part = batch.slice(start, step)
-                    told = list(ask_all(ask, part.to_pylist()))
+                    told = list(ask_all(ask, rows(part)))
                     asked = pa.array([i for i, attempts in enumerate(told) for _ in attempts], pa.int64())
                     columns = zip(*(row for attempts in told for row in attempts))
                     yield pa.RecordBatch.from_arrays([

@@ -10,6 +10,7 @@ from sheaf.functions.json_text import is_object_variant, is_string_variant, obje
 from sheaf.functions.text import _col, strip
 
 _BODY = "struct<status:string,output_text:variant,output:array<variant>,error:variant,incomplete_details:variant>"
+_CUT_SHORT = "the answer was cut short: "
 _USAGE = (
     "struct<usage:struct<input_tokens:bigint,output_tokens:bigint,"
     "input_tokens_details:struct<cached_tokens:bigint>>>"
@@ -29,7 +30,7 @@ def _message_text(b: Column) -> Column:
 
     def part_text(part: Column) -> Column:
         of_kind = F.try_variant_get(part, "$.type", "string") == "output_text"
-        return F.when(of_kind, _text(F.try_variant_get(part, "$.text", "variant")))
+        return F.when(of_kind, let(F.try_variant_get(part, "$.text", "variant"), _text))
 
     messages = F.filter(
         F.coalesce(b["output"], no_variants), lambda i: F.try_variant_get(i, "$.type", "string") == "message"
@@ -56,7 +57,7 @@ def response_text(body: Column | str, error: Column | str) -> Column:
                 .when(b["status"] == "failed", payload_error)
                 .when(
                     b["status"] == "incomplete",
-                    F.concat(F.lit("the answer was cut short: "), details),
+                    F.concat(F.lit(_CUT_SHORT), details),
                 )
                 .when(found.isNotNull(), None)
                 .when(said_error, payload_error)
@@ -72,7 +73,31 @@ def response_text(body: Column | str, error: Column | str) -> Column:
 
         return let(F.coalesce(F.when(direct != "", direct), _message_text(b)), outcome)
 
-    return let(F.from_json(body, _BODY), judged)
+    def plain(b: Column) -> Column:
+        """Outcome of the usual bodies: cut short, or with a message first that begins with text; null for others."""
+
+        def told(path: str, kind: str = "string") -> Column:
+            return F.try_variant_get(b, path, kind)
+
+        def outcome(text: Column, fault: Column) -> Column:
+            return F.struct(text.alias("text"), fault.alias("text_error"))
+
+        none = F.lit(None).cast("string")
+        details = F.coalesce(F.to_json(told("$.incomplete_details", "variant")), F.lit("null"))
+        first = (told("$.output[0].type") == "message") & (told("$.output[0].content[0].type") == "output_text")
+        text = F.when(
+            first & told("$.output_text", "variant").isNull(), let(told("$.output[0].content[0].text", "variant"), _text)
+        )
+        return let(
+            F.coalesce(told("$.status"), F.lit("")),
+            lambda status: F.when(status == "incomplete", outcome(none, F.concat(F.lit(_CUT_SHORT), details))).when(
+                status != "failed", let(text, lambda t: F.when(t != "", outcome(t, none)))
+            ),
+        )
+
+    # one parse and a few looks at it; only other bodies are taken apart
+    usual = F.when(error.isNull(), let(F.try_parse_json(body), plain))
+    return F.coalesce(usual, let(F.from_json(body, _BODY), judged))
 
 
 def with_response_text(responses: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql.types import VariantType
 
 from sheaf.fixed import MAX_SAMPLE_CHARS, SAMPLE_FIELDS, TASKS
 from sheaf.functions.json_text import string_members, variant_members
-from sheaf.functions.text import is_filled, strip
+from sheaf.functions.binding import let
+from sheaf.functions.text import at_most, strip
 
 # Room for positions inside one response; a position is an int.
 _POSITIONS = 1 << 31
@@ -37,19 +38,19 @@ def mark_samples(candidates: DataFrame, method: str, max_chars: int = MAX_SAMPLE
     names = field_columns(method)
     filled = F.lit(True)
     for name in names:
-        filled = filled & is_filled(name)
-    df = candidates.withColumn("_filled", filled).withColumns({n: strip(n) for n in names})
+        filled = filled & F.coalesce(F.col(name) != "", F.lit(False))
+    df = candidates.withColumns({n: strip(n) for n in names}).withColumn("_filled", filled)
     if _MODEL_TASK in names:
         df = df.drop(_MODEL_TASK)
     keep = F.col("_filled")
     if method == "DPO":
         keep = keep & (F.col("chosen") != F.col("rejected"))
-    size = F.length(F.to_json(F.struct(*SAMPLE_FIELDS[method])))
+    in_bound = let(F.to_json(F.struct(*SAMPLE_FIELDS[method])), lambda line: at_most(line, max_chars))
     # texts longer than the bound need no encoding to be turned away
     short = F.lit(True)
     for field in SAMPLE_FIELDS[method]:
-        short = short & (F.length(field) <= max_chars)
-    keep = F.coalesce(keep & short & (size <= max_chars), F.lit(False))
+        short = short & at_most(F.col(field), max_chars)
+    keep = F.coalesce(keep & short & in_bound, F.lit(False))
     return df.withColumn("keep", keep).drop("_filled")
 
 

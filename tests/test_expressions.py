@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheaf.fixed import WHITESPACE
-from sheaf.functions.json_text import canonical, canonical_object, patched_object, string_members
-from sheaf.functions.salvage import with_fast_json, with_json_value
-from sheaf.functions.text import count_words, is_filled, strip
+from sheaf.functions.json_text import canonical, canonical_object, escaped, patched_object, quoted, root_kind, string_members
+from sheaf.functions.salvage import _first_value, unfenced, with_fast_json, with_json_value
+from sheaf.functions.text import at_most, count_words, is_filled, strip
 
 
 def column(spark, values, expr, name="v"):
@@ -113,3 +113,53 @@ def test_fast_path_agrees_where_it_answers(spark):
 @pytest.mark.parametrize("text", VALID)
 def test_reading_back_keeps_the_value(spark, text):
     assert json.loads(column(spark, [text], canonical("v"))[0]) == json.loads(text)
+
+
+def test_values_after_other_words_are_decoded_without_python(spark):
+    """``json`` holds what Python found; it had these values, and the variant column was null."""
+    words = ['Answer: {"a":[1]}', 'See below.\n[{"a":1},{"b":"é"}]\n', "```\nso: [7]\n```"]
+    others = ['Sure: {"a":1} bye', "see [1] and [2]", '"a [1]"', 'x {"a":1,"a":2}', "no value", "[oops] [2]", 'so {"a":NaN}', ""]
+    df = spark.createDataFrame(list(enumerate(words + others)), "i int, a string")
+    told = with_json_value(df, "a", "kind", "json", variant="parsed").withColumn("parsed", F.to_json("parsed"))
+    got = {r.i: r for r in told.collect()}
+    for i, text in enumerate(words + others):
+        body = text.strip().removeprefix("```").removesuffix("```").strip()
+        kind, value = _first_value(body, inside=True) or (None, None)
+        assert got[i].kind == kind, text
+        if i < len(words):
+            assert got[i].json is None and got[i].parsed == value, text
+        else:
+            assert value in (got[i].json, got[i].parsed), text
+
+
+def test_fences_with_any_line_ends(spark):
+    """What is read with line feeds alone is what all line ends give."""
+    ends = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+    values = ['{"a":1}', "[1]\n[2]", '[1,"x\x85y"]', '["p\u2028q"]', "[1,\r2]", "[1]\x0b[2]", ""]
+    texts = [f"```{tag}{a}{v}{b}{end}" for tag in ("", "json", "js [3]\x0c") for a in ends for v in values
+             for b in ("\n", "\x85") for end in ("```", "\x1c```", "")]
+
+    def rule(text):
+        lines = text.strip().splitlines()
+        closed = len(lines) > 1 and lines[-1].strip() == "```"
+        return "\n".join(lines[1 : -1 if closed else None]).strip()
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, a string")
+    told = with_fast_json(df.withColumn("body", unfenced("a")), "a", "kind", "value")
+    for r in told.collect():
+        assert r.body == rule(texts[r.i]), repr(texts[r.i])
+        found = _first_value(r.body, inside=False)
+        assert (r.kind, r.value) == (found or (None, None)), repr(texts[r.i])
+
+
+def test_literals_and_kinds(spark):
+    values = ["a", "", '"q"\\ \n \x01 é 😀', "[x]", None]
+    assert column(spark, values, quoted("v")) == [json.dumps(v, ensure_ascii=False) for v in values]
+    assert column(spark, values, escaped("v")) == [v if v is None else json.dumps(v, ensure_ascii=False)[1:-1] for v in values]
+    texts = ["{", " \t{}", "[1]", "\n[", "7", "", None, "　[1]"]
+    assert column(spark, texts, root_kind("v")) == ["object", "object", "array", "array", *["scalar"] * 4]
+
+
+def test_at_most_counts_characters(spark):
+    values = [c * n for c in "aé漢😀" for n in (4, 5, 6, 40)] + ["", None]
+    assert column(spark, values, at_most(F.col("v"), 5)) == [None if v is None else len(v) <= 5 for v in values]

@@ -181,3 +181,30 @@ def test_retry_class(spark):
     df = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(cases)], "i int, attempt int, http_status int, body string")
     for r in with_retry_class(df).collect():
         assert (r.accepted, r.named_retryable, r.retry, r.backoff_s) == cases[r.i][3], cases[r.i]
+
+
+def test_no_pause_where_none_is_asked_for(monkeypatch):
+    import time
+
+    import pyarrow as pa
+
+    from sheaf.operators.model import REQUEST_FIELDS, _caller
+
+    slept = []
+    monkeypatch.setattr(time, "sleep", slept.append)
+    asked = pa.RecordBatch.from_pydict(
+        {"request_id": ["busy", "ok"], "input": ["é", None], "reasoning_effort": ["none", None],
+         "max_output_tokens": pa.array([None, 7], pa.int32()), "n": [1, None]})
+    assert tuple(asked.schema.names[:4]) == REQUEST_FIELDS
+    seen = []
+
+    def model(request):
+        seen.append(request)
+        return by_name(request)
+
+    for pause, pauses in [(0.0, []), (0.5, [0.5, 1.0])]:
+        seen.clear()
+        told = [r for b in _caller(model, ["n"], 2, 1, pause, 0)(iter([asked])) for r in b.to_pylist()]
+        assert slept == pauses
+        assert seen == [asked.to_pylist()[0]] * 3 + [asked.to_pylist()[1]]
+        assert [(r["request_id"], r["attempt"], r["n"]) for r in told] == [("busy", 0, 1), ("busy", 1, 1), ("busy", 2, 1), ("ok", 0, None)]

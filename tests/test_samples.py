@@ -177,3 +177,34 @@ def test_items_as_variants_are_the_items_as_texts(spark):
 
     assert told(variant="parsed") == told()
     assert len(told()) > len(answers)
+
+
+def test_usual_bodies_are_not_taken_apart(spark):
+    """The texts of usual bodies, which one parse tells, are those that the general rules find."""
+    from sheaf.operators.responses import response_text
+
+    def message(text, kind="output_text", **more):
+        return {"type": "message", "content": [{"type": kind, "text": text}, {"type": "output_text", "text": "later"}], **more}
+
+    cases = [
+        ({"status": "completed", "output": [message(" hi\n", role="assistant")]}, "hi", None),
+        ({"output": [message("é \ud83d\ude00")], "error": {"code": 1}}, "é 😀", None),
+        ({"output": [message(" "), message("x")]}, "later", None),
+        ({"output": [message("no", kind="refusal")]}, "later", None),
+        ({"output": [message(5)]}, "later", None),
+        ({"output": [{"type": "reasoning"}, message("b")]}, "b", None),
+        ({"output": [message("b")], "output_text": "a"}, "a", None),
+        ({"output": [message("b")], "output_text": None}, "b", None),
+        ({"output": [message("b")], "status": ["failed"]}, "b", None),
+        ({"output": [message("b")], "status": "failed", "error": "e"}, None, 'the model reported an error: "e"'),
+        ({"output": [message("b")], "status": "incomplete"}, None, "the answer was cut short: null"),
+        ({"status": "incomplete", "incomplete_details": {"reason": "max"}}, None, 'the answer was cut short: {"reason":"max"}'),
+    ]
+    bodies = [json.dumps(c[0]) for c in cases]
+    # a repeated member sends a body the general way
+    twice = [b[:-1] + ',"id":1,"id":2}' for b in bodies]
+    df = spark.createDataFrame(list(enumerate(bodies + twice)), "i int, body string").withColumn("error", F.lit(None).cast("string"))
+    for r in with_response_text(df).collect():
+        assert (r.text, r.text_error) == cases[r.i % len(cases)][1:], (bodies + twice)[r.i]
+    plan = df.select(response_text("body", "error"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("parseJson") < plan.index("from_json")
