@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import VariantType
 
@@ -45,7 +49,11 @@ def mark_samples(candidates: DataFrame, method: str, max_chars: int = MAX_SAMPLE
     keep = F.col("_filled")
     if method == "DPO":
         keep = keep & (F.col("chosen") != F.col("rejected"))
-    in_bound = let(F.to_json(F.struct(*SAMPLE_FIELDS[method])), lambda line: at_most(line, max_chars))
+    # a byte is six characters at most, as an escape; only longer samples need encoding
+    size = reduce(add, [F.octet_length(f) for f in SAMPLE_FIELDS[method]])
+    frame = len(json.dumps(dict.fromkeys(SAMPLE_FIELDS[method], ""), separators=(",", ":")))
+    encoded = let(F.to_json(F.struct(*SAMPLE_FIELDS[method])), lambda line: at_most(line, max_chars))
+    in_bound = (6 * size.cast("bigint") + frame <= max_chars) | encoded
     # texts longer than the bound need no encoding to be turned away
     short = F.lit(True)
     for field in SAMPLE_FIELDS[method]:

@@ -39,14 +39,16 @@ class Generated:
 
 
 def judged_candidates(answers: DataFrame, method: str, max_chars: int) -> DataFrame:
-    """One row per call and sample; a call without any sample keeps one row with no ``pos``."""
+    """One row per call and sample, without the texts of discarded ones; a call without any sample keeps one row with no ``pos``."""
     unwrapped = with_items(answers, variant="json_variant")
     error = F.coalesce("text_error", "items_error")
     rows = unwrapped.select(
         "paper_index", "task_type", error.alias("error"),
         F.posexplode_outer(F.when(error.isNull(), F.col("items"))).alias("pos", "item"),
     )
-    return mark_samples(candidates_from_items(rows, method), method, max_chars)
+    marked = mark_samples(candidates_from_items(rows, method), method, max_chars)
+    # discarded samples are counted only; their texts, which may be long, are not written
+    return marked.withColumns({f: F.when(F.col("keep"), F.col(f)) for f in SAMPLE_FIELDS[method] if f != "task_type"})
 
 
 def call_results(candidates: DataFrame) -> DataFrame:

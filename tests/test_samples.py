@@ -208,3 +208,24 @@ def test_usual_bodies_are_not_taken_apart(spark):
         assert (r.text, r.text_error) == cases[r.i % len(cases)][1:], (bodies + twice)[r.i]
     plan = df.select(response_text("body", "error"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("parseJson") < plan.index("from_json")
+
+
+def test_texts_of_discarded_samples_are_counted_and_not_written(spark):
+    from sheaf.plans.generate import call_results, judged_candidates
+    from sheaf.session import stage
+
+    said = ['[{"text":" a "},{"text":"%s"},{"text":"%s"},{"text":5}]' % ("x" * 39, "x" * 40), "no", '[{"text":" "}]']
+    df = spark.createDataFrame([(i, A, None, t) for i, t in enumerate(said)], "paper_index bigint, task_type string, text_error string, text string")
+    rows = stage(judged_candidates(with_json_value(df, "text", variant="json_variant"), "CPT", 50), "candidates")
+    got = sorted((r.paper_index, -1 if r.pos is None else r.pos, r.text, r.keep) for r in rows.collect())
+    assert got == [(0, 0, "a", True), (0, 1, "x" * 39, True), (0, 2, None, False), (0, 3, None, False), (1, -1, None, False), (2, 0, None, False)]
+    told = {r.paper_index: (r.n_samples, r.n_discarded, r.error is None) for r in call_results(rows).collect()}
+    assert told == {0: (2, 2, True), 1: (0, 0, False), 2: (0, 1, True)}
+
+
+@pytest.mark.parametrize("char", ["\x01", '"', "\n", "é", "😀", "x"])
+def test_the_length_is_that_of_the_encoded_sample(spark, char):
+    text = "-" + char * 9 + "-"
+    size = len(json.dumps({"text": text}, ensure_ascii=False, separators=(",", ":")))
+    df = spark.createDataFrame([(0, A, 0, text)], "paper_index bigint, task_type string, pos int, text string")
+    assert [normalize_samples(df, "CPT", size + more).count() for more in (-1, 0, 40)] == [0, 1, 1]
